@@ -28,7 +28,7 @@ class CountingScorer:
 
     def _prior(self, counts: DataFrame, groups: tuple[str, ...]) -> DataFrame:
         """Per group: label shares as a map and the most frequent label."""
-        per = counts.groupBy(*groups, self.label).agg(F.sum("n").cast("long").alias("n")).where("n > 0")
+        per = counts.groupBy(*groups, self.label).agg(F.sum("n").alias("n")).where("n > 0")
         best = F.min(F.struct((-F.col("n")).alias("n"), F.col(self.label).alias("y")))["y"]
         total = F.sum("n")
         shares = F.map_from_entries(F.collect_list(F.struct(F.col(self.label), F.col("n"))))
@@ -70,9 +70,10 @@ class CountingScorer:
         groups = (*self.by, fold)
         return self._score(folded, self._key_table(counts, groups), self._prior(counts, groups), groups, spread)
 
-    def fit_score(self, train: DataFrame, rows: DataFrame, spread: str = "row_id") -> DataFrame:
-        """Count on ``train``, score ``rows``. ``by`` columns separate runs that share one job."""
-        counts = train.groupBy(*self.by, *self.keys, self.label).agg(F.count("*").alias("n"))
+    def fit_score(self, train: DataFrame, rows: DataFrame, weight: str | None = None, spread: str = "row_id") -> DataFrame:
+        """Count on ``train`` (or add up its weights), score ``rows``. ``by`` columns separate runs in one job."""
+        amount = F.count("*") if weight is None else F.sum(weight)
+        counts = train.groupBy(*self.by, *self.keys, self.label).agg(amount.alias("n"))
         return self._score(rows, self._key_table(counts, self.by), self._prior(counts, self.by), self.by, spread)
 
 

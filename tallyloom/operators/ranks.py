@@ -17,6 +17,7 @@ from tallyloom.runtime import literal_table
 
 BINS = 1024
 LEAF_ROWS = 4096
+EVERYTHING = (float("-inf"), -(2**63))
 
 
 @dataclass
@@ -46,7 +47,6 @@ def locate_ranks(
     by_group = group is not None
     columns = [key.cast("double").alias("_x")] + ([group.cast("string").alias("_g")] if by_group else [])
     data = df.select(*columns).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-
     keys = ["_g"] if by_group else []
     wanted = {t[0] for t in targets}
     scoped = data.where(F.col("_g").isin(sorted(wanted))) if by_group else data
@@ -116,44 +116,48 @@ def exact_quantiles(df: DataFrame, key: Column, shares: list[float]) -> list[flo
 
 
 def top_cuts(
-    df: DataFrame, score: Column, row_id: Column, sizes: dict[str | None, int], group: Column | None = None
-) -> dict[str | None, tuple[float, int]]:
-    """For each group the (score, row id) of its k-th row by score, then row id, both descending.
+    df: DataFrame, score: Column, row_id: Column, sizes: list[tuple[str | None, int]], group: Column | None = None
+) -> list[tuple[float, int] | None]:
+    """For each (group, k) the (score, row id) of the k-th row by score, then row id, both descending.
 
-    A row belongs to the first k exactly if ``in_top`` holds for it and the cut.
+    A row belongs to the first k exactly if ``in_top`` holds for it and the cut. ``None`` stands for
+    k = 0; a k beyond the group takes the whole group. All cuts are found together.
     """
     by_group = group is not None
     columns = [score.cast("double").alias("_s"), row_id.alias("_r")]
-    narrow = df.select(*columns, *([group.cast("string").alias("_k")] if by_group else []))
-    group_col = F.col("_k") if by_group else None
-    counts = (
-        {r["_k"]: r["n"] for r in narrow.where(F.col("_k").isin([g for g in sizes])).groupBy("_k").agg(F.count("*").alias("n")).collect()}
-        if by_group
-        else {None: narrow.count()}
-    )
-    sizes = {g: k for g, k in sizes.items() if 0 < k <= counts.get(g, 0)}
-    if not sizes:
-        return {}
-    groups = list(sizes)
-    places = locate_ranks(narrow, F.col("_s"), [(g, counts[g] - sizes[g]) for g in groups], group_col)
-    cuts, tied = {}, []
-    for g, place in zip(groups, places):
-        above = counts[g] - place.less - place.equal
-        need = sizes[g] - above
+    narrow = df.select(*columns, (group.cast("string") if by_group else F.lit("*")).alias("_k"))
+    wanted = [("*" if g is None else g, k) for g, k in sizes]
+    groups = sorted({g for g, k in wanted if k > 0})
+    counts = {r["_k"]: r["n"] for r in narrow.where(F.col("_k").isin(groups)).groupBy("_k").agg(F.count("*").alias("n")).collect()} if groups else {}
+    cuts: list[tuple[float, int] | None] = [None] * len(wanted)
+    open_cuts = []
+    for i, (g, k) in enumerate(wanted):
+        if k > 0 and counts.get(g, 0) <= k:
+            cuts[i] = EVERYTHING
+        elif k > 0:
+            open_cuts.append(i)
+    if not open_cuts:
+        return cuts
+    places = locate_ranks(narrow, F.col("_s"), [(wanted[i][0], counts[wanted[i][0]] - wanted[i][1]) for i in open_cuts], F.col("_k"))
+    tied = []
+    for i, place in zip(open_cuts, places):
+        g, k = wanted[i]
+        need = k - (counts[g] - place.less - place.equal)
         if need == place.equal:
-            cuts[g] = (place.value, -(2**63))
+            cuts[i] = (place.value, EVERYTHING[1])
         else:
-            tied.append({"tg": g if by_group else "*", "v": place.value, "rank": place.equal - need, "g": g})
+            tied.append({"tid": f"{i}", "tg": g, "v": place.value, "rank": place.equal - need, "i": i})
     if tied:
-        table = literal_table(df.sparkSession, tied, "tg string, v double")
-        left = narrow if by_group else narrow.withColumn("_k", F.lit("*"))
-        at_value = left.join(table, (left["_k"] == table["tg"]) & (left["_s"] == table["v"]))
-        ids = locate_ranks(at_value, F.col("_r"), [(t["tg"], t["rank"]) for t in tied], F.col("_k"))
+        table = literal_table(df.sparkSession, tied, "tid string, tg string, v double")
+        at_value = narrow.join(table, (narrow["_k"] == table["tg"]) & (narrow["_s"] == table["v"]))
+        ids = locate_ranks(at_value, F.col("_r"), [(t["tid"], t["rank"]) for t in tied], F.col("tid"))
         for t, place in zip(tied, ids):
-            cuts[t["g"]] = (t["v"], int(place.value))
+            cuts[t["i"]] = (t["v"], int(place.value))
     return cuts
 
 
-def in_top(score: Column, row_id: Column, cut: tuple[float, int]) -> Column:
+def in_top(score: Column, row_id: Column, cut: tuple[float, int] | None) -> Column:
+    if cut is None:
+        return F.lit(False)
     value, rid = cut
     return (score > F.lit(value)) | ((score == F.lit(value)) & (row_id >= F.lit(rid)))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.ranks import exact_quantiles, in_top, top_cuts
 from tallyloom.operators.split import class_counts
-from tallyloom.runtime import literal_table
 
 
 
@@ -20,58 +19,59 @@ def remove_rows(train: DataFrame, ids: DataFrame) -> DataFrame:
     return train.join(ids.select("row_id"), "row_id", "left_anti")
 
 
-def top_rows(df: DataFrame, score: str, k: int) -> Column:
-    """Condition that holds for the k rows with the highest (score, row id)."""
-    cut = top_cuts(df, F.col(score), F.col("row_id"), {None: k}).get(None)
-    return F.lit(False) if cut is None else in_top(F.col(score), F.col("row_id"), cut)
+def top_rows(df: DataFrame, score: str, sizes: list[int]) -> list[Column]:
+    """For each k the condition that holds for the k rows with the highest (score, row id)."""
+    cuts = top_cuts(df, F.col(score), F.col("row_id"), [(None, k) for k in sizes])
+    return [in_top(F.col(score), F.col("row_id"), cut) for cut in cuts]
 
 
-def cap_removal(train: DataFrame, score: str, cap: float, n: int | None = None) -> Column:
-    rows = train.count() if n is None else n
-    return top_rows(train, score, min(rows, max(1, int(rows * cap))))
+def cap_removal(train: DataFrame, score: str, caps: list[float]) -> list[Column]:
+    """For each cap the condition of the worst max(1, n * cap) rows."""
+    n = train.count()
+    return top_rows(train, score, [max(1, int(n * cap)) for cap in caps])
 
 
 def remove_cap_fraction(train: DataFrame, score: str, cap: float) -> DataFrame:
-    """Drop the worst max(1, n * cap) rows."""
-    return train.where(~cap_removal(train, score, cap))
+    return train.where(~cap_removal(train, score, [cap])[0])
 
 
-def candidate_removal(pool: DataFrame, score: str, share: float, n: int | None = None) -> Column:
-    rows = pool.count() if n is None else n
-    return top_rows(pool, score, int(rows * share))
+def candidate_removal(pool: DataFrame, score: str, shares: list[float]) -> list[Column]:
+    """For each share the condition, within the pool, of its worst rows."""
+    n = pool.count()
+    return top_rows(pool, score, [int(n * share) for share in shares])
 
 
-def class_aware_removal(train: DataFrame, pool: DataFrame, score: str, share: float, min_keep: int, label: str = "category", counts: dict | None = None) -> DataFrame:
-    """Ids of the pool rows to drop when no class may fall below ``min_keep`` rows.
+def class_aware_removal(
+    train_counts: dict[str, int], pool: DataFrame, score: str, wanted: list[tuple[float, int]], label: str = "category"
+) -> list[Column]:
+    """For each (share, min_keep) the condition, within the pool, of the rows to drop.
 
-    A class gives at most its surplus, highest scores first; of these rows the first
-    max(1, share of the pool) are dropped.
+    A class gives at most its surplus over ``min_keep``, highest scores first; of these rows the
+    first max(1, share of the pool) are dropped. All classes and floors are cut together.
     """
     in_pool = class_counts(pool, label)
     pool_n = sum(in_pool.values())
-    if pool_n == 0:
-        return pool.select("row_id")
-    in_train = counts or class_counts(train, label)
-    surplus = {c: min(m, max(0, in_train.get(c, 0) - min_keep)) for c, m in in_pool.items()}
-    short = {c: k for c, k in surplus.items() if 0 < k < in_pool[c]}
-    cuts = top_cuts(pool, F.col(score), F.col("row_id"), short, F.col(label)) if short else {}
-    limits = []
-    for c, k in surplus.items():
-        if k == in_pool[c]:
-            limits.append({"_c": c, "_s": float("-inf"), "_r": -(2**63)})
-        elif k > 0:
-            limits.append({"_c": c, "_s": cuts[c][0], "_r": cuts[c][1]})
-    table = literal_table(pool.sparkSession, limits, "_c string, _s double, _r long")
-    reached = (F.col(score) > F.col("_s")) | ((F.col(score) == F.col("_s")) & (F.col("row_id") >= F.col("_r")))
-    eligible = pool.join(table, pool[label] == table["_c"]).where(reached).select("row_id", score)
-    target = min(sum(surplus.values()), max(1, int(pool_n * share)))
-    if target == 0:
-        return eligible.select("row_id")
-    return eligible.where(top_rows(eligible, score, target)).select("row_id")
+    floors = sorted({keep for _, keep in wanted})
+    slots = [(c, keep) for keep in floors for c in sorted(in_pool)]
+    surplus = {(c, keep): max(0, train_counts.get(c, 0) - keep) for c, keep in slots}
+    cuts = dict(zip(slots, top_cuts(pool, F.col(score), F.col("row_id"), [(c, surplus[c, keep]) for c, keep in slots], F.col(label))))
+    allowed = {}
+    for keep in floors:
+        chosen = F.lit(False)
+        for c in sorted(in_pool):
+            chosen = chosen | ((F.col(label) == c) & in_top(F.col(score), F.col("row_id"), cuts[c, keep]))
+        allowed[keep] = chosen
+    floors_hit = F.array_compact(F.array(*[F.when(allowed[keep], F.lit(str(keep))) for keep in floors]))
+    eligible = pool.select("row_id", score, F.explode(floors_hit).alias("_floor"))
+    targets = [(str(keep), max(1, int(pool_n * share))) for share, keep in wanted]
+    ends = top_cuts(eligible, F.col(score), F.col("row_id"), targets, F.col("_floor"))
+    return [allowed[keep] & in_top(F.col(score), F.col("row_id"), end) for (_, keep), end in zip(wanted, ends)]
 
 
 def remove_class_aware(train: DataFrame, pool: DataFrame, score: str, share: float, min_keep: int, label: str = "category") -> DataFrame:
-    return remove_rows(train, class_aware_removal(train, pool, score, share, min_keep, label))
+    """Training rows without the chosen pool rows."""
+    drop = class_aware_removal(class_counts(train, label), pool, score, [(share, min_keep)], label)[0]
+    return remove_rows(train, pool.where(drop))
 
 
 def quantile_removal(pool: DataFrame, score: str, share: float) -> Column:

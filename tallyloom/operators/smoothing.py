@@ -129,10 +129,6 @@ def smooth_kalman(sig: Ordered, q: float = 1e-4, r: float = 1e-2, out: str = "sm
     return _per_block(blocks, run, sig, out)
 
 
-def with_context_blocks(sig: Ordered, halo: int, rows: int) -> DataFrame:
-    return with_blocks(sig, halo, halo, rows)
-
-
 @lru_cache(maxsize=8)
 def _whittaker_inverse(size: int, lam: float) -> np.ndarray:
     return np.linalg.inv(kernels.second_difference_system(size, lam))
@@ -148,7 +144,7 @@ def smooth_whittaker(sig: Ordered, lam: float = 50.0, out: str = "smooth", value
         smooth = _whittaker_inverse(len(block), lam) @ block[value].to_numpy()
         return block.assign(**{out: smooth})[block["core"]].drop(columns=["block", "core"])
 
-    return _per_block(with_context_blocks(sig, halo, rows), run, sig, out)
+    return _per_block(with_blocks(sig, halo, halo, rows), run, sig, out)
 
 
 def _per_block(blocks: DataFrame, run, sig: Ordered, out: str) -> DataFrame:
@@ -182,47 +178,51 @@ def residual_injection(sig: Ordered, factor: float = 0.2) -> DataFrame:
     return residual_features(sig).withColumn("resid_injected", F.lit(factor) * F.col("noise_resid")).drop("noise_raw", "noise_smooth", "noise_resid")
 
 
-def smooth_lowess(sig: Ordered, span: int, rounds: int = 2, out: str = "smooth", value: str = "x") -> DataFrame:
+def smooth_lowess(sig: Ordered, span: int, rounds: int = 2, out: str = "smooth", value: str = "x", block_rows: int = 8192) -> DataFrame:
     """Local linear fit with tricube weights over the ``span`` nearest rows, ``rounds`` robust repeats.
 
     Positions are evenly spaced, so the nearest rows are a window that is shifted inwards at the ends.
+    Between the repeats only the median absolute residual is shared.
     """
     half = span // 2
     width = 2 * half + 1
-    if sig.n < width:
-        raise ValueError(f"signal of {sig.n} rows is shorter than the window of {width}")
-    current, weight = sig.df, F.lit(1.0)
-    current = current.withColumn("_w", weight)
+    n = sig.n
+    if n < width:
+        raise ValueError(f"signal of {n} rows is shorter than the window of {width}")
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("pos")
+        first = int(block["pos"].iloc[0])
+        core = block[block["core"]]
+        pos = core["pos"].to_numpy()
+        low = np.clip(pos - half, 0, n - width)
+        at = (low - first)[:, None] + np.arange(width)
+        d = (low[:, None] + np.arange(width) - pos[:, None]).astype(float)
+        u = np.abs(d) / np.maximum(pos - low, low + width - 1 - pos)[:, None]
+        near = np.where(u >= 0.999, 0.0, np.where(u <= 0.001, 1.0, (1 - u**3) ** 3))
+        w, v = near * block["_w"].to_numpy()[at], block[value].to_numpy()[at]
+        total, first_m, second_m = w.sum(1), (w * d).sum(1), (w * d * d).sum(1)
+        level, slope = (w * v).sum(1), (w * d * v).sum(1)
+        det = total * second_m - first_m**2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            line = (second_m * level - first_m * slope) / det
+            flat = level / total
+        fit = np.where(total <= 0, core[value].to_numpy(), np.where(det <= 1e-12 * total * second_m, flat, line))
+        return core.assign(**{out: fit}).drop(columns=["block", "core"])
+
+    current = sig.df.withColumn("_w", F.lit(1.0))
     for step in range(rounds + 1):
-        pair = Ordered(current.withColumn("_vw", F.struct(F.col("pos").alias("p"), F.col(value).alias("v"), F.col("_w").alias("w"))), sig.n)
-        near = neighbourhood(pair, "_vw", 2 * half, "shrink").drop("_vw")
-        low = F.greatest(F.lit(0), F.least(F.col("pos") - half, F.lit(sig.n - width)))
-        window = F.filter("near", lambda e: (e["p"] >= low) & (e["p"] <= low + width - 1))
-        radius = F.greatest(F.col("pos") - low, low + width - 1 - F.col("pos")).cast("double")
-
-        def terms(e):
-            d = (e["p"] - F.col("pos")).cast("double")
-            u = F.abs(d) / radius
-            inner = F.when(u >= 0.999, 0.0).when(u <= 0.001, 1.0).otherwise(F.pow(1.0 - F.pow(u, F.lit(3.0)), F.lit(3.0)))
-            w = inner * e["w"]
-            return F.struct(w.alias("w"), (w * d).alias("wd"), (w * d * d).alias("wdd"), (w * e["v"]).alias("wv"), (w * d * e["v"]).alias("wdv"))
-
-        zero = F.struct(*[F.lit(0.0).alias(c) for c in ("w", "wd", "wdd", "wv", "wdv")])
-        add = lambda a, e: F.struct(*[(a[c] + e[c]).alias(c) for c in ("w", "wd", "wdd", "wv", "wdv")])
-        s = F.col("_s")
-        det = s["w"] * s["wdd"] - s["wd"] * s["wd"]
-        flat = s["wv"] / s["w"]
-        fitted = F.when(s["w"] <= 0, F.col(value)).when(F.abs(det) <= 1e-12 * s["w"] * s["wdd"], flat)
-        fitted = fitted.otherwise((s["wdd"] * s["wv"] - s["wd"] * s["wdv"]) / det)
-        current = near.withColumn("_s", F.aggregate(F.transform(window, terms), zero, add)).withColumn(out, fitted).drop("near", "_s")
-        if step < rounds:
-            current = materialise(current, "lowess")
-            scale = exact_quantiles(current, F.abs(F.col(value) - F.col(out)), [0.5])[0]
-            if not scale:
-                break
-            ratio = (F.col(value) - F.col(out)) / F.lit(6.0 * scale)
-            robust = F.when(F.abs(ratio) >= 0.999, 0.0).when(F.abs(ratio) <= 0.001, 1.0)
-            current = current.withColumn("_w", robust.otherwise(F.pow(1.0 - ratio * ratio, F.lit(2.0)))).drop(out)
+        weighted = Ordered(current, n)
+        current = _per_block(with_blocks(weighted, width, width, max(block_rows, width)), run, weighted, out)
+        if step == rounds:
+            break
+        current = materialise(current, "lowess")
+        scale = exact_quantiles(current, F.abs(F.col(value) - F.col(out)), [0.5])[0]
+        if not scale:
+            break
+        ratio = F.abs(F.col(value) - F.col(out)) / F.lit(6.0 * scale)
+        robust = F.when(ratio >= 0.999, 0.0).when(ratio <= 0.001, 1.0).otherwise(F.pow(1.0 - ratio * ratio, F.lit(2.0)))
+        current = current.withColumn("_w", robust).drop(out)
     return current.drop("_w")
 
 

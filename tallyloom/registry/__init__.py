@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from typing import NamedTuple
 
-SECTIONS = ("prep", "labels")
+SECTIONS = ("prep", "labels", "signals")
 
 
 class Registry(NamedTuple):

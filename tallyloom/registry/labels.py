@@ -10,6 +10,7 @@ from tallyloom.operators import metrics, noise as nz, relabel, split
 from tallyloom.registry import sql
 from tallyloom.registry.base import noise, query, r6, train_valid
 from tallyloom.registry.sql import build
+from tallyloom.runtime import materialise
 from tallyloom.sources import adapters
 
 KEYS = ["description", "amount_bucket", "transaction_type"]
@@ -30,7 +31,7 @@ REPEATED_PARTS = dict(seeded=SEEDED, rfold=sql.fold_sql("seeded", "CAST(seed AS
 
 
 def repeated(spark, sf):
-    runs = split.repeated_kfold(adapters.labelled(spark, sf), fixed.REPEAT_SEEDS)
+    runs = materialise(split.repeated_kfold(adapters.labelled(spark, sf), fixed.REPEAT_SEEDS), "folded")
     return nz.CountingScorer(by=("seed",)).out_of_fold(runs)
 
 

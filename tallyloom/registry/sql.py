@@ -103,8 +103,10 @@ def window_sum_sql(weights: list[float], sig: str = "sig") -> str:
     half = len(weights) // 2
     taps = ", ".join(f"({i - half}, {w!r}::DOUBLE)" for i, w in enumerate(weights))
     return f"""
-    SELECT a.row_id, sum(c.w * b.x) AS smooth FROM {sig} a CROSS JOIN (VALUES {taps}) AS c(off, w)
-    JOIN {sig} b ON b.pos = greatest(0, least((SELECT count(*) FROM {sig}) - 1, a.pos + c.off)) GROUP BY a.row_id"""
+    SELECT a.row_id, sum(a.w * b.x) AS smooth FROM (
+      SELECT s.row_id, c.w, greatest(0, least(s.last, s.pos + c.off)) AS spot
+      FROM (SELECT row_id, pos, count(*) OVER () - 1 AS last FROM {sig}) s CROSS JOIN (VALUES {taps}) AS c(off, w)
+    ) a JOIN {sig} b ON b.pos = a.spot GROUP BY a.row_id"""
 
 
 # name -> (names it needs, SQL)

@@ -10,6 +10,7 @@ from tallyloom.functions.columns import amount_bucket, clean_description, flag_s
 from tallyloom.operators.noise import CountingScorer
 from tallyloom.operators.schema import blank_strings_to_null, category_map, category_rollup, drop_unmapped_target
 from tallyloom.operators.split import stratified_kfold
+from tallyloom.runtime import materialise
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +54,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def noise_scores(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     """Out-of-fold scores of the counting scorer on all labelled rows."""
-    folded = stratified_kfold(labelled(spark, sf_dir), seed=seed)
+    folded = materialise(stratified_kfold(labelled(spark, sf_dir), seed=seed), "folded")
     scored = CountingScorer().out_of_fold(folded)
     wrong = (F.col("cv_pred") != F.col("category")).cast("int")
     flagged = flag_suspicious(F.col("category"), F.col("cv_pred"), F.col("true_label_prob"))
