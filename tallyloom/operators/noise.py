@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import fixed
@@ -39,34 +39,49 @@ class CountingScorer:
         listed = F.collect_list(F.struct(F.col("n"), F.col(self.label).alias("y")))
         return counts.where("n > 0").groupBy(*groups, *self.keys).agg(listed.alias("cells"), F.sum("n").alias("key_n"))
 
-    def _score(self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str) -> DataFrame:
-        strength = F.lit(self.strength)
+    def _attach(self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str) -> DataFrame:
+        """Rows with their key's counts (``cells``, ``key_n``) and their group's shares."""
         joined = salted_join(rows, key_table, [*groups, *self.keys], spread, "left")
         if groups:
-            joined = joined.join(small_table(prior), list(groups), "left")
-        else:
-            one = prior.select(F.struct("prior_best", "prior_n", "total_n").alias("p")).scalar()
-            joined = joined.withColumns({c: one[c] for c in ("prior_best", "prior_n", "total_n")})
-        share = lambda y: F.coalesce(F.col("prior_n")[y], F.lit(0)) / F.col("total_n")
-        prob = lambda n, y: F.round((n + strength * share(y)) / (F.coalesce("key_n", F.lit(0)) + strength), 9)
-        ranked = F.array_min(F.transform("cells", lambda c: F.struct((-prob(c["n"], c["y"])).alias("p"), c["y"].alias("y"))))
-        own = F.element_at(F.filter("cells", lambda c: c["y"] == F.col(self.label)), 1)["n"]
-        own = F.when(F.exists("cells", lambda c: c["y"] == F.col(self.label)), own).otherwise(F.lit(0))
+            return joined.join(small_table(prior), list(groups), "left")
+        one = prior.select(F.struct("prior_best", "prior_n", "total_n").alias("p")).scalar()
+        return joined.withColumns({c: one[c] for c in ("prior_best", "prior_n", "total_n")})
+
+    def _prob(self, n: Column, y: Column) -> Column:
+        share = F.coalesce(F.col("prior_n")[y], F.lit(0)) / F.col("total_n")
+        strength = F.lit(self.strength)
+        return F.round((n + strength * share) / (F.coalesce("key_n", F.lit(0)) + strength), 9)
+
+    @staticmethod
+    def _cell(y: Column) -> Column:
+        """The count of label ``y`` under the row's key."""
+        return F.coalesce(F.try_element_at(F.filter("cells", lambda c: c["y"] == y), F.lit(1))["n"], F.lit(0))
+
+    def _score(self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str) -> DataFrame:
+        joined = self._attach(rows, key_table, prior, groups, spread)
+        ranked = F.array_min(F.transform("cells", lambda c: F.struct((-self._prob(c["n"], c["y"])).alias("p"), c["y"].alias("y"))))
         columns = [c for c in rows.columns if c not in ("cv_pred", "true_label_prob")]
         return joined.select(
             *columns,
             F.coalesce(ranked["y"], F.col("prior_best")).alias("cv_pred"),
-            prob(own, F.col(self.label)).alias("true_label_prob"),
+            self._prob(self._cell(F.col(self.label)), F.col(self.label)).alias("true_label_prob"),
         )
 
-    def out_of_fold(self, folded: DataFrame, k: int = 5, fold: str = "fold", spread: str = "row_id") -> DataFrame:
-        """Score every row with the counts of the other folds. ``by`` columns (a seed) separate runs."""
+    def _rates(self, joined: DataFrame, columns: list[str], labels: list[str], out: str) -> DataFrame:
+        return joined.select(*columns, F.array(*[self._prob(self._cell(F.lit(y)), F.lit(y)) for y in labels]).alias(out))
+
+    def _other_folds(self, folded: DataFrame, k: int, fold: str) -> DataFrame:
+        """Label counts per key and fold over all other folds, from one aggregate of the rows."""
         per_fold = [F.sum(F.when(F.col(fold) == f, 1).otherwise(0)).alias(f"f{f}") for f in range(k)]
         cells = folded.groupBy(*self.by, *self.keys, self.label).agg(F.count("*").alias("all_n"), *per_fold)
         others = F.array(*[F.struct(F.lit(f).alias(fold), (F.col("all_n") - F.col(f"f{f}")).alias("n")) for f in range(k)])
-        counts = cells.select(*self.by, *self.keys, self.label, F.explode(others).alias("o")).select(
+        return cells.select(*self.by, *self.keys, self.label, F.explode(others).alias("o")).select(
             *self.by, *self.keys, self.label, F.col(f"o.{fold}").alias(fold), F.col("o.n").alias("n")
         )
+
+    def out_of_fold(self, folded: DataFrame, k: int = 5, fold: str = "fold", spread: str = "row_id") -> DataFrame:
+        """Score every row with the counts of the other folds. ``by`` columns (a seed) separate runs."""
+        counts = self._other_folds(folded, k, fold)
         groups = (*self.by, fold)
         return self._score(folded, self._key_table(counts, groups), self._prior(counts, groups), groups, spread)
 
@@ -76,6 +91,24 @@ class CountingScorer:
         counts = train.groupBy(*self.by, *self.keys, self.label).agg(amount.alias("n"))
         return self._score(rows, self._key_table(counts, self.by), self._prior(counts, self.by), self.by, spread)
 
+    def out_of_fold_rates(self, folded: DataFrame, labels: list[str], out: str, k: int = 5, fold: str = "fold", spread: str = "row_id") -> DataFrame:
+        """Array of smoothed label rates of the row's key over the other folds."""
+        counts, groups = self._other_folds(folded, k, fold), (*self.by, fold)
+        joined = self._attach(folded, self._key_table(counts, groups), self._prior(counts, groups), groups, spread)
+        return self._rates(joined, folded.columns, labels, out)
+
+    def fit_rates(self, train: DataFrame, rows: DataFrame, labels: list[str], out: str, spread: str = "row_id") -> DataFrame:
+        counts = train.groupBy(*self.by, *self.keys, self.label).agg(F.count("*").alias("n"))
+        joined = self._attach(rows, self._key_table(counts, self.by), self._prior(counts, self.by), self.by, spread)
+        return self._rates(joined, rows.columns, labels, out)
+
+
+def categorical_target_stats(folded: DataFrame, columns: list[str], labels: list[str], label: str = "category", k: int = 5) -> DataFrame:
+    """Per categorical column the out-of-fold label rates, as the array ``te_<column>``."""
+    for c in columns:
+        folded = CountingScorer(keys=(c,), label=label).out_of_fold_rates(folded, labels, f"te_{c}", k)
+    return folded
+
 
 def repeated_scores(runs: DataFrame, features: list[str], label: str = "category", min_wrong: int = 2, threshold: float = fixed.SUSPICIOUS_PROB) -> DataFrame:
     """Combine the runs of several seeds: mean probability, count of wrong predictions, flag."""
