@@ -39,9 +39,10 @@ class CountingScorer:
         listed = F.collect_list(F.struct(F.col("n"), F.col(self.label).alias("y")))
         return counts.where("n > 0").groupBy(*groups, *self.keys).agg(listed.alias("cells"), F.sum("n").alias("key_n"))
 
-    def _attach(self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str) -> DataFrame:
+    def _attach(self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str | None) -> DataFrame:
         """Rows with their key's counts (``cells``, ``key_n``) and their group's shares."""
-        joined = salted_join(rows, key_table, [*groups, *self.keys], spread, "left")
+        on = [*groups, *self.keys]
+        joined = salted_join(rows, key_table, on, spread, "left") if spread else rows.join(key_table, on, "left")
         if groups:
             return joined.join(small_table(prior), list(groups), "left")
         one = prior.select(F.struct("prior_best", "prior_n", "total_n").alias("p")).scalar()
@@ -57,7 +58,7 @@ class CountingScorer:
         """The count of label ``y`` under the row's key."""
         return F.coalesce(F.try_element_at(F.filter("cells", lambda c: c["y"] == y), F.lit(1))["n"], F.lit(0))
 
-    def _score(self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str) -> DataFrame:
+    def _score(self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str | None) -> DataFrame:
         joined = self._attach(rows, key_table, prior, groups, spread)
         ranked = F.array_min(F.transform("cells", lambda c: F.struct((-self._prob(c["n"], c["y"])).alias("p"), c["y"].alias("y"))))
         columns = [c for c in rows.columns if c not in ("cv_pred", "true_label_prob")]
@@ -91,6 +92,20 @@ class CountingScorer:
         counts = train.groupBy(*self.by, *self.keys, self.label).agg(amount.alias("n"))
         return self._score(rows, self._key_table(counts, self.by), self._prior(counts, self.by), self.by, spread)
 
+    def count_runs(self, train: DataFrame, rows: DataFrame, drops: list[Column], run: str = "run") -> DataFrame:
+        """(run, actual, predicted, n) of one fit per condition of rows to leave out.
+
+        Training and scored rows are aggregated to (key, label) cells once, with one counter per run;
+        everything after that works on cells.
+        """
+        kept = F.array(*[F.count_if(~F.coalesce(d, F.lit(False))) for d in drops])
+        cells = train.groupBy(*self.keys, self.label).agg(kept.alias("kept"))
+        counts = cells.select(*self.keys, self.label, F.posexplode("kept").alias(run, "n"))
+        asked = rows.groupBy(*self.keys, self.label).agg(F.count("*").alias("asked_n"))
+        asked = asked.withColumn(run, F.explode(F.sequence(F.lit(0), F.lit(len(drops) - 1))))
+        scored = self._score(asked, self._key_table(counts, (run,)), self._prior(counts, (run,)), (run,), None)
+        return scored.groupBy(run, F.col(self.label).alias("actual"), F.col("cv_pred").alias("predicted")).agg(F.sum("asked_n").alias("n"))
+
     def out_of_fold_rates(self, folded: DataFrame, labels: list[str], out: str, k: int = 5, fold: str = "fold", spread: str = "row_id") -> DataFrame:
         """Array of smoothed label rates of the row's key over the other folds."""
         counts, groups = self._other_folds(folded, k, fold), (*self.by, fold)

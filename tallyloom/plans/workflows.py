@@ -32,19 +32,17 @@ def evaluate_runs(learner, train: DataFrame, valid: DataFrame, runs: list[tuple[
     """Metrics of one fit per (parameters, rows to leave out); rows are left out by a condition on ``train``."""
     table = literal_table(train.sparkSession, [{**params, "run": i} for i, (params, _) in enumerate(runs)], f"run int, {schema}")
     if isinstance(learner, CountingScorer):
-        kept = F.array_compact(F.array(*[F.when(~drop, F.lit(i)) for i, (_, drop) in enumerate(runs)]))
-        copies = train.withColumn("run", F.explode(kept))
-        many = CountingScorer(learner.keys, learner.label, learner.strength, by=("run",))
-        asked = valid.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(len(runs) - 1))))
-        scores = metrics.classification_metrics(many.fit_score(copies, asked), predicted="cv_pred", by=("run",))
+        scores = metrics.scores_from_counts(learner.count_runs(train, valid, [d for _, d in runs]), ("run",))
     else:
         scores = None
         for i, (_, drop) in enumerate(runs):
             row = evaluate(learner, train.where(~drop), valid)[0].select(F.lit(i).alias("run"), *METRICS)
             row = materialise(row, "run")
             scores = row if scores is None else scores.unionByName(row)
-    sizes = train.agg(F.array(*[F.struct(F.lit(i).alias("run"), F.count_if(drop).alias("rows_removed"), F.count_if(~drop).alias("rows_kept")) for i, (_, drop) in enumerate(runs)]).alias("a"))
-    sizes = sizes.select(F.explode("a").alias("s")).select("s.*")
+    n = F.count("*")
+    removed = [F.count_if(drop) for _, drop in runs]
+    pairs = F.array(*[F.struct(F.lit(i).alias("run"), r.alias("rows_removed"), (n - r).alias("rows_kept")) for i, r in enumerate(removed)])
+    sizes = train.agg(pairs.alias("a")).select(F.explode("a").alias("s")).select("s.*")
     return scores.join(F.broadcast(sizes), "run").join(table, "run").drop("run")
 
 
