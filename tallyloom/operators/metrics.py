@@ -117,7 +117,7 @@ def best_round(best_iteration: Column, cap: int = 1000) -> Column:
 
 def final_rounds(trace: DataFrame, least: int = 100) -> DataFrame:
     """The winning configuration and the number of rounds for the final fit."""
-    best = trace.orderBy(F.desc("mean_weighted_f1"), "learning_rate", "depth").limit(1)
+    best = trace.orderBy(F.round("mean_weighted_f1", 9).desc(), "learning_rate", "depth").limit(1)
     return best.withColumn("iterations", F.greatest(F.col("median_best_iteration"), F.lit(least)))
 
 
@@ -132,14 +132,15 @@ RANKING = ("weighted_f1", "macro_f1", "accuracy")
 
 
 def leaderboard(results: DataFrame, by: tuple[str, ...] = RANKING, ties: tuple[str, ...] = (), limit: int | None = None) -> DataFrame:
-    ordered = results.orderBy(*[F.desc(c) for c in by], *ties)
+    """Best runs first. Scores are ranked to nine digits, so the order of additions cannot decide."""
+    ordered = results.orderBy(*[F.round(F.col(c), 9).desc() for c in by], *ties)
     return ordered if limit is None else ordered.limit(limit)
 
 
 def best_per_method(results: DataFrame, method: str = "method", ties: tuple[str, ...] = ()) -> DataFrame:
     """The best run of each method as one partial aggregate; ``ties`` break equal scores, smallest first."""
     rest = [c for c in results.columns if c not in (method, "weighted_f1", "macro_f1", *ties)]
-    key = F.struct((-F.col("weighted_f1")).alias("w"), (-F.col("macro_f1")).alias("m"), *ties)
+    key = F.struct((-F.round("weighted_f1", 9)).alias("w"), (-F.round("macro_f1", 9)).alias("m"), *ties)
     best = results.groupBy(method).agg(F.min_by(F.struct("weighted_f1", "macro_f1", *ties, *rest), key).alias("b"))
     return best.select(method, "b.*").select(*results.columns)
 

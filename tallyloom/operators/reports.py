@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import fixed
+from tallyloom.operators.metrics import leaderboard
 
 
 def metrics_to_long(record: DataFrame, metrics: list[str], keys: list[str] | None = None) -> DataFrame:
@@ -66,7 +67,7 @@ def compiled_scorecard(runs: list[tuple[str, str, str, DataFrame]]) -> DataFrame
     """The best line of every (run, source, note, results) set, ordered by weighted F1."""
     card = None
     for run, source, note, results in runs:
-        best = results.orderBy(F.desc("weighted_f1"), F.desc("macro_f1"), F.desc("accuracy")).limit(1)
+        best = leaderboard(results, limit=1)
         line = best.select(F.lit(run).alias("run"), F.lit(source).alias("source"), "accuracy", "weighted_f1", "macro_f1", F.lit(note).alias("notes"))
         card = line if card is None else card.unionByName(line)
-    return card.orderBy(F.desc("weighted_f1"), "run")
+    return leaderboard(card, ("weighted_f1",), ("run",))

@@ -95,11 +95,11 @@ def run_capped_filter(train: DataFrame, valid: DataFrame, learner, caps: list[fl
     noise = materialise(noise, "scores")
     drops = removal.cap_removal(noise, "rank_score", caps)
     results = materialise(evaluate_runs(learner, noise, valid, [({"cap_fraction": c}, d) for c, d in zip(caps, drops)], "cap_fraction double"), "caps")
-    best = results.orderBy(F.desc("weighted_f1"), "cap_fraction").first()["cap_fraction"]
+    best = metrics.leaderboard(results, ("weighted_f1",), ("cap_fraction",)).first()["cap_fraction"]
     kept = noise.where(~drops[caps.index(best)]).select(*train.columns)
     labels = sorted(class_counts(valid, "category"))
     report = metrics.per_class_report(evaluate(learner, kept, valid)[1], labels)
-    return results.orderBy(F.desc("weighted_f1"), "cap_fraction"), noise, report
+    return metrics.leaderboard(results, ("weighted_f1",), ("cap_fraction",)), noise, report
 
 
 def review_suspicious(noise: DataFrame, rules=None, n: int = 300, mode: str = "rank") -> tuple[DataFrame, DataFrame]:
@@ -159,9 +159,9 @@ def iterative_clean(
         if not trials:
             history.append({"round": rnd, "applied_corrections": 0, **best, "accepted": False, "target_reached": reached(best), "stop_reason": "no_new_obvious_corrections_any_config"})
             break
-        pick = max(trials, key=lambda t: (t["m"]["weighted_f1"], -t["idx"]))
+        pick = max(trials, key=lambda t: (round(t["m"]["weighted_f1"], 9), -t["idx"]))
         m = pick["m"]
-        accepted = m["weighted_f1"] > best["weighted_f1"] and m["macro_f1"] >= best["macro_f1"]
+        accepted = round(m["weighted_f1"] - best["weighted_f1"], 9) > 0 and round(m["macro_f1"] - best["macro_f1"], 9) >= 0
         history.append(
             {"round": rnd, "config_idx": pick["idx"], "top_n": pick["top_n"], "min_purity": pick["purity"], "applied_corrections": pick["applied"], **m, "accepted": accepted, "target_reached": reached(m)}
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from typing import NamedTuple
 
-SECTIONS = ("prep", "labels", "signals")
+SECTIONS = ("prep", "labels", "signals", "evaluation", "learning")
 
 
 class Registry(NamedTuple):
