@@ -23,7 +23,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.operators.impute import train_median, train_mode
+from tallyloom.operators.impute import train_median, train_modes
 from tallyloom.operators.skew import salted_join
 
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -110,9 +110,10 @@ def _quoted(value: str) -> str:
 def fill_and_scale(train: DataFrame, spec: FeatureSpec) -> SQLTransformer:
     """Stage that fills categories with the mode and numbers with the median, and standardises numbers."""
     parts = ["*"]
+    modes = train_modes(train, list(spec.categories))
     for c in spec.categories:
         # a one-hot column needs a name, so an empty category is shown as one blank
-        parts.append(f"coalesce(if(`{c}` = '', ' ', `{c}`), {_quoted(train_mode(train, c) or ' ')}) AS `{c}_in`")
+        parts.append(f"coalesce(if(`{c}` = '', ' ', `{c}`), {_quoted(modes[c] or ' ')}) AS `{c}_in`")
     if spec.text:
         parts.append(f"coalesce(`{spec.text}`, '') AS `text_in`")
     fills = {c: train_median(train, c) for c in spec.numbers}

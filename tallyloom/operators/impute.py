@@ -14,15 +14,19 @@ def train_median(train: DataFrame, column: str) -> float:
     return 0.0 if value is None else value
 
 
-def train_mode(train: DataFrame, column: str) -> str:
-    """Most frequent non-null value, ties to the smallest; counted per value, then one small minimum."""
-    counts = train.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    best = counts.agg(F.min(F.struct((-F.col("n")).alias("n"), F.col(column).cast("string").alias("v"))).alias("b")).first()["b"]
-    return "Missing" if best is None else best["v"]
+def train_modes(train: DataFrame, columns: list[str]) -> dict[str, str]:
+    """Most frequent non-null value of each column, ties to the smallest; one pass for all columns."""
+    if not columns:
+        return {}
+    long = train.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "v").where("v IS NOT NULL")
+    counts = long.groupBy("column", "v").agg(F.count("*").alias("n"))
+    best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("b"))
+    found = {r["column"]: r["b"]["v"] for r in best.collect()}
+    return {c: found.get(c, "Missing") for c in columns}
 
 
 def imputation_values(train: DataFrame, numeric: list[str], categorical: list[str]) -> dict[str, object]:
-    return {c: train_median(train, c) for c in numeric} | {c: train_mode(train, c) for c in categorical}
+    return {c: train_median(train, c) for c in numeric} | train_modes(train, categorical)
 
 
 def impute(df: DataFrame, values: dict[str, object]) -> DataFrame:

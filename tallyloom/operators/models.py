@@ -10,6 +10,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -82,61 +83,87 @@ class Learner:
         return reduce(DataFrame.unionByName, parts)
 
 
+class Prepared(NamedTuple):
+    """Fitted feature stages, labels, and the training vectors, which several fits may share."""
+
+    features: PipelineModel
+    labels: list[str]
+    data: DataFrame
+
+
 @dataclass(frozen=True)
-class LogisticLearner(Learner):
-    """Multinomial logistic regression minimising C * sum(w * loss) + |coef|^2 / 2."""
+class LinearLearner(Learner):
+    """Shared part of the linear models: features are fitted once per training set."""
 
-    C: float = 2.0
+    C: float = 1.0
     max_iter: int = 100
-    tol: float = 1e-6
 
-    def fit(self, train: DataFrame, weight: str | None = None):
+    def prepare(self, train: DataFrame, weight: str | None = None) -> Prepared:
         labels = label_list(train, label=self.label)
         model = ft.fit_features(train, self.spec)
         data = label_encode(_weighted(train, self.label, self.balanced, weight), labels, self.label)
         data = model.transform(data).select("features", F.col("label_code").cast("double").alias("label_code"), "_w").persist()
-        total = data.agg(F.sum("_w")).first()[0]
-        fitted = LogisticRegression(
+        return Prepared(model, labels, data)
+
+    def fit(self, ready: Prepared) -> list:
+        """Model stages for prepared training vectors."""
+        raise NotImplementedError
+
+    def scores(self, ready: Prepared):
+        """Column with one score per label after the model stages."""
+        raise NotImplementedError
+
+    def apply(self, ready: Prepared, stages: list, rows: DataFrame) -> DataFrame:
+        scored = PipelineModel([*ready.features.stages, *stages]).transform(rows).withColumn("_p", self.scores(ready))
+        return _scored(scored, _kept(rows), ready.labels, self.label, "_p")
+
+    def fit_score(self, train: DataFrame, rows: DataFrame, weight: str | None = None) -> DataFrame:
+        ready = self.prepare(train, weight)
+        stages = self.fit(ready)
+        ready.data.unpersist()
+        return self.apply(ready, stages, rows)
+
+
+@dataclass(frozen=True)
+class LogisticLearner(LinearLearner):
+    """Multinomial logistic regression minimising C * sum(w * loss) + |coef|^2 / 2."""
+
+    C: float = 2.0
+    tol: float = 1e-6
+
+    def fit(self, ready: Prepared) -> list:
+        total = ready.data.agg(F.sum("_w")).first()[0]
+        model = LogisticRegression(
             labelCol="label_code", weightCol="_w", family="multinomial", elasticNetParam=0.0, regParam=1.0 / (self.C * total),
             standardization=False, maxIter=self.max_iter, tol=self.tol,
-        ).fit(data)
-        data.unpersist()
-        return PipelineModel([*model.stages, fitted]), labels
+        )
+        return [model.fit(ready.data)]
 
-    def fit_score(self, train: DataFrame, rows: DataFrame, weight: str | None = None) -> DataFrame:
-        model, labels = self.fit(train, weight)
-        scored = model.transform(rows).withColumn("_p", vector_to_array("probability"))
-        return _scored(scored, _kept(rows), labels, self.label, "_p")
+    def scores(self, ready: Prepared):
+        return vector_to_array("probability")
 
 
 @dataclass(frozen=True)
-class SvmLearner(Learner):
+class SvmLearner(LinearLearner):
     """One-vs-rest linear SVM; ``true_label_prob`` holds the margin of the row's own label.
 
     The class weight applies to a class's own rows, the others count 1.
     """
 
-    C: float = 1.0
-    max_iter: int = 100
     spec: ft.FeatureSpec = ft.ONE_HOT
 
-    def fit_score(self, train: DataFrame, rows: DataFrame, weight: str | None = None) -> DataFrame:
-        labels = label_list(train, label=self.label)
-        model = ft.fit_features(train, self.spec)
-        data = model.transform(_weighted(train, self.label, self.balanced, weight)).select("features", self.label, "_w").persist()
-
+    def fit(self, ready: Prepared) -> list:
         def one(i: int):
-            own = F.col(self.label) == labels[i]
-            binary = data.select("features", own.cast("double").alias("y"), F.when(own, F.col("_w")).otherwise(1.0).alias("bw"))
+            own = F.col("label_code") == i
+            binary = ready.data.select("features", own.cast("double").alias("y"), F.when(own, F.col("_w")).otherwise(1.0).alias("bw"))
             total = binary.agg(F.sum("bw")).first()[0]
             svc = LinearSVC(labelCol="y", weightCol="bw", regParam=1.0 / (self.C * total), standardization=False, maxIter=self.max_iter)
             return svc.fit(binary).setRawPredictionCol(f"_m{i}").setPredictionCol(f"_b{i}")
 
-        fitted = side_by_side([lambda i=i: one(i) for i in range(len(labels))], self.parallelism)
-        data.unpersist()
-        scored = PipelineModel([*model.stages, *fitted]).transform(rows)
-        margins = F.array(*[F.element_at(vector_to_array(f"_m{i}"), 2) for i in range(len(labels))])
-        return _scored(scored.withColumn("_p", margins), _kept(rows), labels, self.label, "_p")
+        return side_by_side([lambda i=i: one(i) for i in range(len(ready.labels))], self.parallelism)
+
+    def scores(self, ready: Prepared):
+        return F.array(*[F.element_at(vector_to_array(f"_m{i}"), 2) for i in range(len(ready.labels))])
 
 
 @dataclass(frozen=True)
@@ -159,15 +186,15 @@ class TreeLearner(Learner):
         """(train, rows) with one vector column of the amount and the label rates."""
         fill = {c: F.coalesce(F.col(c), F.lit("")) for c in self.columns}
         train, rows = train.withColumns(fill), rows.withColumns(fill)
-        folded = stratified_kfold(train, self.label, seed=self.seed)
+        folded = materialise(stratified_kfold(train, self.label, seed=self.seed), "folded")
+        own, asked = folded, rows
         for c in self.columns:
             scorer = CountingScorer(keys=(c,), label=self.label)
-            folded = scorer.out_of_fold_rates(folded, labels, f"te_{c}")
-            rows = scorer.fit_rates(train, rows, labels, f"te_{c}")
+            own = scorer.out_of_fold_rates(folded, labels, f"te_{c}", onto=own)
+            asked = scorer.fit_rates(folded, rows, labels, f"te_{c}", onto=asked)
         amount = F.array(F.coalesce(F.nanvl(F.col(self.number), F.lit(0.0)), F.lit(0.0)))
         vector = array_to_vector(F.concat(amount, *[F.col(f"te_{c}") for c in self.columns])).alias("features")
-        own = folded.select(*train.columns, "fold", vector)
-        return materialise(own, "encoded"), materialise(rows.select(*[c for c in rows.columns if not c.startswith("te_")], vector), "encoded")
+        return materialise(own.select(*folded.columns, vector), "encoded"), materialise(asked.select(*rows.columns, vector), "encoded")
 
     def fit(self, data: DataFrame, labels: list[str]) -> list:
         """One binary model per class on encoded rows that carry ``_w``."""
@@ -222,20 +249,26 @@ class GridResult:
 
 
 def grid_search(train: DataFrame, learner: Learner, grid: list[dict], folds: DataFrame, k: int, fold: str = "fold", parallelism: int = 4) -> GridResult:
-    """Weighted F1 of every setting on every fold; features are fitted inside the fold.
+    """Weighted F1 of every setting on every fold; features are fitted inside the fold, once for all settings.
 
     The best setting has the highest mean, the first listed one on equal means.
     """
     stored = materialise(folds, "folds")
 
-    def one(i: int, f: int):
-        model = replace(learner, **grid[i], parallelism=1)
-        preds = model.fit_score(stored.where(F.col(fold) != f), stored.where(F.col(fold) == f))
-        score = classification_metrics(preds, learner.label, "cv_pred").first()["weighted_f1"]
-        return (i, f, float(score))
-
-    jobs = [lambda i=i, f=f: one(i, f) for i in range(len(grid)) for f in range(k)]
-    runs = train.sparkSession.createDataFrame(side_by_side(jobs, parallelism), "config int, fold int, weighted_f1 double")
+    def one(f: int) -> list[tuple]:
+        own, other = stored.where(F.col(fold) != f), stored.where(F.col(fold) == f)
+        ready = learner.prepare(own) if isinstance(learner, LinearLearner) else None
+        rows = []
+        for i, setting in enumerate(grid):
+            model = replace(learner, **setting, parallelism=1)
+            preds = model.fit_score(own, other) if ready is None else model.apply(ready, model.fit(ready), other)
+            rows.append((i, f, float(classification_metrics(preds, learner.label, "cv_pred").first()["weighted_f1"])))
+        if ready is not None:
+            ready.data.unpersist()
+        return rows
+
+    scores = [row for part in side_by_side([lambda f=f: one(f) for f in range(k)], parallelism) for row in part]
+    runs = train.sparkSession.createDataFrame(scores, "config int, fold int, weighted_f1 double")
     trace = runs.groupBy("config").agg(F.avg("weighted_f1").alias("mean_weighted_f1"), F.stddev_pop("weighted_f1").alias("std_weighted_f1"))
     best = trace.orderBy(F.desc(F.round("mean_weighted_f1", 12)), "config").first()["config"]
     return GridResult(grid[best], runs, trace)

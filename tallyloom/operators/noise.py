@@ -39,10 +39,12 @@ class CountingScorer:
         listed = F.collect_list(F.struct(F.col("n"), F.col(self.label).alias("y")))
         return counts.where("n > 0").groupBy(*groups, *self.keys).agg(listed.alias("cells"), F.sum("n").alias("key_n"))
 
-    def _attach(self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str | None) -> DataFrame:
+    def _attach(
+        self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str | None, counted: DataFrame | None = None
+    ) -> DataFrame:
         """Rows with their key's counts (``cells``, ``key_n``) and their group's shares."""
         on = [*groups, *self.keys]
-        joined = salted_join(rows, key_table, on, spread, "left") if spread else rows.join(key_table, on, "left")
+        joined = salted_join(rows, key_table, on, spread, "left", counted=counted) if spread else rows.join(key_table, on, "left")
         if groups:
             return joined.join(small_table(prior), list(groups), "left")
         one = prior.select(F.struct("prior_best", "prior_n", "total_n").alias("p")).scalar()
@@ -106,23 +108,30 @@ class CountingScorer:
         scored = self._score(asked, self._key_table(counts, (run,)), self._prior(counts, (run,)), (run,), None)
         return scored.groupBy(run, F.col(self.label).alias("actual"), F.col("cv_pred").alias("predicted")).agg(F.sum("asked_n").alias("n"))
 
-    def out_of_fold_rates(self, folded: DataFrame, labels: list[str], out: str, k: int = 5, fold: str = "fold", spread: str = "row_id") -> DataFrame:
-        """Array of smoothed label rates of the row's key over the other folds."""
+    def out_of_fold_rates(
+        self, folded: DataFrame, labels: list[str], out: str, k: int = 5, fold: str = "fold", spread: str = "row_id", onto: DataFrame | None = None
+    ) -> DataFrame:
+        """Array of smoothed label rates of the row's key over the other folds, added to ``onto``."""
+        onto = folded if onto is None else onto
         counts, groups = self._other_folds(folded, k, fold), (*self.by, fold)
-        joined = self._attach(folded, self._key_table(counts, groups), self._prior(counts, groups), groups, spread)
-        return self._rates(joined, folded.columns, labels, out)
+        joined = self._attach(onto, self._key_table(counts, groups), self._prior(counts, groups), groups, spread, folded)
+        return self._rates(joined, onto.columns, labels, out)
 
-    def fit_rates(self, train: DataFrame, rows: DataFrame, labels: list[str], out: str, spread: str = "row_id") -> DataFrame:
+    def fit_rates(
+        self, train: DataFrame, rows: DataFrame, labels: list[str], out: str, spread: str = "row_id", onto: DataFrame | None = None
+    ) -> DataFrame:
+        onto = rows if onto is None else onto
         counts = train.groupBy(*self.by, *self.keys, self.label).agg(F.count("*").alias("n"))
-        joined = self._attach(rows, self._key_table(counts, self.by), self._prior(counts, self.by), self.by, spread)
-        return self._rates(joined, rows.columns, labels, out)
+        joined = self._attach(onto, self._key_table(counts, self.by), self._prior(counts, self.by), self.by, spread, rows)
+        return self._rates(joined, onto.columns, labels, out)
 
 
 def categorical_target_stats(folded: DataFrame, columns: list[str], labels: list[str], label: str = "category", k: int = 5) -> DataFrame:
     """Per categorical column the out-of-fold label rates, as the array ``te_<column>``."""
+    out = folded
     for c in columns:
-        folded = CountingScorer(keys=(c,), label=label).out_of_fold_rates(folded, labels, f"te_{c}", k)
-    return folded
+        out = CountingScorer(keys=(c,), label=label).out_of_fold_rates(folded, labels, f"te_{c}", k, onto=out)
+    return out
 
 
 def repeated_scores(runs: DataFrame, features: list[str], label: str = "category", min_wrong: int = 2, threshold: float = fixed.SUSPICIOUS_PROB) -> DataFrame:

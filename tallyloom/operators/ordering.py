@@ -24,8 +24,8 @@ def with_position(df: DataFrame, *order: Column, partitions: int | None = None)
     the place inside a range, and the ranges' start offsets are one number per partition.
     """
     spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    sizes_fit = [partitions] if partitions else []  # otherwise the adaptive plan picks the number by size
+    ranged = df.repartitionByRange(*sizes_fit, *order).sortWithinPartitions(*order)
     stored = materialise(ranged.withColumn("_mid", F.monotonically_increasing_id()), "ordered")
     stored = stored.withColumn("_part", F.shiftright("_mid", 33))
     sizes = {r["_part"]: r["n"] for r in stored.groupBy("_part").agg(F.count("*").alias("n")).collect()}

@@ -16,12 +16,13 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
     return counts.where(F.col("_n") > F.lit(share) * total.scalar()).drop("_n")
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, how: str = "inner", salts: int = SALTS, counted: DataFrame | None = None) -> DataFrame:
     """Join ``left`` to the smaller ``right``; rows of hot keys are split by a hash of ``spread``.
 
-    Only the hot keys of ``right`` (a bounded set) are repeated, once per salt.
+    Only the hot keys of ``right`` (a bounded set) are repeated, once per salt. ``counted`` is a
+    cheaper table with the same key distribution as ``left``, if there is one.
     """
-    hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(left if counted is None else counted, keys).withColumn("_hot", F.lit(True)))
     salted_left = left.join(hot, keys, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0)).cast("long")
     )

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.split import stratified_split
-from tallyloom.runtime import materialise
+from tallyloom.runtime import materialise, ship_package
 from tallyloom.sources import adapters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,7 +20,12 @@ _stored: dict[tuple[str, str, str], DataFrame] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

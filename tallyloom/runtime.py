@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,19 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application (as ``--py-files`` does)."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        home = Path(__file__).resolve().parent
+        base = Path(tempfile.mkdtemp(prefix="run-", dir="/tmp")) / "tallyloom"
+        spark.sparkContext.addPyFile(shutil.make_archive(str(base), "zip", home.parent, home.name))
+        _shipped.add(app)
+
+
 def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Broadcast ``df`` if it has at most ``max_rows`` rows, otherwise return it without a hint."""
     table = df.limit(max_rows + 1).toArrow()
