@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import hash_order, hash_prefix
 from tallyloom.operators.ranks import locate_ranks
-from tallyloom.runtime import literal_table
+from tallyloom.runtime import literal_table, materialise
 
 PREFIX_DIGITS = 13  # 52 bits: exact as a double
 
@@ -37,18 +37,17 @@ def holdout_quotas(counts: dict[str, int], fraction: float) -> dict[str, int]:
     return quotas
 
 
-def _hash_cuts(df: DataFrame, label: str, quotas: dict[str, int], seed: int, row_id: str) -> list[dict]:
-    """The (hash, row id) of the last row inside each class's quota."""
-    hashed = df.select(F.col(label).alias("_g"), F.col(row_id).alias("_r"), hash_order(F.col(row_id), seed).alias("_h"))
-    hashed = hashed.withColumn("_x", hash_prefix(F.col("_h"), PREFIX_DIGITS))
+def _hash_cuts(narrow: DataFrame, quotas: dict[str, int], seed: int) -> list[dict]:
+    """The (hash, row id) of the last row inside each class's quota; ``narrow`` has _g, _r and _x."""
     wanted = [(c, k) for c, k in sorted(quotas.items()) if k > 0]
     if not wanted:
         return []
-    places = locate_ranks(hashed, F.col("_x"), [(c, k - 1) for c, k in wanted], F.col("_g"))
+    places = locate_ranks(narrow, F.col("_x"), [(c, k - 1) for c, k in wanted], F.col("_g"))
     at = literal_table(
-        df.sparkSession, [{"_g": c, "_at": int(p.value)} for (c, _), p in zip(wanted, places)], "_g string, _at long"
+        narrow.sparkSession, [{"_g": c, "_at": int(p.value)} for (c, _), p in zip(wanted, places)], "_g string, _at long"
     )
-    ties = hashed.join(at, "_g").where(F.col("_x") == F.col("_at")).select("_g", "_h", "_r").collect()
+    tied_rows = narrow.join(at, "_g").where(F.col("_x") == F.col("_at"))
+    ties = tied_rows.select("_g", hash_order(F.col("_r"), seed).alias("_h"), "_r").collect()
     cuts = []
     for (c, k), place in zip(wanted, places):
         tied = sorted((r["_h"], r["_r"]) for r in ties if r["_g"] == c)
@@ -58,9 +57,15 @@ def _hash_cuts(df: DataFrame, label: str, quotas: dict[str, int], seed: int, row
 
 
 def stratified_split(df: DataFrame, label: str = "category", fraction: float = 0.2, seed: int = 42, row_id: str = "row_id") -> DataFrame:
-    """Add ``split`` = ``train`` / ``valid`` with class shares kept; one class only: a plain split."""
-    quotas = holdout_quotas(class_counts(df, label), fraction)
-    cuts = literal_table(df.sparkSession, _hash_cuts(df, label, quotas, seed, row_id), "_g string, _h string, _r long")
+    """Add ``split`` = ``train`` / ``valid`` with class shares kept; one class only: a plain split.
+
+    The search for the cuts reads a written table of (class, id, hash prefix), so ``df`` itself is
+    computed once for that table and once for the result.
+    """
+    prefix = hash_prefix(hash_order(F.col(row_id), seed), PREFIX_DIGITS)
+    narrow = materialise(df.select(F.col(label).alias("_g"), F.col(row_id).alias("_r"), prefix.alias("_x")), "hashed")
+    quotas = holdout_quotas(class_counts(narrow, "_g"), fraction)
+    cuts = literal_table(df.sparkSession, _hash_cuts(narrow, quotas, seed), "_g string, _h string, _r long")
     cuts = cuts.select(F.col("_g").alias(label), F.col("_h").alias("_cut_h"), F.col("_r").alias("_cut_r"))
     h = hash_order(F.col(row_id), seed)
     inside = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (F.col(row_id) <= F.col("_cut_r")))
@@ -99,9 +104,10 @@ def ordered_folds(df: DataFrame, label: str = "category", k: int = 3, row_id: st
     The run lengths are those of dealing the class-sorted rows round-robin, classes taken in order of
     first appearance. Only the row ids at which a run ends are looked up.
     """
+    narrow = materialise(df.select(label, row_id), "ids")
     stats = {
         r[label]: (r["n"], r["first"])
-        for r in df.groupBy(label).agg(F.count("*").alias("n"), F.min(row_id).alias("first")).collect()
+        for r in narrow.groupBy(label).agg(F.count("*").alias("n"), F.min(row_id).alias("first")).collect()
     }
     start, ends = 0, []
     for c in sorted(stats, key=lambda c: stats[c][1]):
@@ -113,7 +119,7 @@ def ordered_folds(df: DataFrame, label: str = "category", k: int = 3, row_id: st
             ends.append((c, f, total))
         start += size
     targets = [(c, total - 1) for c, _, total in ends if total > 0]
-    places = iter(locate_ranks(df, F.col(row_id), targets, F.col(label))) if targets else iter(())
+    places = iter(locate_ranks(narrow, F.col(row_id), targets, F.col(label))) if targets else iter(())
     last: dict[str, list[int]] = {}
     for c, _, total in ends:
         last.setdefault(c, []).append(int(next(places).value) if total > 0 else -(2**63))

@@ -14,7 +14,11 @@ from tallyloom.runtime import materialise
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables. A file that gives fewer tasks than there are cores is spread over them;
+    a table of many files or row groups is left as it is scanned."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
