@@ -183,7 +183,7 @@ class TreeLearner(Learner):
     number: str = "amount"
 
     def encode(self, train: DataFrame, rows: DataFrame, labels: list[str]) -> tuple[DataFrame, DataFrame]:
-        """(train, rows) with one vector column of the amount and the label rates."""
+        """(train, rows) with the label rates of every categorical column, stored."""
         fill = {c: F.coalesce(F.col(c), F.lit("")) for c in self.columns}
         train, rows = train.withColumns(fill), rows.withColumns(fill)
         folded = materialise(stratified_kfold(train, self.label, seed=self.seed), "folded")
@@ -192,14 +192,17 @@ class TreeLearner(Learner):
             scorer = CountingScorer(keys=(c,), label=self.label)
             own = scorer.out_of_fold_rates(folded, labels, f"te_{c}", onto=own)
             asked = scorer.fit_rates(folded, rows, labels, f"te_{c}", onto=asked)
+        return materialise(own, "encoded"), materialise(asked, "encoded")
+
+    def vector(self):
+        """The amount followed by the label rates of this learner's columns."""
         amount = F.array(F.coalesce(F.nanvl(F.col(self.number), F.lit(0.0)), F.lit(0.0)))
-        vector = array_to_vector(F.concat(amount, *[F.col(f"te_{c}") for c in self.columns])).alias("features")
-        return materialise(own.select(*folded.columns, vector), "encoded"), materialise(asked.select(*rows.columns, vector), "encoded")
+        return array_to_vector(F.concat(amount, *[F.col(f"te_{c}") for c in self.columns])).alias("features")
 
     def fit(self, data: DataFrame, labels: list[str]) -> list:
         """One binary model per class on encoded rows that carry ``_w``."""
         held = F.pmod(F.xxhash64("row_id", F.lit(self.seed)), F.lit(1000)) < int(1000 * self.early_stop)
-        data = data.select("features", self.label, "_w", held.alias("held")).persist()
+        data = data.select(self.vector(), self.label, "_w", held.alias("held")).persist()
 
         def one(i: int):
             binary = data.withColumn("y", (F.col(self.label) == labels[i]).cast("double"))
@@ -213,7 +216,7 @@ class TreeLearner(Learner):
         return fitted
 
     def score(self, fitted: list, rows: DataFrame, keep: list[str], labels: list[str]) -> DataFrame:
-        scored = PipelineModel(fitted).transform(rows)
+        scored = PipelineModel(fitted).transform(rows.withColumn("features", self.vector()))
         own = F.array(*[F.element_at(vector_to_array(f"_p{i}"), 2) for i in range(len(labels))])
         total = F.aggregate(F.col("_own"), F.lit(0.0), lambda a, x: a + x)
         scored = scored.withColumn("_own", own).withColumn("_p", F.transform("_own", lambda x: x / total))
@@ -221,8 +224,11 @@ class TreeLearner(Learner):
 
     def fit_score(self, train: DataFrame, rows: DataFrame, weight: str | None = None) -> DataFrame:
         labels = label_list(train, label=self.label)
-        own, others = self.encode(_weighted(train, self.label, self.balanced, weight), rows, labels)
-        return self.score(self.fit(own, labels), others, _kept(rows), labels)
+        own, others = self.encode(train, rows, labels)
+        return self.score(self.fit(self.weighted(own, weight), labels), others, _kept(rows), labels)
+
+    def weighted(self, encoded: DataFrame, weight: str | None = None) -> DataFrame:
+        return _weighted(encoded, self.label, self.balanced, weight)
 
     def importance(self, fitted: list, labels: list[str]) -> list[tuple[str, float]]:
         """Importance per source column in percent, averaged over the classes' models, descending."""
@@ -236,8 +242,8 @@ class TreeLearner(Learner):
 
 def feature_importance(train: DataFrame, learner: TreeLearner) -> DataFrame:
     labels = label_list(train, label=learner.label)
-    own, _ = learner.encode(_weighted(train, learner.label, learner.balanced, None), train.limit(0), labels)
-    rows = learner.importance(learner.fit(own, labels), labels)
+    own, _ = learner.encode(train, train.limit(0), labels)
+    rows = learner.importance(learner.fit(learner.weighted(own), labels), labels)
     return train.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 
 

@@ -37,29 +37,38 @@ def _matching(df: DataFrame, targets: list[dict], by_group: bool) -> DataFrame:
     return df.join(table, same & (df["_x"] >= table["lo"]) & (df["_x"] <= table["hi"]))
 
 
+Bounds = dict[str | None, tuple[float, float, int]]
+
+
+def key_bounds(df: DataFrame, key: Column, group: Column | None = None, groups: list[str] | None = None) -> Bounds:
+    """(smallest, largest, count) of the usable keys per group, in one aggregate."""
+    keys = [] if group is None else [group.cast("string").alias("_g")]
+    data = df.select(key.cast("double").alias("_x"), *keys).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    if group is not None and groups is not None:
+        data = data.where(F.col("_g").isin(groups))
+    rows = data.groupBy(*(["_g"] if keys else [])).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.count("*").alias("n")).collect()
+    return {(r["_g"] if keys else None): (r["lo"], r["hi"], r["n"]) for r in rows if r["n"]}
+
+
 def locate_ranks(
-    df: DataFrame, key: Column, targets: list[tuple[str | None, int]], group: Column | None = None
+    df: DataFrame, key: Column, targets: list[tuple[str | None, int]], group: Column | None = None, bounds: Bounds | None = None
 ) -> list[Located]:
     """For each (group value, 0-based ascending rank) the value there and the counts below and at it.
 
-    Null and NaN keys are ignored. ``targets`` is a short list made by the caller.
+    Null and NaN keys are ignored. ``targets`` is a short list made by the caller. ``bounds`` may be
+    wider than the keys, but its counts must be exact.
     """
     by_group = group is not None
     columns = [key.cast("double").alias("_x")] + ([group.cast("string").alias("_g")] if by_group else [])
     data = df.select(*columns).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    keys = ["_g"] if by_group else []
-    wanted = {t[0] for t in targets}
-    scoped = data.where(F.col("_g").isin(sorted(wanted))) if by_group else data
-    bounds = {
-        (r["_g"] if by_group else None): r
-        for r in scoped.groupBy(*keys).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.count("*").alias("n")).collect()
-    }
+    if bounds is None:
+        bounds = key_bounds(df, key, group, sorted({g for g, _ in targets}) if by_group else None)
     state = []
     for tid, (g, rank) in enumerate(targets):
-        b = bounds.get(g)
-        if b is None or b["n"] == 0 or not 0 <= rank < b["n"]:
+        low, high, n = bounds.get(g, (0.0, 0.0, 0))
+        if not 0 <= rank < n:
             raise ValueError(f"rank {rank} is outside group {g!r}")
-        state.append({"tid": tid, "tg": g if by_group else "*", "lo": b["lo"], "hi": b["hi"], "n": b["n"], "below": 0, "rank": rank})
+        state.append({"tid": tid, "tg": g if by_group else "*", "lo": float(low), "hi": float(high), "n": n, "below": 0, "rank": rank})
 
     while True:
         wide = [s for s in state if s["lo"] < s["hi"] and s["n"] > LEAF_ROWS]
@@ -101,12 +110,12 @@ def locate_ranks(
 
 def exact_quantiles(df: DataFrame, key: Column, shares: list[float]) -> list[float | None]:
     """Linearly interpolated quantiles, as ``percentile`` gives them, for any number of rows."""
-    data = df.select(key.cast("double").alias("q")).where(F.col("q").isNotNull() & ~F.isnan("q"))
-    n = data.count()
-    if n == 0:
+    bounds = key_bounds(df, key)
+    if not bounds:
         return [None] * len(shares)
+    n = bounds[None][2]
     ranks = sorted({r for q in shares for r in (int((n - 1) * q), min(int((n - 1) * q) + 1, n - 1))})
-    at = dict(zip(ranks, locate_ranks(data, F.col("q"), [(None, r) for r in ranks])))
+    at = dict(zip(ranks, locate_ranks(df, key, [(None, r) for r in ranks], bounds=bounds)))
     result = []
     for q in shares:
         place = (n - 1) * q
@@ -128,7 +137,8 @@ def top_cuts(
     narrow = df.select(*columns, (group.cast("string") if by_group else F.lit("*")).alias("_k"))
     wanted = [("*" if g is None else g, k) for g, k in sizes]
     groups = sorted({g for g, k in wanted if k > 0})
-    counts = {r["_k"]: r["n"] for r in narrow.where(F.col("_k").isin(groups)).groupBy("_k").agg(F.count("*").alias("n")).collect()} if groups else {}
+    bounds = key_bounds(narrow, F.col("_s"), F.col("_k"), groups) if groups else {}
+    counts = {g: n for g, (_, _, n) in bounds.items()}
     cuts: list[tuple[float, int] | None] = [None] * len(wanted)
     open_cuts = []
     for i, (g, k) in enumerate(wanted):
@@ -138,7 +148,7 @@ def top_cuts(
             open_cuts.append(i)
     if not open_cuts:
         return cuts
-    places = locate_ranks(narrow, F.col("_s"), [(wanted[i][0], counts[wanted[i][0]] - wanted[i][1]) for i in open_cuts], F.col("_k"))
+    places = locate_ranks(narrow, F.col("_s"), [(wanted[i][0], counts[wanted[i][0]] - wanted[i][1]) for i in open_cuts], F.col("_k"), bounds)
     tied = []
     for i, place in zip(open_cuts, places):
         g, k = wanted[i]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import hash_order, hash_prefix
-from tallyloom.operators.ranks import locate_ranks
+from tallyloom.operators.ranks import key_bounds, locate_ranks
 from tallyloom.runtime import literal_table, materialise
 
 PREFIX_DIGITS = 13  # 52 bits: exact as a double
@@ -37,12 +37,13 @@ def holdout_quotas(counts: dict[str, int], fraction: float) -> dict[str, int]:
     return quotas
 
 
-def _hash_cuts(narrow: DataFrame, quotas: dict[str, int], seed: int) -> list[dict]:
+def _hash_cuts(narrow: DataFrame, counts: dict[str, int], quotas: dict[str, int], seed: int) -> list[dict]:
     """The (hash, row id) of the last row inside each class's quota; ``narrow`` has _g, _r and _x."""
     wanted = [(c, k) for c, k in sorted(quotas.items()) if k > 0]
     if not wanted:
         return []
-    places = locate_ranks(narrow, F.col("_x"), [(c, k - 1) for c, k in wanted], F.col("_g"))
+    bounds = {c: (0.0, float(16**PREFIX_DIGITS), n) for c, n in counts.items()}
+    places = locate_ranks(narrow, F.col("_x"), [(c, k - 1) for c, k in wanted], F.col("_g"), bounds)
     at = literal_table(
         narrow.sparkSession, [{"_g": c, "_at": int(p.value)} for (c, _), p in zip(wanted, places)], "_g string, _at long"
     )
@@ -64,8 +65,8 @@ def stratified_split(df: DataFrame, label: str = "category", fraction: float = 0
     """
     prefix = hash_prefix(hash_order(F.col(row_id), seed), PREFIX_DIGITS)
     narrow = materialise(df.select(F.col(label).alias("_g"), F.col(row_id).alias("_r"), prefix.alias("_x")), "hashed")
-    quotas = holdout_quotas(class_counts(narrow, "_g"), fraction)
-    cuts = literal_table(df.sparkSession, _hash_cuts(narrow, quotas, seed), "_g string, _h string, _r long")
+    counts = class_counts(narrow, "_g")
+    cuts = literal_table(df.sparkSession, _hash_cuts(narrow, counts, holdout_quotas(counts, fraction), seed), "_g string, _h string, _r long")
     cuts = cuts.select(F.col("_g").alias(label), F.col("_h").alias("_cut_h"), F.col("_r").alias("_cut_r"))
     h = hash_order(F.col(row_id), seed)
     inside = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (F.col(row_id) <= F.col("_cut_r")))
@@ -89,7 +90,7 @@ def stratified_kfold(
     starts = cells.withColumn("_start", F.coalesce(F.sum("_n").over(running), F.lit(0))).drop("_n")
     inside = Window.partitionBy(*keys, "_cell").orderBy("_h", row_id)
     place = F.col("_start") + F.row_number().over(inside) - 1
-    return hashed.join(starts, [*keys, "_cell"]).withColumn("fold", F.pmod(place, F.lit(k)).cast("int")).select(*df.columns, "fold")
+    return hashed.join(starts.hint("shuffle_hash"), [*keys, "_cell"]).withColumn("fold", F.pmod(place, F.lit(k)).cast("int")).select(*df.columns, "fold")
 
 
 def repeated_kfold(df: DataFrame, seeds: list[int], label: str = "category", k: int = 5, row_id: str = "row_id") -> DataFrame:
@@ -105,10 +106,8 @@ def ordered_folds(df: DataFrame, label: str = "category", k: int = 3, row_id: st
     first appearance. Only the row ids at which a run ends are looked up.
     """
     narrow = materialise(df.select(label, row_id), "ids")
-    stats = {
-        r[label]: (r["n"], r["first"])
-        for r in narrow.groupBy(label).agg(F.count("*").alias("n"), F.min(row_id).alias("first")).collect()
-    }
+    bounds = key_bounds(narrow, F.col(row_id), F.col(label))
+    stats = {c: (n, first) for c, (first, _, n) in bounds.items()}
     start, ends = 0, []
     for c in sorted(stats, key=lambda c: stats[c][1]):
         size = stats[c][0]
@@ -119,7 +118,7 @@ def ordered_folds(df: DataFrame, label: str = "category", k: int = 3, row_id: st
             ends.append((c, f, total))
         start += size
     targets = [(c, total - 1) for c, _, total in ends if total > 0]
-    places = iter(locate_ranks(narrow, F.col(row_id), targets, F.col(label))) if targets else iter(())
+    places = iter(locate_ranks(narrow, F.col(row_id), targets, F.col(label), bounds)) if targets else iter(())
     last: dict[str, list[int]] = {}
     for c, _, total in ends:
         last.setdefault(c, []).append(int(next(places).value) if total > 0 else -(2**63))

@@ -134,13 +134,13 @@ def tune_trees(train: DataFrame, learner: TreeLearner, grid: list[dict], k: int
     """Tuning trace: fold scores and best rounds of every setting, best first."""
     folds = materialise(stratified_kfold(train, k=k), "folds")
     rows = []
-    for setting in grid:
-        model = replace(learner, **setting)
-        for f in range(k):
-            own, other = folds.where(F.col("fold") != f).drop("fold"), folds.where(F.col("fold") == f).drop("fold")
-            labels = label_list(own, label=learner.label)
-            coded, asked = model.encode(own.withColumn("_w", F.lit(1.0)), other, labels)
-            fitted = model.fit(coded, labels)
+    for f in range(k):
+        own, other = folds.where(F.col("fold") != f).drop("fold"), folds.where(F.col("fold") == f).drop("fold")
+        labels = label_list(own, label=learner.label)
+        coded, asked = learner.encode(own, other, labels)
+        for setting in grid:
+            model = replace(learner, **setting)
+            fitted = model.fit(model.weighted(coded), labels)
             preds = model.score(fitted, asked, other.columns, labels)
             score = metrics.classification_metrics(preds, learner.label, "cv_pred").first()["weighted_f1"]
             rounds = int(max(m.getNumTrees for m in fitted))
@@ -153,17 +153,29 @@ def tune_trees(train: DataFrame, learner: TreeLearner, grid: list[dict], k: int
 def ablation_2x2(
     train: DataFrame, valid: DataFrame, learner: TreeLearner, seeds: list[int] | None = None, cells: dict[str, tuple[bool, bool]] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(nested metrics per cell over seeds, per-class report of the first seed per cell)."""
+    """(nested metrics per cell over seeds, per-class report of the first seed per cell).
+
+    The label rates of a seed are computed once and shared by its cells.
+    """
     seeds = seeds or fixed.ABLATION_SEEDS
     labels = label_list(train, valid)
+    own_labels = label_list(train)
     runs, reports = [], []
-    for cell, (text, weighted) in (cells or CELLS).items():
-        columns = learner.columns if text else tuple(c for c in learner.columns if c != "description")
-        for seed in seeds:
+    for seed in seeds:
+        coded, encode_seconds = timed(lambda seed=seed: replace(learner, seed=seed).encode(train, valid, own_labels))
+        for cell, (text, weighted) in (cells or CELLS).items():
+            columns = learner.columns if text else tuple(c for c in learner.columns if c != "description")
             model = replace(learner, columns=columns, balanced=weighted, seed=seed)
-            preds, seconds = timed(lambda model=model: materialise(evaluate(model, train, valid)[1], "preds"))
+
+            def fit(model=model, coded=coded):
+                fitted = model.fit(model.weighted(coded[0]), own_labels)
+                scored = model.score(fitted, coded[1], valid.columns, own_labels)
+                return materialise(scored.withColumnRenamed("cv_pred", "prediction"), "preds")
+
+            preds, seconds = timed(fit)
             row = metrics.classification_metrics(preds)
-            runs.append(row.select(F.lit(cell).alias("run_name"), F.lit(seed).alias("seed"), *metrics.RANKING, F.lit(seconds).alias("training_time_seconds")))
+            spent = F.lit(seconds + encode_seconds).alias("training_time_seconds")
+            runs.append(row.select(F.lit(cell).alias("run_name"), F.lit(seed).alias("seed"), *metrics.RANKING, spent))
             if seed == seeds[0]:
                 reports.append(metrics.per_class_report(preds, labels).withColumn("run_name", F.lit(cell)))
     table = materialise(metrics.union_results(*runs), "ablation")
