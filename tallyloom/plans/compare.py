@@ -200,7 +200,8 @@ def compare_models(
             model = replace(base, spec=spec, balanced=weighted)
 
             def fit(model=model, grid=grid):
-                best = grid_search(train, model, grid, folds, 3, parallelism=parallelism).best
+                # a grid of one setting leaves nothing to choose
+                best = grid[0] if len(grid) == 1 else grid_search(train, model, grid, folds, 3, parallelism=parallelism).best
                 return materialise(evaluate(replace(model, **best), train, valid)[1], "preds")
 
             preds, seconds = timed(fit)
