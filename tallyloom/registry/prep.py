@@ -56,12 +56,31 @@ WEIGHTS = "SELECT category, round(sum(count(*)) OVER () / (count(*) OVER () * co
 
 @query("read_summary", build(WEIGHTS, "train"))
 def read_summary(spark, sf):
+    return files.stored_class_weights(stored_summary(spark, sf)).select("category", *r6("weight"))
+
+
+def stored_summary(spark, sf):
     rows = prepared(spark, sf)
     features = schema.feature_names(rows.columns)
     summary = prepare.preparation_summary(rows, rows, rows, rows, {"amount": 0.0}, features, 0.2, 42, "shared_baseline")
     path = scratch_path(spark, "summary")
     files.write_summary(summary, path)
-    return files.stored_class_weights(files.read_summary(spark, path, summary.schema)).select("category", *r6("weight"))
+    return files.read_summary(spark, path, summary.schema)
+
+
+DISTRIBUTION = "SELECT split, category, count(*) AS n FROM splitrows GROUP BY ALL UNION ALL SELECT 'full', category, count(*) FROM splitrows GROUP BY ALL"
+
+
+@query("write_summary", build(DISTRIBUTION, "splitrows"))
+def write_summary(spark, sf):
+    splits = stored_summary(spark, sf).select(F.explode("class_distribution").alias("split", "m"))
+    return splits.select("split", F.explode("m").alias("category", "n"))
+
+
+@query("require_columns", build("SELECT row_id, amount, category FROM tx", "tx"))
+def require_columns(spark, sf):
+    needed = ["amount", "transaction_type", "account_name", "category"]
+    return schema.require_columns(adapters.transactions(spark, sf), needed).select("row_id", "amount", "category")
 
 
 @query("write_predictions", build("SELECT row_id, category, prediction FROM preds", "preds"))
@@ -314,7 +333,7 @@ def missing_counts(spark, sf):
 
 @query(
     "class_distribution",
-    build("SELECT split, category, count(*) AS n FROM splitrows GROUP BY ALL UNION ALL SELECT 'full', category, count(*) FROM splitrows GROUP BY ALL", "splitrows"),
+    build(DISTRIBUTION, "splitrows"),
 )
 def class_distribution(spark, sf):
     return impute.class_distribution(prepared(spark, sf))
