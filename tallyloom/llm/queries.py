@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.line_dedup import dedup_lines
+from tallyloom.llm.mixing import mix_sources, word_count
 from tallyloom.llm.quality_rules import judge_quality
-from tallyloom.runtime import ship_package
+from tallyloom.runtime import materialise, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +39,56 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL: the verdict rests on the longest repeat. The base columns are also compared with SQL in tests."""
     judged = judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "quality.*")
+
+
+@query(
+    "op8_source_mixing",
+    r"""
+    WITH sized AS (
+        SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+    ), sums AS (
+        SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS place FROM sized GROUP BY source
+    ), weighed AS (
+        SELECT *, 1 + (place - 1) % 3 AS weight, 3 * source_size / (1 + (place - 1) % 3) AS cut_at FROM sums
+    ), levels AS (
+        SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (ORDER BY cut_at, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cut_at, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed
+    ), targets AS (
+        SELECT source, source_size, least((3 * source_size)::DOUBLE, (weight * max(level) OVER ())::DOUBLE) AS target FROM levels
+    ), drawn AS (
+        SELECT s.doc_id, s.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
+            ('0x' || substr(md5(coalesce(CAST(s.doc_id AS VARCHAR) || ':', '') || '8'), 1, 12))::BIGINT / 281474976710656.0 AS draw
+        FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, size, source_size, target, CAST((floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM drawn
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words are counted once; the mix is planned on the narrow rows."""
+    counted = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("n"))
+    mixed = mix_sources(materialise(counted, "counted"), size="n")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(
+    "op9_line_dedup",
+    r"""
+    WITH split AS (
+        SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+    ), lines AS (
+        SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS place FROM split
+    ), keyed AS (
+        SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+    ), owners AS (
+        SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10 GROUP BY key
+    ), marked AS (
+        SELECT k.doc_id, k.line, k.place, coalesce(o.owner < k.doc_id, FALSE) AS gone FROM keyed k LEFT JOIN owners o ON k.key = o.key
+    )
+    SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
