@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.line_dedup import dedup_lines
 from tallyloom.llm.mixing import mix_sources, word_count
 from tallyloom.llm.quality_rules import judge_quality
@@ -34,6 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_ngram_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: a self-join on shingles is too slow over whole tables. Tests hold it against brute force."""
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL: the verdict rests on the longest repeat. The base columns are also compared with SQL in tests."""

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 4096
 
 #: The white space of the word pattern [^\x20\x09-\x0D]+.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -127,13 +128,13 @@ class Slice:
         return out
 
 
-def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[Slice]:
-    """The texts of a string column in order; null counts as empty."""
-    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
-        yield from _slices(chunk, limit)
+def whole(column: pa.Array) -> Slice:
+    """All texts of an array that is short already; null counts as empty."""
+    return next(slices(column, 1 << 62, len(column)))
 
 
-def _slices(column: pa.Array, limit: int) -> Iterator[Slice]:
+def slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[Slice]:
+    """The texts of a string column in order; null counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
     if not len(column):
         return
@@ -143,6 +144,6 @@ def _slices(column: pa.Array, limit: int) -> Iterator[Slice]:
     at = 0
     while at < len(column):
         stop = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
-        stop = min(max(stop, at + 1), len(column))
+        stop = min(max(stop, at + 1), at + rows, len(column))
         yield Slice(data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at], at)
         at = stop
