@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.line_dedup import dedup_lines
 from tallyloom.llm.mixing import mix_sources, word_count
+from tallyloom.llm.quality_model import fit_quality, held_out, score_quality
 from tallyloom.llm.quality_rules import judge_quality
-from tallyloom.runtime import materialise, ship_package
+from tallyloom.llm.token_files import read_token_files, write_token_files
+from tallyloom.runtime import materialise, scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_quality_classifier")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: a fitted model. Tests hold it against held-out labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query("op3_ngram_jaccard_join")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL: a self-join on shingles is too slow over whole tables. Tests hold it against brute force."""
@@ -99,3 +110,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op10_token_files")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: byte-pair encoding. Tests hold it against the tokenizer on every whole text."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    tokenizer = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer)
+    return read_token_files(spark, path, digest=True)
