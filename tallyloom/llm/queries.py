@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.line_dedup import dedup_lines
 from tallyloom.llm.mixing import mix_sources, word_count
+from tallyloom.llm.pieces import piece_digests
 from tallyloom.llm.quality_model import fit_quality, held_out, score_quality
 from tallyloom.llm.quality_rules import judge_quality
 from tallyloom.llm.token_files import read_token_files, write_token_files
@@ -34,6 +35,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer_file(name: str) -> bytes:
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_bytes()
+
+
+def piece_model() -> bytes:
+    return tokenizer_file("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -59,6 +70,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality.*")
 
 
+@query("op7_sentencepiece")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: piece segmentation. Tests hold it against the library and an exact round trip."""
+    return piece_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model())
+
+
 @query(
     "op8_source_mixing",
     r"""
@@ -115,9 +132,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL: byte-pair encoding. Tests hold it against the tokenizer on every whole text."""
-    import public_tokenizers
-
     path = scratch_path(spark, "token-files")
-    tokenizer = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
-    write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer)
+    write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer_file("byte_bpe_50k.json").decode())
     return read_token_files(spark, path, digest=True)
