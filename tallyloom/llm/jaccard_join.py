@@ -41,9 +41,10 @@ PARTS = 3
 #: The pairs of parts of a partition.
 SUBSETS = ((0, 1), (0, 2), (1, 2))
 HASHINGS = 2
-SKETCH_BITS = 1024
+SKETCH_BITS = 256
 BLOCK = 1024
 BLOOM_BITS = 1 << 23
+SLICE_BYTES = 1 << 20
 
 U = np.uint64
 
@@ -137,12 +138,52 @@ def signatures(row: np.ndarray, keys: np.ndarray, sizes: np.ndarray, bands: Band
     return np.concatenate(found_rows), np.concatenate(found)
 
 
-def parity_sketch(row: np.ndarray, keys: np.ndarray, rows: int) -> np.ndarray:
-    """One bit per hash value, flipped by each element: two sketches differ in no more bits than the sets
-    differ in elements."""
-    bit = (mix(keys + U(BASES[1])) >> U(54)).astype(np.int64)
-    flips = np.bincount(row * SKETCH_BITS + bit, minlength=rows * SKETCH_BITS).astype(np.uint8) & 1
-    return np.packbits(flips.reshape(rows, SKETCH_BITS), axis=1)
+def parity_sketches(row: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """One bit per hash value, flipped by each element, so two sketches differ in no more bits than the sets
+    differ in elements. A sketch has two to four bits per element; halves of one, joined by exclusive or,
+    are the sketch of half the length."""
+    bits = SKETCH_BITS << np.maximum(np.ceil(np.log2(np.maximum(2 * sizes / SKETCH_BITS, 1))), 0).astype(np.int64)
+    starts = np.concatenate([[0], np.cumsum(bits)])
+    bit = (mix(keys + U(BASES[1])) & (bits[row] - 1).astype(U)).astype(np.int64)
+    flips = (np.bincount(starts[row] + bit, minlength=starts[-1]) & 1).astype(np.uint8)
+    packed = np.packbits(flips).tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
+
+
+class Sketches:
+    """The sketches of a column without nulls, by length."""
+
+    def __init__(self, column: pa.Array):
+        values = column.to_pylist()
+        self.lengths = np.array([len(v) for v in values], np.int64)
+        self.place = np.zeros(len(values), np.int64)
+        self.tables: dict[int, np.ndarray] = {}
+        for size in np.unique(self.lengths).tolist():
+            mine = np.flatnonzero(self.lengths == size)
+            self.place[mine] = np.arange(len(mine))
+            self.tables[size] = np.frombuffer(b"".join([values[i] for i in mine.tolist()]), U).reshape(len(mine), size // 8)
+
+    def at(self, which: np.ndarray, size: int) -> np.ndarray:
+        """Sketches folded to ``size`` bytes."""
+        out = np.empty((len(which), size // 8), U)
+        for own in np.unique(self.lengths[which]).tolist():
+            mine = np.flatnonzero(self.lengths[which] == own)
+            found = self.tables[own][self.place[which[mine]]]
+            out[mine] = np.bitwise_xor.reduce(found.reshape(len(mine), own // size, size // 8), axis=1)
+        return out
+
+
+def least_difference(left: Sketches, x: np.ndarray, right: Sketches, y: np.ndarray) -> np.ndarray:
+    """For each pair the number of bits in which its sketches differ."""
+    out = np.zeros(len(x), np.int64)
+    common = np.minimum(left.lengths[x], right.lengths[y])
+    for size in np.unique(common).tolist():
+        mine = np.flatnonzero(common == size)
+        step = max(1, (4 << 20) // size)
+        for lo in range(0, len(mine), step):
+            some = mine[lo : lo + step]
+            out[some] = np.bitwise_count(left.at(x[some], size) ^ right.at(y[some], size)).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _sum_by(row: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
@@ -164,7 +205,7 @@ def set_table(docs: DataFrame, n_gram: int, threshold: int) -> DataFrame:
         seen: set[int] = set()
         for batch in source:
             ids = batch.column(0)
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), SLICE_BYTES):
                 row, keys = shingles(part, n_gram)
                 sizes = np.bincount(row, minlength=part.rows)
                 h, g = _set_hash(row, keys, part.rows)
@@ -184,9 +225,8 @@ def set_table(docs: DataFrame, n_gram: int, threshold: int) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[order].view(np.int64)))
                 sketches: list[bytes | None] = [None] * part.rows
-                table = parity_sketch(own_row, own_keys, len(own_sizes))
-                for i, r in enumerate(np.flatnonzero(new).tolist()):
-                    sketches[r] = table[i].tobytes()
+                for r, sketch in zip(np.flatnonzero(new).tolist(), parity_sketches(own_row, own_keys, own_sizes)):
+                    sketches[r] = sketch
                 rows = ids.slice(part.first_row, part.rows)
                 yield pa.RecordBatch.from_arrays(
                     [rows, pa.array(sizes), pa.array(h), pa.array(g), pa.array(sketches, pa.binary()), lists], names=["doc_id", "n", "h", "g", "sketch", "signatures"]
@@ -239,17 +279,9 @@ def _shared_signatures(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array([int(held_sig)]), pa.array([int(held_h)]), pa.array([pivot])], names=["sig", "h", "pivot"])
 
 
-def _binary(column: pa.Array) -> np.ndarray:
-    """Sketches of a column without nulls as rows of bytes."""
-    joined = b"".join(column.to_pylist())
-    return np.frombuffer(joined, np.uint8).reshape(len(column), SKETCH_BITS // 8).view(U)
-
-
-def _may_link(n1: np.ndarray, n2: np.ndarray, s1: np.ndarray, s2: np.ndarray, threshold: int) -> np.ndarray:
-    """Whether the sketches leave a link open: 100 * both >= threshold * either."""
-    least = np.bitwise_count(s1 ^ s2).sum(axis=1, dtype=np.int64)
-    least = np.maximum(least, np.abs(n1 - n2))
-    return (100 - threshold) * (n1 + n2) >= (100 + threshold) * least
+def _may_link(n1: np.ndarray, n2: np.ndarray, least: np.ndarray, threshold: int) -> np.ndarray:
+    """Whether 100 * both >= threshold * either is open if the sets differ in ``least`` elements or more."""
+    return (100 - threshold) * (n1 + n2) >= (100 + threshold) * np.maximum(least, np.abs(n1 - n2))
 
 
 def sketch_filter(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -261,7 +293,8 @@ def sketch_filter(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFram
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             a, b, na, nb, sa, sb = batch.columns
-            keep = _may_link(np.asarray(na), np.asarray(nb), _binary(sa), _binary(sb), threshold)
+            row = np.arange(batch.num_rows)
+            keep = _may_link(np.asarray(na), np.asarray(nb), least_difference(Sketches(sa), row, Sketches(sb), row), threshold)
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep))
 
     return sized.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(batches, "a long, b long")
@@ -326,7 +359,7 @@ def _text_pairs(a: pa.Array, b: pa.Array) -> Iterator[tuple[Slice, Slice]]:
     lengths = np.asarray(pc.binary_length(a)).astype(np.int64) + np.asarray(pc.binary_length(b))
     at = 0
     while at < len(a):
-        stop = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), 4 << 20, side="right")))
+        stop = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), 2 << 20, side="right")))
         yield whole(a.slice(at, stop - at)), whole(b.slice(at, stop - at))
         at = stop
 
@@ -349,7 +382,7 @@ def _cross_pairs(threshold: int):
     def group_pairs(t: pa.Table) -> pa.RecordBatch:
         key = [np.asarray(t.column(c).combine_chunks()) for c in ("sig", "i", "j", "own", "h", "comp", "n")]
         sig, i, j, own, h, comp, n = key
-        sketch = _binary(t.column("sketch").combine_chunks())
+        sketch = Sketches(t.column("sketch"))
         found = []
         shift, at = 1, np.arange(len(sig))
         while len(at):
@@ -361,10 +394,8 @@ def _cross_pairs(threshold: int):
             a, b = at[cross], to[cross]
             fit = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * threshold
             a, b = a[fit], b[fit]
-            for lo in range(0, len(a), 1 << 16):
-                x, y = a[lo : lo + (1 << 16)], b[lo : lo + (1 << 16)]
-                ok = _may_link(n[x], n[y], sketch[x], sketch[y], threshold)
-                found.append((h[x[ok]], h[y[ok]]))
+            ok = _may_link(n[a], n[b], least_difference(sketch, a, sketch, b), threshold)
+            found.append((h[a[ok]], h[b[ok]]))
             shift += 1
         a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
         b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
