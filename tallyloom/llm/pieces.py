@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.spans import SpanIds
+from tallyloom.llm.spans import SpanIds, span_bytes
 from tallyloom.llm.textbytes import Slice, slices
 
 MARK = "▁"
@@ -178,8 +178,8 @@ class PieceCoder:
             before = word
             yield word, pieces[::-1]
 
-    def _encode(self, spans: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        marked = [s.decode().replace(" ", MARK) for s in spans]
+    def _encode(self, part: Slice, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        marked = [s.decode().replace(" ", MARK) for s in span_bytes(part, starts, ends)]
         found: dict[str, list[int]] = {}
         for word, pieces in self.words(marked):
             ids: list[int] = []
@@ -216,6 +216,18 @@ class PieceCoder:
         return [joined[a + (joined[a : a + 1] == b" " and b > a) : b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
+_coders: dict[bytes, PieceCoder] = {}
+
+
+def piece_coder(model: bytes) -> PieceCoder:
+    """The coder of a model, kept by this worker for its next tasks."""
+    key = sha256(model).digest()
+    if key not in _coders:
+        _coders.clear()
+        _coders[key] = PieceCoder(model)
+    return _coders[key]
+
+
 def marked_texts(column: pa.Array) -> pa.Array:
     """Texts as the model sees them: a mark in the text reads as a blank, and a blank goes in front."""
     texts = pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), MARK, " ")
@@ -237,7 +249,7 @@ def encode_pieces(docs: DataFrame, model: bytes, text: str = "text") -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(shared.value)
+        coder = piece_coder(shared.value)
         for batch in source:
             for part, ids, counts in _encoded(coder, batch.column(batch.schema.get_field_index(text))):
                 rows = batch.slice(part.first_row, part.rows)
@@ -254,7 +266,7 @@ def decode_pieces(encoded: DataFrame, model: bytes, text: str = "text") -> DataF
     shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(shared.value)
+        coder = piece_coder(shared.value)
         for batch in source:
             for lo in range(0, batch.num_rows, 1024):
                 rows = batch.slice(lo, 1024)
@@ -272,7 +284,7 @@ def piece_digests(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: s
     names = [doc_id, "n_ids", "ids_crc32", "decoded_sha256"]
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(shared.value)
+        coder = piece_coder(shared.value)
         for batch in source:
             for part, ids, counts in _encoded(coder, batch.column(1)):
                 raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts)

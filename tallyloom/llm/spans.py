@@ -10,13 +10,13 @@ from tallyloom.llm.textbytes import BASES, Slice
 
 MAX_SPANS = 1 << 20
 
-Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+Encode = Callable[[Slice, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 class SpanIds:
     """Remembers the ids of spans it has met. A span is found by one 64-bit hash and confirmed by another.
 
-    ``encode`` gives the ids of new spans: all ids in turn, and how many each span has. Beyond
+    ``encode`` gets a slice and the places of new spans, and gives all ids in turn and how many each span has. Beyond
     ``MAX_SPANS`` entries the dictionary starts anew; that changes time, not results.
     """
 
@@ -41,8 +41,7 @@ class SpanIds:
         known[known] = self.keys[place[known]] == distinct[known]
         if not known.all():
             new = first[~known]
-            data = part.data.tobytes()
-            ids, counts = self.encode([data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            ids, counts = self.encode(part, starts[new], ends[new])
             if len(self.keys) + len(new) > MAX_SPANS and len(self.keys):
                 self.clear()
                 return self.lookup(part, starts, ends)
@@ -59,8 +58,7 @@ class SpanIds:
         offsets = self.offsets[entry]
         wrong = np.flatnonzero(self.checks[entry] != checks)
         if len(wrong):  # another span of the same hash is known: these few are encoded by themselves
-            data = part.data.tobytes()
-            ids, own = self.encode([data[starts[i] : ends[i]] for i in wrong.tolist()])
+            ids, own = self.encode(part, starts[wrong], ends[wrong])
             counts[wrong] = own
             offsets[wrong] = len(self.ids) + np.concatenate([[0], np.cumsum(own)])[:-1]
             source = np.concatenate([self.ids, ids])
@@ -68,3 +66,8 @@ class SpanIds:
             source = self.ids
         shift = offsets - np.concatenate([[0], np.cumsum(counts)])[:-1]
         return source[np.repeat(shift, counts) + np.arange(counts.sum())], counts
+
+
+def span_bytes(part: Slice, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    data = part.data.tobytes()
+    return [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]

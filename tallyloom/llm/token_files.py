@@ -31,7 +31,7 @@ BLOCK = 512
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 MAGIC = b"S8B1"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes that are joined for one call of the tokenizer.
 CALL_BYTES = 256 << 10
 END_ID = 0
@@ -147,18 +147,47 @@ def unpack(payload: bytes) -> np.ndarray:
     return out[:n]
 
 
-#: Bytes of characters that are surely not white space: printable ASCII, and two-byte characters from U+00C0 on.
-_PRINTABLE = np.zeros(256, bool)
-_PRINTABLE[0x21:0x7F] = True
-_LEAD = np.zeros(256, bool)
-_LEAD[0xC3:0xE0] = True
+def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
+    table = np.zeros(256, bool)
+    for lo, hi in ranges:
+        table[lo : hi + 1] = True
+    return table
+
+
+#: First bytes of characters that are surely not white space: printable ASCII, two-byte characters from U+00C0 on.
+_SOLID = _bytes((0x21, 0x7E), (0xC3, 0xDF))
+_LETTER = _bytes((0x41, 0x5A), (0x61, 0x7A))
+_MARKS = _bytes((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
+
+
+def _break_places(part: Slice) -> np.ndarray:
+    """Places where the byte-level pattern breaks whatever stands around them, within texts:
+    before a single blank between two solid characters, around a single line feed between two, and between
+    a letter and an ASCII mark."""
+    data = np.concatenate([part.data, np.zeros(2, np.uint8)])
+    n = len(part.data)
+    at = np.arange(n)
+    lead = data[:n]
+    two = np.zeros(n, bool)  # last byte of a two-byte character from U+00C0 on
+    two[1:] = _SOLID[lead[:-1]] & (lead[:-1] >= 0x80)
+    solid_end = (_SOLID[lead] & (lead < 0x80)) | two
+    latin = np.zeros(n, bool)
+    latin[1:] = (lead[:-1] == 0xC3) & (lead[1:] != 0x97) & (lead[1:] != 0xB7)
+    letter_end = _LETTER[lead] | latin
+    gap = np.flatnonzero((lead[1:] == 0x20) | (lead[1:] == 0x0A)) + 1
+    gap = gap[solid_end[gap - 1] & _SOLID[data[gap + 1]]]
+    marks = at[1:][_MARKS[lead[1:]] & letter_end[:-1]]
+    edge = np.zeros(n + 2, bool)
+    edge[part.begins] = True
+    gap = gap[~edge[gap] & ~edge[gap + 1]]
+    marks = marks[~edge[marks]]
+    return np.concatenate([gap, gap[lead[gap] == 0x0A] + 1, marks])
 
 
 class ByteBpe:
     """Ids of whole texts by the tokenizers library, which is asked once per distinct piece of text.
 
-    The byte-level pattern always breaks before a single blank between two characters that are not white
-    space, so what stands between such places is encoded by itself.
+    Pieces lie between places where the byte-level pattern always breaks, so each is encoded by itself.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -175,53 +204,64 @@ class ByteBpe:
             self.id_bytes[i] = len(token)  # one character stands for one byte
         self.spans = SpanIds(self._encode)
 
-    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        counts = np.zeros(len(pieces), np.int64)
-        runs: list[tuple[int, int, bytes]] = []
-        at = 0
-        while at < len(pieces):
-            stop, size = at + 1, len(pieces[at])
-            while stop < len(pieces) and size < CALL_BYTES and self._joins(pieces[stop - 1], pieces[stop]):
-                size += len(pieces[stop])
-                stop += 1
-            runs.append((at, stop, b"".join(pieces[at:stop])))
-            at = stop
+    def _encode(self, part: Slice, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of a blank and a solid character at least, with a solid end, stay apart when they are
+        joined; the others are encoded one by one."""
+        data, size = part.data, ends - starts
+        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+        joins = (size > 1) & (data[starts] == 0x20) & _SOLID[data[np.minimum(starts + 1, len(data) - 1)]]
+        joins &= (_SOLID[last] & (last < 0x80)) | (_SOLID[before] & (before >= 0x80))
+        order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
+        n = size[order]
+        raw = data[np.repeat(starts[order] - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())].tobytes()
+        upto = np.cumsum(n)
+        single = int(joins.sum())
+        cuts = [0]
+        while cuts[-1] < single:
+            done = upto[cuts[-1] - 1] if cuts[-1] else 0
+            cuts.append(min(single, max(cuts[-1] + 1, int(np.searchsorted(upto, done + CALL_BYTES)))))
+        cuts += range(single + 1, len(order) + 1)
+        bounds = np.concatenate([[0], upto])[cuts].tolist()
         found = []
-        for lo in range(0, len(runs), 64):
-            some = runs[lo : lo + 64]
-            for (a, b, _), e in zip(some, self.tokenizer.encode_batch([t.decode() for _, _, t in some], add_special_tokens=False)):
-                ids = np.array(e.ids, np.int32)
-                ends = np.cumsum([len(p) for p in pieces[a:b]])
-                upto = np.searchsorted(np.cumsum(self.id_bytes[ids]), ends, side="left") + 1
-                counts[a:b] = np.diff(np.concatenate([[0], upto])) if len(ids) else 0
-                found.append(ids)
-        return np.concatenate(found) if found else np.zeros(0, np.int32), counts
-
-    @staticmethod
-    def _solid_end(piece: bytes) -> bool:
-        return 0x21 <= piece[-1] < 0x7F or (len(piece) > 1 and piece[-1] >= 0x80 and 0xC3 <= piece[-2] < 0xE0)
-
-    def _joins(self, left: bytes, right: bytes) -> bool:
-        return len(right) > 1 and right[0] == 0x20 and (0x21 <= right[1] < 0x7F or 0xC3 <= right[1] < 0xE0) and self._solid_end(left)
+        for lo in range(0, len(cuts) - 1, 64):
+            hi = min(lo + 64, len(cuts) - 1)
+            texts = [raw[bounds[i] : bounds[i + 1]].decode() for i in range(lo, hi)]
+            for e in self.tokenizer.encode_batch(texts, add_special_tokens=False):
+                found.append(np.array(e.ids, np.int32))
+        ids = np.concatenate(found) if found else np.zeros(0, np.int32)
+        tokens = np.searchsorted(np.cumsum(self.id_bytes[ids]), upto, side="left") + 1
+        counts = np.zeros(len(order), np.int64)
+        counts[order] = np.diff(np.concatenate([[0], tokens]))
+        first = np.zeros(len(order), np.int64)
+        first[order] = np.concatenate([[0], tokens])[:-1]
+        return ids[np.repeat(first - np.concatenate([[0], np.cumsum(counts)])[:-1], counts) + np.arange(len(ids))], counts
 
     def encode(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice in turn, and the number of ids of each text."""
-        data = part.data
-        blanks = np.flatnonzero(data == 0x20)
-        blanks = blanks[(blanks > 0) & (blanks < len(data) - 1)]
-        left = _PRINTABLE[data[blanks - 1]] | ((data[blanks - 1] & 0xC0 == 0x80) & _LEAD[data[np.maximum(blanks - 2, 0)]])
-        right = _PRINTABLE[data[blanks + 1]] | _LEAD[data[blanks + 1]]
-        blanks = blanks[left & right]
-        edge = np.zeros(len(data) + 1, bool)
-        edge[part.begins] = True
-        blanks = blanks[~edge[blanks] & ~edge[blanks + 1]]
         filled = np.flatnonzero(np.diff(part.begins))
-        starts = np.sort(np.concatenate([part.begins[:-1][filled], blanks]))
-        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        if not len(filled):
+            return np.zeros(0, np.int32), np.zeros(part.rows, np.int64)
+        cut = np.zeros(len(part.data) + 1, bool)
+        cut[part.begins[:-1][filled]] = True
+        cut[_break_places(part)] = True
+        starts = np.flatnonzero(cut[:-1])
+        ends = np.append(starts[1:], len(part.data))
         ids, counts = self.spans.lookup(part, starts, ends)
         return ids, np.bincount(part.owner(starts), weights=counts, minlength=part.rows).astype(np.int64)
 
 
+_coders: dict[int, ByteBpe] = {}
+
+
+def byte_bpe(tokenizer_json: str) -> ByteBpe:
+    """The coder of a tokenizer, kept by this worker for its next tasks."""
+    key = zlib.crc32(tokenizer_json.encode())
+    if key not in _coders:
+        _coders.clear()
+        _coders[key] = ByteBpe(tokenizer_json)
+    return _coders[key]
+
+
 FILE_COLUMNS = ["part", "place", "doc_ids", "lengths", "payload"]
 
 
@@ -234,7 +274,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_json: str, doc_id: s
     model = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteBpe(model.value)
+        coder = byte_bpe(model.value)
         part_no, place = TaskContext.get().partitionId(), 0
         for batch in source:
             for part in slices(batch.column(1), SLICE_BYTES):
