@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.line_dedup import dedup_lines
+from tallyloom.llm.main_text import extract_text
 from tallyloom.llm.mixing import mix_sources, word_count
 from tallyloom.llm.pieces import piece_digests
 from tallyloom.llm.quality_model import fit_quality, held_out, score_quality
 from tallyloom.llm.quality_rules import judge_quality
+from tallyloom.llm.secrets import KINDS, REACH, scan_secrets, span_text
 from tallyloom.llm.token_files import read_token_files, write_token_files
 from tallyloom.runtime import materialise, scratch_path, ship_package
 
@@ -63,6 +65,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL: a tree of markup. Tests hold it against known articles."""
+    read = extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return read.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL: the verdict rests on the longest repeat. The base columns are also compared with SQL in tests."""
@@ -70,6 +79,56 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality.*")
 
 
+def _secret_sql() -> str:
+    """Positions from the text split at a pattern, then the interval join as a plain self-join."""
+    found, quote = [], "''"
+    for place, k in enumerate(KINDS):
+        p = k.pattern.replace("'", quote)
+        also = "".join(f" AND regexp_matches(m, '{a}')" for a in k.also)
+        found.append(f"""
+        SELECT doc_id, '{k.name}' AS kind, {place} AS place, '{k.part}' AS part, {k.base} AS base, stop - length(m) AS start_, stop AS end_ FROM (
+            SELECT doc_id, m, v, sum(length(b) + length(m)) OVER (PARTITION BY doc_id ORDER BY pos) AS stop FROM (
+                SELECT doc_id, unnest(ms) AS m, unnest(vs) AS v, unnest(bs[1:len(ms)]) AS b, unnest(range(len(ms))) AS pos FROM (
+                    SELECT doc_id, regexp_extract_all(text, '{p}') AS ms, regexp_extract_all(text, '{p}', {k.group}) AS vs, string_split_regex(text, '{p}') AS bs
+                    FROM documents WHERE regexp_matches(text, '{p}')
+                )
+            )
+        ) WHERE length(v) >= {k.least}{also}""")
+    return f"""
+    WITH spans AS ({" UNION ALL ".join(found)}
+    ), judged AS (
+        SELECT w.doc_id, w.kind, w.place, w.part, w.start_, w.end_,
+            bool_or(o.part = 'id' AND NOT (o.start_ < w.end_ AND w.start_ < o.end_)) AS near_id,
+            bool_or(o.part = 'secret' AND NOT (o.start_ < w.end_ AND w.start_ < o.end_)) AS near_secret,
+            bool_or(o.base AND o.start_ < w.end_ AND w.start_ < o.end_) AS covered
+        FROM spans w JOIN spans o ON w.doc_id = o.doc_id AND NOT w.base AND o.start_ - w.end_ <= {REACH} AND w.start_ - o.end_ <= {REACH}
+        GROUP BY ALL
+    ), reported AS (
+        SELECT doc_id, kind, place, base, start_, end_ FROM spans WHERE base
+        UNION ALL
+        SELECT doc_id, kind, place, FALSE, start_, end_ FROM judged
+        WHERE NOT covered AND CASE part WHEN 'id' THEN near_secret WHEN 'secret' THEN near_id ELSE near_id AND near_secret END
+    ), listed AS (
+        SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+            string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, place) FILTER (base) AS base_spans,
+            string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, place) AS spans
+        FROM reported GROUP BY doc_id
+    )
+    SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+        sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(l.spans, '') AS spans
+    FROM documents d LEFT JOIN listed l ON d.doc_id = l.doc_id
+    """
+
+
+@query("op6_secret_scan", _secret_sql())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    counts = [count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secrets")).alias("spans"))
+
+
 @query("op7_sentencepiece")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL: piece segmentation. Tests hold it against the library and an exact round trip."""
