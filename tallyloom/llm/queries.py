@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.embedding_dedup import dedup_embeddings
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.line_dedup import dedup_lines
 from tallyloom.llm.main_text import extract_text
@@ -51,6 +52,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    "op1_embedding_dedup",
+    """
+    WITH RECURSIVE vectors AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    ), usable AS (
+        SELECT * FROM vectors WHERE label IS NOT NULL AND e IS NOT NULL
+            AND list_aggregate(e, 'count') = len(e) AND isfinite(list_dot_product(e, e)) AND list_dot_product(e, e) > 0
+    ), links AS MATERIALIZED (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+    ), reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM vectors
+        UNION
+        SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+    ), component AS (
+        SELECT a, min(b) AS component_id FROM reach GROUP BY a
+    ), counted AS (
+        SELECT a, count(*) AS n FROM links GROUP BY a
+    )
+    SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept
+    FROM vectors v JOIN component c ON v.vec_id = c.a LEFT JOIN counted n ON v.vec_id = n.a
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_quality_classifier")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL: a fitted model. Tests hold it against held-out labels."""
