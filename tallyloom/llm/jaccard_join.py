@@ -14,8 +14,9 @@ take that step, so no link is lost.
 
 Equal sets are one set. Signatures that occur once are dropped while they stream by, sorted. In each of
 the others every member is first compared with one pivot. Members in different components after that
-are compared in blocks of bounded size, by a parity sketch that bounds the difference from below; what
-the sketch leaves open is compared exactly. So no group of copies is expanded into pairs.
+are compared in blocks of bounded size, by a parity sketch that bounds the difference from below. Of the
+pairs that the sketch leaves open, each component's closest is compared exactly, which joins most; what is
+still open in the third round is compared pair by pair. So no group of copies is expanded into pairs.
 """
 
 from __future__ import annotations
@@ -375,15 +376,19 @@ def _linked(a: Slice, b: Slice, n_gram: int, threshold: int) -> np.ndarray:
     return 100 * shared >= threshold * (na + nb - shared)
 
 
-def _cross_pairs(threshold: int):
+OPEN_SCHEMA = "sig long, a long, b long, more boolean"
+
+
+def _cross_pairs(threshold: int, every: bool):
     """Of rows (sig, i, j, own, h, comp, n, sketch) in order of (sig, i, j): pairs within a group that lie
-    in different components and may link. A group holds two blocks at most."""
+    in different components and may link. A group holds two blocks at most. Unless ``every``, a component gives its
+    closest pair in the group only, and ``more`` tells whether the group has others."""
 
     def group_pairs(t: pa.Table) -> pa.RecordBatch:
         key = [np.asarray(t.column(c).combine_chunks()) for c in ("sig", "i", "j", "own", "h", "comp", "n")]
         sig, i, j, own, h, comp, n = key
         sketch = Sketches(t.column("sketch"))
-        found = []
+        left, right, gaps = [], [], []
         shift, at = 1, np.arange(len(sig))
         while len(at):
             at = at[at + shift < len(sig)]
@@ -394,12 +399,29 @@ def _cross_pairs(threshold: int):
             a, b = at[cross], to[cross]
             fit = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * threshold
             a, b = a[fit], b[fit]
-            ok = _may_link(n[a], n[b], least_difference(sketch, a, sketch, b), threshold)
-            found.append((h[a[ok]], h[b[ok]]))
+            least = least_difference(sketch, a, sketch, b)
+            ok = _may_link(n[a], n[b], least, threshold)
+            left.append(a[ok])
+            right.append(b[ok])
+            gaps.append(least[ok] / (n[a[ok]] + n[b[ok]]))
             shift += 1
-        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        a, b, gap = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right, gaps))
+        more = np.zeros(len(a), bool)
+        if not every:
+            new = np.ones(len(sig), bool)
+            new[1:] = (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            group = (np.cumsum(new) - 1)[a]
+            best = np.zeros(len(a), bool)
+            for side in (a, b):
+                order = np.lexsort((h[b], h[a], gap, comp[side], group))
+                head = np.ones(len(order), bool)
+                head[1:] = (group[order][1:] != group[order][:-1]) | (comp[side][order][1:] != comp[side][order][:-1])
+                best[order[head]] = True
+            dropped = np.bincount(group[~best], minlength=int(new.sum())) > 0
+            more = dropped[group][best]
+            a, b = a[best], b[best]
+        ends = [pa.array(np.minimum(h[a], h[b])), pa.array(np.maximum(h[a], h[b]))]
+        return pa.RecordBatch.from_arrays([pa.array(sig[a]), *ends, pa.array(more)], names=["sig", "a", "b", "more"])
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -418,8 +440,8 @@ def _cross_pairs(threshold: int):
     return batches
 
 
-def open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of set hashes that share a signature, lie in different components and may link."""
+def open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, threshold: int, every: bool) -> DataFrame:
+    """(sig, a, b, more): pairs of set hashes that share a signature, lie in different components and may link."""
     placed = members.select("sig", "h").join(comps, "h", "left").withColumn("comp", F.coalesce("comp", "h"))
     placed = materialise(placed, "signature-comps")
     mixed = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi")
@@ -430,7 +452,7 @@ def open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, threshold:
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("other", other).select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "comp", "n", "sketch")
     dealt = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return dealt.mapInArrow(_cross_pairs(threshold), "a long, b long").distinct()
+    return materialise(dealt.mapInArrow(_cross_pairs(threshold, every), OPEN_SCHEMA), "open-pairs")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_gram: int = N_GRAM, threshold: int = THRESHOLD) -> DataFrame:
@@ -466,11 +488,22 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     links = verified(first).unionByName(apart.select(F.explode("reps").alias("a"), F.col("reps")[0].alias("b")))
     comps = components(links)
 
-    by_hash = classes.join(comps, classes["rep"] == comps["id"]).groupBy("h").agg(F.min("component").alias("component"))
-    names = by_hash.groupBy("component").agg(F.min("h").alias("comp"))
-    rest = open_pairs(members, by_hash.join(names, "component").select("h", "comp"), sets, threshold)
-    rest = materialise(rest.join(first, ["a", "b"], "left_anti"), "open-pairs")
-    if not rest.isEmpty():
-        comps = components(links.unionByName(verified(rest)))
+    # A component's closest open pair settles most; signatures with others are looked at again, then whole.
+    tried = first
+    for every in (False, False, True):
+        by_hash = classes.join(comps, classes["rep"] == comps["id"]).groupBy("h").agg(F.min("component").alias("component"))
+        names = by_hash.groupBy("component").agg(F.min("h").alias("comp"))
+        found = open_pairs(members, by_hash.join(names, "component").select("h", "comp"), sets, threshold, every)
+        rest = materialise(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "new-pairs")
+        if not rest.isEmpty():
+            tried = tried.unionByName(rest)
+            new = verified(rest)
+            if not new.isEmpty():
+                links = links.unionByName(new)
+                comps = components(links)
+        members = members.join(found.where("more").select("sig").distinct(), "sig", "left_semi")
+        if every or members.isEmpty():
+            break
+        members = materialise(members, "signature-members")
     found = rows.join(comps.withColumnRenamed("id", "rep"), "rep", "left")
     return found.select(F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
