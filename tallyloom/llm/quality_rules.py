@@ -1,11 +1,11 @@
 """Quality rules: repeated substrings of a text, found with a suffix array over its words.
 
-``min_repeat`` is the shortest repeat that counts. Suffixes whose first ``min_repeat`` words occur
-once in their text cannot take part in one, so the array is built over the others: they are ranked
-by those words, ranks are doubled until no two suffixes share one, and common prefixes of neighbours
-are read off the ranks of each level. Neighbours with a common prefix span a maximal repeat; the
-spans of all of them are united. Many texts are sorted together, the text being part of the rank,
-and a text is never cut, so a task holds one slice of texts (or one long text) at a time.
+``min_repeat`` is the shortest repeat that counts. Texts in which no run of so many words occurs twice
+have none; for the others the array is built: suffixes are ranked by their first word, ranks are doubled
+until no two suffixes share one, and common prefixes of neighbours are read off the ranks of each
+level. Neighbours with a common prefix span a maximal repeat; the spans of all of them are united. Many
+texts are sorted together, the text being part of the rank, and a text is never cut, so a task holds
+one slice of texts (or one long text) at a time.
 """
 
 from __future__ import annotations
@@ -82,47 +82,41 @@ def _cover(n: int, at: np.ndarray, length: np.ndarray | int) -> np.ndarray:
 def suffix_repeats(hashes: np.ndarray, owner: np.ndarray, min_repeat: int) -> tuple[np.ndarray, np.ndarray]:
     """Word places with a repeat of ``min_repeat`` words or more, and the longest one that begins there."""
     at, grams = _grams(hashes, owner, min_repeat)
-    keep = _shared(grams)
-    at, grams = at[keep], grams[keep]
-    n = len(at)
+    texts = np.zeros(int(owner[-1]) + 1 if len(owner) else 0, bool)
+    texts[owner[at[_shared(grams)]]] = True
+    places = np.flatnonzero(texts[owner])
+    n = len(places)
     if not n:
-        return at, np.zeros(0, np.int64)
-    row = np.full(len(hashes) + 1, -1, np.int64)
-    row[at] = np.arange(n)
+        return places, places
+    words, text = hashes[places], owner[places]
 
-    order, rank = _classes(grams)
-    levels, length = [rank], min_repeat
+    order = np.lexsort((words, text))
+    new = np.ones(n, bool)
+    new[1:] = (words[order][1:] != words[order][:-1]) | (text[order][1:] != text[order][:-1])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.cumsum(new) - 1
+    levels, length = [rank], 1
     while rank.max() + 1 < n:
-        ahead = row[np.minimum(at + length, len(hashes))]
-        following = np.where(ahead >= 0, rank[ahead], -1 - np.arange(n))  # what begins no repeat is like nothing else
+        following = np.full(n, -1)  # the end of a text comes before any word
+        inside = np.flatnonzero(text[:-length] == text[length:])
+        following[inside] = rank[inside + length]
         order, rank = _classes(rank, following)
         levels.append(rank)
         length *= 2
 
-    left, right = at[order[:-1]].copy(), at[order[1:]].copy()
-    same_text = owner[left] == owner[right]
+    left, right = order[:-1].copy(), order[1:].copy()
     common = np.zeros(n - 1, np.int64)
-    for level in reversed(range(len(levels))):
-        step = min_repeat << level
-        a, b = row[np.minimum(left, len(hashes))], row[np.minimum(right, len(hashes))]
-        same = (a >= 0) & (b >= 0) & same_text
-        same[same] = levels[level][a[same]] == levels[level][b[same]]
-        common[same] += step
-        left[same] += step
-        right[same] += step
-    alike = common > 0
-    for _ in range(min_repeat - 1):  # the rest is shorter than the smallest rank's words
-        inside = alike & (np.maximum(left, right) < len(hashes))
-        a, b = left[inside], right[inside]
-        alike = np.zeros_like(alike)
-        alike[inside] = (hashes[a] == hashes[b]) & (owner[a] == owner[b])
-        common[alike] += 1
-        left[alike] += 1
-        right[alike] += 1
+    for level in reversed(range(len(levels))):  # suffixes of one text never end together, so equal ranks are whole words
+        inside = np.flatnonzero(np.maximum(left, right) < n)
+        same = inside[(levels[level][left[inside]] == levels[level][right[inside]])]
+        common[same] += 1 << level
+        left[same] += 1 << level
+        right[same] += 1 << level
+    common[common < min_repeat] = 0
     longest = np.zeros(n, np.int64)
     np.maximum.at(longest, order[:-1], common)
     np.maximum.at(longest, order[1:], common)
-    return at, longest
+    return places, longest
 
 
 def _dup_lines(part: Slice) -> np.ndarray:
