@@ -45,7 +45,7 @@ HASHINGS = 2
 SKETCH_BITS = 256
 BLOCK = 1024
 BLOOM_BITS = 1 << 23
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 U = np.uint64
 
@@ -360,7 +360,7 @@ def _text_pairs(a: pa.Array, b: pa.Array) -> Iterator[tuple[Slice, Slice]]:
     lengths = np.asarray(pc.binary_length(a)).astype(np.int64) + np.asarray(pc.binary_length(b))
     at = 0
     while at < len(a):
-        stop = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), 2 << 20, side="right")))
+        stop = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), SLICE_BYTES, side="right")))
         yield whole(a.slice(at, stop - at)), whole(b.slice(at, stop - at))
         at = stop
 

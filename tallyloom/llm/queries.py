@@ -17,8 +17,9 @@ from tallyloom.llm.pieces import piece_digests
 from tallyloom.llm.quality_model import fit_quality, held_out, score_quality
 from tallyloom.llm.quality_rules import judge_quality
 from tallyloom.llm.secrets import KINDS, REACH, scan_secrets, span_text
+from tallyloom.llm.session import prepare
 from tallyloom.llm.token_files import read_token_files, write_token_files
-from tallyloom.runtime import materialise, scratch_path, ship_package
+from tallyloom.runtime import materialise, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +28,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 SLICE_ROWS = 4096
+CAST_ROWS = 1024
 
 #: The white space of the word pattern [^\x20\x09-\x0D]+.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -130,20 +131,26 @@ class Slice:
 
 def whole(column: pa.Array) -> Slice:
     """All texts of an array that is short already; null counts as empty."""
-    return next(slices(column, 1 << 62, len(column)))
+    return next(slices(column, 1 << 62, max(len(column), 1)))
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[Slice]:
     """The texts of a string column in order; null counts as empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    if not len(column):
-        return
+    step = min(rows, max(CAST_ROWS, len(column) if limit > 1 << 40 else 0))
+    for first in range(0, len(column), step):
+        yield from _slices(column.slice(first, step), first, limit)
+
+
+def _slices(column: pa.Array, first: int, limit: int) -> Iterator[Slice]:
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
     at = 0
     while at < len(column):
         stop = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
-        stop = min(max(stop, at + 1), at + rows, len(column))
-        yield Slice(data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at], at)
+        stop = min(max(stop, at + 1), len(column))
+        yield Slice(data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at], first + at)
         at = stop
