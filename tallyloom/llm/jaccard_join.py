@@ -199,45 +199,66 @@ def _set_hash(row: np.ndarray, keys: np.ndarray, rows: int) -> tuple[np.ndarray,
 
 
 def set_table(docs: DataFrame, n_gram: int, threshold: int) -> DataFrame:
-    """(doc_id, n, h, g, sketch, signatures) of each (doc_id, text): size, hash of 128 bits, sketch and
-    signatures of the shingle set; the last two are null where the task has given them for an equal set."""
+    """(doc_id, n, h, g, sketch) of each (doc_id, text): size, hash of 128 bits and sketch of the shingle set. The
+    sketch is null for sets too small to link with another, and where the task has given it for an equal set."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen = _Seen()
         for batch in source:
-            ids = batch.column(0)
             for part in slices(batch.column(1), SLICE_BYTES):
                 row, keys = shingles(part, n_gram)
                 sizes = np.bincount(row, minlength=part.rows)
                 h, g = _set_hash(row, keys, part.rows)
-                bands = Bands(threshold, int(sizes.max(initial=0)))
-                new = np.zeros(part.rows, bool)
-                for r in np.flatnonzero(sizes >= bands.smallest).tolist():
-                    if (key := int(h[r])) not in seen:
-                        seen.add(key)
-                        new[r] = True
-                wanted = new[row]
-                compact = np.cumsum(new) - 1
-                own_row, own_keys, own_sizes = compact[row[wanted]], keys[wanted], sizes[new]
-                at, found = signatures(own_row, own_keys, own_sizes, bands)
-                order = np.argsort(at, kind="stable")
-                counts = np.zeros(part.rows, np.int64)
-                counts[new] = np.bincount(at, minlength=len(own_sizes))
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[order].view(np.int64)))
+                new = seen.new(h, sizes >= Bands(threshold, 0).smallest)
                 sketches: list[bytes | None] = [None] * part.rows
-                for r, sketch in zip(np.flatnonzero(new).tolist(), parity_sketches(own_row, own_keys, own_sizes)):
+                for r, sketch in zip(np.flatnonzero(new).tolist(), parity_sketches(*_compact(row, keys, sizes, new))):
                     sketches[r] = sketch
-                rows = ids.slice(part.first_row, part.rows)
-                yield pa.RecordBatch.from_arrays(
-                    [rows, pa.array(sizes), pa.array(h), pa.array(g), pa.array(sketches, pa.binary()), lists], names=["doc_id", "n", "h", "g", "sketch", "signatures"]
-                )
+                columns = [batch.column(0).slice(part.first_row, part.rows), pa.array(sizes), pa.array(h), pa.array(g), pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=list(kinds))
 
-    kind = docs.schema["doc_id"].dataType
     long = T.LongType()
-    columns = {"doc_id": kind, "n": long, "h": long, "g": long, "sketch": T.BinaryType(), "signatures": T.ArrayType(long)}
-    schema = T.StructType([T.StructField(c, t) for c, t in columns.items()])
-    return docs.select("doc_id", "text").mapInArrow(batches, schema)
+    kinds = {"doc_id": docs.schema["doc_id"].dataType, "n": long, "h": long, "g": long, "sketch": T.BinaryType()}
+    return docs.select("doc_id", "text").mapInArrow(batches, T.StructType([T.StructField(c, t) for c, t in kinds.items()]))
+
+
+def signature_rows(texts: DataFrame, n_gram: int, threshold: int) -> DataFrame:
+    """(sig, h): the signatures of the shingle set of each text; a task gives those of equal sets once."""
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
+        for batch in source:
+            for part in slices(batch.column(0), SLICE_BYTES):
+                row, keys = shingles(part, n_gram)
+                sizes = np.bincount(row, minlength=part.rows)
+                h, _ = _set_hash(row, keys, part.rows)
+                bands = Bands(threshold, int(sizes.max(initial=0)))
+                new = seen.new(h, sizes >= bands.smallest)
+                at, found = signatures(*_compact(row, keys, sizes, new), bands)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(h[new][at])], names=["sig", "h"])
+
+    return texts.mapInArrow(batches, "sig long, h long")
+
+
+class _Seen:
+    """Set hashes that a task has met."""
+
+    def __init__(self):
+        self.hashes: set[int] = set()
+
+    def new(self, h: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Rows that are wanted and the first with their hash."""
+        out = np.zeros(len(h), bool)
+        for r in np.flatnonzero(wanted).tolist():
+            if (key := int(h[r])) not in self.hashes:
+                self.hashes.add(key)
+                out[r] = True
+        return out
+
+
+def _compact(row: np.ndarray, keys: np.ndarray, sizes: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The elements and sizes of the kept rows, numbered from 0."""
+    wanted = kept[row]
+    return (np.cumsum(kept) - 1)[row[wanted]], keys[wanted], sizes[kept]
 
 
 def _shared_signatures(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -444,8 +465,10 @@ def open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, threshold:
     """(sig, a, b, more): pairs of set hashes that share a signature, lie in different components and may link."""
     placed = members.select("sig", "h").join(comps, "h", "left").withColumn("comp", F.coalesce("comp", "h"))
     placed = materialise(placed, "signature-comps")
-    mixed = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi")
-    mixed = materialise(mixed.select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed-signatures")
+    marks = [F.bit_xor(F.xxhash64(F.lit(i), "h")).alias(f"x{i}") for i in range(2)]
+    mixed = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), *marks).where("lo < hi")
+    one = mixed.groupBy("x0", "x1", "size").agg(F.min("sig").alias("sig"))  # signatures of the same members give the same pairs
+    mixed = materialise(one.select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed-signatures")
     own = F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")
     rows = placed.join(mixed, "sig").withColumn("own", own)
     rows = rows.join(sets.select("h", "n", "sketch"), "h")
@@ -468,8 +491,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     table = materialise(set_table(docs, n_gram, threshold), "shingle-sets")
     named = table.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = materialise(named.groupBy("h", "g").agg(F.min("doc_id").alias("rep")), "classes")
-    exploded = named.where(F.col("signatures").isNotNull()).select(F.explode("signatures").alias("sig"), "h")
-    ranged = exploded.repartitionByRange("sig", "h").sortWithinPartitions("sig", "h")
+    rows = signature_rows(docs.where(F.col("doc_id").isNotNull()).select("text"), n_gram, threshold)
+    ranged = rows.repartitionByRange("sig", "h").sortWithinPartitions("sig", "h")
     members = materialise(ranged.mapInArrow(_shared_signatures, "sig long, h long, pivot long"), "signature-members")
     sketched = named.where(F.col("sketch").isNotNull()).select("h", "n", "sketch")
     sets = materialise(sketched.join(members.select("h").distinct(), "h").dropDuplicates(["h"]), "sketches")
