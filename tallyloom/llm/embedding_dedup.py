@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.llm.components import components
+from tallyloom.llm.session import lean
 from tallyloom.llm.textbytes import BASES, mix
 from tallyloom.runtime import materialise
 
@@ -108,7 +109,7 @@ def vector_table(rows: DataFrame, vec_id: str, embedding: str, label: str) -> Da
     names = ["vec_id", *CLASS, "x"]
     source = rows.select(F.col(vec_id).alias("vec_id"), F.col(label).alias("label"), F.col(embedding).cast("array<double>").alias("x"))
     kinds = [source.schema["vec_id"].dataType, source.schema["label"].dataType, T.IntegerType(), T.LongType(), T.LongType(), T.ArrayType(T.DoubleType())]
-    return source.mapInArrow(batches, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
+    return source.mapInArrow(lean(batches), T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
 
 
 def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
@@ -128,7 +129,7 @@ def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
             rows = pa.ListArray.from_arrays(pa.array(np.arange(0, dim * dim + 1, dim, dtype=np.int32)), pa.array(total.ravel()))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(dim, dim, np.int32)), pa.array(np.arange(dim, dtype=np.int32)), rows], ["dim", "row", "sums"])
 
-    parts = vectors.select("dim", "x").mapInArrow(batches, "dim int, row int, sums array<double>")
+    parts = vectors.select("dim", "x").mapInArrow(lean(batches), "dim int, row int, sums array<double>")
     cells = parts.select("dim", "row", F.posexplode("sums")).groupBy("dim", "row", "pos").agg(F.sum("col").alias("total")).toArrow()
     dim, row, pos, total = (np.asarray(cells.column(c)) for c in ("dim", "row", "pos", "total"))
     axes = {}
@@ -260,12 +261,12 @@ def tiles(classes: DataFrame, axes: dict[int, np.ndarray], tile: int = TILE) ->
 
     long, double = T.LongType(), T.DoubleType()
     rows = classes.select(*CLASS, "n", "rep", "x")
-    placed = rows.mapInArrow(keyed, T.StructType([*rows.schema.fields, T.StructField("lead", T.ArrayType(double)), T.StructField("spread", long)]))
+    placed = rows.mapInArrow(lean(keyed), T.StructType([*rows.schema.fields, T.StructField("lead", T.ArrayType(double)), T.StructField("spread", long)]))
     placed = materialise(placed, "vector-classes")
     ordered = placed.repartitionByRange("label", "dim", "spread").sortWithinPartitions("label", "dim", "spread", "h", "g")
     rep = T.ArrayType(rows.schema["rep"].dataType)
     kinds = [long, rows.schema["label"].dataType, T.IntegerType(), *[T.ArrayType(long)] * 3, rep, *[T.ArrayType(double)] * 2, T.BinaryType()]
-    return ordered.mapInArrow(packed, T.StructType([T.StructField(c, k) for c, k in zip(TILE_COLUMNS, kinds)]))
+    return ordered.mapInArrow(lean(packed), T.StructType([T.StructField(c, k) for c, k in zip(TILE_COLUMNS, kinds)]))
 
 
 TILE_COLUMNS = ["tile", "label", "dim", "hs", "gs", "ns", "reps", "low", "high", "data"]
@@ -327,7 +328,7 @@ def compare_tiles(stored: DataFrame, pairs: DataFrame, axes: dict[int, np.ndarra
         count = np.concatenate([links[some].astype(np.int64), np.zeros(len(at), np.int64)])
         return pa.RecordBatch.from_arrays([pa.array(a), b, pa.array(count)], ["a", "b", "links"])
 
-    return rows.mapInArrow(batches, "a long, b long, links long")
+    return rows.mapInArrow(lean(batches), "a long, b long, links long")
 
 
 def dedup_embeddings(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.llm.components import components
+from tallyloom.llm.session import lean
 from tallyloom.llm.textbytes import BASES, Rolling, Slice, mix, slices, whole
 from tallyloom.runtime import materialise
 
@@ -218,7 +219,7 @@ def set_table(docs: DataFrame, n_gram: int, threshold: int) -> DataFrame:
 
     long = T.LongType()
     kinds = {"doc_id": docs.schema["doc_id"].dataType, "n": long, "h": long, "g": long, "sketch": T.BinaryType()}
-    return docs.select("doc_id", "text").mapInArrow(batches, T.StructType([T.StructField(c, t) for c, t in kinds.items()]))
+    return docs.select("doc_id", "text").mapInArrow(lean(batches), T.StructType([T.StructField(c, t) for c, t in kinds.items()]))
 
 
 def signature_rows(texts: DataFrame, n_gram: int, threshold: int) -> DataFrame:
@@ -236,7 +237,7 @@ def signature_rows(texts: DataFrame, n_gram: int, threshold: int) -> DataFrame:
                 at, found = signatures(*_compact(row, keys, sizes, new), bands)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(h[new][at])], names=["sig", "h"])
 
-    return texts.mapInArrow(batches, "sig long, h long")
+    return texts.mapInArrow(lean(batches), "sig long, h long")
 
 
 class _Seen:
@@ -319,7 +320,7 @@ def sketch_filter(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFram
             keep = _may_link(np.asarray(na), np.asarray(nb), least_difference(Sketches(sa), row, Sketches(sb), row), threshold)
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep))
 
-    return sized.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(batches, "a long, b long")
+    return sized.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(lean(batches), "a long, b long")
 
 
 def _bloom(ids: DataFrame) -> np.ndarray:
@@ -353,7 +354,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame, n_gram: int) -> DataFrame:
     place = [F.pmod(F.xxhash64("doc_id", F.lit(i)), F.lit(BLOOM_BITS)) for i in range(2)]
     near = docs.where(F.col("doc_id").isNotNull()).where(maybe(*place)).select(F.col("doc_id").alias("rep"), "text")
     joined = wanted.join(near, "rep").select("h", "rep", "text")
-    return joined.mapInArrow(batches, joined.schema)
+    return joined.mapInArrow(lean(batches), joined.schema)
 
 
 def exact_links(pairs: DataFrame, texts: DataFrame, n_gram: int, threshold: int) -> DataFrame:
@@ -373,7 +374,7 @@ def exact_links(pairs: DataFrame, texts: DataFrame, n_gram: int, threshold: int)
 
     kind = texts.schema["rep"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    return pairs.join(left, "a").join(right, "b").select("ra", "rb", "ta", "tb").mapInArrow(batches, schema)
+    return pairs.join(left, "a").join(right, "b").select("ra", "rb", "ta", "tb").mapInArrow(lean(batches), schema)
 
 
 def _text_pairs(a: pa.Array, b: pa.Array) -> Iterator[tuple[Slice, Slice]]:
@@ -471,11 +472,11 @@ def open_pairs(members: DataFrame, comps: DataFrame, sets: DataFrame, threshold:
     mixed = materialise(one.select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed-signatures")
     own = F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")
     rows = placed.join(mixed, "sig").withColumn("own", own)
-    rows = rows.join(sets.select("h", "n", "sketch"), "h")
+    rows = rows.join(sets.select("h", "n", "sketch").hint("merge"), "h")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("other", other).select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "comp", "n", "sketch")
     dealt = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return materialise(dealt.mapInArrow(_cross_pairs(threshold, every), OPEN_SCHEMA), "open-pairs")
+    return materialise(dealt.mapInArrow(lean(_cross_pairs(threshold, every)), OPEN_SCHEMA), "open-pairs")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_gram: int = N_GRAM, threshold: int = THRESHOLD) -> DataFrame:
@@ -493,7 +494,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = materialise(named.groupBy("h", "g").agg(F.min("doc_id").alias("rep")), "classes")
     rows = signature_rows(docs.where(F.col("doc_id").isNotNull()).select("text"), n_gram, threshold)
     ranged = rows.repartitionByRange("sig", "h").sortWithinPartitions("sig", "h")
-    members = materialise(ranged.mapInArrow(_shared_signatures, "sig long, h long, pivot long"), "signature-members")
+    members = materialise(ranged.mapInArrow(lean(_shared_signatures), "sig long, h long, pivot long"), "signature-members")
     sketched = named.where(F.col("sketch").isNotNull()).select("h", "n", "sketch")
     sets = materialise(sketched.join(members.select("h").distinct(), "h").dropDuplicates(["h"]), "sketches")
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tallyloom.llm.session import lean
+
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe noframes noembed xmp".split())
@@ -37,11 +39,12 @@ ARTICLE = frozenset({"article", "main"})
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 #: Words of class and id that name what is no part of an article.
 HINTS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent "
-    "disqus gdpr login menu modal nav navbar navigation newsletter notice notification pagination pager popup popover promo promotion related "
-    "recommended replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
+    "ad ads adsense adunit adv advert adverts advertisement advertising adbox alert announcement banner breadcrumb breadcrumbs comment comments "
+    "commentlist consent cookie cookies discussion disqus footer gdpr interstitial leaderboard login menu menubar modal nav navbar navigation newsletter "
+    "notice notices notification overlay pagination pager paywall popup popover promo promoted promotion rail reactions related recommended replies reply "
+    "respond responses share sharing sidebar signup skip skyscraper social sponsor sponsored subnav subscribe subscription teaser toolbar topnav widget".split()
 )
-HINTS_OUTSIDE = frozenset("header masthead topbar foot footer bottom legal copyright".split())
+HINTS_OUTSIDE = frozenset("header masthead topbar foot bottom legal copyright disclaimer privacy".split())
 
 TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*(?:>|\Z)|/?[a-zA-Z][^>]*\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -251,4 +254,4 @@ def extract_text(pages: DataFrame, html: str = "html", text: str = "text") -> Da
                 texts = [main_text(h) for h in rows.column(batch.schema.get_field_index(html)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*batch.schema.names, text])
 
-    return pages.mapInArrow(batches, T.StructType([*pages.schema.fields, T.StructField(text, T.StringType())]))
+    return pages.mapInArrow(lean(batches), T.StructType([*pages.schema.fields, T.StructField(text, T.StringType())]))

@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.llm.session import lean
 from tallyloom.llm.spans import SpanIds, span_bytes
 from tallyloom.llm.textbytes import Slice, slices
 
 MARK = "▁"
 SLICE_BYTES = 1 << 20
-MAX_NEIGHBOURS = 1 << 20
+MAX_NEIGHBOURS = 1 << 17
 IDS = "ids"
 
 
@@ -256,7 +257,7 @@ def encode_pieces(docs: DataFrame, model: bytes, text: str = "text") -> DataFram
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*rows.columns, lists], [*batch.schema.names, IDS])
 
-    return docs.mapInArrow(batches, T.StructType([*docs.schema.fields, T.StructField(IDS, T.ArrayType(T.IntegerType()))]))
+    return docs.mapInArrow(lean(batches), T.StructType([*docs.schema.fields, T.StructField(IDS, T.ArrayType(T.IntegerType()))]))
 
 
 def decode_pieces(encoded: DataFrame, model: bytes, text: str = "text") -> DataFrame:
@@ -275,7 +276,7 @@ def decode_pieces(encoded: DataFrame, model: bytes, text: str = "text") -> DataF
                 texts = [t.decode(errors="replace") for t in coder.decode(np.asarray(lists.flatten()), counts)]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*batch.schema.names, text])
 
-    return encoded.mapInArrow(batches, T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
+    return encoded.mapInArrow(lean(batches), T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
 
 
 def piece_digests(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -294,4 +295,4 @@ def piece_digests(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: s
                 yield pa.RecordBatch.from_arrays([rows, pa.array(counts), pa.array(crcs, pa.int64()), pa.array(hashes, pa.string())], names)
 
     kinds = [docs.schema[doc_id].dataType, T.LongType(), T.LongType(), T.StringType()]
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(batches, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
+    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(lean(batches), T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.llm.session import lean
 from tallyloom.llm.textbytes import IS_SEPARATOR, IS_START, Rolling, Slice, mix, slices
 
 MAX_TRAINING_ROWS = 40_000
@@ -216,7 +217,7 @@ def _with_statistics(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first_row, part.rows), lists], names=["doc_id", "x"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("x", T.ArrayType(T.FloatType()))])
-    return docs.select(doc_id, text).mapInArrow(batches, schema)
+    return docs.select(doc_id, text).mapInArrow(lean(batches), schema)
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -250,4 +251,4 @@ def score_quality(docs: DataFrame, model: BoostedTrees, doc_id: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first_row, part.rows), pa.array(scores)], names=["doc_id", "score"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("score", T.DoubleType())])
-    return docs.select(doc_id, text).mapInArrow(batches, schema).withColumnRenamed("doc_id", doc_id)
+    return docs.select(doc_id, text).mapInArrow(lean(batches), schema).withColumnRenamed("doc_id", doc_id)

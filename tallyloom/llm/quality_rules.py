@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.llm.session import lean
 from tallyloom.llm.textbytes import BASES, IS_SEPARATOR, Rolling, Slice, mix, slices
 
 #: Characters that count as symbols.
@@ -177,7 +178,7 @@ def judge_quality(docs: DataFrame, rules: RepetitionRules = RepetitionRules(), t
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], [*batch.schema.names, result])
 
     struct = T.StructType([T.StructField(m, T.LongType()) for m in MEASURES])
-    measured = docs.mapInArrow(batches, T.StructType([*docs.schema.fields, T.StructField(result, struct)]))
+    measured = docs.mapInArrow(lean(batches), T.StructType([*docs.schema.fields, T.StructField(result, struct)]))
     q = lambda name: F.col(f"`{result}`.`{name}`")
     failed = (q("n_words") < rules.min_words) | (100 * q("n_repeat_words") > rules.repeat_words_percent * q("n_words"))
     clean = (100 * q("n_covered_words") <= rules.covered_percent * q("n_words")) & (q("longest_repeat") <= rules.longest_repeat)

@@ -1,16 +1,43 @@
-"""What the queries of this subpackage need of a session."""
+"""What the operators of this subpackage need of a session and of its workers."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 from tallyloom.runtime import ship_package
 
-BATCH_KEY, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+#: Settings that ``prepare`` changes from their defaults, unless the session has its own.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m"),
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": ("false", "true"),
+}
+
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def prepare(spark: SparkSession) -> None:
-    """Ship the package, and bound Arrow batches of whole texts by 8 MB unless the session has its own limit."""
+    """Ship the package, bound Arrow batches of whole texts by 8 MB, and let Spark delete the shuffle files of
+    finished steps, whose results are stored."""
     ship_package(spark)
-    if spark.conf.get(BATCH_KEY, BATCH_DEFAULT) == BATCH_DEFAULT:
-        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+    for key, (default, value) in SETTINGS.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, value)
+
+
+def lean(batches: Batches) -> Batches:
+    """The same function; a worker gives memory it has freed back at the end of a task, since Spark keeps it for later ones."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from batches(source)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run

@@ -8,7 +8,7 @@ import numpy as np
 
 from tallyloom.llm.textbytes import BASES, Slice
 
-MAX_SPANS = 1 << 20
+MAX_SPANS = 1 << 19
 
 Encode = Callable[[Slice, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 

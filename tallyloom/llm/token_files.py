@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.llm.session import lean
 from tallyloom.llm.spans import SpanIds
 from tallyloom.llm.textbytes import Slice, slices
 
@@ -291,7 +292,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_json: str, doc_id: s
     schema = T.StructType([T.StructField(c, k) for c, k in zip(FILE_COLUMNS, kinds)])
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    ordered.mapInArrow(batches, schema).write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
+    ordered.mapInArrow(lean(batches), schema).write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
@@ -327,4 +328,4 @@ def read_token_files(spark: SparkSession, path: str, digest: bool = False) -> Da
 
     names = ["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"]
     kinds = [files.schema["doc_ids"].dataType.elementType, T.LongType(), T.LongType(), T.LongType() if digest else T.ArrayType(T.LongType())]
-    return files.select(*FILE_COLUMNS).mapInArrow(batches, T.StructType([T.StructField(c, k) for c, k in zip(names, kinds)]))
+    return files.select(*FILE_COLUMNS).mapInArrow(lean(batches), T.StructType([T.StructField(c, k) for c, k in zip(names, kinds)]))
