@@ -38,7 +38,19 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` has written, once nothing reads them any more."""
+    for table in tables:
+        path = getattr(table, "_stored_at", None)
+        if path is not None:
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 _shipped: set[str] = set()
