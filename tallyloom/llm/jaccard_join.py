@@ -495,7 +495,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     rows = signature_rows(docs.where(F.col("doc_id").isNotNull()).select("text"), n_gram, threshold)
     ranged = rows.repartitionByRange("sig", "h").sortWithinPartitions("sig", "h")
     members = materialise(ranged.mapInArrow(lean(_shared_signatures), "sig long, h long, pivot long"), "signature-members")
-    sketched = named.where(F.col("sketch").isNotNull()).select("h", "n", "sketch")
+    sketched = table.where(F.col("sketch").isNotNull()).select("h", "n", "sketch")
     sets = materialise(sketched.join(members.select("h").distinct(), "h").dropDuplicates(["h"]), "sketches")
 
     def verified(pairs: DataFrame) -> DataFrame:

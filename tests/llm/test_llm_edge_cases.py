@@ -88,6 +88,14 @@ def test_rows_of_one_id_are_one_document(spark):
     assert {(r["doc_id"], r["component_id"]) for r in jaccard_components(df).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
 
 
+def test_a_copy_without_id_hides_no_link(spark):
+    from tallyloom.llm.jaccard_join import jaccard_components
+
+    text = " ".join(f"w{i}" for i in range(80))
+    df = spark.createDataFrame([(None, text), (2, text), (1, text + " x")], "doc_id long, text string").coalesce(1)
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard_components(df).collect()} == {(None, None), (1, 1), (2, 1)}
+
+
 def test_mixing(docs, none):
     from tallyloom.llm.mixing import emit_copies, mix_sources
 
