@@ -64,3 +64,24 @@ def whittaker_halo(lam: float) -> int:
     """Rows of context beyond which a value's weight is below double precision."""
     decay = 2.0 ** -0.5 * (1.0 / lam) ** 0.25
     return int(math.ceil(40.0 / decay / 16.0)) * 16
+
+
+def kalman_scan(z: np.ndarray, gain: np.ndarray, memory: int) -> np.ndarray:
+    """x[0] = z[0], x[i] = x[i - 1] + gain[i] * (z[i] - x[i - 1]), for many pieces of the signal at once.
+
+    Each piece starts ``memory`` rows early, from the signal itself; by its first own row that start has faded out."""
+    n = len(z)
+    size = max(memory, 256)
+    starts = np.arange(0, n, size)
+    ends = np.minimum(starts + size, n)
+    begins = np.maximum(starts - memory, 0)
+    out, current = np.empty(n), z[begins].astype(float)
+    for step in range(int((ends - begins).max(initial=0))):
+        at = begins + step
+        live = np.flatnonzero(at < ends)
+        if step:
+            p = at[live]
+            current[live] += gain[p] * (z[p] - current[live])
+        own = live[at[live] >= starts[live]]
+        out[at[own]] = current[own]
+    return out

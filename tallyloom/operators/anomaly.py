@@ -14,7 +14,6 @@ from tallyloom.operators.split import class_counts
 from tallyloom.runtime import literal_table, materialise
 
 SAMPLE = 256
-POOL = 4096
 
 
 def _path_norm(n: float) -> float:
@@ -55,7 +54,7 @@ def isolation_forest_by_class(
 ) -> DataFrame:
     """Row ids of the share of each class that is isolated fastest; classes under ``min_rows`` lose none.
 
-    Each tree grows on at most 256 rows drawn by hash. The trees of a class are a bounded table, so
+    Each tree grows on 256 rows drawn by hash from the whole class, or all of a smaller one. The trees of a class are a bounded table, so
     the rows are scored where they are, and the cut per class is found by counting.
     """
     counts = {c: n for c, n in class_counts(embedded, label).items() if n >= min_rows}
@@ -64,11 +63,10 @@ def isolation_forest_by_class(
     sizes = literal_table(embedded.sparkSession, [{label: c, "_n": n} for c, n in counts.items()], f"{label} string, _n long")
     dice = lambda *of: F.pmod(F.xxhash64(*of), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = embedded.select("row_id", label, "embedding").join(sizes, label)
-    drawn = drawn.where(dice(F.col("row_id"), F.lit(seed)) < F.lit(float(POOL)) / F.col("_n"))
-    grown = drawn.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    ticket = dice(F.col("row_id"), F.col("tree"), F.lit(seed))
-    share = F.lit(1.6 * SAMPLE) / F.least(F.col("_n"), F.lit(POOL))
-    grown = grown.withColumn("_t", ticket).where((F.col("_t") < share) | (F.col("_n") <= 2 * SAMPLE))
+    ticket = lambda tree: dice(F.col("row_id"), tree, F.lit(seed))
+    share = F.lit(1.6 * SAMPLE) / F.col("_n")  # more than enough rows of the whole class; the lowest tickets stay
+    hits = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: ticket(tree) < share)
+    grown = drawn.withColumn("tree", F.explode(hits)).withColumn("_t", ticket(F.col("tree")))
     rank = F.row_number().over(Window.partitionBy(label, "tree").orderBy("_t", "row_id"))
     grown = grown.withColumn("_rk", rank).where(F.col("_rk") <= SAMPLE)
 

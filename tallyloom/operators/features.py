@@ -77,7 +77,11 @@ def onehot(train: DataFrame, df: DataFrame, column: str, row_id: str = "row_id")
 
 @dataclass(frozen=True)
 class FeatureSpec:
-    """Which blocks a model sees. ``text=None`` leaves out the text block."""
+    """Which blocks a model sees. ``text=None`` leaves out the text block.
+
+    ``stop`` is a list of stop words, or true for Spark's English list, or false for none. With ``all_terms`` the vocabulary
+    is not a choice of the most frequent terms: more than ``vocab`` of them are an error.
+    """
 
     text: str | None = "description"
     categories: tuple[str, ...] = ("amount_bucket", "transaction_type")
@@ -85,7 +89,8 @@ class FeatureSpec:
     vocab: int = 10_000
     min_df: float = 2.0
     max_df: float = 0.95
-    stop: bool = True
+    all_terms: bool = False
+    stop: bool | tuple[str, ...] = True
 
     def plus(self, *numbers: str) -> FeatureSpec:
         return replace(self, numbers=(*self.numbers, *numbers))
@@ -100,7 +105,7 @@ WIDE = FeatureSpec(categories=("amount_bucket", "transaction_type", "account_nam
 # Feature blocks of the linear SVM modes and of the model comparison.
 ONE_HOT = FeatureSpec(text=None, categories=("description", "transaction_type", "account_name"), numbers=("amount",))
 ONE_HOT_NO_TEXT = FeatureSpec(text=None, categories=("transaction_type", "account_name"), numbers=("amount",))
-TFIDF_ALL = FeatureSpec(categories=("transaction_type", "account_name"), numbers=("amount",), vocab=1 << 18, min_df=1.0, max_df=1.0, stop=False)
+TFIDF_ALL = FeatureSpec(categories=("transaction_type", "account_name"), numbers=("amount",), vocab=1 << 22, min_df=1.0, max_df=1.0, stop=False, all_terms=True)
 
 
 def _quoted(value: str) -> str:
@@ -131,10 +136,12 @@ def text_stages(train: DataFrame, spec: FeatureSpec, column: str = "text_in", ou
     words = RegexTokenizer(inputCol=column, outputCol="words", pattern=WORD, gaps=False)
     stages, last = [words], "words"
     if spec.stop:
-        stages.append(StopWordsRemover(inputCol="words", outputCol="kept", stopWords=stop_words()))
+        stages.append(StopWordsRemover(inputCol="words", outputCol="kept", stopWords=stop_words() if spec.stop is True else list(spec.stop)))
         last = "kept"
     data = PipelineModel(stages).transform(train)
     counter = CountVectorizer(inputCol=last, outputCol="counts", vocabSize=spec.vocab, minDF=spec.min_df, maxDF=spec.max_df).fit(data)
+    if spec.all_terms and len(counter.vocabulary) >= spec.vocab:
+        raise ValueError(f"more than {spec.vocab - 1} terms")
     idf = IDF(inputCol="counts", outputCol="idf").fit(counter.transform(data)).idf.toArray() + 1.0
     weigh = ElementwiseProduct(inputCol="counts", outputCol="weighted", scalingVec=Vectors.dense(idf))
     return [*stages, counter, weigh, Normalizer(inputCol="weighted", outputCol=out, p=2.0)]

@@ -7,6 +7,7 @@ grids run over a handful of classes or settings on the driver and submit their j
 from __future__ import annotations
 
 import time
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -15,7 +16,6 @@ from typing import NamedTuple
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +57,14 @@ def _scored(df: DataFrame, keep: list[str], labels: list[str], label: str, score
     )
 
 
+def _converged(model, max_iter: int):
+    """The model; a warning if the fit ended at its limit of iterations instead of its tolerance."""
+    summary = model.summary() if callable(model.summary) else model.summary
+    if summary.totalIterations >= max_iter:
+        warnings.warn(f"stopped after {max_iter} iterations", RuntimeWarning, stacklevel=2)
+    return model
+
+
 def _kept(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c not in ("cv_pred", "true_label_prob")]
 
@@ -96,7 +104,7 @@ class LinearLearner(Learner):
     """Shared part of the linear models: features are fitted once per training set."""
 
     C: float = 1.0
-    max_iter: int = 100
+    max_iter: int = 5000
 
     def prepare(self, train: DataFrame, weight: str | None = None) -> Prepared:
         labels = label_list(train, label=self.label)
@@ -129,6 +137,7 @@ class LogisticLearner(LinearLearner):
     """Multinomial logistic regression minimising C * sum(w * loss) + |coef|^2 / 2."""
 
     C: float = 2.0
+    max_iter: int = 3000
     tol: float = 1e-6
 
     def fit(self, ready: Prepared) -> list:
@@ -137,7 +146,7 @@ class LogisticLearner(LinearLearner):
             labelCol="label_code", weightCol="_w", family="multinomial", elasticNetParam=0.0, regParam=1.0 / (self.C * total),
             standardization=False, maxIter=self.max_iter, tol=self.tol,
         )
-        return [model.fit(ready.data)]
+        return [_converged(model.fit(ready.data), self.max_iter)]
 
     def scores(self, ready: Prepared):
         return vector_to_array("probability")
@@ -158,7 +167,7 @@ class SvmLearner(LinearLearner):
             binary = ready.data.select("features", own.cast("double").alias("y"), F.when(own, F.col("_w")).otherwise(1.0).alias("bw"))
             total = binary.agg(F.sum("bw")).first()[0]
             svc = LinearSVC(labelCol="y", weightCol="bw", regParam=1.0 / (self.C * total), standardization=False, maxIter=self.max_iter)
-            return svc.fit(binary).setRawPredictionCol(f"_m{i}").setPredictionCol(f"_b{i}")
+            return _converged(svc.fit(binary), self.max_iter).setRawPredictionCol(f"_m{i}").setPredictionCol(f"_b{i}")
 
         return side_by_side([lambda i=i: one(i) for i in range(len(ready.labels))], self.parallelism)
 
@@ -294,4 +303,3 @@ SVM_MODES = {
 }
 SVM_GRID = [{"C": c} for c in fixed.SVM_C_GRID]
 LOGREG_GRID = [{"C": c} for c in fixed.LOGREG_C_GRID]
-TREE_GRID = [{"rate": r, "depth": d} for r in fixed.TREE_RATES for d in fixed.TREE_DEPTHS]

@@ -50,10 +50,14 @@ class CountingScorer:
         one = prior.select(F.struct("prior_best", "prior_n", "total_n").alias("p")).scalar()
         return joined.withColumns({c: one[c] for c in ("prior_best", "prior_n", "total_n")})
 
-    def _prob(self, n: Column, y: Column) -> Column:
+    def _rate(self, n: Column, y: Column) -> Column:
         share = F.coalesce(F.col("prior_n")[y], F.lit(0)) / F.col("total_n")
         strength = F.lit(self.strength)
-        return F.round((n + strength * share) / (F.coalesce("key_n", F.lit(0)) + strength), 9)
+        return (n + strength * share) / (F.coalesce("key_n", F.lit(0)) + strength)
+
+    def _prob(self, n: Column, y: Column) -> Column:
+        """The rate to 9 digits, so that labels of equal counts tie."""
+        return F.round(self._rate(n, y), 9)
 
     @staticmethod
     def _cell(y: Column) -> Column:
@@ -71,7 +75,7 @@ class CountingScorer:
         )
 
     def _rates(self, joined: DataFrame, columns: list[str], labels: list[str], out: str) -> DataFrame:
-        return joined.select(*columns, F.array(*[self._prob(self._cell(F.lit(y)), F.lit(y)) for y in labels]).alias(out))
+        return joined.select(*columns, F.array(*[self._rate(self._cell(F.lit(y)), F.lit(y)) for y in labels]).alias(out))
 
     def _other_folds(self, folded: DataFrame, k: int, fold: str) -> DataFrame:
         """Label counts per key and fold over all other folds, from one aggregate of the rows."""
@@ -88,6 +92,45 @@ class CountingScorer:
         groups = (*self.by, fold)
         return self._score(folded, self._key_table(counts, groups), self._prior(counts, groups), groups, spread)
 
+    def out_of_folds(self, folded: DataFrame, seeds: list[int], k: int = 5, folds: str = "folds", spread: str = "row_id") -> DataFrame:
+        """``folded`` (one fold per seed in the array ``folds``) with ``runs``: (seed, cv_pred, true_label_prob) per seed.
+
+        One aggregate counts all seeds and folds, and one join brings a key's counts to its rows.
+        """
+        places = [(i, f) for i in range(len(seeds)) for f in range(k)]
+        per = F.array(*[F.array(*[F.count_if(F.col(folds)[i] == f) for f in range(k)]) for i in range(len(seeds))])
+        cells = folded.groupBy(*self.keys, self.label).agg(F.count("*").alias("all_n"), per.alias("per"))
+        key_table = cells.groupBy(*self.keys).agg(F.collect_list(F.struct(F.col(self.label).alias("y"), "all_n", "per")).alias("cells"))
+        grid = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f).alias("f")) for i, f in places]))
+        left = F.col("all_n") - F.col("per")[F.col("g.i")][F.col("g.f")]
+        counts = cells.select(self.label, "all_n", "per", grid.alias("g")).select(self.label, "g.i", "g.f", left.alias("n"))
+        prior = self._prior(counts, ("i", "f")).select(F.struct("i", "f").alias("k"), F.struct("prior_best", "prior_n", "total_n").alias("v"))
+        priors = prior.agg(F.map_from_entries(F.collect_list(F.struct("k", "v")))).scalar()
+        joined = salted_join(folded, key_table, list(self.keys), spread, "left").withColumn("_priors", priors)
+        for i in range(len(seeds)):
+            f = F.col(folds)[i]
+            joined = joined.withColumn(f"_c{i}", self._left(i, f)).withColumn(f"_p{i}", F.col("_priors")[F.struct(F.lit(i).alias("i"), f.alias("f"))])
+        runs = F.array(*[self._run(F.lit(s), F.col(f"_c{i}"), F.col(f"_p{i}")) for i, s in enumerate(seeds)])
+        return joined.select(*folded.columns, runs.alias("runs"))
+
+    @staticmethod
+    def _left(i: int, fold: Column) -> Column:
+        """Counts of a row's key over the other folds of seed ``i``."""
+        others = F.transform("cells", lambda c: F.struct(c["y"].alias("y"), (c["all_n"] - c["per"][i][fold]).alias("n")))
+        return F.coalesce(F.filter(others, lambda c: c["n"] > 0), F.array().cast("array<struct<y:string,n:bigint>>"))
+
+    def _run(self, seed: Column, cells: Column, prior: Column) -> Column:
+        strength = F.lit(self.strength)
+        key_n = F.aggregate(cells, F.lit(0).cast("long"), lambda a, c: a + c["n"])
+
+        def prob(n: Column, y: Column) -> Column:
+            share = F.coalesce(prior["prior_n"][y], F.lit(0)) / prior["total_n"]
+            return F.round((n + strength * share) / (key_n + strength), 9)
+
+        best = F.array_min(F.transform(cells, lambda c: F.struct((-prob(c["n"], c["y"])).alias("p"), c["y"].alias("y"))))["y"]
+        own = F.coalesce(F.try_element_at(F.filter(cells, lambda c: c["y"] == F.col(self.label)), F.lit(1))["n"], F.lit(0))
+        return F.struct(seed.alias("seed"), F.coalesce(best, prior["prior_best"]).alias("cv_pred"), prob(own, F.col(self.label)).alias("true_label_prob"))
+
     def fit_score(self, train: DataFrame, rows: DataFrame, weight: str | None = None, spread: str = "row_id") -> DataFrame:
         """Count on ``train`` (or add up its weights), score ``rows``. ``by`` columns separate runs in one job."""
         amount = F.count("*") if weight is None else F.sum(weight)
@@ -146,6 +189,15 @@ def repeated_scores(runs: DataFrame, features: list[str], label: str = "category
     return merged.withColumn("flagged_suspicious", flagged)
 
 
+def combined_runs(scored: DataFrame, label: str = "category", min_wrong: int = 2, threshold: float = fixed.SUSPICIOUS_PROB) -> DataFrame:
+    """As ``repeated_scores``, for rows that carry the ``runs`` of all seeds."""
+    total = F.aggregate("runs", F.lit(0.0), lambda a, r: a + r["true_label_prob"])
+    wrong = F.size(F.filter("runs", lambda r: r["cv_pred"] != F.col(label)))
+    merged = scored.withColumns({"mean_true_label_prob": total / F.size("runs"), "wrong_cv_count": wrong}).drop("runs", "folds")
+    flagged = (F.col("wrong_cv_count") >= min_wrong) & (F.round("mean_true_label_prob", 9) < threshold)
+    return merged.withColumn("flagged_suspicious", flagged)
+
+
 def likely_mislabeled(noise: DataFrame, threshold: float = fixed.MISLABELED_PROB) -> DataFrame:
     return noise.where((F.col("true_label_prob") < threshold) & (F.col("wrong_flag") == 1))
 

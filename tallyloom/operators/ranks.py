@@ -1,40 +1,83 @@
 """Exact order statistics and top-k cuts without sorting or collecting the rows.
 
 ``locate_ranks`` narrows an interval around the wanted rank by counting values per bin. A pass is
-one scan with a map-side aggregate into at most ``bins`` rows per target, so neither a task nor the
-driver ever holds more than that, whatever the distribution or the ties look like.
+one scan with a map-side aggregate. Passes and the last values bring at most ``MOST_ROWS`` rows to the
+driver, shared by the targets, whatever the distribution or the ties look like.
+
+Whole-number keys are compared as 64-bit integers throughout. Floating keys may hold infinities, which
+have bins of their own, and any finite numbers: differences are taken of halves where they would overflow.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from dataclasses import dataclass
+from math import inf, isinf
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.runtime import literal_table
 
-BINS = 1024
+BITS = 10
+MOST_ROWS = 1 << 18
 LEAF_ROWS = 4096
-EVERYTHING = (float("-inf"), -(2**63))
+LARGE = 1e300
+EVERYTHING = (-inf, -(2**63))
 
 
 @dataclass
 class Located:
-    value: float
+    value: float | int
     less: int
     equal: int
 
 
-def _matching(df: DataFrame, targets: list[dict], by_group: bool) -> DataFrame:
-    schema = "tid long, tg string, lo double, hi double"
-    table = literal_table(df.sparkSession, targets, schema)
-    same = (df["_g"] == table["tg"]) if by_group else F.lit(True)
-    if not by_group:
-        df = df.withColumn("_one", F.lit("*"))
-        same = df["_one"] == table["tg"]
-    return df.join(table, same & (df["_x"] >= table["lo"]) & (df["_x"] <= table["hi"]))
+def _whole(df: DataFrame, key: Column) -> bool:
+    return isinstance(df.select(key).schema[0].dataType, T.IntegralType)
+
+
+def _keyed(df: DataFrame, key: Column, group: Column | None) -> DataFrame:
+    """(_x, _g): usable keys and their group; one group if there is none."""
+    whole = _whole(df, key)
+    data = df.select(key.cast("long" if whole else "double").alias("_x"), (F.lit("*") if group is None else group.cast("string")).alias("_g"))
+    usable = F.col("_x").isNotNull() if whole else F.col("_x").isNotNull() & ~F.isnan("_x")
+    return data.where(usable)
+
+
+def _matching(data: DataFrame, targets: list[dict], whole: bool) -> DataFrame:
+    """Rows inside the open interval of each target of their group."""
+    kind = "long" if whole else "double"
+    fields = ["tid", "tg", "lo", "hi", "low", "high", "shift"]
+    rows = [{f: t[f] for f in fields} for t in targets]
+    table = literal_table(data.sparkSession, rows, f"tid long, tg string, lo {kind}, hi {kind}, low {kind}, high {kind}, shift int")
+    return data.join(table, (data["_g"] == table["tg"]) & (data["_x"] >= table["lo"]) & (data["_x"] <= table["hi"]))
+
+
+def _bin(whole: bool, bits: int) -> Column:
+    """Ascending number of a key's bin in its interval; the two ends always lie in different bins."""
+    if whole:  # the ends differ in the bits from ``shift`` on, and in no more than ``bits`` of them
+        return F.expr("shiftright(_x, shift)")
+    half = F.when((F.abs("low") > LARGE) | (F.abs("high") > LARGE), 0.5).otherwise(1.0)
+    share = (F.col("_x") * half - F.col("low") * half) / (F.col("high") * half - F.col("low") * half)
+    inside = F.when(F.col("low") < F.col("high"), F.least(F.lit((1 << bits) - 1), F.floor(share * (1 << bits)))).otherwise(0)
+    return F.when(F.col("_x") == -inf, -1).when(F.col("_x") == inf, 1 << bits).otherwise(inside).cast("long")
+
+
+def _measure(data: DataFrame, targets: list[dict], whole: bool, bits: int) -> None:
+    """Set what bins are measured by: the lowest bit that counts, or the range of the finite keys."""
+    for s in targets:
+        s.update(low=s["lo"], high=s["hi"], shift=0)
+        if whole:
+            differ = 64 if (s["lo"] < 0) != (s["hi"] < 0) else (s["lo"] ^ s["hi"]).bit_length()
+            s["shift"] = max(0, differ - bits)
+    open_ended = [] if whole else [s for s in targets if isinf(s["lo"]) or isinf(s["hi"])]
+    if open_ended:
+        finite = F.when(F.abs("_x") < inf, F.col("_x"))
+        ends = _matching(data, open_ended, whole).groupBy("tid").agg(F.min(finite).alias("low"), F.max(finite).alias("high")).collect()
+        for r in ends:
+            s = next(s for s in open_ended if s["tid"] == r["tid"])
+            s.update(low=0.0 if r["low"] is None else r["low"], high=0.0 if r["high"] is None else r["high"])
 
 
 Bounds = dict[str | None, tuple[float, float, int]]
@@ -42,12 +85,11 @@ Bounds = dict[str | None, tuple[float, float, int]]
 
 def key_bounds(df: DataFrame, key: Column, group: Column | None = None, groups: list[str] | None = None) -> Bounds:
     """(smallest, largest, count) of the usable keys per group, in one aggregate."""
-    keys = [] if group is None else [group.cast("string").alias("_g")]
-    data = df.select(key.cast("double").alias("_x"), *keys).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    data = _keyed(df, key, group)
     if group is not None and groups is not None:
         data = data.where(F.col("_g").isin(groups))
-    rows = data.groupBy(*(["_g"] if keys else [])).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.count("*").alias("n")).collect()
-    return {(r["_g"] if keys else None): (r["lo"], r["hi"], r["n"]) for r in rows if r["n"]}
+    rows = data.groupBy("_g").agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.count("*").alias("n")).collect()
+    return {(None if group is None else r["_g"]): (r["lo"], r["hi"], r["n"]) for r in rows}
 
 
 def locate_ranks(
@@ -55,61 +97,70 @@ def locate_ranks(
 ) -> list[Located]:
     """For each (group value, 0-based ascending rank) the value there and the counts below and at it.
 
-    Null and NaN keys are ignored. ``targets`` is a short list made by the caller. ``bounds`` may be
-    wider than the keys, but its counts must be exact.
+    Null and NaN keys are ignored. ``targets`` is a list made by the caller. ``bounds`` may be wider than the keys, but
+    its counts must be exact. A pass that does not narrow an interval is an error.
     """
-    by_group = group is not None
-    columns = [key.cast("double").alias("_x")] + ([group.cast("string").alias("_g")] if by_group else [])
-    data = df.select(*columns).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    whole = _whole(df, key)
+    data = _keyed(df, key, group)
     if bounds is None:
-        bounds = key_bounds(df, key, group, sorted({g for g, _ in targets}) if by_group else None)
+        bounds = key_bounds(df, key, group, sorted({g for g, _ in targets}) if group is not None else None)
+    bits = max(1, min(BITS, (MOST_ROWS // max(len(targets), 1)).bit_length() - 1))
+    leaf = max(1, min(LEAF_ROWS, MOST_ROWS // max(len(targets), 1)))
+    kind = int if whole else float
     state = []
     for tid, (g, rank) in enumerate(targets):
-        low, high, n = bounds.get(g, (0.0, 0.0, 0))
+        low, high, n = bounds.get(g, (0, 0, 0))
         if not 0 <= rank < n:
             raise ValueError(f"rank {rank} is outside group {g!r}")
-        state.append({"tid": tid, "tg": g if by_group else "*", "lo": float(low), "hi": float(high), "n": n, "below": 0, "rank": rank})
-
-    while True:
-        wide = [s for s in state if s["lo"] < s["hi"] and s["n"] > LEAF_ROWS]
-        if not wide:
-            break
-        share = (F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-        bins = (
-            _matching(data, wide, by_group)
-            .groupBy("tid", F.least(F.lit(BINS - 1), F.floor(share * BINS)).alias("bin"))
+        state.append({"tid": tid, "tg": "*" if group is None else g, "lo": kind(low), "hi": kind(high), "n": n, "below": 0, "rank": rank})
+
+    while wide := [s for s in state if s["lo"] < s["hi"] and s["n"] > leaf]:
+        _measure(data, wide, whole, bits)
+        rows = (
+            _matching(data, wide, whole)
+            .groupBy("tid", _bin(whole, bits).alias("bin"))
             .agg(F.count("*").alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
             .collect()
         )
-        per_target: dict[int, list] = {}
-        for r in bins:
-            per_target.setdefault(r["tid"], []).append(r)
+        bins: dict[int, list] = {}
+        for r in rows:
+            bins.setdefault(r["tid"], []).append(r)
         for s in wide:
-            for r in sorted(per_target[s["tid"]], key=lambda r: r["bin"]):
+            before = (s["lo"], s["hi"], s["n"])
+            for r in sorted(bins[s["tid"]], key=lambda r: r["bin"]):
                 if s["rank"] < s["below"] + r["n"]:
                     s.update(lo=r["lo"], hi=r["hi"], n=r["n"])
                     break
                 s["below"] += r["n"]
+            if before == (s["lo"], s["hi"], s["n"]):
+                raise RuntimeError(f"no progress between {s['lo']} and {s['hi']}")
 
     leaves = [s for s in state if s["lo"] < s["hi"]]
-    values: dict[int, list[float]] = {}
+    values: dict[int, list[tuple]] = {}
     if leaves:
-        for r in _matching(data, leaves, by_group).select("tid", "_x").collect():
-            values.setdefault(r["tid"], []).append(r["_x"])
+        for s in leaves:
+            s.update(low=s["lo"], high=s["hi"], shift=0)
+        for r in _matching(data, leaves, whole).groupBy("tid", "_x").agg(F.count("*").alias("n")).collect():
+            values.setdefault(r["tid"], []).append((r["_x"], r["n"]))
     found = []
     for s in state:
         if s["lo"] == s["hi"]:
             found.append(Located(s["lo"], s["below"], s["n"]))
             continue
-        ordered = sorted(values[s["tid"]])
-        value = ordered[s["rank"] - s["below"]]
-        first = bisect_left(ordered, value)
-        found.append(Located(value, s["below"] + first, ordered.count(value)))
+        less = s["below"]
+        for value, n in sorted(values[s["tid"]]):
+            if s["rank"] < less + n:
+                found.append(Located(value, less, n))
+                break
+            less += n
     return found
 
 
 def exact_quantiles(df: DataFrame, key: Column, shares: list[float]) -> list[float | None]:
-    """Linearly interpolated quantiles, as ``percentile`` gives them, for any number of rows."""
+    """Linearly interpolated quantiles, as ``percentile`` gives them, for any number of rows.
+
+    Between a finite and an infinite value the infinite one counts as soon as the place leaves the finite one.
+    """
     bounds = key_bounds(df, key)
     if not bounds:
         return [None] * len(shares)
@@ -119,8 +170,9 @@ def exact_quantiles(df: DataFrame, key: Column, shares: list[float]) -> list[flo
     result = []
     for q in shares:
         place = (n - 1) * q
-        low, high = at[int(place)].value, at[min(int(place) + 1, n - 1)].value
-        result.append(low + (high - low) * (place - int(place)))
+        low, high = float(at[int(place)].value), float(at[min(int(place) + 1, n - 1)].value)
+        part = place - int(place)
+        result.append(low if low == high or not part else high * part + low * (1 - part) if isinf(low) or isinf(high) or abs(high - low) == inf else low + (high - low) * part)
     return result
 
 

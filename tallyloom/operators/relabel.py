@@ -68,12 +68,6 @@ def keyword_rule_relabel(noise: DataFrame, rules=None, label: str = "category",
     )
 
 
-def rolled_up_rules(rules=None, groups=None) -> list[tuple[str, str]]:
-    """Keyword rules whose targets are replaced by their group."""
-    group_of = dict(groups or fixed.CATEGORY_GROUPS)
-    return [(word, group_of.get(target, target)) for word, target in (rules or fixed.KEYWORD_RULES)]
-
-
 def top_suspicious(noise: DataFrame, n: int = 300, mode: str = "rank", wrong: str = "wrong_flag", rank: str | None = None) -> DataFrame:
     """The n rows with the highest review score; ``compat`` adds the published rank term."""
     rank_col = F.col(rank) if mode == "compat" and rank else None

@@ -74,15 +74,15 @@ def remove_class_aware(train: DataFrame, pool: DataFrame, score: str, share: flo
     return remove_rows(train, pool.where(drop))
 
 
-def quantile_removal(pool: DataFrame, score: str, share: float) -> Column:
-    """Pool rows at or above the pool's own quantile."""
-    cut = exact_quantiles(pool, F.col(score), [share])[0]
-    return F.lit(False) if cut is None else F.col(score) >= F.lit(cut)
+def quantile_removals(pool: DataFrame, score: str, shares: tuple[float, ...]) -> list[Column]:
+    """Per share, pool rows at or above the pool's own quantile; all quantiles are searched together."""
+    cuts = exact_quantiles(pool, F.col(score), list(shares))
+    return [F.lit(False) if cut is None else F.col(score) >= F.lit(cut) for cut in cuts]
 
 
 def error_gating(removed: DataFrame, error: str, share: float) -> DataFrame:
     """Of rows marked for removal, those whose reconstruction error is at or above their quantile."""
-    return removed.where(quantile_removal(removed, error, share))
+    return removed.where(quantile_removals(removed, error, (share,))[0])
 
 
 def recon_error_threshold(train: DataFrame, error: str, share: float = 0.95) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import kernels
 from tallyloom.functions.columns import base_score
 from tallyloom.operators.ordering import BLOCK_ROWS, Ordered, neighbourhood, with_blocks, with_position
-from tallyloom.operators.ranks import exact_quantiles
+from tallyloom.operators.ranks import exact_quantiles, key_bounds, locate_ranks
 from tallyloom.runtime import materialise
 
 
@@ -31,10 +31,6 @@ def scored_signal(noise: DataFrame, flag: str | None = "flagged_suspicious", ord
     return with_position(sig, F.col("row_id").asc())
 
 
-def _centre(offset: int, half: int) -> Column:
-    return F.slice("near", offset + 1, 2 * half + 1)
-
-
 def _weighted(values: Column, weights: list[float]) -> Column:
     products = F.zip_with(values, F.array(*[F.lit(float(w)) for w in weights]), lambda x, w: x * w)
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
@@ -118,11 +114,7 @@ def smooth_kalman(sig: Ordered, q: float = 1e-4, r: float = 1e-2, out: str = "sm
         z, first = block[value].to_numpy(), int(block["pos"].iloc[0])
         steps = np.minimum(np.arange(first, first + len(z)), len(gains)) - 1
         k = gains[np.maximum(steps, 0)]
-        estimate = np.empty(len(z))
-        current = estimate[0] = z[0]
-        for i in range(1, len(z)):
-            current += k[i] * (z[i] - current)
-            estimate[i] = current
+        estimate = kernels.kalman_scan(z, k, memory)
         return block.assign(**{out: estimate})[block["core"]].drop(columns=["block", "core"])
 
     blocks = with_blocks(sig, memory, 0, rows)
@@ -166,8 +158,15 @@ def residual_features(sig: Ordered, window: int = 21, degree: int = 6) -> DataFr
 
 
 def signal_medians(train: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Training medians, used as constants on validation rows."""
-    return {c: exact_quantiles(train, F.col(c), [0.5])[0] for c in columns}
+    """Training medians, used as constants on validation rows. All columns are searched together."""
+    rows = materialise(train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("x")) for c in columns])).alias("v")).select("v.*"), "medians")
+    bounds = key_bounds(rows, F.col("x"), F.col("name"))
+    targets = [(c, r) for c in columns if c in bounds for r in sorted({(bounds[c][2] - 1) // 2, bounds[c][2] // 2})]
+    places = locate_ranks(rows, F.col("x"), targets, F.col("name"), bounds)
+    found: dict[str, list[float]] = {}
+    for (c, _), place in zip(targets, places):
+        found.setdefault(c, []).append(place.value)
+    return {c: found[c][0] + (found[c][-1] - found[c][0]) / 2 if c in found else None for c in columns}
 
 
 def with_constants(valid: DataFrame, values: dict[str, float]) -> DataFrame:
@@ -178,6 +177,10 @@ def residual_injection(sig: Ordered, factor: float = 0.2) -> DataFrame:
     return residual_features(sig).withColumn("resid_injected", F.lit(factor) * F.col("noise_resid")).drop("noise_raw", "noise_smooth", "noise_resid")
 
 
+#: Cells of the row-by-window matrices that local regression holds at a time.
+LOWESS_CELLS = 1 << 21
+
+
 def smooth_lowess(sig: Ordered, span: int, rounds: int = 2, out: str = "smooth", value: str = "x", block_rows: int = 8192) -> DataFrame:
     """Local linear fit with tricube weights over the ``span`` nearest rows, ``rounds`` robust repeats.
 
@@ -195,19 +198,24 @@ def smooth_lowess(sig: Ordered, span: int, rounds: int = 2, out: str = "smooth",
         first = int(block["pos"].iloc[0])
         core = block[block["core"]]
         pos = core["pos"].to_numpy()
-        low = np.clip(pos - half, 0, n - width)
-        at = (low - first)[:, None] + np.arange(width)
-        d = (low[:, None] + np.arange(width) - pos[:, None]).astype(float)
-        u = np.abs(d) / np.maximum(pos - low, low + width - 1 - pos)[:, None]
-        near = np.where(u >= 0.999, 0.0, np.where(u <= 0.001, 1.0, (1 - u**3) ** 3))
-        w, v = near * block["_w"].to_numpy()[at], block[value].to_numpy()[at]
-        total, first_m, second_m = w.sum(1), (w * d).sum(1), (w * d * d).sum(1)
-        level, slope = (w * v).sum(1), (w * d * v).sum(1)
-        det = total * second_m - first_m**2
-        with np.errstate(divide="ignore", invalid="ignore"):
-            line = (second_m * level - first_m * slope) / det
-            flat = level / total
-        fit = np.where(total <= 0, core[value].to_numpy(), np.where(det <= 1e-12 * total * second_m, flat, line))
+        own, weights, values = core[value].to_numpy(), block["_w"].to_numpy(), block[value].to_numpy()
+        fit = np.empty(len(pos))
+        step = max(1, LOWESS_CELLS // width)
+        for lo in range(0, len(pos), step):
+            some = slice(lo, lo + step)
+            low = np.clip(pos[some] - half, 0, n - width)
+            at = (low - first)[:, None] + np.arange(width)
+            d = (low[:, None] + np.arange(width) - pos[some][:, None]).astype(float)
+            u = np.abs(d) / np.maximum(pos[some] - low, low + width - 1 - pos[some])[:, None]
+            near = np.where(u >= 0.999, 0.0, np.where(u <= 0.001, 1.0, (1 - u**3) ** 3))
+            w, v = near * weights[at], values[at]
+            total, first_m, second_m = w.sum(1), (w * d).sum(1), (w * d * d).sum(1)
+            level, slope = (w * v).sum(1), (w * d * v).sum(1)
+            det = total * second_m - first_m**2
+            with np.errstate(divide="ignore", invalid="ignore"):
+                line = (second_m * level - first_m * slope) / det
+                flat = level / total
+            fit[some] = np.where(total <= 0, own[some], np.where(det <= 1e-12 * total * second_m, flat, line))
         return core.assign(**{out: fit}).drop(columns=["block", "core"])
 
     current = sig.df.withColumn("_w", F.lit(1.0))

@@ -16,7 +16,7 @@ from tallyloom.functions.columns import hash_order, hash_prefix
 from tallyloom.operators.ranks import key_bounds, locate_ranks
 from tallyloom.runtime import literal_table, materialise
 
-PREFIX_DIGITS = 13  # 52 bits: exact as a double
+PREFIX_DIGITS = 13
 
 
 def class_counts(df: DataFrame, label: str, limit: int = 10_000) -> dict[str, int]:
@@ -42,7 +42,7 @@ def _hash_cuts(narrow: DataFrame, counts: dict[str, int], quotas: dict[str, int]
     wanted = [(c, k) for c, k in sorted(quotas.items()) if k > 0]
     if not wanted:
         return []
-    bounds = {c: (0.0, float(16**PREFIX_DIGITS), n) for c, n in counts.items()}
+    bounds = {c: (0, 16**PREFIX_DIGITS, n) for c, n in counts.items()}
     places = locate_ranks(narrow, F.col("_x"), [(c, k - 1) for c, k in wanted], F.col("_g"), bounds)
     at = literal_table(
         narrow.sparkSession, [{"_g": c, "_at": int(p.value)} for (c, _), p in zip(wanted, places)], "_g string, _at long"
@@ -99,6 +99,14 @@ def repeated_kfold(df: DataFrame, seeds: list[int], label: str = "category", k:
     return stratified_kfold(copies, label, k, row_id=row_id, by=("seed",))
 
 
+def folds_by_seed(df: DataFrame, seeds: list[int], label: str = "category", k: int = 5, row_id: str = "row_id") -> DataFrame:
+    """Add ``folds``: the row's fold for each seed, in the order of ``seeds``. Only (row id, label) is repeated per seed."""
+    long = repeated_kfold(df.select(row_id, label), seeds, label, k, row_id)
+    place = F.array_position(F.array(*[F.lit(s) for s in seeds]), F.col("seed"))
+    rows = long.groupBy(row_id).agg(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("i"), "fold"))), lambda x: x["fold"]).alias("folds"))
+    return df.join(rows, row_id)
+
+
 def ordered_folds(df: DataFrame, label: str = "category", k: int = 3, row_id: str = "row_id") -> DataFrame:
     """Unshuffled stratified folds: every class is cut into k runs in row order.
 

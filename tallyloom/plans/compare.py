@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tallyloom import fixed
 from tallyloom.functions import columns as fx
 from tallyloom.operators import anomaly, features as ft, metrics, removal, smoothing as sm
-from tallyloom.operators.models import LOGREG_GRID, SVM_GRID, LogisticLearner, SvmLearner, TreeLearner, grid_search, timed
-from tallyloom.operators.noise import align_noise, candidate_pool
+from tallyloom.operators.models import LOGREG_GRID, SVM_GRID, LinearLearner, LogisticLearner, SvmLearner, TreeLearner, grid_search, timed
+from tallyloom.operators.noise import CountingScorer, align_noise, candidate_pool
+from tallyloom.operators.ranks import exact_quantiles
 from tallyloom.operators.schema import label_list
 from tallyloom.operators.split import class_counts, ordered_folds, stratified_kfold
 from tallyloom.plans.workflows import evaluate
@@ -25,10 +26,10 @@ class Results:
         self.learner, self.valid, self.rows = learner, valid, []
 
     def add(self, method: str, train: DataFrame, removed=0, valid: DataFrame | None = None, weight: str | None = None, extra: tuple[str, ...] = ()):
-        learner = self.learner
-        if extra and isinstance(learner, LogisticLearner):
-            learner = replace(learner, spec=learner.spec.plus(*extra))
-        scores, _ = evaluate(learner, train, self.valid if valid is None else valid, weight)
+        learner, valid = self.learner, self.valid if valid is None else valid
+        if extra:
+            learner, train, valid = with_numbers(learner, train, valid, extra)
+        scores, _ = evaluate(learner, train, valid, weight)
         row = scores.select(F.lit(method).alias("method"), F.lit(removed).cast("long").alias("rows_removed"), *metrics.RANKING)
         self.rows.append(materialise(row, "result"))
 
@@ -36,6 +37,27 @@ class Results:
         return metrics.leaderboard(metrics.union_results(*self.rows), ties=("method",))
 
 
+BUCKETS = 10
+
+
+def with_numbers(learner, train: DataFrame, valid: DataFrame, columns: tuple[str, ...]):
+    """The learner with further number columns, and the rows as it needs them.
+
+    Linear models take them as they are. The counting scorer takes them as keys, in buckets between the training
+    quantiles. Any other learner is an error, since it would silently fit without them.
+    """
+    if isinstance(learner, LinearLearner):
+        return replace(learner, spec=learner.spec.plus(*columns)), train, valid
+    if not isinstance(learner, CountingScorer):
+        raise TypeError(f"{type(learner).__name__} takes no further number columns")
+    buckets = {}
+    for c in columns:
+        cuts = sorted({v for v in exact_quantiles(train, F.col(c), [i / BUCKETS for i in range(1, BUCKETS)]) if v is not None})
+        value = F.col(c)
+        buckets[f"{c}_bucket"] = sum(((value > v).cast("int") for v in cuts), F.lit(0))
+    return replace(learner, keys=(*learner.keys, *buckets)), train.withColumns(buckets), valid.withColumns(buckets)
+
+
 def with_signals(train: DataFrame, valid: DataFrame, signal: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """Training rows with their signal columns; validation rows get the training medians."""
     joined = materialise(train.join(signal.select("row_id", *columns), "row_id"), "signal")
@@ -194,14 +216,13 @@ def compare_models(
         spec = ft.ONE_HOT if text else ft.ONE_HOT_NO_TEXT
         families: list[tuple[str, object, list[dict]]] = [
             ("SVM", svm or SvmLearner(), svm_grid or SVM_GRID),
-            ("LogReg", logreg or LogisticLearner(max_iter=200), logreg_grid or LOGREG_GRID),
+            ("LogReg", logreg or LogisticLearner(), logreg_grid or LOGREG_GRID),
         ]
         for name, base, grid in families:
             model = replace(base, spec=spec, balanced=weighted)
 
             def fit(model=model, grid=grid):
-                # a grid of one setting leaves nothing to choose
-                best = grid[0] if len(grid) == 1 else grid_search(train, model, grid, folds, 3, parallelism=parallelism).best
+                best = grid_search(train, model, grid, folds, 3, parallelism=parallelism).best
                 return materialise(evaluate(replace(model, **best), train, valid)[1], "preds")
 
             preds, seconds = timed(fit)

@@ -18,18 +18,26 @@ def clean_rows(raw: DataFrame, category_map: DataFrame, include_description: boo
 
 
 def prepare_baseline(
-    raw: DataFrame, category_map: DataFrame, include_description: bool = True, fraction: float = 0.2, seed: int = 42, run_name: str = "shared_baseline"
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+    raw: DataFrame, category_map: DataFrame, include_description: bool = True, fraction: float = 0.2, seed: int = 42, run_name: str = "shared_baseline",
+    source: str = "transactions",
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(train, valid, summary). Imputation values come from the training rows only."""
     unique, rolled = clean_rows(raw, category_map, include_description)
     stored = materialise(rolled, "clean")
     kept = schema.drop_unmapped_target(stored)
-    marked = split.stratified_split(kept, "category", fraction, seed)
+    marked = materialise(split.stratified_split(kept, "category", fraction, seed), "split")
     features = schema.feature_names(stored.columns, include_description)
     numeric, categorical = ["amount"], [c for c in features if c != "amount"]
     values = impute.imputation_values(marked.where("split = 'train'"), numeric, categorical)
     after = impute.impute(marked, values)
-    summary = preparation_summary(raw, stored, marked, after, values, features, fraction, seed, run_name)
+    given = set(schema.normalize_columns(raw).columns)
+    notes = {
+        "source_dataset": F.lit(source),
+        "dropped_columns": F.array(*[F.lit(c) for c in sorted(given - set(stored.columns))]).cast("array<string>"),
+        "description_requested": F.lit(include_description),
+        "evaluation_setup": F.lit(f"one hold-out split, {fraction:g} of the rows, by class"),
+    }
+    summary = preparation_summary(raw, stored, marked, after, values, features, fraction, seed, run_name).withColumns(notes)
     train = after.where("split = 'train'").drop("split")
     valid = after.where("split = 'valid'").drop("split")
     return train, valid, summary

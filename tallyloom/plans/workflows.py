@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tallyloom import fixed
 from tallyloom.functions import columns as fx
 from tallyloom.operators import metrics, relabel, removal, scaling, smoothing as sm
-from tallyloom.operators.noise import NARROW_KEYS, CountingScorer, align_noise, candidate_pool, repeated_scores
-from tallyloom.operators.split import class_counts, repeated_kfold, stratified_kfold
-from tallyloom.runtime import literal_table, materialise
+from tallyloom.operators.noise import NARROW_KEYS, CountingScorer, align_noise, combined_runs, repeated_scores
+from tallyloom.operators.split import class_counts, folds_by_seed, stratified_kfold
+from tallyloom.runtime import discard, literal_table, materialise
 
 METRICS = ("accuracy", "weighted_f1", "macro_f1")
 KEYS = list(NARROW_KEYS)
@@ -74,15 +74,16 @@ def run_repeated_filter(train: DataFrame, valid: DataFrame, learner, seeds: list
     """(metrics, combined scores, predictions) with scores of several fold seeds."""
     seeds = seeds or fixed.REPEAT_SEEDS
     if isinstance(learner, CountingScorer):
-        folded = materialise(repeated_kfold(train, seeds), "folded")
-        runs = CountingScorer(learner.keys, learner.label, learner.strength, by=("seed",)).out_of_fold(folded)
+        scored = learner.out_of_folds(materialise(folds_by_seed(train, seeds), "folded"), seeds)
+        combined = combined_runs(scored, min_wrong=min_wrong, threshold=threshold)
     else:
         runs = None
         for s in seeds:
             part = learner.out_of_fold(stratified_kfold(train, seed=s)).drop("fold").withColumn("seed", F.lit(s))
             runs = part if runs is None else runs.unionByName(part)
-    features = [c for c in train.columns if c not in ("row_id", "category")]
-    combined = materialise(repeated_scores(runs, features, min_wrong=min_wrong, threshold=threshold), "scores")
+        features = [c for c in train.columns if c not in ("row_id", "category")]
+        combined = repeated_scores(runs, features, min_wrong=min_wrong, threshold=threshold)
+    combined = materialise(combined, "scores")
     kept = combined.where(~F.col("flagged_suspicious")).select(*train.columns)
     scores, preds = evaluate(learner, kept, valid)
     return scores.withColumn("rows_removed", combined.agg(F.count_if("flagged_suspicious")).scalar()), combined, preds
@@ -152,21 +153,28 @@ def iterative_clean(
             updated, log = relabel.apply_corrections(current, changed)
             applied = log.count()
             if applied == 0:
+                discard(changed)
                 continue
             updated = materialise(updated, "round")
             scores, scored, _ = run_suspicious_filter(updated, valid, learner)
-            trials.append({"idx": idx, "top_n": top_n, "purity": purity, "applied": applied, "m": scores.first().asDict(), "train": updated, "noise": scored})
+            trials.append({"idx": idx, "top_n": top_n, "purity": purity, "applied": applied, "m": scores.first().asDict(), "train": updated, "noise": scored, "changed": changed})
         if not trials:
             history.append({"round": rnd, "applied_corrections": 0, **best, "accepted": False, "target_reached": reached(best), "stop_reason": "no_new_obvious_corrections_any_config"})
             break
+        for t in trials:
+            discard(t.pop("changed"))
         pick = max(trials, key=lambda t: (round(t["m"]["weighted_f1"], 9), -t["idx"]))
         m = pick["m"]
         accepted = round(m["weighted_f1"] - best["weighted_f1"], 9) > 0 and round(m["macro_f1"] - best["macro_f1"], 9) >= 0
         history.append(
             {"round": rnd, "config_idx": pick["idx"], "top_n": pick["top_n"], "min_purity": pick["purity"], "applied_corrections": pick["applied"], **m, "accepted": accepted, "target_reached": reached(m)}
         )
+        for t in trials:
+            if t is not pick or not accepted:
+                discard(t["train"], t["noise"])
         if not accepted:
             break
+        discard(current)
         current, noise, best = pick["train"], pick["noise"], m
         if reached(best):
             break
@@ -190,7 +198,7 @@ def filter_signals(noise: DataFrame, flag: str = "wrong_flag") -> list[tuple[str
     sig = sm.scored_signal(noise, flag, "file")
     out: list[tuple[str, str, DataFrame]] = [("raw", "none", sig.df.withColumnRenamed("x", "smooth"))]
     out += [("median", f"kernel={k}", sm.smooth_median(sig, k)) for k in fixed.MEDIAN_KERNELS]
-    out += [("savgol", f"window={w},poly={p}", sm.smooth_savgol(sig, w, p)) for w, p in fixed.SAVGOL_SHAPES if w < sig.n]
+    out += [("savgol", f"window={w},poly={p}", sm.smooth_savgol(sig, w, p)) for w, p in fixed.SAVGOL_SHAPES]
     out += [("kalman", f"q={q},r={r}", sm.smooth_kalman(sig, q, r)) for q, r in fixed.KALMAN_PAIRS]
     out += [("whittaker", f"lambda={lam}", sm.smooth_whittaker(sig, lam)) for lam in fixed.WHITTAKER_LAMBDAS]
     return [(m, p, df.select("row_id", F.round("smooth", 9).alias("score"))) for m, p, df in out]
@@ -209,8 +217,11 @@ def hybrid_signals(noise: DataFrame) -> list[tuple[str, DataFrame]]:
     return [(name, make().select("row_id", "x", "smooth")) for name, make in ways]
 
 
-def advanced_signals(noise: DataFrame, optional: bool = False) -> list[tuple[str, DataFrame]]:
+def advanced_signals(noise: DataFrame, optional: bool = False, lowess_span: int | None = None) -> list[tuple[str, DataFrame]]:
+    """The ``optional`` ones take longer: the local regression costs rows times ``lowess_span`` rows, which is
+    the published twentieth of all rows unless given."""
     sig = sm.scored_signal(noise)
+    span = lowess_span or 2 * int(0.025 * sig.n) + 1
     ways: list[tuple[str, Callable]] = [
         ("savgol_w21_p6", lambda: sm.smooth_savgol(sig, 21, 6)),
         ("filtfilt_fir17_c015", lambda: sm.smooth_zero_phase_fir(sig)),
@@ -222,21 +233,23 @@ def advanced_signals(noise: DataFrame, optional: bool = False) -> list[tuple[str
     if optional:
         ways += [
             ("wavelet_db4_l3", lambda: sm.smooth_wavelet(sig, 3)),
-            ("lowess_f005_it2", lambda: sm.smooth_lowess(sig, min(1001, 2 * int(0.025 * sig.n) + 1))),
+            ("lowess_f005_it2", lambda: sm.smooth_lowess(sig, span)),
         ]
     return [(name, make().select("row_id", "smooth")) for name, make in ways]
 
 
-def sweep_filters(train: DataFrame, valid: DataFrame, noise: DataFrame, learner, caps: list[float] | None = None, max_runs: int | None = None):
+def sweep_filters(train: DataFrame, valid: DataFrame, noise: DataFrame, learner, caps: list[float] | None = None):
     """(all results, best per method): every signal with every cap."""
     caps = caps or fixed.CAP_FRACTIONS
-    runs, rows = [], train
+    runs, rows, signals = [], train, []
     for i, (method, params, scores) in enumerate(filter_signals(noise)):
         stored = materialise(scores.withColumnRenamed("score", f"s{i}"), "signal")
+        signals.append(stored)
         rows = _attach(rows, stored)
         runs += [({"method": method, "params": params, "cap_fraction": c}, d) for c, d in zip(caps, removal.cap_removal(stored, f"s{i}", caps))]
-    results = evaluate_runs(learner, materialise(rows, "sweep"), valid, runs[:max_runs], "method string, params string, cap_fraction double")
-    results = materialise(results, "results")
+    rows = materialise(rows, "sweep")
+    results = materialise(evaluate_runs(learner, rows, valid, runs, "method string, params string, cap_fraction double"), "results")
+    discard(rows, *signals)
     return metrics.leaderboard(results, ties=("method", "params", "cap_fraction")), metrics.best_per_method(results, ties=("params", "cap_fraction"))
 
 
@@ -248,7 +261,6 @@ def sweep_hybrid(
     alphas: tuple[float, ...] = (0.0, 0.25, 0.5, 0.75),
     shares: tuple[float, ...] = (0.6, 0.75, 0.9, 1.0),
     keeps: tuple[int, ...] = (20, 40, 60),
-    max_runs: int | None = None,
 ) -> DataFrame:
     """Every smoother x blend x share, plain and with class floors."""
     runs, rows = [], align_noise(train, noise)
@@ -270,7 +282,7 @@ def sweep_hybrid(
         floors = removal.class_aware_removal(counts, pool, score, wanted)
         runs += [({**base, "family": "classaware", "frac_candidates_removed": f, "min_keep_per_class": k}, in_pool & d) for (f, k), d in zip(wanted, floors)]
     schema = "family string, method string, alpha double, frac_candidates_removed double, min_keep_per_class int"
-    return metrics.leaderboard(materialise(evaluate_runs(learner, rows, valid, runs[:max_runs], schema), "results"), ties=("family", "method", "alpha"))
+    return metrics.leaderboard(materialise(evaluate_runs(learner, rows, valid, runs, schema), "results"), ties=("family", "method", "alpha"))
 
 
 def sweep_advanced(
@@ -282,13 +294,13 @@ def sweep_advanced(
     shares: tuple[float, ...] = (0.6, 0.75, 0.9),
     keeps: tuple[int, ...] = (30, 40, 60),
     optional: bool = False,
-    max_runs: int | None = None,
+    lowess_span: int | None = None,
 ) -> DataFrame:
     """Every signal with quantile cuts and with class floors."""
     runs, rows = [], align_noise(train, noise)
     counts, in_pool = class_counts(train, "category"), F.col("flagged_suspicious") & (F.col("true_label_prob") < fixed.CANDIDATE_PROB)
     names = []
-    for name, signal in advanced_signals(noise, optional):
+    for name, signal in advanced_signals(noise, optional, lowess_span):
         stored = materialise(signal, "signal")
         rows = _attach(rows, scaling.minmax_norm(stored, "smooth", "s").select("row_id", F.round("s", 9).alias(name)))
         names.append(name)
@@ -296,8 +308,9 @@ def sweep_advanced(
     pool = materialise(rows.where(in_pool), "pool")
     wanted = [(share, keep) for share in shares for keep in keeps]
     for name in names:
-        runs += [({"method": name, "strategy": f"threshold_q{q}"}, in_pool & removal.quantile_removal(pool, name, q)) for q in quantiles]
+        cuts = removal.quantile_removals(pool, name, quantiles)
+        runs += [({"method": name, "strategy": f"threshold_q{q}"}, in_pool & d) for q, d in zip(quantiles, cuts)]
         floors = removal.class_aware_removal(counts, pool, name, wanted)
         runs += [({"method": name, "strategy": f"classaware_f{f}_k{k}"}, in_pool & d) for (f, k), d in zip(wanted, floors)]
-    results = materialise(evaluate_runs(learner, rows, valid, runs[:max_runs], "method string, strategy string"), "results")
+    results = materialise(evaluate_runs(learner, rows, valid, runs, "method string, strategy string"), "results")
     return metrics.leaderboard(results, ties=("method", "strategy"))

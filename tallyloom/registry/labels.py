@@ -8,7 +8,7 @@ from tallyloom import fixed
 from tallyloom.functions import columns as fx
 from tallyloom.operators import metrics, noise as nz, relabel, split
 from tallyloom.registry import sql
-from tallyloom.registry.base import noise, query, r6, train_valid
+from tallyloom.registry.base import noise, query, r6
 from tallyloom.registry.sql import build
 from tallyloom.runtime import materialise
 from tallyloom.sources import adapters
@@ -31,19 +31,19 @@ REPEATED_PARTS = dict(seeded=SEEDED, rfold=sql.fold_sql("seeded", "CAST(seed AS
 
 
 def repeated(spark, sf):
-    runs = materialise(split.repeated_kfold(adapters.labelled(spark, sf), fixed.REPEAT_SEEDS), "folded")
-    return nz.CountingScorer(by=("seed",)).out_of_fold(runs)
+    folded = materialise(split.folds_by_seed(adapters.labelled(spark, sf), fixed.REPEAT_SEEDS), "folded")
+    return nz.CountingScorer().out_of_folds(folded, fixed.REPEAT_SEEDS)
 
 
 @query("oof_repeated", build(REPEATED, "lab", **REPEATED_PARTS))
 def oof_repeated(spark, sf):
-    merged = nz.repeated_scores(repeated(spark, sf), KEYS)
+    merged = nz.combined_runs(repeated(spark, sf))
     return merged.select("row_id", "category", *r6("mean_true_label_prob"), "wrong_cv_count", "flagged_suspicious")
 
 
 @query("flag_repeated", build(f"SELECT row_id, wrong_cv_count FROM ({REPEATED}) WHERE flagged_suspicious", "lab", **REPEATED_PARTS))
 def flag_repeated(spark, sf):
-    return nz.repeated_scores(repeated(spark, sf), KEYS).where("flagged_suspicious").select("row_id", "wrong_cv_count")
+    return nz.combined_runs(repeated(spark, sf)).where("flagged_suspicious").select("row_id", "wrong_cv_count")
 
 
 @query("flag_suspicious", build(f"SELECT {SCORES} FROM noise WHERE cv_pred <> category AND true_label_prob < 0.20", "noise"))

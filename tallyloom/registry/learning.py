@@ -92,7 +92,8 @@ def svd_embedding(spark, sf):
     return rows.select("row_id", F.size("embedding").alias("size"), F.round(square, 6).alias("square_norm"))
 
 
-LOGREG = md.LogisticLearner(max_iter=50)
+# Limits that keep the registered queries short; the learners' own defaults run to convergence.
+LOGREG = md.LogisticLearner(max_iter=100)
 
 
 @query("fit_logreg")
@@ -102,7 +103,7 @@ def fit_logreg(spark, sf):
 
 @query("fit_linear_svm")
 def fit_linear_svm(spark, sf):
-    learner = md.SvmLearner(max_iter=20)
+    learner = md.SvmLearner(max_iter=40)
     return learner.fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred")
 
 
@@ -122,12 +123,12 @@ def feature_importance(spark, sf):
 @query("grid_search_cv")
 def grid_search_cv(spark, sf):
     train = train_valid(spark, sf)[0]
-    return md.grid_search(train, md.LogisticLearner(max_iter=20), md.LOGREG_GRID, split.ordered_folds(train), 3).trace
+    return md.grid_search(train, md.LogisticLearner(max_iter=30), md.LOGREG_GRID, split.ordered_folds(train), 3).trace
 
 
 @query("oof_scores_logreg")
 def oof_scores_logreg(spark, sf):
-    noise = wf.score_training_rows(train_valid(spark, sf)[0], md.LogisticLearner(max_iter=30))
+    noise = wf.score_training_rows(train_valid(spark, sf)[0], md.LogisticLearner(max_iter=50))
     return noise.select("row_id", "category", "cv_pred", *r6("true_label_prob"), "wrong_flag")
 
 
@@ -139,8 +140,8 @@ def isolation_forest_by_class(spark, sf):
 @query("autoencoder_recon_error")
 def autoencoder_recon_error(spark, sf):
     rows = embedding(spark, sf)
-    linear = anomaly.linear_recon_error(rows, rank=6)[0].withColumnRenamed("recon_error", "linear_error")
-    deep = anomaly.autoencoder_recon_error(rows, steps=10)[0]
+    linear = anomaly.linear_recon_error(rows, rank=24)[0].withColumnRenamed("recon_error", "linear_error")
+    deep = anomaly.autoencoder_recon_error(rows, steps=40)[0]
     return deep.join(linear, "row_id").select("row_id", *r6("recon_error", "linear_error"))
 
 
@@ -151,17 +152,17 @@ def compare_noise_methods(spark, sf):
 
 @query("compare_delta_ae_focal")
 def compare_delta_ae_focal(spark, sf):
-    return compare.compare_delta_ae_focal(*train_valid(spark, sf), training_noise(spark, sf), CountingScorer(), rank=6)
+    return compare.compare_delta_ae_focal(*train_valid(spark, sf), training_noise(spark, sf), CountingScorer(), rank=24)
 
 
 @query("second_stage")
 def second_stage(spark, sf):
-    return compare.second_stage(*train_valid(spark, sf), training_noise(spark, sf), CountingScorer(), rank=6)
+    return compare.second_stage(*train_valid(spark, sf), training_noise(spark, sf), CountingScorer(), rank=24)
 
 
 @query("run_suspicious_filter_logreg")
 def run_suspicious_filter_logreg(spark, sf):
-    return wf.run_suspicious_filter(*train_valid(spark, sf), md.LogisticLearner(max_iter=30))[0]
+    return wf.run_suspicious_filter(*train_valid(spark, sf), md.LogisticLearner(max_iter=50))[0]
 
 
 @query("ablation_2x2")

@@ -319,11 +319,9 @@ def remove_rows(spark, sf):
     ),
 )
 def remove_above_quantile(spark, sf):
-    rows, out = pool(spark, sf), None
-    for q in (0.9, 0.95, 0.975):
-        part = rows.where(removal.quantile_removal(rows, "x", q)).select(F.lit(q).alias("share"), "row_id")
-        out = part if out is None else out.unionByName(part)
-    return out
+    rows, shares = pool(spark, sf), (0.9, 0.95, 0.975)
+    hits = [F.when(drop, F.lit(q)) for q, drop in zip(shares, removal.quantile_removals(rows, "x", shares))]
+    return rows.select(F.explode(F.array_compact(F.array(*hits))).alias("share"), "row_id")
 
 
 ERR = "round(power(coalesce(amount, 0) / 100, 2), 9)"

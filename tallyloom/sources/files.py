@@ -19,13 +19,15 @@ CSV_OPTIONS = {
 }
 
 
-def read_transactions(spark: SparkSession, path: str, order: tuple[str, ...] | None = None) -> DataFrame:
+def read_transactions(spark: SparkSession, path: str, order: tuple[str, ...] | None = None, multi_line: bool = False) -> DataFrame:
     """Raw header CSV as text, null tokens resolved, headers canonical, ``amount`` as a number.
 
     A file without ``row_id`` gets one from the row content (or ``order``), which repeats on a re-read.
     Rows with equal content share no order, so any of them may come first; they are interchangeable.
+    Quoted line breaks need ``multi_line``, which reads each file in one task; without it, and for any row of another
+    number of columns, reading fails.
     """
-    raw = spark.read.options(**CSV_OPTIONS).csv(path)
+    raw = spark.read.options(**CSV_OPTIONS | {"multiLine": multi_line, "mode": "FAILFAST"}).csv(path)
     df = normalize_columns(raw.select(*[csv_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]))
     if "amount" in df.columns:
         df = df.withColumn("amount", F.col("amount").try_cast("double"))

@@ -134,7 +134,7 @@ def test_lowess_against_a_row_loop(sig, signal):
 
 def test_quantiles_with_a_hot_value(spark, monkeypatch):
     monkeypatch.setattr(ranks, "LEAF_ROWS", 8)
-    monkeypatch.setattr(ranks, "BINS", 4)
+    monkeypatch.setattr(ranks, "BITS", 2)
     rng = np.random.default_rng(3)
     data = np.concatenate([np.full(400, 1.25), rng.normal(0, 1e3, 300), np.exp(rng.normal(0, 20, 300))])
     df = spark.createDataFrame([(float(v),) for v in data], "v double").union(spark.createDataFrame([(None,), (math.nan,)], "v double"))
@@ -143,9 +143,41 @@ def test_quantiles_with_a_hot_value(spark, monkeypatch):
     assert ranks.exact_quantiles(df.limit(0), F.col("v"), [0.5]) == [None]
 
 
+@pytest.mark.parametrize("extra", [[math.inf] * 40 + [-math.inf] * 30, [1.7e308, -1.7e308, math.inf], [5e-324, 0.0, -5e-324] * 9, [-math.inf] * 200])
+def test_quantiles_with_infinite_huge_and_tiny_keys(spark, monkeypatch, extra):
+    monkeypatch.setattr(ranks, "LEAF_ROWS", 4)
+    rng = np.random.default_rng(8)
+    data = np.concatenate([extra, rng.normal(size=60), [1.0] * 20])
+    df = spark.createDataFrame([(float(v),) for v in data], "v double")
+    places = list(range(0, len(data), 7)) + [len(data) - 1]
+    found = ranks.locate_ranks(df, F.col("v"), [(None, p) for p in places])
+    ordered = np.sort(data)
+    for p, f in zip(places, found):
+        assert (f.value, f.less, f.equal) == (ordered[p], (data < ordered[p]).sum(), (data == ordered[p]).sum())
+
+
+def test_ranks_of_ids_beyond_doubles(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "LEAF_ROWS", 2)
+    ids = [2**53 + i for i in range(9)] + [2**63 - 1, -(2**63), -(2**63) + 1, 0]
+    df = spark.createDataFrame([(i, 1.0) for i in ids], "row_id long, score double")
+    found = ranks.locate_ranks(df, F.col("row_id"), [(None, r) for r in range(len(ids))])
+    assert [f.value for f in found] == sorted(ids)
+    for k in range(1, len(ids)):
+        cut = ranks.top_cuts(df, F.col("score"), F.col("row_id"), [(None, k)])[0]
+        kept = {r["row_id"] for r in df.where(ranks.in_top(F.col("score"), F.col("row_id"), cut)).collect()}
+        assert kept == set(sorted(ids)[-k:])
+
+
+def test_many_targets_share_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "MOST_ROWS", 4_000)
+    df = spark.range(40_000).select((F.col("id") % 2_000).cast("string").alias("g"), F.col("id").cast("double").alias("v"))
+    found = ranks.locate_ranks(df, F.col("v"), [(str(g), 7) for g in range(2_000)], F.col("g"))
+    assert [f.value for f in found] == [float(7 * 2_000 + g) for g in range(2_000)]
+
+
 def test_top_cuts_with_ties(spark, monkeypatch):
     monkeypatch.setattr(ranks, "LEAF_ROWS", 4)
-    monkeypatch.setattr(ranks, "BINS", 3)
+    monkeypatch.setattr(ranks, "BITS", 1)
     rng = np.random.default_rng(4)
     rows = [(i, float(rng.integers(0, 4)), "ab"[i % 2]) for i in range(300)]
     df = spark.createDataFrame(rows, "row_id long, score double, g string")
@@ -176,7 +208,7 @@ def test_class_aware_removal_equals_the_walk(spark):
 
 
 def test_salted_join_equals_a_plain_join(spark):
-    left = spark.range(3000).select(F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 500).cast("string")).alias("k"))
+    left = spark.range(3000).select(F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 500).cast("string")).alias("k"))
     right = spark.range(400).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")).union(spark.createDataFrame([("hot", -1)], "k string, v long"))
     for how in ("inner", "left"):
         a = skew.salted_join(left, right, ["k"], "row_id", how).select("row_id", "k", "v")
