@@ -3,9 +3,14 @@
 A page becomes a flat list of nodes in page order (parent, own text, links); broken and cut-off markup is
 read as browsers read it, without recursion. Each node's density is its characters per tag, weighed down
 by the share of links in it and on the page. The node whose children's densities add up to most is the
-core of the article; the lowest density on the path from it to the body is the threshold that the parts
-beside the path must reach to belong to it too. Elements that by name, role or class are menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles or comments are no part of the tree.
+core, widened to the article or main element around it; the lowest density on the path from it to the body
+is the threshold that the parts beside the path must reach to belong to it too. A page without links has no
+threshold, since characters per tag alone only tell long parts from short ones. Parts of the same tag and
+class as the part of the path beside them belong to it unless they are lists of links; so do, within main or
+on a page without article and main around the core, parts with paragraphs or list items.
+
+Menus, headers, footers, sidebars, notices, adverts, forms and comments count in the densities, but are left
+out of the text. Scripts, styles, graphics and hidden elements are no part of the tree.
 """
 
 from __future__ import annotations
@@ -32,10 +37,14 @@ PHRASES = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i in
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
+#: Elements without text to read, no part of the tree.
+UNSEEN = frozenset("head svg math canvas object audio video map".split())
 #: Elements that are never part of an article, and those that are not unless they stand inside one.
-DROPPED = frozenset("head nav footer aside form button select svg math canvas object audio video map dialog".split())
+DROPPED = frozenset("nav footer aside form button select dialog".split())
 DROPPED_OUTSIDE = frozenset({"header", "menu"})
 ARTICLE = frozenset({"article", "main"})
+#: Elements of running text.
+RUNNING = frozenset("p pre blockquote li dd td".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 #: Words of class and id that name what is no part of an article.
 HINTS = frozenset(
@@ -45,6 +54,8 @@ HINTS = frozenset(
     "respond responses share sharing sidebar signup skip skyscraper social sponsor sponsored subnav subscribe subscription teaser toolbar topnav widget".split()
 )
 HINTS_OUTSIDE = frozenset("header masthead topbar foot bottom legal copyright disclaimer privacy".split())
+#: How an element is marked.
+PLAIN, OUT = range(2)
 
 TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*(?:>|\Z)|/?[a-zA-Z][^>]*\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -53,24 +64,28 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _excluded(tag: str, attributes: str, in_article: bool) -> bool:
+def _mark(tag: str, attributes: str, in_article: bool) -> tuple[int | None, str]:
+    """How an element is marked, None if it cannot be seen, and its class."""
+    if tag in UNSEEN:
+        return None, ""
+    mark, kind = PLAIN, ""
     if tag in DROPPED or (tag in DROPPED_OUTSIDE and not in_article):
-        return True
-    if not attributes or tag in ARTICLE or tag == "body" or tag == "html":
-        return False
-    for m in ATTRIBUTE.finditer(attributes):
+        mark = OUT
+    for m in ATTRIBUTE.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "style" and HIDDEN.search(value):
-            return True
+        if name == "class":
+            kind = value
+        if tag in ARTICLE:
+            continue
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and HIDDEN.search(value)):
+            return None, kind
         if name == "role" and value.lower() in DROPPED_ROLES:
-            return True
+            mark = OUT
         if name in ("class", "id"):
             words = set(WORDS.findall(CAMEL.sub(" ", value).lower()))
             if words & HINTS or (not in_article and words & HINTS_OUTSIDE):
-                return True
-    return False
+                mark = OUT
+    return mark, kind
 
 
 class Page:
@@ -78,7 +93,8 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.parents, self.pieces = ["body"], [0], []
-        self._stack: list[tuple[str, int]] = [("body", 0)]  # node -1: inside something dropped
+        self.marks, self.kinds = [PLAIN], [""]
+        self._stack: list[tuple[str, int]] = [("body", 0)]  # node -1: inside something unseen
         self._articles = 0
         at = 0
         while at < len(html):
@@ -125,21 +141,19 @@ class Page:
                 self.pieces.append((above, " "))
                 self._node(name, above)
             return
-        if above < 0 or _excluded(name, attributes, self._articles > 0):
-            if above >= 0 and name in BLOCKS:
-                self.pieces.append((above, None))
-            node = -1
-        else:
-            if name in BLOCKS:
-                self.pieces.append((above, None))
-            node = self._node(name, above)
+        mark, kind = _mark(name, attributes, self._articles > 0)
+        if above >= 0 and name in BLOCKS:
+            self.pieces.append((above, None))
+        node = -1 if above < 0 or mark is None else self._node(name, above, mark, kind)
         if name not in VOID:
             self._articles += name in ARTICLE
             self._stack.append((name, node))
 
-    def _node(self, name: str, above: int) -> int:
+    def _node(self, name: str, above: int, mark: int = PLAIN, kind: str = "") -> int:
         self.tags.append(name)
         self.parents.append(above)
+        self.marks.append(mark)
+        self.kinds.append(kind)
         return len(self.tags) - 1
 
     def _close(self, names: set[str], limits: set[str]) -> None:
@@ -191,40 +205,76 @@ class Page:
             out.append(value)
         return out, chars, links
 
-    def content(self) -> list[bool]:
-        """Whether each node belongs to the main text."""
+    def left_out(self) -> list[bool]:
+        """Whether each node is left out by what it is."""
+        gone = [False] * len(self.tags)
+        for i in range(1, len(gone)):
+            gone[i] = gone[self.parents[i]] or self.marks[i] == OUT
+        return gone
+
+    def content(self) -> tuple[list[bool], list[bool]]:
+        """Whether each node belongs to the main text, and whether it is left out of it by what it is."""
         density, chars, links = self.densities()
+        gone = self.left_out()
         n = len(self.tags)
-        sums = [0.0] * n
+        sums, running = [0.0] * n, [False] * n
+        inline, inline_links = [0] * n, [0] * n  # text that stands directly in a node, formatting included
+        for node, text in self.pieces:
+            if text:
+                inline[node] += len(" ".join(text.split()))
         for i in range(n - 1, 0, -1):
-            if self.tags[i] not in PHRASES:  # formatting inside a text is no part of its own
-                sums[self.parents[i]] += density[i]
-        core = max(range(n), key=lambda i: (sums[i], -i))
-        path, threshold = {core}, density[core]
-        at = core
-        while at:
-            at = self.parents[at]
-            path.add(at)
-            threshold = min(threshold, density[at])
+            p = self.parents[i]
+            if gone[i]:
+                continue
+            running[p] |= running[i] or (self.tags[i] in RUNNING and chars[i] > 0)
+            if self.tags[i] in PHRASES:  # formatting inside a text is no part of its own
+                inline[p] += chars[i]
+                inline_links[p] += links[i]
+            else:
+                sums[p] += density[i]
+        core = max((i for i in range(n) if not gone[i]), key=lambda i: (sums[i], -i))
+        up = [core]
+        while up[-1]:
+            up.append(self.parents[up[-1]])
+        path = set(up)
+        threshold = min(density[i] for i in up) if links[0] else 0.0
+        around = [i for i in up if self.tags[i] == "article"] or [i for i in up if self.tags[i] == "main"]
+        core = around[-1] if around else core
+        above = set(up[up.index(core) + 1 :])
+        # parents in which all running text counts: those within main, or all if no article or main is around the core
+        mains = [k for k, i in enumerate(up) if self.tags[i] == "main"]
+        wide = set(up[: mains[-1] + 1] if mains else [] if around else up)
+        beside = {self.parents[i]: i for i in up if i}
         chosen = [False] * n
-        chosen[core] = True
+        chosen[0] = core == 0 or (0 in wide and 2 * inline_links[0] <= inline[0])
         for i in range(1, n):
             p = self.parents[i]
-            if i in path:
+            text = 2 * links[i] <= chars[i]
+            if gone[i]:
                 continue
-            if p not in path or (p == core and p):
+            if i in above:
+                chosen[i] = i in wide and 2 * inline_links[i] <= inline[i]
+            elif i == core or (i in path and p not in above):
+                chosen[i] = True
+            elif p == core == 0:  # the body itself: all but its lists of links
+                chosen[i] = text or (self.tags[i] in PHRASES and 2 * inline_links[0] <= inline[0])
+            elif p not in above:
+                chosen[i] = chosen[p]
+            elif self.tags[i] in PHRASES:
                 chosen[i] = chosen[p]
-            elif p == core:  # the body itself: all but its lists of links
-                chosen[i] = 2 * links[i] <= chars[i]
             else:
+                like = self.tags[i] == self.tags[beside[p]] and self.kinds[i] == self.kinds[beside[p]]
                 chosen[i] = density[i] >= threshold or (p > 0 and self.tags[i] in HEADINGS)
-        return chosen
+                chosen[i] |= text and (like or (p in wide and (running[i] or self.tags[i] in RUNNING)))
+        return chosen, gone
 
     def blocks(self) -> Iterator[str]:
-        chosen = self.content()
+        chosen, gone = self.content()
         parts: list[str] = []
         for node, text in self.pieces:
             if text is None:
+                if gone[node]:
+                    continue
                 if parts and (block := " ".join("".join(parts).split())):
                     yield block
                 parts = []

@@ -251,6 +251,49 @@ def test_main_text(name):
     assert main_text(html) == "\n\n".join(blocks)
 
 
+def _sections(first: int, second: int, link: str = "") -> tuple[str, list[str]]:
+    texts = [f"{k}{'x' * (first - 1)}" for k in "abc"] + [f"{k}{'y' * (second - 1)}" for k in "de"]
+    p = [f"<p>{t}{link}</p>" for t in texts]
+    return f"<section>{''.join(p[:3])}</section><section>{''.join(p[3:])}</section>", [t + (" more" if link else "") for t in texts]
+
+
+MENU = "<nav><ul>" + "".join(f"<li><a href=/{i}>Menu {i}</a></li>" for i in range(8)) + "</ul></nav>"
+FOOT = "<footer><a href=/x>Imprint</a> &copy; site</footer>"
+SECTIONED = {
+    f"{around}, {chrome}, {link or 'no'} link": (around, chrome, link)
+    for around in ("<article>{}</article>", "<main>{}</main>", "<div class=page>{}</div>", "{}")
+    for chrome in ("chrome", "bare")
+    for link in ("", " <a href=/z>more</a>")
+}
+
+
+@pytest.mark.parametrize("name", SECTIONED)
+def test_unequal_sections_are_kept(name):
+    from tallyloom.llm.main_text import main_text
+
+    around, chrome, link = SECTIONED[name]
+    for first, second in ((300, 100), (100, 300), (600, 60)):
+        sections, blocks = _sections(first, second, link)
+        html = f"<body>{MENU if chrome == 'chrome' else ''}{around.format(sections)}{FOOT if chrome == 'chrome' else ''}</body>"
+        assert main_text(html) == "\n\n".join(blocks)
+
+
+SECTIONS, BLOCKS = _sections(300, 100)
+ALL = "\n\n".join(BLOCKS)
+KEPT = {
+    "text beside a core in an article": (f"<body>{MENU}<article>Lead text.{SECTIONS}Last <b>words</b>.</article>{FOOT}", f"Lead text.\n\n{ALL}\n\nLast words."),
+    "text of the body beside a core": (f"<body>{MENU}Lead text.<div>{SECTIONS}</div>", f"Lead text.\n\n{ALL}"),
+}
+
+
+@pytest.mark.parametrize("name", KEPT)
+def test_names_and_direct_text(name):
+    from tallyloom.llm.main_text import main_text
+
+    html, text = KEPT[name]
+    assert main_text(html) == text
+
+
 def test_main_text_of_the_pages(spark):
     from html import unescape
 
