@@ -10,7 +10,11 @@ class as the part of the path beside them belong to it unless they are lists of
 on a page without article and main around the core, parts with paragraphs or list items.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments count in the densities, but are left
-out of the text. Scripts, styles, graphics and hidden elements are no part of the tree.
+out of the text. Their names in class and id are matched by whole tokens: ``site-footer`` and
+``sidebar-left`` name chrome, ``no-sidebar`` and ``cookie-recipe`` do not. A name never takes out an element that holds
+an article or main, nor most of a page's text unless it stands beside an article or main with text; then, and
+for ambiguous names inside an article, the density decides. Scripts, styles, graphics and hidden elements are
+no part of the tree.
 """
 
 from __future__ import annotations
@@ -46,16 +50,25 @@ ARTICLE = frozenset({"article", "main"})
 #: Elements of running text.
 RUNNING = frozenset("p pre blockquote li dd td".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
-#: Words of class and id that name what is no part of an article.
-HINTS = frozenset(
-    "ad ads adsense adunit adv advert adverts advertisement advertising adbox alert announcement banner breadcrumb breadcrumbs comment comments "
-    "commentlist consent cookie cookies discussion disqus footer gdpr interstitial leaderboard login menu menubar modal nav navbar navigation newsletter "
-    "notice notices notification overlay pagination pager paywall popup popover promo promoted promotion rail reactions related recommended replies reply "
-    "respond responses share sharing sidebar signup skip skyscraper social sponsor sponsored subnav subscribe subscription teaser toolbar topnav widget".split()
+#: Words of class and id that name what is no part of an article; the ambiguous ones may name parts of one when inside it.
+HINTS_COMMENTS = frozenset("comment comments commentlist discussion disqus reactions replies reply respond responses".split())
+HINTS_AMBIGUOUS = frozenset(
+    "alert announcement banner comment consent cookie cookies discussion gdpr leaderboard menu modal notice notices notification overlay promoted promotion "
+    "rail reactions recommended related replies reply respond responses skip social subscription teaser widget".split()
+)
+HINTS = HINTS_COMMENTS | HINTS_AMBIGUOUS | frozenset(
+    "ad ads adsense adunit adv advert adverts advertisement advertising adbox breadcrumb breadcrumbs footer interstitial login menubar nav navbar navigation "
+    "newsletter pager pagination paywall popup popover promo share sharing sidebar signup skyscraper sponsor sponsored subnav subscribe toolbar topnav".split()
 )
 HINTS_OUTSIDE = frozenset("header masthead topbar foot bottom legal copyright disclaimer privacy".split())
+#: Words that turn a name around, and words behind a name that leave it what it is.
+NEGATIONS = frozenset("no not non without with has have had free hide hidden".split())
+NEUTRAL = frozenset(
+    "area articles bar block blocks body box button buttons col column container content first form group heading holder icons inner item items "
+    "last left link links list main media news outer panel placeholder posts primary right row secondary section slot stories text title top unit widgets wrap wrapper zone".split()
+)
 #: How an element is marked.
-PLAIN, OUT = range(2)
+PLAIN, OUT, NAMED, AMBIGUOUS = range(4)
 
 TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*(?:>|\Z)|/?[a-zA-Z][^>]*\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -64,6 +77,22 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def _named(token: str) -> str | None:
+    """The hint word that a whole token of a class or id comes to."""
+    words = WORDS.findall(CAMEL.sub(" ", token).lower())
+    if not NEGATIONS.isdisjoint(words):
+        return None
+    outside = None
+    for word in reversed(words):
+        if word in HINTS:
+            return word
+        if word in HINTS_OUTSIDE:
+            outside = outside or word
+        elif word not in NEUTRAL:
+            break
+    return outside
+
+
 def _mark(tag: str, attributes: str, in_article: bool) -> tuple[int | None, str]:
     """How an element is marked, None if it cannot be seen, and its class."""
     if tag in UNSEEN:
@@ -75,16 +104,20 @@ def _mark(tag: str, attributes: str, in_article: bool) -> tuple[int | None, str]
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "class":
             kind = value
-        if tag in ARTICLE:
+        if tag in ARTICLE:  # never left out; one that is named as a comment does not count as the article of a page
+            if name == "class" and not HINTS_COMMENTS.isdisjoint(map(_named, value.split())):
+                mark = NAMED
             continue
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and HIDDEN.search(value)):
             return None, kind
         if name == "role" and value.lower() in DROPPED_ROLES:
             mark = OUT
-        if name in ("class", "id"):
-            words = set(WORDS.findall(CAMEL.sub(" ", value).lower()))
-            if words & HINTS or (not in_article and words & HINTS_OUTSIDE):
-                mark = OUT
+        if name in ("class", "id") and mark != OUT:
+            for word in filter(None, map(_named, value.split())):
+                if in_article and word in HINTS_AMBIGUOUS:
+                    mark = mark or AMBIGUOUS
+                elif word in HINTS or not in_article:
+                    mark = NAMED
     return mark, kind
 
 
@@ -93,7 +126,7 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.parents, self.pieces = ["body"], [0], []
-        self.marks, self.kinds = [PLAIN], [""]
+        self.marks, self.kinds, self.in_article = [PLAIN], [""], [False]
         self._stack: list[tuple[str, int]] = [("body", 0)]  # node -1: inside something unseen
         self._articles = 0
         at = 0
@@ -154,6 +187,7 @@ class Page:
         self.parents.append(above)
         self.marks.append(mark)
         self.kinds.append(kind)
+        self.in_article.append(self._articles > 0)
         return len(self.tags) - 1
 
     def _close(self, names: set[str], limits: set[str]) -> None:
@@ -205,17 +239,32 @@ class Page:
             out.append(value)
         return out, chars, links
 
-    def left_out(self) -> list[bool]:
-        """Whether each node is left out by what it is."""
-        gone = [False] * len(self.tags)
-        for i in range(1, len(gone)):
-            gone[i] = gone[self.parents[i]] or self.marks[i] == OUT
-        return gone
+    def left_out(self, chars: list[int]) -> tuple[list[bool], list[bool]]:
+        """Whether each node is left out by what it is, and whether its density decides on it."""
+        n = len(self.tags)
+        size, holds = list(chars), [False] * n
+        for i in range(1, n):
+            size[self.parents[i]] -= chars[i]
+        for i in range(n - 1, 0, -1):
+            if self.marks[i] != OUT:
+                p = self.parents[i]
+                size[p] += size[i]
+                holds[p] |= holds[i] or (self.tags[i] in ARTICLE and self.marks[i] == PLAIN and size[i] > 0)
+        gone, unsure = [False] * n, [False] * n
+        for i in range(1, n):
+            mark = self.marks[i]
+            gone[i] = gone[self.parents[i]] or mark == OUT
+            if mark in (PLAIN, OUT) or gone[i] or self.tags[i] in ARTICLE:
+                continue
+            most = 2 * size[i] > size[0] and (self.in_article[i] or not holds[0])
+            unsure[i] = mark == AMBIGUOUS or holds[i] or most
+            gone[i] = not unsure[i]
+        return gone, unsure
 
     def content(self) -> tuple[list[bool], list[bool]]:
         """Whether each node belongs to the main text, and whether it is left out of it by what it is."""
         density, chars, links = self.densities()
-        gone = self.left_out()
+        gone, unsure = self.left_out(chars)
         n = len(self.tags)
         sums, running = [0.0] * n, [False] * n
         inline, inline_links = [0] * n, [0] * n  # text that stands directly in a node, formatting included
@@ -256,6 +305,8 @@ class Page:
                 chosen[i] = i in wide and 2 * inline_links[i] <= inline[i]
             elif i == core or (i in path and p not in above):
                 chosen[i] = True
+            elif unsure[i]:
+                chosen[i] = text and density[i] >= threshold and (chosen[p] or p in above)
             elif p == core == 0:  # the body itself: all but its lists of links
                 chosen[i] = text or (self.tags[i] in PHRASES and 2 * inline_links[0] <= inline[0])
             elif p not in above:

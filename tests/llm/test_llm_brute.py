@@ -283,6 +283,25 @@ ALL = "\n\n".join(BLOCKS)
 KEPT = {
     "text beside a core in an article": (f"<body>{MENU}<article>Lead text.{SECTIONS}Last <b>words</b>.</article>{FOOT}", f"Lead text.\n\n{ALL}\n\nLast words."),
     "text of the body beside a core": (f"<body>{MENU}Lead text.<div>{SECTIONS}</div>", f"Lead text.\n\n{ALL}"),
+    **{
+        f"wrapper {name}": (f"<body>{MENU}<div {name}><article>{SECTIONS}</article></div>{FOOT}", ALL)
+        for name in ("class='content no-sidebar'", "class=has-sidebar", "class=ad-free", "id=cookie-recipe", "class='sidebar'", "id=widget", "class='comments'")
+    },
+    **{
+        f"wrapper {name} without an article": (f"<body>{MENU}<div {name}>{SECTIONS}</div>{FOOT}", ALL)
+        for name in ("class=no-sidebar", "class='ad-free hasSidebar'", "id=cookie-recipe", "class=sidebar", "class=widget")
+    },
+    **{
+        f"{name} inside an article": (f"<body>{menu}<article><{name}><p>{'w' * 200}</p></{name.split()[0]}>{SECTIONS}</article>", f"{'w' * 200}\n\n{ALL}")
+        for name in ("section id=discussion", "div class=teaser", "div class='related-work'")
+        for menu in (MENU,)
+    },
+    "teaser paragraph": (f"<article><p class='teaser'>Short.</p>{SECTIONS}</article>", f"Short.\n\n{ALL}"),
+    "chrome by name": (
+        f"<body><div id=site-header>Site</div><div class='sidebar-left'><p>{'s' * 90}</p></div><article>{SECTIONS}<div class=shareButtons>Share</div></article>"
+        f"<div id=comments class='comments-area'><article class='comment-body'><p>{'c' * 9000}</p></article></div><div class='ad ad-1'>Buy</div><div id=footerMenu>x</div>",
+        ALL,
+    ),
 }
 
 
