@@ -12,6 +12,8 @@ place, and the documents' ids and lengths.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -185,10 +187,18 @@ def _break_places(part: Slice) -> np.ndarray:
     return np.concatenate([gap, gap[lead[gap] == 0x0A] + 1, marks])
 
 
+def _any_of(tokens: list[dict]) -> re.Pattern[bytes] | None:
+    """The longest of the tokens at a place."""
+    found = sorted((t["content"].encode() for t in tokens), key=len, reverse=True)
+    return re.compile(b"|".join(map(re.escape, found))) if found else None
+
+
 class ByteBpe:
     """Ids of whole texts by the tokenizers library, which is asked once per distinct piece of text.
 
-    Pieces lie between places where the byte-level pattern always breaks, so each is encoded by itself.
+    As in the library, texts are split at the added tokens of the tokenizer file first (``<|endoftext|>`` in a text is one
+    id); between them, pieces lie between places where the byte-level pattern always breaks, so each is encoded by itself.
+    A text with an added token that takes white space or word edges along goes to the library as it is.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -197,8 +207,15 @@ class ByteBpe:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.whole = Tokenizer.from_str(tokenizer_json)
+        file = json.loads(tokenizer_json)
+        added = [t for t in file.get("added_tokens") or [] if t["content"]]
+        self.tokenizer = Tokenizer.from_str(json.dumps(file | {"added_tokens": []}))  # pieces that are joined for a call make up no added token
+        wide = [t for t in added if t["single_word"] or t["lstrip"] or t["rstrip"]]
+        self.added_ids = {t["content"].encode(): t["id"] for t in added}
+        self.wide = _any_of(wide)
+        #: The library splits at tokens of the text as it is first, then at those of the normalized text.
+        self.added = [p for p in (_any_of([t for t in added if t not in wide and t["normalized"] == later]) for later in (False, True)) if p]
         vocab = self.tokenizer.get_vocab()
         self.id_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
@@ -237,6 +254,32 @@ class ByteBpe:
         first[order] = np.concatenate([[0], tokens])[:-1]
         return ids[np.repeat(first - np.concatenate([[0], np.cumsum(counts)])[:-1], counts) + np.arange(len(ids))], counts
 
+    def _split(self, part: Slice) -> list[tuple[int, int, list[int]]]:
+        """Spans of added tokens, and whole texts that the library must see whole, with their ids, in order."""
+        raw, taken = part.data.tobytes(), []
+        if self.wide and self.wide.search(raw):
+            for a, b in zip(part.begins[:-1].tolist(), part.begins[1:].tolist()):
+                if self.wide.search(raw, a, b):
+                    taken.append((a, b, self.whole.encode(raw[a:b].decode(), add_special_tokens=False).ids))
+        for pattern in self.added:
+            if not pattern.search(raw):
+                continue
+            edges = np.unique([*part.begins.tolist(), *[e for a, b, _ in taken for e in (a, b)]])
+            inside = {a for a, _, _ in taken}
+            at, found = 0, []
+            while m := pattern.search(raw, at):
+                k = int(np.searchsorted(edges, m.start(), side="right"))
+                lo, hi = int(edges[k - 1]), int(edges[k])
+                if m.end() > hi:  # over the end of a text
+                    m = pattern.search(raw, max(at, lo), hi)
+                if m is None or lo in inside:
+                    at = hi
+                    continue
+                found.append((m.start(), m.end(), [self.added_ids[m[0]]]))
+                at = m.end()
+            taken = sorted(taken + found)
+        return taken
+
     def encode(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice in turn, and the number of ids of each text."""
         filled = np.flatnonzero(np.diff(part.begins))
@@ -245,9 +288,22 @@ class ByteBpe:
         cut = np.zeros(len(part.data) + 1, bool)
         cut[part.begins[:-1][filled]] = True
         cut[_break_places(part)] = True
+        taken = self._split(part)
+        if taken:
+            first, after = np.array([(a, b) for a, b, _ in taken]).T
+            cut &= np.cumsum(np.bincount(first, minlength=len(cut)) - np.bincount(after, minlength=len(cut))) == 0
+            cut[first] = cut[after] = True
         starts = np.flatnonzero(cut[:-1])
         ends = np.append(starts[1:], len(part.data))
-        ids, counts = self.spans.lookup(part, starts, ends)
+        if not taken:
+            ids, counts = self.spans.lookup(part, starts, ends)
+        else:
+            known = np.isin(starts, first)
+            counts = np.zeros(len(starts), np.int64)
+            ids, counts[~known] = self.spans.lookup(part, starts[~known], ends[~known])
+            before = np.cumsum(counts)[known]
+            counts[known] = [len(own) for _, _, own in taken]
+            ids = np.insert(ids, np.repeat(before, counts[known]), [i for _, _, own in taken for i in own])
         return ids, np.bincount(part.owner(starts), weights=counts, minlength=part.rows).astype(np.int64)
 
 

@@ -159,6 +159,40 @@ def test_token_files(spark, docs):
     assert found == wanted
 
 
+END = "<|endoftext|>"
+WITH_TOKENS = [
+    f"x {END} y", END, END * 3, f"in{END}side", f" {END} ", f"a\n{END}\nb  {END}\t c", f"é{END}é ÷{END}", "<|endof", "text|> <|endoftext|", f"{END}> <{END}|",
+    "<|endof", "", f"don{END}'t he'll {END}{END} 12{END}3", "plain text only", "<pad> a <pa", "d>s <mask>. a<mask>b", "one two three", " two words", "a two", "words b",
+    f"long{END} " * 40_000,
+]
+
+
+@pytest.mark.parametrize("kind", ["as it is", "more tokens", "tokens with edges"])
+def test_added_tokens_equal_the_library(spark, kind):
+    import json
+
+    from tallyloom.llm.token_files import read_token_files, write_token_files
+    from tallyloom.runtime import scratch_path
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        file = json.load(f)
+    plain = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+    if kind != "as it is":
+        more = [("<pad>", {}), ("two words", {"special": False}), (f"{END}{END}", {"normalized": True, "special": False}), ("<|end", {"normalized": True, "special": False})]
+        more += [("<mask>", {"lstrip": True, "rstrip": True}), ("one", {"single_word": True, "special": False})] if kind == "tokens with edges" else []
+        file["added_tokens"] += [{"id": 50257 + i, "content": c} | plain | flags for i, (c, flags) in enumerate(more)]
+    tokenizer = Tokenizer.from_str(json.dumps(file))
+    path = scratch_path(spark, "tokens")
+    df = spark.createDataFrame(list(enumerate(WITH_TOKENS)), "doc_id long, text string").coalesce(1)
+    write_token_files(df, path, json.dumps(file))
+    start = 0
+    for r in sorted(read_token_files(spark, path).collect(), key=lambda r: r["doc_id"]):
+        wanted = tokenizer.encode(WITH_TOKENS[r["doc_id"]], add_special_tokens=False).ids + [0]
+        assert r["ids"] == wanted and r["start"] == start and r["n_tokens"] == len(wanted)
+        start += len(wanted)
+
+
 @pytest.mark.parametrize("kind", ["none", "small", "mixed", "wide", "bits"])
 def test_simple8b_round_trip(kind):
     from tallyloom.llm.token_files import pack, unpack
