@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tallyloom.operators import anomaly, features as ft, models as md, split
+from tallyloom.operators import anomaly, features as ft, metrics, models as md, split
 from tallyloom.operators.noise import CountingScorer, categorical_target_stats
 from tallyloom.operators.schema import label_list
 from tallyloom.plans import compare, workflows as wf
@@ -92,43 +92,35 @@ def svd_embedding(spark, sf):
     return rows.select("row_id", F.size("embedding").alias("size"), F.round(square, 6).alias("square_norm"))
 
 
-# Limits that keep the registered queries short; the learners' own defaults run to convergence.
-LOGREG = md.LogisticLearner(max_iter=100)
-
-
 @query("fit_logreg")
 def fit_logreg(spark, sf):
-    return LOGREG.fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred", *r6("true_label_prob"))
+    return md.LogisticLearner().fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred", *r6("true_label_prob"))
 
 
 @query("fit_linear_svm")
 def fit_linear_svm(spark, sf):
-    learner = md.SvmLearner(max_iter=40)
-    return learner.fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred")
-
-
-TREES = md.TreeLearner(rounds=3, depth=3)
+    return md.SvmLearner().fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred")
 
 
 @query("fit_boosted_trees")
 def fit_boosted_trees(spark, sf):
-    return TREES.fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred", *r6("true_label_prob"))
+    return md.TreeLearner().fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred", *r6("true_label_prob"))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    return md.feature_importance(train_valid(spark, sf)[0], TREES)
+    return md.feature_importance(train_valid(spark, sf)[0], md.TreeLearner())
 
 
 @query("grid_search_cv")
 def grid_search_cv(spark, sf):
     train = train_valid(spark, sf)[0]
-    return md.grid_search(train, md.LogisticLearner(max_iter=30), md.LOGREG_GRID, split.ordered_folds(train), 3).trace
+    return md.grid_search(train, md.LogisticLearner(), md.LOGREG_GRID, split.ordered_folds(train), 3).trace
 
 
 @query("oof_scores_logreg")
 def oof_scores_logreg(spark, sf):
-    noise = wf.score_training_rows(train_valid(spark, sf)[0], md.LogisticLearner(max_iter=50))
+    noise = wf.score_training_rows(train_valid(spark, sf)[0], md.LogisticLearner())
     return noise.select("row_id", "category", "cv_pred", *r6("true_label_prob"), "wrong_flag")
 
 
@@ -141,7 +133,7 @@ def isolation_forest_by_class(spark, sf):
 def autoencoder_recon_error(spark, sf):
     rows = embedding(spark, sf)
     linear = anomaly.linear_recon_error(rows, rank=24)[0].withColumnRenamed("recon_error", "linear_error")
-    deep = anomaly.autoencoder_recon_error(rows, steps=40)[0]
+    deep = anomaly.autoencoder_recon_error(rows)[0]
     return deep.join(linear, "row_id").select("row_id", *r6("recon_error", "linear_error"))
 
 
@@ -162,18 +154,32 @@ def second_stage(spark, sf):
 
 @query("run_suspicious_filter_logreg")
 def run_suspicious_filter_logreg(spark, sf):
-    return wf.run_suspicious_filter(*train_valid(spark, sf), md.LogisticLearner(max_iter=50))[0]
+    return wf.run_suspicious_filter(*train_valid(spark, sf), md.LogisticLearner())[0]
+
+
+def tree_trace(spark, sf):
+    """Trace of the whole tree search, up to the published 1000 rounds, with early stopping."""
+    learner = md.TreeLearner(rounds=1000, early_stop=0.1)
+    return base._once(spark, sf, "tree-trace", lambda: compare.tune_trees(train_valid(spark, sf)[0], learner, md.TREE_GRID))
+
+
+def tree_cells(spark, sf):
+    """The four cells over all seeds, with the best setting and number of rounds of the search."""
+
+    def build():
+        best = metrics.final_rounds(tree_trace(spark, sf)).first()
+        learner = md.TreeLearner(rate=best["learning_rate"], depth=best["depth"], rounds=best["iterations"])
+        return compare.ablation_2x2(*train_valid(spark, sf), learner)[0]
+
+    return base._once(spark, sf, "tree-cells", build)
 
 
 @query("ablation_2x2")
 def ablation_2x2(spark, sf):
-    cells, _ = compare.ablation_2x2(*train_valid(spark, sf), md.TreeLearner(rounds=2, depth=2), seeds=[0])
-    return cells.select("run_name", *[F.col(f"{m}.mean").alias(m) for m in ("accuracy", "weighted_f1", "macro_f1")])
+    return tree_cells(spark, sf).select("run_name", *[F.col(f"{m}.mean").alias(m) for m in ("accuracy", "weighted_f1", "macro_f1")])
 
 
 @query("compare_models")
 def compare_models(spark, sf):
-    table = compare.compare_models(
-        *train_valid(spark, sf), svm=md.SvmLearner(max_iter=5), logreg=md.LogisticLearner(max_iter=10), svm_grid=md.SVM_GRID[1:2], logreg_grid=md.LOGREG_GRID[1:2]
-    )
+    table = compare.compare_models(*train_valid(spark, sf), tree_cells=tree_cells(spark, sf))
     return table.select("model", "cell", "accuracy", "weighted_f1", "macro_f1", "seeds_run")

@@ -82,3 +82,45 @@ def test_learners_can_stand_in_for_the_counting_scorer(spark):
     train, valid = train_valid(spark, SF_DIR)
     scores, scored, _ = wf.run_suspicious_filter(train, valid, md.LogisticLearner(max_iter=5), k=3)
     assert scores.first()["rows_removed"] == scored.where("flagged_suspicious").count() and scored.count() == train.count()
+
+
+def test_model_queries_run_the_whole_comparison(spark, monkeypatch):
+    from conftest import SF_DIR
+
+    from tallyloom import fixed
+    from tallyloom.operators import models as md
+    from tallyloom.plans import compare
+    from tallyloom.registry import base, load
+
+    seen = {}
+
+    def tune(train, learner, grid):
+        seen["tune"] = (learner, grid)
+        rows = [(0.1, 4, f, 0.5, 7) for f in range(5)] + [(0.05, 6, f, 0.6, 130) for f in range(5)]
+        from tallyloom.operators.metrics import cv_trace
+
+        return cv_trace(spark.createDataFrame(rows, "learning_rate double, depth int, fold int, weighted_f1 double, best_iteration int"))
+
+    def ablation(train, valid, learner, seeds=None, cells=None):
+        seen["ablation"] = (learner, seeds, cells)
+        m = "struct<mean:double,std:double,values:array<double>>"
+        rows = [(c, *[(0.5, 0.0, [0.5] * 5)] * 4) for c in fixed.ABLATION_CELLS]
+        return spark.createDataFrame(rows, f"run_name string, accuracy {m}, weighted_f1 {m}, macro_f1 {m}, training_time_seconds {m}"), None
+
+    monkeypatch.setattr(base, "_stored", {})
+    monkeypatch.setattr(compare, "tune_trees", tune)
+    monkeypatch.setattr(compare, "ablation_2x2", ablation)
+
+    def search(train, learner, grid, folds, k, **options):
+        seen.setdefault("searches", []).append((type(learner), learner.max_iter, grid))
+        return md.GridResult(grid[0], None, None)
+
+    monkeypatch.setattr(compare, "grid_search", search)
+    monkeypatch.setattr(compare, "evaluate", lambda learner, train, valid: (None, valid.withColumn("prediction", valid["category"])))
+    rows = load().queries["compare_models"](spark, SF_DIR).collect()
+    assert {(r["model"], r["cell"]) for r in rows} == {(m, c) for m in ("SVM", "LogReg", "Trees") for c in fixed.ABLATION_CELLS}
+    assert {r["seeds_run"] for r in rows if r["model"] == "Trees"} == {5}
+    assert set(map(str, seen["searches"])) == {str((md.SvmLearner, 5000, md.SVM_GRID)), str((md.LogisticLearner, 3000, md.LOGREG_GRID))}
+    assert seen["tune"][0].rounds == 1000 and len(seen["tune"][1]) == 9
+    learner, seeds, cells = seen["ablation"]
+    assert (learner.rate, learner.depth, learner.rounds) == (0.05, 6, 130) and (seeds or fixed.ABLATION_SEEDS) == [0, 1, 2, 3, 4] and cells is None
