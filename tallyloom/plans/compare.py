@@ -91,14 +91,14 @@ def embed(train: DataFrame, valid: DataFrame, vocab: int, rank: int = 40) -> tup
     return materialise(a.join(train.select("row_id", "category"), "row_id"), "embedding"), materialise(b, "embedding")
 
 
-def recon_errors(train: DataFrame, valid: DataFrame, kind: str = "linear", **options) -> tuple[DataFrame, DataFrame]:
+def recon_errors(train: DataFrame, valid: DataFrame, kind: str = "network", **options) -> tuple[DataFrame, DataFrame]:
     a, b = embed(train, valid, 4000)
     fit = anomaly.linear_recon_error if kind == "linear" else anomaly.autoencoder_recon_error
     errors = fit(a, b, **options)
     return materialise(errors[0], "errors"), materialise(errors[1], "errors")
 
 
-def compare_delta_ae_focal(train: DataFrame, valid: DataFrame, noise: DataFrame, learner, autoencoder: str = "linear", **options) -> DataFrame:
+def compare_delta_ae_focal(train: DataFrame, valid: DataFrame, noise: DataFrame, learner, autoencoder: str = "network", **options) -> DataFrame:
     """Plain fit, delta features, reconstruction error as feature and as cut, focal weights."""
     out = Results(learner, valid)
     out.add("baseline", train)
@@ -118,7 +118,7 @@ def compare_delta_ae_focal(train: DataFrame, valid: DataFrame, noise: DataFrame,
 
 def second_stage(
     train: DataFrame, valid: DataFrame, noise: DataFrame, learner, share: float = 0.75, min_keep: int = 40, gates: tuple[float, ...] = (0.25, 0.4, 0.5),
-    autoencoder: str = "linear", **options,
+    autoencoder: str = "network", **options,
 ) -> DataFrame:
     """Class-aware removal, then residual injection, error gates or minority focal weights on top."""
     out = Results(learner, valid)

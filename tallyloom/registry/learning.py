@@ -144,12 +144,12 @@ def compare_noise_methods(spark, sf):
 
 @query("compare_delta_ae_focal")
 def compare_delta_ae_focal(spark, sf):
-    return compare.compare_delta_ae_focal(*train_valid(spark, sf), training_noise(spark, sf), CountingScorer(), rank=24)
+    return compare.compare_delta_ae_focal(*train_valid(spark, sf), training_noise(spark, sf), CountingScorer())
 
 
 @query("second_stage")
 def second_stage(spark, sf):
-    return compare.second_stage(*train_valid(spark, sf), training_noise(spark, sf), CountingScorer(), rank=24)
+    return compare.second_stage(*train_valid(spark, sf), training_noise(spark, sf), CountingScorer())
 
 
 @query("run_suspicious_filter_logreg")

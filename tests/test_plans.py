@@ -124,3 +124,22 @@ def test_model_queries_run_the_whole_comparison(spark, monkeypatch):
     assert seen["tune"][0].rounds == 1000 and len(seen["tune"][1]) == 9
     learner, seeds, cells = seen["ablation"]
     assert (learner.rate, learner.depth, learner.rounds) == (0.05, 6, 130) and (seeds or fixed.ABLATION_SEEDS) == [0, 1, 2, 3, 4] and cells is None
+
+
+@pytest.mark.parametrize("name", ["compare_delta_ae_focal", "second_stage"])
+def test_autoencoder_rows_hold_the_error_of_the_network(spark, monkeypatch, name):
+    from conftest import SF_DIR
+
+    from tallyloom.operators import anomaly
+    from tallyloom.registry import load
+
+    class Network(Exception):
+        pass
+
+    def network(*args, **options):
+        assert not options
+        raise Network
+
+    monkeypatch.setattr(anomaly, "autoencoder_recon_error", network)
+    with pytest.raises(Network):
+        load().queries[name](spark, SF_DIR)
