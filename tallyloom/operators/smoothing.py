@@ -181,6 +181,11 @@ def residual_injection(sig: Ordered, factor: float = 0.2) -> DataFrame:
 LOWESS_CELLS = 1 << 21
 
 
+def lowess_span(n: int) -> int:
+    """The published share of all rows, a twentieth, as an odd number of rows."""
+    return 2 * int(0.025 * n) + 1
+
+
 def smooth_lowess(sig: Ordered, span: int, rounds: int = 2, out: str = "smooth", value: str = "x", block_rows: int = 8192) -> DataFrame:
     """Local linear fit with tricube weights over the ``span`` nearest rows, ``rounds`` robust repeats.
 

@@ -221,7 +221,7 @@ def advanced_signals(noise: DataFrame, optional: bool = False, lowess_span: int
     """The ``optional`` ones take longer: the local regression costs rows times ``lowess_span`` rows, which is
     the published twentieth of all rows unless given."""
     sig = sm.scored_signal(noise)
-    span = lowess_span or 2 * int(0.025 * sig.n) + 1
+    span = lowess_span or sm.lowess_span(sig.n)
     ways: list[tuple[str, Callable]] = [
         ("savgol_w21_p6", lambda: sm.smooth_savgol(sig, 21, 6)),
         ("filtfilt_fir17_c015", lambda: sm.smooth_zero_phase_fir(sig)),

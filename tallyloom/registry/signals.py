@@ -130,7 +130,8 @@ def smooth_wavelet(spark, sf):
 
 @query("smooth_lowess")
 def smooth_lowess(spark, sf):
-    return smooth_only(sm.smooth_lowess(signal(spark, sf), span=51))
+    sig = signal(spark, sf)
+    return smooth_only(sm.smooth_lowess(sig, sm.lowess_span(sig.n)))
 
 
 @query("zscore", build("SELECT row_id, round((x - avg(x) OVER ()) / (stddev_pop(x) OVER () + 1e-12), 6) AS z FROM based", "based"))

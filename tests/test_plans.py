@@ -143,3 +143,18 @@ def test_autoencoder_rows_hold_the_error_of_the_network(spark, monkeypatch, name
     monkeypatch.setattr(anomaly, "autoencoder_recon_error", network)
     with pytest.raises(Network):
         load().queries[name](spark, SF_DIR)
+
+
+def test_lowess_takes_a_twentieth_of_all_rows(spark, monkeypatch):
+    from tallyloom.operators import smoothing as sm
+    from tallyloom.registry import load
+
+    spans, smooth = [], sm.smooth_lowess
+
+    def spy(sig, span, **options):
+        spans.append((sig.n, span))
+        return smooth(sig, span, **options)
+
+    monkeypatch.setattr(sm, "smooth_lowess", spy)
+    assert load().queries["smooth_lowess"](spark, SF_DIR).count() == spans[0][0]
+    assert all(abs(span - 0.05 * n) <= 2 for n, span in spans)
