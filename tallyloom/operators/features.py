@@ -139,7 +139,8 @@ def text_stages(train: DataFrame, spec: FeatureSpec, column: str = "text_in", ou
         stages.append(StopWordsRemover(inputCol="words", outputCol="kept", stopWords=stop_words() if spec.stop is True else list(spec.stop)))
         last = "kept"
     data = PipelineModel(stages).transform(train)
-    counter = CountVectorizer(inputCol=last, outputCol="counts", vocabSize=spec.vocab, minDF=spec.min_df, maxDF=spec.max_df).fit(data)
+    most = spec.max_df if spec.max_df < 1 else float(1 << 62)  # to Spark, 1.0 is a count of documents, not the share of all
+    counter = CountVectorizer(inputCol=last, outputCol="counts", vocabSize=spec.vocab, minDF=spec.min_df, maxDF=most).fit(data)
     if spec.all_terms and len(counter.vocabulary) >= spec.vocab:
         raise ValueError(f"more than {spec.vocab - 1} terms")
     idf = IDF(inputCol="counts", outputCol="idf").fit(counter.transform(data)).idf.toArray() + 1.0

@@ -102,6 +102,14 @@ def fit_linear_svm(spark, sf):
     return md.SvmLearner().fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred")
 
 
+@query("svm_modes")
+def svm_modes(spark, sf):
+    """The four text and category modes of the linear SVM, each fitted on the whole training split."""
+    train, valid = train_valid(spark, sf)
+    scores = [wf.evaluate(m, train, valid)[0].select(F.lit(name).alias("mode"), *metrics.RANKING) for name, m in md.SVM_MODES.items()]
+    return metrics.union_results(*scores)
+
+
 @query("fit_boosted_trees")
 def fit_boosted_trees(spark, sf):
     return md.TreeLearner().fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred", *r6("true_label_prob"))
@@ -163,6 +171,12 @@ def tree_trace(spark, sf):
     return base._once(spark, sf, "tree-trace", lambda: compare.tune_trees(train_valid(spark, sf)[0], learner, md.TREE_GRID))
 
 
+@query("tune_trees")
+def tune_trees(spark, sf):
+    """The search over three rates and three depths on five folds of the whole training split."""
+    return tree_trace(spark, sf)
+
+
 def tree_cells(spark, sf):
     """The four cells over all seeds, with the best setting and number of rounds of the search."""
 

@@ -158,3 +158,28 @@ def test_lowess_takes_a_twentieth_of_all_rows(spark, monkeypatch):
     monkeypatch.setattr(sm, "smooth_lowess", spy)
     assert load().queries["smooth_lowess"](spark, SF_DIR).count() == spans[0][0]
     assert all(abs(span - 0.05 * n) <= 2 for n, span in spans)
+
+
+def test_svm_modes_and_the_tree_search_are_queries(spark, monkeypatch):
+    from tallyloom import fixed
+    from tallyloom.plans import compare
+    from tallyloom.registry import base, load
+
+    asked, fit_score = [], md.SvmLearner.fit_score
+
+    def short(learner, train, rows, *rest):
+        asked.append((learner.spec, learner.balanced, learner.max_iter))
+        return fit_score(md.replace(learner, max_iter=1), train, rows, *rest)
+
+    def trace(train, learner, grid):
+        asked.append([(g["rate"], g["depth"]) for g in grid])
+        return spark.range(9)
+
+    monkeypatch.setattr(md.SvmLearner, "fit_score", short)
+    monkeypatch.setattr(compare, "tune_trees", trace)
+    monkeypatch.setattr(base, "_stored", {})
+    queries = load().queries
+    assert {r["mode"] for r in queries["svm_modes"](spark, SF_DIR).collect()} == set(md.SVM_MODES)
+    assert asked == [(m.spec, m.balanced, 5000) for m in md.SVM_MODES.values()]
+    assert queries["tune_trees"](spark, SF_DIR).count() == 9
+    assert asked[-1] == [(r, d) for r in fixed.TREE_RATES for d in fixed.TREE_DEPTHS]
