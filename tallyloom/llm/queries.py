@@ -19,6 +19,7 @@ from tallyloom.llm.quality_rules import judge_quality
 from tallyloom.llm.secrets import KINDS, REACH, scan_secrets, span_text
 from tallyloom.llm.session import prepare
 from tallyloom.llm.token_files import read_token_files, write_token_files
+from tallyloom.llm.vector_codes import compress_vectors
 from tallyloom.runtime import materialise, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +225,51 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer_file("byte_bpe_50k.json").decode())
     return read_token_files(spark, path, digest=True)
+
+
+def _assign_sql(books: str) -> str:
+    """Nearest entry of every part, the lowest index among equals."""
+    return f"""
+        SELECT vec_id, part, min(d * 64 + entry) % 64 AS entry, min(d * 64 + entry) // 64 AS d FROM (
+            SELECT c.vec_id, c.part, b.entry, sum((c.x - b.x) * (c.x - b.x))::BIGINT AS d
+            FROM components c JOIN {books} b ON c.part = b.part AND c.place = b.place GROUP BY ALL
+        ) GROUP BY vec_id, part"""
+
+
+def _move_sql(books: str, found: str) -> str:
+    """Entries at the floor of the mean of their parts; unused ones stay."""
+    return f"""
+        SELECT b.part, b.entry, b.place, coalesce(m.x, b.x) AS x FROM {books} b LEFT JOIN (
+            SELECT c.part, f.entry, c.place, floor(sum(c.x)::DOUBLE / count(*))::BIGINT AS x
+            FROM components c JOIN {found} f ON c.vec_id = f.vec_id AND c.part = f.part GROUP BY ALL
+        ) m ON b.part = m.part AND b.entry = m.entry AND b.place = m.place"""
+
+
+@query(
+    "op11_vector_codes",
+    f"""
+    WITH kept AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), components AS MATERIALIZED (
+        SELECT vec_id, place // (w // 16) AS part, place % (w // 16) AS place, floor(256 * x)::BIGINT AS x
+        FROM (SELECT vec_id, len(e) AS w, unnest(e) AS x, unnest(range(len(e))) AS place FROM kept)
+    ), books0 AS MATERIALIZED (
+        SELECT part, entry, place, x FROM components JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < 64) USING (vec_id)
+    ), found0 AS MATERIALIZED ({_assign_sql("books0")}
+    ), books1 AS MATERIALIZED ({_move_sql("books0", "found0")}
+    ), found1 AS MATERIALIZED ({_assign_sql("books1")}
+    ), books2 AS MATERIALIZED ({_move_sql("books1", "found1")}
+    ), found2 AS MATERIALIZED ({_assign_sql("books2")}
+    ), coded AS (
+        SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM found2 GROUP BY vec_id
+    )
+    SELECT k.vec_id, code, error, sum(error) OVER (PARTITION BY k.label)::BIGINT AS label_error,
+        (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) FROM books2) AS codebooks_sha256
+    FROM kept k JOIN coded c ON k.vec_id = c.vec_id
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    digest = F.lit(books.digest() if books else None).cast("string")
+    return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))

@@ -6,7 +6,7 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.runtime import ship_package
 
@@ -28,6 +28,14 @@ def prepare(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores more as no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lean(batches: Batches) -> Batches:
     """The same function; a worker gives memory it has freed back at the end of a task, since Spark keeps it for later ones."""
 
