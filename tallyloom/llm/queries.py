@@ -8,8 +8,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.chat_format import chat_digests, format_chats
 from tallyloom.llm.embedding_dedup import dedup_embeddings
 from tallyloom.llm.jaccard_join import jaccard_components
+from tallyloom.llm.lexical_search import search
 from tallyloom.llm.line_dedup import dedup_lines
 from tallyloom.llm.main_text import extract_text
 from tallyloom.llm.mixing import mix_sources, word_count
@@ -273,3 +275,66 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = compress_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     digest = F.lit(books.digest() if books else None).cast("string")
     return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+@query(
+    "op12_lexical_search",
+    r"""
+    WITH words AS (
+        SELECT doc_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM documents
+    ), asked AS (
+        SELECT DISTINCT item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM benchmark
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+    ), totals AS (
+        SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes
+    ), held AS (
+        SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+    ), weights AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM held, totals GROUP BY term, docs
+    ), impacts AS (
+        SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // t.words))) AS impact
+        FROM held JOIN weights USING (term) JOIN sizes USING (doc_id), totals t
+    ), scores AS (
+        SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY ALL HAVING sum(impact) > 0
+    )
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores
+    QUALIFY rank <= 50
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return search(docs.select("doc_id", "text"), items.select("item_id", "text"))
+
+
+#: One more conversation whose texts hold the template's control strings.
+PLANTED = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op13_chat_format",
+    rf"""
+    WITH told AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '{PLANTED}'), (-1, 1, 'assistant', '{PLANTED}')
+    ), sized AS (
+        SELECT *, length(regexp_replace(text, '(</?|\[/?)(\\*)(s>|INST\]|SYS\]|ROLE[\]=])', '\1\\\2\3', 'g')) AS body FROM told
+    ), placed AS (
+        SELECT *, body + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 ELSE 14 + length(hex(role)) END AS chars FROM sized
+    ), summed AS (
+        SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS until FROM placed
+    )
+    SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        sum(chars)::BIGINT AS formatted_chars, count(*) FILTER (role = 'assistant')::BIGINT AS n_examples,
+        coalesce(sum(until - 4) FILTER (role = 'assistant'), 0)::BIGINT AS example_chars
+    FROM summed GROUP BY conv_id
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED).alias("text")
+    )
+    return chat_digests(format_chats(rows.unionByName(planted)))
