@@ -8,9 +8,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     Normalizer,
     OneHotEncoder,
+    OneHotEncoderModel,
     RegexTokenizer,
     SQLTransformer,
     StopWordsRemover,
@@ -168,6 +170,17 @@ def fit_features(train: DataFrame, spec: FeatureSpec, out: str = "features") ->
     return PipelineModel(stages)
 
 
+def vector_size(model: PipelineModel, out: str = "features") -> int:
+    """Number of entries of the vectors that fitted feature stages give."""
+    sizes = {}
+    for stage in model.stages:
+        if isinstance(stage, CountVectorizerModel):
+            sizes["text_vec"] = len(stage.vocabulary)
+        elif isinstance(stage, OneHotEncoderModel):  # the last category, of unseen values, has no entry
+            sizes |= dict(zip(stage.getOutputCols(), [n - stage.getDropLast() for n in stage.categorySizes]))
+    return sum(sizes.get(c, 1) for c in model.stages[-1].getInputCols())
+
+
 def svd_embedding(train: DataFrame, valid: DataFrame, rank: int = 40, spec: FeatureSpec = WIDE, vocab: int = 4000) -> tuple[DataFrame, DataFrame]:
     """(train, valid) as (row_id, embedding): text TF-IDF on its leading right singular vectors (not
     centred), then one-hot and scaled number columns. Signs of the text part are arbitrary."""

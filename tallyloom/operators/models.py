@@ -1,33 +1,31 @@
 """Learners: fit on training rows, score other rows with ``cv_pred`` and ``true_label_prob``.
 
-Every learner has ``fit_score(train, rows, weight)``. Spark ML does the fitting; one-vs-rest loops and
-grids run over a handful of classes or settings on the driver and submit their jobs side by side.
+Every learner has ``fit_score(train, rows, weight)``. Spark ML fits the features; the settings of a grid are
+fitted in shared scans (``linear``) or in one job (``boosting``), and folds side by side.
 """
 
 from __future__ import annotations
 
 import time
-import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
-from typing import NamedTuple
+from math import ceil
+from typing import ClassVar, NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import fixed
-from tallyloom.operators import features as ft
+from tallyloom.operators import boosting, features as ft, linear
 from tallyloom.operators.impute import sample_weights
-from tallyloom.operators.metrics import classification_metrics
+from tallyloom.operators.metrics import scores_from_counts
 from tallyloom.operators.noise import CountingScorer
-from tallyloom.operators.schema import label_encode, label_list
+from tallyloom.operators.schema import label_list
 from tallyloom.operators.split import stratified_kfold
-from tallyloom.runtime import materialise
+from tallyloom.runtime import discard, materialise
 
 
 def side_by_side(jobs: list, parallelism: int) -> list:
@@ -45,26 +43,6 @@ def _weighted(train: DataFrame, label: str, balanced: bool, weight: str | None)
     return train.withColumn("_w", F.lit(1.0) if weight is None else F.col(weight))
 
 
-def _scored(df: DataFrame, keep: list[str], labels: list[str], label: str, scores: str) -> DataFrame:
-    """Label of the highest score, and the score of the row's own label (0 for an unknown label)."""
-    names = F.array(*[F.lit(x) for x in labels])
-    best = F.array_position(F.col(scores), F.array_max(scores)).cast("int")
-    own = F.array_position(names, F.col(label)).cast("int")
-    return df.select(
-        *keep,
-        F.element_at(names, best).alias("cv_pred"),
-        F.when(own > 0, F.element_at(F.col(scores), F.greatest(own, F.lit(1)))).otherwise(0.0).alias("true_label_prob"),
-    )
-
-
-def _converged(model, max_iter: int):
-    """The model; a warning if the fit ended at its limit of iterations instead of its tolerance."""
-    summary = model.summary() if callable(model.summary) else model.summary
-    if summary.totalIterations >= max_iter:
-        warnings.warn(f"stopped after {max_iter} iterations", RuntimeWarning, stacklevel=2)
-    return model
-
-
 def _kept(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c not in ("cv_pred", "true_label_prob")]
 
@@ -91,45 +69,62 @@ class Learner:
         return reduce(DataFrame.unionByName, parts)
 
 
+#: Rows of one task in a scan, at least.
+SCAN_ROWS = 16_384
+
+
 class Prepared(NamedTuple):
-    """Fitted feature stages, labels, and the training vectors, which several fits may share."""
+    """Fitted feature stages, labels, number of terms, and the stored training rows, which many fits share."""
 
     features: PipelineModel
     labels: list[str]
+    size: int
     data: DataFrame
 
+    def rows(self, rows: DataFrame, label: str, *keep: str) -> DataFrame:
+        """Rows as the linear models take them; ``y`` is -1 for an unknown label."""
+        place = F.coalesce(F.array_position(F.array(*[F.lit(x) for x in self.labels]), F.col(label)) - 1, F.lit(-1))
+        return self.features.transform(rows).select(*keep, *linear.sparse("features"), place.cast("int").alias("y"))
+
 
 @dataclass(frozen=True)
 class LinearLearner(Learner):
-    """Shared part of the linear models: features are fitted once per training set."""
+    """Shared part of the linear models: features are fitted once per training set, and all settings on it in the same scans."""
 
     C: float = 1.0
     max_iter: int = 5000
+    tol: float = 1e-4
+    loss: ClassVar[str]
+    probabilities: ClassVar[bool]
 
-    def prepare(self, train: DataFrame, weight: str | None = None) -> Prepared:
+    def prepare(self, train: DataFrame, weight: str | None = None, keep: list[str] = []) -> Prepared:  # noqa: B006
         labels = label_list(train, label=self.label)
         model = ft.fit_features(train, self.spec)
-        data = label_encode(_weighted(train, self.label, self.balanced, weight), labels, self.label)
-        data = model.transform(data).select("features", F.col("label_code").cast("double").alias("label_code"), "_w").persist()
-        return Prepared(model, labels, data)
-
-    def fit(self, ready: Prepared) -> list:
-        """Model stages for prepared training vectors."""
-        raise NotImplementedError
-
-    def scores(self, ready: Prepared):
-        """Column with one score per label after the model stages."""
-        raise NotImplementedError
-
-    def apply(self, ready: Prepared, stages: list, rows: DataFrame) -> DataFrame:
-        scored = PipelineModel([*ready.features.stages, *stages]).transform(rows).withColumn("_p", self.scores(ready))
-        return _scored(scored, _kept(rows), ready.labels, self.label, "_p")
+        weighed = _weighted(_weighted(train, self.label, False, weight).withColumnRenamed("_w", "w"), self.label, True, None).withColumnRenamed("_w", "cw")
+        ready = Prepared(model, labels, ft.vector_size(model), weighed)
+        kept = ["w", "cw", *keep]
+        data = ready.rows(weighed.withColumns({c: F.col(c).cast("double") for c in ("w", "cw")}), self.label, *kept)
+        stored = materialise(data.where("y >= 0"), "vectors")
+        few = stored.coalesce(max(1, ceil(stored.count() / SCAN_ROWS)))  # a scan of a small table is mostly start of tasks
+        few._stored_at = stored._stored_at
+        return ready._replace(data=few)
+
+    def run(self, bit: int | None = None) -> linear.Run:
+        return linear.Run(self.loss, self.C, self.balanced, bit)
+
+    def fit(self, ready: Prepared, runs: list[linear.Run] | None = None) -> list:
+        """Coefficients of every run (of this setting alone, if none are given) in shared scans."""
+        return linear.fit_runs(ready.data, runs or [self.run()], ready.size, len(ready.labels), self.max_iter, self.tol)
+
+    def apply(self, ready: Prepared, model, rows: DataFrame) -> DataFrame:
+        keep = _kept(rows)
+        return linear.score(ready.rows(rows, self.label, *dict.fromkeys([*keep, self.label])), model, ready.size, ready.labels, self.label, keep, self.probabilities)
 
     def fit_score(self, train: DataFrame, rows: DataFrame, weight: str | None = None) -> DataFrame:
         ready = self.prepare(train, weight)
-        stages = self.fit(ready)
-        ready.data.unpersist()
-        return self.apply(ready, stages, rows)
+        scored = self.apply(ready, self.fit(ready)[0], rows)
+        discard(ready.data)
+        return scored
 
 
 @dataclass(frozen=True)
@@ -138,121 +133,113 @@ class LogisticLearner(LinearLearner):
 
     C: float = 2.0
     max_iter: int = 3000
-    tol: float = 1e-6
-
-    def fit(self, ready: Prepared) -> list:
-        total = ready.data.agg(F.sum("_w")).first()[0]
-        model = LogisticRegression(
-            labelCol="label_code", weightCol="_w", family="multinomial", elasticNetParam=0.0, regParam=1.0 / (self.C * total),
-            standardization=False, maxIter=self.max_iter, tol=self.tol,
-        )
-        return [_converged(model.fit(ready.data), self.max_iter)]
-
-    def scores(self, ready: Prepared):
-        return vector_to_array("probability")
+    loss = linear.LOGISTIC
+    probabilities = True
 
 
 @dataclass(frozen=True)
 class SvmLearner(LinearLearner):
-    """One-vs-rest linear SVM; ``true_label_prob`` holds the margin of the row's own label.
+    """One-vs-rest linear SVM with squared hinge loss; ``true_label_prob`` holds the margin of the row's own label.
 
     The class weight applies to a class's own rows, the others count 1.
     """
 
     spec: ft.FeatureSpec = ft.ONE_HOT
+    loss = linear.SQUARED_HINGE
+    probabilities = False
 
-    def fit(self, ready: Prepared) -> list:
-        def one(i: int):
-            own = F.col("label_code") == i
-            binary = ready.data.select("features", own.cast("double").alias("y"), F.when(own, F.col("_w")).otherwise(1.0).alias("bw"))
-            total = binary.agg(F.sum("bw")).first()[0]
-            svc = LinearSVC(labelCol="y", weightCol="bw", regParam=1.0 / (self.C * total), standardization=False, maxIter=self.max_iter)
-            return _converged(svc.fit(binary), self.max_iter).setRawPredictionCol(f"_m{i}").setPredictionCol(f"_b{i}")
-
-        return side_by_side([lambda i=i: one(i) for i in range(len(ready.labels))], self.parallelism)
 
-    def scores(self, ready: Prepared):
-        return F.array(*[F.element_at(vector_to_array(f"_m{i}"), 2) for i in range(len(ready.labels))])
+#: Quantile bins of the amount and of each label rate.
+NUMBER_BINS, RATE_BINS = 64, 16
 
 
 @dataclass(frozen=True)
 class TreeLearner(Learner):
-    """One-vs-rest gradient-boosted trees on amount and out-of-fold label rates of the categories.
+    """Multi-class boosted trees on amount and out-of-fold label rates of the categories.
 
-    ``early_stop`` holds out a hash-chosen share of the rows, on which Spark stops the boosting.
+    With ``patience`` one stratified fold is held out, scored after every round, and the ensemble is cut to its best
+    round. A fit sees about ``max_rows`` rows, chosen by hash; label rates, class weights and scores cover all rows.
     """
 
     rate: float = 0.1
     depth: int = 4
-    rounds: int = 20
+    rounds: int = 1000
+    patience: int | None = 50
     seed: int = 0
     balanced: bool = False
-    early_stop: float = 0.0
+    max_rows: int = 200_000
     columns: tuple[str, ...] = ("description", "transaction_type", "account_name")
     number: str = "amount"
 
-    def encode(self, train: DataFrame, rows: DataFrame, labels: list[str]) -> tuple[DataFrame, DataFrame]:
-        """(train, rows) with the label rates of every categorical column, stored."""
+    def encode(self, train: DataFrame, rows: DataFrame, labels: list[str], by: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+        """(train, rows) with the vector ``x`` of the amount and the label rates of every categorical column, stored.
+
+        ``by`` columns separate parts that are encoded for themselves, in the same jobs.
+        """
         fill = {c: F.coalesce(F.col(c), F.lit("")) for c in self.columns}
         train, rows = train.withColumns(fill), rows.withColumns(fill)
-        folded = materialise(stratified_kfold(train, self.label, seed=self.seed), "folded")
+        folded = materialise(stratified_kfold(train, self.label, seed=self.seed, by=by), "folded")
         own, asked = folded, rows
         for c in self.columns:
-            scorer = CountingScorer(keys=(c,), label=self.label)
+            scorer = CountingScorer(keys=(c,), label=self.label, by=by)
             own = scorer.out_of_fold_rates(folded, labels, f"te_{c}", onto=own)
             asked = scorer.fit_rates(folded, rows, labels, f"te_{c}", onto=asked)
-        return materialise(own, "encoded"), materialise(asked, "encoded")
-
-    def vector(self):
-        """The amount followed by the label rates of this learner's columns."""
-        amount = F.array(F.coalesce(F.nanvl(F.col(self.number), F.lit(0.0)), F.lit(0.0)))
-        return array_to_vector(F.concat(amount, *[F.col(f"te_{c}") for c in self.columns])).alias("features")
-
-    def fit(self, data: DataFrame, labels: list[str]) -> list:
-        """One binary model per class on encoded rows that carry ``_w``."""
-        held = F.pmod(F.xxhash64("row_id", F.lit(self.seed)), F.lit(1000)) < int(1000 * self.early_stop)
-        data = data.select(self.vector(), self.label, "_w", held.alias("held")).persist()
-
-        def one(i: int):
-            binary = data.withColumn("y", (F.col(self.label) == labels[i]).cast("double"))
-            trees = GBTClassifier(labelCol="y", weightCol="_w", stepSize=self.rate, maxDepth=self.depth, maxIter=self.rounds, seed=self.seed)
-            if self.early_stop:
-                trees = trees.setValidationIndicatorCol("held")
-            return trees.fit(binary).setRawPredictionCol(f"_m{i}").setPredictionCol(f"_b{i}").setProbabilityCol(f"_p{i}")
-
-        fitted = side_by_side([lambda i=i: one(i) for i in range(len(labels))], self.parallelism)
-        data.unpersist()
-        return fitted
-
-    def score(self, fitted: list, rows: DataFrame, keep: list[str], labels: list[str]) -> DataFrame:
-        scored = PipelineModel(fitted).transform(rows.withColumn("features", self.vector()))
-        own = F.array(*[F.element_at(vector_to_array(f"_p{i}"), 2) for i in range(len(labels))])
-        total = F.aggregate(F.col("_own"), F.lit(0.0), lambda a, x: a + x)
-        scored = scored.withColumn("_own", own).withColumn("_p", F.transform("_own", lambda x: x / total))
-        return _scored(scored, keep, labels, self.label, "_p")
+        amount = F.array(F.coalesce(F.nanvl(F.col(self.number).cast("double"), F.lit(0.0)), F.lit(0.0)))
+        vector = F.concat(amount, *[F.col(f"te_{c}") for c in self.columns])
+        rates = [f"te_{c}" for c in self.columns]
+        return materialise(own.withColumn("x", vector).drop(*rates), "encoded"), materialise(asked.withColumn("x", vector).drop(*rates), "encoded")
+
+    def places(self, labels: list[str], columns: tuple[str, ...] | None = None) -> tuple[int, ...]:
+        """Positions in ``x`` of the amount and of the label rates of some columns."""
+        used = self.columns if columns is None else columns
+        rates = [1 + i * len(labels) + j for i, c in enumerate(self.columns) if c in used for j in range(len(labels))]
+        return (0, *rates)
+
+    def run(self, labels: list[str], part: int = 0, features: tuple[int, ...] | None = None) -> boosting.Run:
+        bins = (NUMBER_BINS, *[RATE_BINS] * (len(self.columns) * len(labels)))
+        return boosting.Run(part, self.rate, self.depth, self.rounds, self.patience, self.balanced, features, bins)
+
+    def growable(self, encoded: DataFrame, labels: list[str], weight: str | None = None, part: Column | None = None, held: Column | None = None) -> DataFrame:
+        """Encoded rows as ``boosting.grow_runs`` takes them, about ``max_rows`` of every part."""
+        part, held = F.lit(0) if part is None else part, F.lit(False) if held is None else held
+        place = F.array_position(F.array(*[F.lit(y) for y in labels]), F.col(self.label)) - 1
+        w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+        rows = encoded.select(part.cast("int").alias("part"), "row_id", held.alias("held"), "x", place.cast("int").alias("y"), w.alias("w"))
+        sums = rows.where(~F.col("held")).groupBy("part", "y").agg(F.count("*").alias("n")).groupBy("part").agg(
+            F.sum("n").alias("n"), F.count("*").alias("k"), F.map_from_entries(F.collect_list(F.struct("y", "n"))).alias("per")
+        )
+        weight_of = (F.col("n") / (F.col("k") * F.col("per")[F.col("y")])).alias("cw")
+        rows = rows.where("y >= 0").join(F.broadcast(sums), "part")  # one row per part
+        return boosting.bounded_rows(rows.select("part", "row_id", "held", "x", "y", "w", F.coalesce(weight_of, F.lit(0.0)).alias("cw")), self.max_rows)
+
+    def grow(self, encoded: DataFrame, labels: list[str], weight: str | None = None) -> boosting.Ensemble:
+        """The ensemble of this setting; with patience, a fold other than those of the label rates is held out."""
+        held = None
+        if self.patience is not None:
+            encoded = materialise(stratified_kfold(encoded.drop("fold"), self.label, seed=self.seed + 1), "held")
+            held = F.col("fold") == 0
+        runs = [self.run(labels)]
+        return boosting.ensembles(boosting.grow_runs(self.growable(encoded, labels, weight, held=held), runs, len(labels)), runs, len(labels))[0]
 
     def fit_score(self, train: DataFrame, rows: DataFrame, weight: str | None = None) -> DataFrame:
         labels = label_list(train, label=self.label)
         own, others = self.encode(train, rows, labels)
-        return self.score(self.fit(self.weighted(own, weight), labels), others, _kept(rows), labels)
-
-    def weighted(self, encoded: DataFrame, weight: str | None = None) -> DataFrame:
-        return _weighted(encoded, self.label, self.balanced, weight)
+        model = self.grow(own, labels, weight)
+        return boosting.predict(others.withColumn("model", F.lit("one")), {"one": model}, labels, self.label, _kept(rows))
 
-    def importance(self, fitted: list, labels: list[str]) -> list[tuple[str, float]]:
-        """Importance per source column in percent, averaged over the classes' models, descending."""
+    def importance(self, model: boosting.Ensemble, labels: list[str]) -> list[tuple[str, float]]:
+        """Share of the gains of all splits per source column in percent, descending."""
         names = [self.number] + [c for c in self.columns for _ in labels]
-        totals: dict[str, float] = {}
-        for model in fitted:
-            for name, value in zip(names, model.featureImportances.toArray()):
-                totals[name] = totals.get(name, 0.0) + 100.0 * float(value) / len(fitted)
+        totals = dict.fromkeys(names, 0.0)
+        for name, gain in zip(names, model.gains):
+            totals[name] += 100.0 * float(gain) / max(float(model.gains.sum()), 1e-300)
         return sorted(totals.items(), key=lambda kv: (-kv[1], kv[0]))
 
 
 def feature_importance(train: DataFrame, learner: TreeLearner) -> DataFrame:
     labels = label_list(train, label=learner.label)
     own, _ = learner.encode(train, train.limit(0), labels)
-    rows = learner.importance(learner.fit(learner.weighted(own), labels), labels)
+    rows = learner.importance(learner.grow(own, labels), labels)
     return train.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 
 
@@ -263,32 +250,40 @@ class GridResult:
     trace: DataFrame = field(repr=False)
 
 
-def grid_search(train: DataFrame, learner: Learner, grid: list[dict], folds: DataFrame, k: int, fold: str = "fold", parallelism: int = 4) -> GridResult:
+def grid_search(train: DataFrame, learner: LinearLearner, grid: list[dict], folds: DataFrame, k: int, fold: str = "fold", parallelism: int = 4) -> GridResult:
     """Weighted F1 of every setting on every fold; features are fitted inside the fold, once for all settings.
 
     The best setting has the highest mean, the first listed one on equal means.
     """
     stored = materialise(folds, "folds")
 
-    def one(f: int) -> list[tuple]:
+    def one(f: int) -> DataFrame:
         own, other = stored.where(F.col(fold) != f), stored.where(F.col(fold) == f)
-        ready = learner.prepare(own) if isinstance(learner, LinearLearner) else None
-        rows = []
-        for i, setting in enumerate(grid):
-            model = replace(learner, **setting, parallelism=1)
-            preds = model.fit_score(own, other) if ready is None else model.apply(ready, model.fit(ready), other)
-            rows.append((i, f, float(classification_metrics(preds, learner.label, "cv_pred").first()["weighted_f1"])))
-        if ready is not None:
-            ready.data.unpersist()
-        return rows
-
-    scores = [row for part in side_by_side([lambda f=f: one(f) for f in range(k)], parallelism) for row in part]
-    runs = train.sparkSession.createDataFrame(scores, "config int, fold int, weighted_f1 double")
+        return fold_scores([replace(learner, **setting) for setting in grid], own, other).withColumn("fold", F.lit(f))
+
+    parts = side_by_side([lambda f=f: one(f) for f in range(k)], parallelism)
+    runs = reduce(DataFrame.unionByName, parts).select(F.col("run").alias("config"), "fold", "weighted_f1")
     trace = runs.groupBy("config").agg(F.avg("weighted_f1").alias("mean_weighted_f1"), F.stddev_pop("weighted_f1").alias("std_weighted_f1"))
+    trace = materialise(trace, "trace")
     best = trace.orderBy(F.desc(F.round("mean_weighted_f1", 12)), "config").first()["config"]
     return GridResult(grid[best], runs, trace)
 
 
+def fold_scores(settings: list[LinearLearner], own: DataFrame, other: DataFrame) -> DataFrame:
+    """Metrics per ``run`` on ``other`` of all settings fitted on ``own``, stored: features are fitted once, the fits
+    share their scans, and one pass counts the predictions. The settings see the same columns."""
+    base = settings[0]
+    if any((m.spec, m.label) != (base.spec, base.label) for m in settings):
+        raise ValueError("settings see different columns")
+    ready = base.prepare(own)
+    max_iter, tol = max(m.max_iter for m in settings), min(m.tol for m in settings)
+    models = linear.fit_runs(ready.data, [m.run() for m in settings], ready.size, len(ready.labels), max_iter, tol)
+    counts = linear.count_predictions(ready.rows(other, base.label), models, ready.size)
+    scores = materialise(scores_from_counts(counts, ("run",)), "fold-scores")
+    discard(ready.data)
+    return scores
+
+
 def timed(job):
     start = time.perf_counter()
     result = job()

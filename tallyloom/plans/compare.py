@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from tallyloom import fixed
 from tallyloom.functions import columns as fx
-from tallyloom.operators import anomaly, features as ft, metrics, removal, smoothing as sm
-from tallyloom.operators.models import LOGREG_GRID, SVM_GRID, LinearLearner, LogisticLearner, SvmLearner, TreeLearner, grid_search, timed
+from tallyloom.operators import anomaly, boosting, features as ft, metrics, removal, smoothing as sm
+from tallyloom.operators.models import LOGREG_GRID, SVM_GRID, LinearLearner, LogisticLearner, SvmLearner, TreeLearner, fold_scores, side_by_side, timed
 from tallyloom.operators.noise import CountingScorer, align_noise, candidate_pool
 from tallyloom.operators.ranks import exact_quantiles
 from tallyloom.operators.schema import label_list
 from tallyloom.operators.split import class_counts, ordered_folds, stratified_kfold
 from tallyloom.plans.workflows import evaluate
-from tallyloom.runtime import materialise
+from tallyloom.runtime import literal_table, materialise
 
 
 class Results:
@@ -153,23 +153,26 @@ CELLS: dict[str, tuple[bool, bool]] = {
 
 
 def tune_trees(train: DataFrame, learner: TreeLearner, grid: list[dict], k: int = 5) -> DataFrame:
-    """Tuning trace: fold scores and best rounds of every setting, best first."""
-    folds = materialise(stratified_kfold(train, k=k), "folds")
-    rows = []
-    for f in range(k):
-        own, other = folds.where(F.col("fold") != f).drop("fold"), folds.where(F.col("fold") == f).drop("fold")
-        labels = label_list(own, label=learner.label)
-        coded, asked = learner.encode(own, other, labels)
-        for setting in grid:
-            model = replace(learner, **setting)
-            fitted = model.fit(model.weighted(coded), labels)
-            preds = model.score(fitted, asked, other.columns, labels)
-            score = metrics.classification_metrics(preds, learner.label, "cv_pred").first()["weighted_f1"]
-            rounds = int(max(m.getNumTrees for m in fitted))
-            rows.append((float(model.rate), int(model.depth), f, float(score), rounds))
-    runs = train.sparkSession.createDataFrame(rows, "learning_rate double, depth int, fold int, weighted_f1 double, best_iteration int")
-    capped = runs.withColumn("best_iteration", metrics.best_round(F.col("best_iteration")))
-    return metrics.cv_trace(capped).orderBy(F.desc("mean_weighted_f1"), "learning_rate", "depth")
+    """Tuning trace: fold scores and best rounds of every setting, best first.
+
+    The folds are encoded in the same jobs, and every (setting, fold) is one run of one job, scored on its
+    held-out fold after every round.
+    """
+    labels = label_list(train, label=learner.label)
+    folds = materialise(stratified_kfold(train, learner.label, k=k), "folds")
+    copies = folds.withColumn("outer", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    inside = F.col("fold") != F.col("outer")
+    own, asked = learner.encode(copies.where(inside).drop("fold"), copies.where(~inside).drop("fold"), labels, by=("outer",))
+    both = own.drop("fold").withColumn("held", F.lit(False)).unionByName(asked.withColumn("held", F.lit(True)))
+    rows = learner.growable(both, labels, part=F.col("outer"), held=F.col("held"))
+    cells = [(f, replace(learner, **setting)) for setting in grid for f in range(k)]
+    runs = [model.run(labels, f) for f, model in cells]
+    grown = boosting.grow_runs(rows, runs, len(labels), keep_trees=False)
+    names = [{"run": i, "learning_rate": float(m.rate), "depth": int(m.depth), "fold": f} for i, (f, m) in enumerate(cells)]
+    table = literal_table(train.sparkSession, names, "run int, learning_rate double, depth int, fold int")
+    best = metrics.best_round(F.col("best"), learner.rounds).cast("int").alias("best_iteration")
+    scores = grown.join(table, "run").select("learning_rate", "depth", "fold", F.array_max("curve").alias("weighted_f1"), best)
+    return metrics.cv_trace(scores).orderBy(F.desc("mean_weighted_f1"), "learning_rate", "depth")
 
 
 def ablation_2x2(
@@ -177,58 +180,72 @@ def ablation_2x2(
 ) -> tuple[DataFrame, DataFrame]:
     """(nested metrics per cell over seeds, per-class report of the first seed per cell).
 
-    The label rates of a seed are computed once and shared by its cells.
+    A seed deals the folds of the label rates anew. All seeds are encoded in the same jobs, and all cells of all
+    seeds are grown in one. The training time of a run is that of its own task and its share of the encoding.
     """
-    seeds = seeds or fixed.ABLATION_SEEDS
-    labels = label_list(train, valid)
-    own_labels = label_list(train)
-    runs, reports = [], []
+    seeds, cells = seeds or fixed.ABLATION_SEEDS, cells or CELLS
+    labels, own_labels = label_list(train, valid, label=learner.label), label_list(train, label=learner.label)
+    per_seed = F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed")
+    (own, asked), encode_seconds = timed(lambda: learner.encode(train.select("*", per_seed), valid.select("*", per_seed), own_labels, by=("seed",)))
+    names, runs = [], []
     for seed in seeds:
-        coded, encode_seconds = timed(lambda seed=seed: replace(learner, seed=seed).encode(train, valid, own_labels))
-        for cell, (text, weighted) in (cells or CELLS).items():
-            columns = learner.columns if text else tuple(c for c in learner.columns if c != "description")
-            model = replace(learner, columns=columns, balanced=weighted, seed=seed)
-
-            def fit(model=model, coded=coded):
-                fitted = model.fit(model.weighted(coded[0]), own_labels)
-                scored = model.score(fitted, coded[1], valid.columns, own_labels)
-                return materialise(scored.withColumnRenamed("cv_pred", "prediction"), "preds")
-
-            preds, seconds = timed(fit)
-            row = metrics.classification_metrics(preds)
-            spent = F.lit(seconds + encode_seconds).alias("training_time_seconds")
-            runs.append(row.select(F.lit(cell).alias("run_name"), F.lit(seed).alias("seed"), *metrics.RANKING, spent))
-            if seed == seeds[0]:
-                reports.append(metrics.per_class_report(preds, labels).withColumn("run_name", F.lit(cell)))
-    table = materialise(metrics.union_results(*runs), "ablation")
-    nested = metrics.seed_aggregate(table, [*metrics.RANKING, "training_time_seconds"], ("run_name",))
-    return nested, metrics.union_results(*reports)
+        for cell, (text, weighted) in cells.items():
+            places = learner.places(own_labels, None if text else tuple(c for c in learner.columns if c != "description"))
+            names.append({"run": len(runs), "run_name": cell, "seed": seed, "model": f"{cell}:{seed}"})
+            runs.append(replace(learner, balanced=weighted).run(own_labels, seed, places))
+    grown = boosting.grow_runs(learner.growable(own, own_labels, part=F.col("seed")), runs, len(own_labels))
+    models = dict(zip([n["model"] for n in names], boosting.ensembles(grown, runs, len(own_labels))))
+    table = literal_table(train.sparkSession, names, "run int, run_name string, seed int, model string")
+    scored = boosting.predict(asked.join(table, "seed"), models, own_labels, learner.label, ["run_name", "seed", learner.label])
+    preds = materialise(scored.withColumnRenamed("cv_pred", "prediction"), "preds")
+    spent = (F.col("seconds") + encode_seconds / len(runs)).alias("training_time_seconds")
+    scores = metrics.classification_metrics(preds, learner.label, by=("run_name", "seed"))
+    result = scores.join(grown.join(table, "run").select("run_name", "seed", spent), ["run_name", "seed"])
+    nested = metrics.seed_aggregate(materialise(result, "ablation"), [*metrics.RANKING, "training_time_seconds"], ("run_name",))
+    return nested, metrics.per_class_report(preds.where(F.col("seed") == seeds[0]), labels, learner.label, by=("run_name",))
 
 
 def compare_models(
     train: DataFrame, valid: DataFrame, tree_cells: DataFrame | None = None, svm: SvmLearner | None = None, logreg: LogisticLearner | None = None,
     svm_grid: list[dict] | None = None, logreg_grid: list[dict] | None = None, cells: dict[str, tuple[bool, bool]] | None = None, parallelism: int = 4,
 ) -> DataFrame:
-    """One row per (model, cell); linear models are tuned on three unshuffled folds inside the cell."""
+    """One row per (model, cell); linear models are tuned on three unshuffled folds inside the cell.
+
+    Cells that see the same columns share their features, and all their settings, of both families, the scans of a
+    fold; so do their final fits. A cell's training time is its share of that work.
+    """
     folds = materialise(ordered_folds(train, k=3), "folds")
-    rows = []
+    families = {"SVM": (svm or SvmLearner(), svm_grid or SVM_GRID), "LogReg": (logreg or LogisticLearner(), logreg_grid or LOGREG_GRID)}
+    by_text: dict[bool, list[tuple[str, bool]]] = {}
     for cell, (text, weighted) in (cells or CELLS).items():
+        by_text.setdefault(text, []).append((cell, weighted))
+    rows = []
+    for text, own in by_text.items():
         spec = ft.ONE_HOT if text else ft.ONE_HOT_NO_TEXT
-        families: list[tuple[str, object, list[dict]]] = [
-            ("SVM", svm or SvmLearner(), svm_grid or SVM_GRID),
-            ("LogReg", logreg or LogisticLearner(), logreg_grid or LOGREG_GRID),
-        ]
-        for name, base, grid in families:
-            model = replace(base, spec=spec, balanced=weighted)
-
-            def fit(model=model, grid=grid):
-                best = grid_search(train, model, grid, folds, 3, parallelism=parallelism).best
-                return materialise(evaluate(replace(model, **best), train, valid)[1], "preds")
-
-            preds, seconds = timed(fit)
-            scores = metrics.classification_metrics(preds)
-            rows.append(scores.select(F.lit(name).alias("model"), F.lit(cell).alias("cell"), *metrics.RANKING, F.lit(seconds).alias("training_time_seconds"), F.lit(1).alias("seeds_run")))
+        groups = [(name, cell, [replace(base, spec=spec, balanced=weighted, **g) for g in grid]) for name, (base, grid) in families.items() for cell, weighted in own]
+        scores, seconds = timed(lambda groups=groups: _tuned(train, valid, folds, groups, parallelism))
+        for (name, cell, _), score in zip(groups, scores):
+            spent = F.lit(seconds / len(groups)).alias("training_time_seconds")
+            rows.append(score.select(F.lit(name).alias("model"), F.lit(cell).alias("cell"), *metrics.RANKING, spent, F.lit(1).alias("seeds_run")))
     if tree_cells is not None:
         means = [F.col(f"{m}.mean").alias(m) for m in (*metrics.RANKING, "training_time_seconds")]
         rows.append(tree_cells.select(F.lit("Trees").alias("model"), F.col("run_name").alias("cell"), *means, F.size("accuracy.values").alias("seeds_run")))
     return metrics.union_results(*rows)
+
+
+def _tuned(train: DataFrame, valid: DataFrame, folds: DataFrame, groups: list[tuple[str, str, list[LinearLearner]]], parallelism: int):
+    """One row of metrics on the validation rows for the best setting of every group; all see the same columns."""
+    settings = [m for *_, models in groups for m in models]
+
+    def one(f: int) -> DataFrame:
+        return fold_scores(settings, folds.where(F.col("fold") != f).drop("fold"), folds.where(F.col("fold") == f).drop("fold"))
+
+    parts = side_by_side([lambda f=f: one(f) for f in range(3)], parallelism)
+    means = {r["run"]: r["m"] for r in metrics.union_results(*parts).groupBy("run").agg(F.round(F.avg("weighted_f1"), 12).alias("m")).collect()}
+    best, at = [], 0
+    for *_, models in groups:
+        places = range(at, at + len(models))
+        best.append(settings[max(places, key=lambda i: (means[i], -i))])
+        at += len(models)
+    scores = fold_scores(best, train, valid)
+    return [scores.where(F.col("run") == i) for i in range(len(best))]

@@ -3,13 +3,13 @@
 import numpy as np
 import pytest
 from conftest import SF_DIR
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from tallyloom.operators import features as ft, models as md, split
+from tallyloom import fixed
+from tallyloom.operators import features as ft, linear, models as md, split
 from tallyloom.operators.noise import CountingScorer
-from tallyloom.plans import workflows as wf
+from tallyloom.plans import compare, workflows as wf
 from tallyloom.registry.base import noise, train_valid
 
 QUERIES = entry_module.queries()
@@ -44,16 +44,67 @@ def test_top_suspicious_is_a_top_k(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["top_suspicious"](spark, SF_DIR))
 
 
+def dense(ready):
+    """(rows, label numbers, weights) of prepared rows as numpy arrays."""
+    rows = ready.data.collect()
+    x = np.zeros((len(rows), ready.size))
+    for i, r in enumerate(rows):
+        x[i, r["at"]] = r["value"]
+    return x, np.array([r["y"] for r in rows]), np.array([r["w"] * r["cw"] for r in rows])
+
+
+def test_svm_meets_its_optimality_condition(spark):
+    train, _ = train_valid(spark, SF_DIR)
+    for balanced in (False, True):
+        learner = md.SvmLearner(C=0.1, balanced=balanced, tol=1e-6)
+        ready = learner.prepare(train)
+        model = learner.fit(ready)[0]
+        x, y, w = dense(ready)
+        x = np.hstack([x, np.ones((len(x), 1))])
+        s = np.where(np.eye(len(ready.labels))[y] > 0, 1.0, -1.0)
+        v = np.where(s > 0, w[:, None] if balanced else 1.0, 1.0)
+        gradient = -2 * learner.C * x.T @ (v * s * np.maximum(0, 1 - s * (x @ model))) + model
+        assert np.abs(gradient).max() < 1e-4
+        assert ready.size == x.shape[1] - 1
+
+
+def test_runs_that_share_scans_equal_single_fits(spark):
+    """Grids, both losses and row sets: each run gives what it gives alone on its rows."""
+    train, _ = train_valid(spark, SF_DIR)
+    ready = md.LogisticLearner(spec=ft.ONE_HOT).prepare(train, keep=["row_id"])
+    data = ready.data.withColumn("keep", F.expr("array(shiftleft(1L, CAST(row_id % 3 AS INT)) | 8L)"))
+    runs = [linear.Run("logistic", 1.0, True, 3), linear.Run("logistic", 10.0, False, 0), linear.Run("squared_hinge", 0.1, True, 2), linear.Run("squared_hinge", 1.0, False, 1)]
+    many = linear.fit_runs(data, runs, ready.size, len(ready.labels), 2000, 1e-5)
+    for run, model in zip(runs, many):
+        rows = data if run.bit == 3 else data.where(f"row_id % 3 = {run.bit}")
+        alone = linear.fit_runs(rows, [md.replace(run, bit=None)], ready.size, len(ready.labels), 2000, 1e-5)[0]
+        x = dense(ready)[0]
+        f, g = (x @ m[:-1] + m[-1] for m in (model, alone))
+        assert np.abs((f - f.mean(1, keepdims=True)) - (g - g.mean(1, keepdims=True))).max() < 0.05
+
+
+def test_gradients_are_added_up_on_the_cluster_where_they_are_large(spark, monkeypatch):
+    train, _ = train_valid(spark, SF_DIR)
+    ready = md.LogisticLearner().prepare(train)
+    ready = ready._replace(data=ready.data.repartition(5))
+    runs = [linear.Run("logistic", 1.0)]
+    points = [np.random.default_rng(0).normal(size=(ready.size + 1, len(ready.labels)))]
+    one = linear._scan(ready.data, runs, points, ready.size, len(ready.labels))
+    monkeypatch.setattr(linear, "DIRECT_BYTES", 0)
+    monkeypatch.setattr(linear, "CHUNK", 17)
+    two = linear._scan(ready.data, runs, points, ready.size, len(ready.labels))
+    assert np.allclose(one[0], two[0]) and np.allclose(one[1], two[1])
+
+
 def test_logistic_regression_meets_its_optimality_condition(spark):
     rng = np.random.default_rng(0)
     rows = [(i, float(a), "xyz"[int(a + b > 0) + int(a > 1)]) for i, (a, b) in enumerate(rng.normal(size=(400, 2)))]
     df = spark.createDataFrame(rows, "row_id long, amount double, category string")
-    learner = md.LogisticLearner(spec=ft.FeatureSpec(text=None, categories=(), numbers=("amount",)), max_iter=500, tol=1e-10)
+    learner = md.LogisticLearner(spec=ft.FeatureSpec(text=None, categories=(), numbers=("amount",)), max_iter=500, tol=1e-8)
     ready = learner.prepare(df)
     model = learner.fit(ready)[0]
-    data = ready.data.select(vector_to_array("features").alias("x"), "label_code", "_w").collect()
-    x, y, w = np.array([r["x"] for r in data]), np.array([int(r["label_code"]) for r in data]), np.array([r["_w"] for r in data])
-    coef, base = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    x, y, w = dense(ready)
+    coef, base = model[:-1].T, model[-1]
     p = np.exp(x @ coef.T + base)
     p /= p.sum(1, keepdims=True)
     gradient = learner.C * ((p - np.eye(len(ready.labels))[y]) * w[:, None]).T @ x + coef
@@ -84,46 +135,35 @@ def test_learners_can_stand_in_for_the_counting_scorer(spark):
     assert scores.first()["rows_removed"] == scored.where("flagged_suspicious").count() and scored.count() == train.count()
 
 
-def test_model_queries_run_the_whole_comparison(spark, monkeypatch):
-    from conftest import SF_DIR
-
-    from tallyloom import fixed
-    from tallyloom.operators import models as md
-    from tallyloom.plans import compare
-    from tallyloom.registry import base, load
-
-    seen = {}
-
-    def tune(train, learner, grid):
-        seen["tune"] = (learner, grid)
-        rows = [(0.1, 4, f, 0.5, 7) for f in range(5)] + [(0.05, 6, f, 0.6, 130) for f in range(5)]
-        from tallyloom.operators.metrics import cv_trace
-
-        return cv_trace(spark.createDataFrame(rows, "learning_rate double, depth int, fold int, weighted_f1 double, best_iteration int"))
-
-    def ablation(train, valid, learner, seeds=None, cells=None):
-        seen["ablation"] = (learner, seeds, cells)
-        m = "struct<mean:double,std:double,values:array<double>>"
-        rows = [(c, *[(0.5, 0.0, [0.5] * 5)] * 4) for c in fixed.ABLATION_CELLS]
-        return spark.createDataFrame(rows, f"run_name string, accuracy {m}, weighted_f1 {m}, macro_f1 {m}, training_time_seconds {m}"), None
-
-    monkeypatch.setattr(base, "_stored", {})
-    monkeypatch.setattr(compare, "tune_trees", tune)
-    monkeypatch.setattr(compare, "ablation_2x2", ablation)
-
-    def search(train, learner, grid, folds, k, **options):
-        seen.setdefault("searches", []).append((type(learner), learner.max_iter, grid))
-        return md.GridResult(grid[0], None, None)
-
-    monkeypatch.setattr(compare, "grid_search", search)
-    monkeypatch.setattr(compare, "evaluate", lambda learner, train, valid: (None, valid.withColumn("prediction", valid["category"])))
-    rows = load().queries["compare_models"](spark, SF_DIR).collect()
-    assert {(r["model"], r["cell"]) for r in rows} == {(m, c) for m in ("SVM", "LogReg", "Trees") for c in fixed.ABLATION_CELLS}
-    assert {r["seeds_run"] for r in rows if r["model"] == "Trees"} == {5}
-    assert set(map(str, seen["searches"])) == {str((md.SvmLearner, 5000, md.SVM_GRID)), str((md.LogisticLearner, 3000, md.LOGREG_GRID))}
-    assert seen["tune"][0].rounds == 1000 and len(seen["tune"][1]) == 9
-    learner, seeds, cells = seen["ablation"]
-    assert (learner.rate, learner.depth, learner.rounds) == (0.05, 6, 130) and (seeds or fixed.ABLATION_SEEDS) == [0, 1, 2, 3, 4] and cells is None
+def test_comparison_of_three_families(spark):
+    """The real path with short limits: tuning, ablation over seeds, tuned linear models."""
+    train, valid = train_valid(spark, SF_DIR)
+    learner = md.TreeLearner(rounds=12, patience=3)
+    trace = compare.tune_trees(train, learner, [{"rate": 0.05, "depth": 2}, {"rate": 0.5, "depth": 3}], k=3).collect()
+    assert len(trace) == 2 and all(len(r["fold_scores"]) == 3 for r in trace)
+    assert trace[0]["mean_weighted_f1"] >= trace[1]["mean_weighted_f1"]
+    nested, reports = compare.ablation_2x2(train, valid, md.replace(learner, patience=None), seeds=[0, 1])
+    assert {r["run_name"] for r in nested.collect()} == set(fixed.ABLATION_CELLS)
+    assert {len(r["accuracy"]["values"]) for r in nested.collect()} == {2}
+    assert all(r["training_time_seconds"]["mean"] > 0 for r in nested.collect())
+    assert {r["run_name"] for r in reports.collect()} == set(fixed.ABLATION_CELLS)
+    svm, logreg = md.SvmLearner(tol=1e-2), md.LogisticLearner(tol=1e-2)
+    table = compare.compare_models(train, valid, nested, svm, logreg, [{"C": 0.01}, {"C": 0.1}], [{"C": 0.1}, {"C": 1.0}]).collect()
+    assert {(r["model"], r["cell"]) for r in table} == {(m, c) for m in ("SVM", "LogReg", "Trees") for c in fixed.ABLATION_CELLS}
+    assert {r["seeds_run"] for r in table if r["model"] == "Trees"} == {2}
+    best = {m: max(r["accuracy"] for r in table if r["model"] == m) for m in ("SVM", "LogReg", "Trees")}
+    assert min(best.values()) > 0.8
+
+
+def test_a_tuned_cell_equals_its_own_grid_search(spark):
+    train, valid = train_valid(spark, SF_DIR)
+    grid, base = [{"C": 0.01}, {"C": 1.0}], md.SvmLearner(tol=1e-2)
+    table = compare.compare_models(train, valid, None, base, md.LogisticLearner(tol=1e-2), grid, grid[:1], cells={"class_weighted": (True, True), "baseline": (True, False)})
+    found = {(r["model"], r["cell"]): r["weighted_f1"] for r in table.collect()}
+    for cell, weighted in (("class_weighted", True),):
+        learner = md.replace(base, balanced=weighted)
+        best = md.grid_search(train, learner, grid, split.ordered_folds(train), 3).best
+        assert found["SVM", cell] == pytest.approx(wf.evaluate(md.replace(learner, **best), train, valid)[0].first()["weighted_f1"])
 
 
 @pytest.mark.parametrize("name", ["compare_delta_ae_focal", "second_stage"])
@@ -160,26 +200,9 @@ def test_lowess_takes_a_twentieth_of_all_rows(spark, monkeypatch):
     assert all(abs(span - 0.05 * n) <= 2 for n, span in spans)
 
 
-def test_svm_modes_and_the_tree_search_are_queries(spark, monkeypatch):
-    from tallyloom import fixed
-    from tallyloom.plans import compare
-    from tallyloom.registry import base, load
-
-    asked, fit_score = [], md.SvmLearner.fit_score
-
-    def short(learner, train, rows, *rest):
-        asked.append((learner.spec, learner.balanced, learner.max_iter))
-        return fit_score(md.replace(learner, max_iter=1), train, rows, *rest)
-
-    def trace(train, learner, grid):
-        asked.append([(g["rate"], g["depth"]) for g in grid])
-        return spark.range(9)
+def test_svm_modes_and_the_tree_search_are_queries(spark):
+    from tallyloom.registry import load
 
-    monkeypatch.setattr(md.SvmLearner, "fit_score", short)
-    monkeypatch.setattr(compare, "tune_trees", trace)
-    monkeypatch.setattr(base, "_stored", {})
-    queries = load().queries
-    assert {r["mode"] for r in queries["svm_modes"](spark, SF_DIR).collect()} == set(md.SVM_MODES)
-    assert asked == [(m.spec, m.balanced, 5000) for m in md.SVM_MODES.values()]
-    assert queries["tune_trees"](spark, SF_DIR).count() == 9
-    assert asked[-1] == [(r, d) for r in fixed.TREE_RATES for d in fixed.TREE_DEPTHS]
+    assert {r["mode"] for r in load().queries["svm_modes"](spark, SF_DIR).collect()} == set(md.SVM_MODES)
+    trace = load().queries["tune_trees"](spark, SF_DIR).collect()  # 1000 rounds, patience 50
+    assert {(r["learning_rate"], r["depth"]) for r in trace} == {(r, d) for r in fixed.TREE_RATES for d in fixed.TREE_DEPTHS}
