@@ -7,11 +7,12 @@ evaluates the next trial point of every run that has not converged, so the numbe
 slowest run, not the sum over runs, classes and line searches.
 
 Objectives, for rows with weight w and K classes, W without the intercept b:
-``logistic``: sum(w * -log softmax) / n + |W|^2 / (2 C n), with n the sum of weights;
+``logistic``: sum(w * -log softmax) / n + |W|^2 / (2 C n), with n the sum of row times class weights;
 ``squared_hinge``: per class, sum(v * max(0, 1 - s f)^2) / n + (|W|^2 + b^2) / (2 C n), s = +1 and v = class
 weight for own rows, s = -1 and v = 1 for others. Both are smooth, and zero gradient is the condition for the optimum.
 
-The driver holds the coefficients, terms x classes x runs, as it must to send them out.
+The driver holds the coefficients, terms x classes x runs, as it must to send them out, and up to ``2 * MEMORY``
+steps of that size.
 """
 
 from __future__ import annotations
@@ -36,12 +37,14 @@ CHUNK = 1 << 16
 
 @dataclass(frozen=True)
 class Run:
-    """``bit`` is the number of the row set in the rows' ``keep`` words, if rows carry them."""
+    """``bit`` is the number of the row set in the rows' ``keep`` words of 63 bits, if rows carry them; ``classes`` are
+    the class weights of a balanced run whose rows are such a set, in place of the rows' own ``cw``."""
 
     loss: str
     C: float
     balanced: bool = False
     bit: int | None = None
+    classes: tuple[float, ...] | None = None
 
 
 def sparse(vector: str) -> list[Column]:
@@ -88,7 +91,9 @@ def _weights(batch: pa.RecordBatch, run: Run) -> tuple[np.ndarray, np.ndarray]:
     if run.bit is not None:
         words = batch.column("keep").flatten().to_numpy().reshape(batch.num_rows, -1)
         w = w * (words[:, run.bit // 63] >> (run.bit % 63) & 1)
-    return w, batch.column("cw").to_numpy() if run.balanced else np.ones(batch.num_rows)
+    if not run.balanced:
+        return w, np.ones(batch.num_rows)
+    return w, batch.column("cw").to_numpy() if run.classes is None else np.array(run.classes)[batch.column("y").to_numpy()]
 
 
 def _slope(run: Run, f: np.ndarray, y: np.ndarray, w: np.ndarray, cw: np.ndarray) -> tuple[float, np.ndarray]:
@@ -211,33 +216,23 @@ def _squares(data: DataFrame, runs: list[Run], size: int) -> np.ndarray:
     return rows.drop(columns="term").to_numpy() if len(rows) else np.zeros((size + 1, len(runs)))
 
 
-def _totals(data: DataFrame, runs: list[Run]) -> list[float]:
-    """Sum of weights of every run's rows."""
-    sums = []
-    for run in runs:
-        w = F.col("w") * F.col("cw") if run.balanced and run.loss == LOGISTIC else F.col("w")
-        if run.bit is not None:
-            w = w * F.shiftright(F.col("keep")[run.bit // 63], run.bit % 63).bitwiseAND(F.lit(1))
-        sums.append(F.sum(w).cast("double"))
-    return list(data.agg(F.array(*sums).alias("n")).first()["n"])
-
-
 def fit_runs(data: DataFrame, runs: list[Run], size: int, n_classes: int, max_iter: int, tol: float) -> list[np.ndarray]:
     """Coefficients (terms and the intercept last, classes) of every run on ``data(at, value, y, w, cw[, keep])``, a stored table.
 
     A run ends when no component of its gradient is above ``tol``; one that meets ``max_iter`` first gives a warning.
     """
-    totals, squares = _totals(data, runs), _squares(data, runs, size)
+    squares = _squares(data, runs, size)
+    totals = np.maximum(squares[-1], 1e-300)  # the intercept is 1 in every row
     states = []
     for i, run in enumerate(runs):
-        n = max(totals[i] or 0.0, 1e-300)
+        n = totals[i]
         bend = squares[:, i, None] * (0.25 if run.loss == LOGISTIC else 2.0) / n + 1 / (run.C * n)
         states.append(Descent(np.zeros((size + 1, n_classes)), bend, tol, max_iter))
     while not all(s.done for s in states):
         open_ = [i for i, s in enumerate(states) if not s.done]
         losses, slopes = _scan(data, [runs[i] for i in open_], [states[i].trial for i in open_], size, n_classes)
         for j, i in enumerate(open_):
-            n, point = max(totals[i] or 0.0, 1e-300), states[i].trial
+            n, point = totals[i], states[i].trial
             pulled = point.copy()
             if runs[i].loss == LOGISTIC:
                 pulled[-1] = 0.0

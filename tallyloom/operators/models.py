@@ -120,6 +120,31 @@ class LinearLearner(Learner):
         keep = _kept(rows)
         return linear.score(ready.rows(rows, self.label, *dict.fromkeys([*keep, self.label])), model, ready.size, ready.labels, self.label, keep, self.probabilities)
 
+    def count_runs(self, train: DataFrame, rows: DataFrame, drops: list[Column], run: str = "run") -> DataFrame:
+        """(run, actual, predicted, n) of one fit per condition of rows to leave out, all fits in the same scans.
+
+        Features are fitted once, on all training rows. A row carries one bit per run that keeps it, and a balanced
+        run has the class weights of its own rows.
+        """
+        kept = [~F.coalesce(d, F.lit(False)) for d in drops]
+        bits = [F.when(k, F.lit(1 << (i % 63))).otherwise(F.lit(0)).cast("long") for i, k in enumerate(kept)]
+        words = [reduce(Column.bitwiseOR, bits[at : at + 63]) for at in range(0, len(bits), 63)]
+        ready = self.prepare(train.withColumn("keep", F.array(*words)), keep=["keep"])
+        sizes = train.groupBy(self.label).agg(F.array(*[F.count_if(k) for k in kept]).alias("n")).collect()  # one row per label
+        counts = {r[self.label]: r["n"] for r in sizes}
+        runs = []
+        for i in range(len(drops)):
+            own = [counts[y][i] for y in ready.labels]
+            used = sum(n > 0 for n in own)
+            runs.append(replace(self.run(i), classes=tuple(sum(own) / (used * n) if n else 0.0 for n in own)))
+        models = linear.fit_runs(ready.data, runs, ready.size, len(ready.labels), self.max_iter, self.tol)
+        names = F.array(*[F.lit(y) for y in ready.labels])
+        found = linear.count_predictions(ready.rows(rows, self.label), models, ready.size)
+        named = found.select(F.col("run").alias(run), F.try_element_at(names, F.col("actual") + 1).alias("actual"), F.element_at(names, F.col("predicted") + 1).alias("predicted"), "n")
+        counted = materialise(named, "counts")
+        discard(ready.data)
+        return counted
+
     def fit_score(self, train: DataFrame, rows: DataFrame, weight: str | None = None) -> DataFrame:
         ready = self.prepare(train, weight)
         scored = self.apply(ready, self.fit(ready)[0], rows)

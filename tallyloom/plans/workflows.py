@@ -1,7 +1,7 @@
 """The jobs a user calls: filter, relabel, sweep, clean in rounds, compare.
 
-All take a learner; with the Spark ML learners a run is one fit, with the counting scorer many runs
-share one job. Runs are described by rows of a result DataFrame.
+All take a learner; with the counting scorer many runs share one job, with a linear learner the scans of
+its fits. Runs are described by rows of a result DataFrame.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyloom import fixed
 from tallyloom.functions import columns as fx
 from tallyloom.operators import metrics, relabel, removal, scaling, smoothing as sm
+from tallyloom.operators.models import LinearLearner
 from tallyloom.operators.noise import NARROW_KEYS, CountingScorer, align_noise, combined_runs, repeated_scores
 from tallyloom.operators.split import class_counts, folds_by_seed, stratified_kfold
 from tallyloom.runtime import discard, literal_table, materialise
@@ -31,7 +32,7 @@ def evaluate(learner, train: DataFrame, valid: DataFrame, weight: str | None = N
 def evaluate_runs(learner, train: DataFrame, valid: DataFrame, runs: list[tuple[dict, Column]], schema: str) -> DataFrame:
     """Metrics of one fit per (parameters, rows to leave out); rows are left out by a condition on ``train``."""
     table = literal_table(train.sparkSession, [{**params, "run": i} for i, (params, _) in enumerate(runs)], f"run int, {schema}")
-    if isinstance(learner, CountingScorer):
+    if isinstance(learner, (CountingScorer, LinearLearner)):
         scores = metrics.scores_from_counts(learner.count_runs(train, valid, [d for _, d in runs]), ("run",))
     else:
         scores = None

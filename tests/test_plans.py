@@ -119,6 +119,22 @@ def test_grid_search_and_svm_beat_the_majority(spark):
     assert svm["accuracy"] > 0.5
 
 
+def test_many_linear_fits_in_shared_scans_equal_single_fits(spark):
+    """48 row sets at once; three of them against a fit of its own with the same features."""
+    train, valid = train_valid(spark, SF_DIR)
+    drops = [(F.col("row_id") % 49 == i) | (F.col("category") == "Haircut") if i % 2 else F.col("row_id") % (i + 2) == 0 for i in range(48)]
+    learner = md.LogisticLearner(spec=ft.ONE_HOT, C=0.05, tol=1e-4)
+    many = wf.evaluate_runs(learner, train, valid, [({"part": i}, d) for i, d in enumerate(drops)], "part int")
+    found = {r["part"]: r for r in many.collect()}
+    assert len(found) == 48
+    for i in (0, 1, 46):
+        kept = train.where(~drops[i])
+        ready = learner.prepare(kept)
+        assert found[i]["rows_kept"] == kept.count()
+        alone = wf.evaluate(learner, kept, valid)[0].first()
+        assert abs(found[i]["accuracy"] - alone["accuracy"]) < 0.03 and ready.size <= 80
+
+
 def test_many_runs_in_one_job_equal_single_fits(spark):
     train, valid = train_valid(spark, SF_DIR)
     drops = [F.col("row_id") % 4 == i for i in range(3)]
