@@ -1,9 +1,10 @@
 """Line dedup against levelled sorted runs of line hashes.
 
-A ``LineIndex`` holds which lines have been seen, as runs: tables of (hash, first owner) that are
-bucketed and sorted by hash. A batch of documents is merge-joined with the runs, which are not
-shuffled again, and its unseen lines become a run of level 0. When a level has ``fan_in`` runs they are
-merged into one of the next level, so a line is rewritten once per level and a batch meets few runs.
+A ``LineIndex`` holds which lines have been seen, as runs: tables of (hash, first owner) that are bucketed
+and sorted by hash. A batch of documents is shuffled and sorted by hash once and merge-joined with each run,
+which is read in order, neither shuffled nor sorted. Its unseen lines become a run of level 0. When a level
+has ``fan_in`` runs, they are merged bucket by bucket into one of the next level, so a line is rewritten
+once per level and a batch meets few runs. Runs share no hash.
 
 Hashes have 128 bits. Hot lines cost nothing special: a line is reduced to one row per document, then
 to one owner per batch by map-side aggregation, and the join that turns owners into drops reads two
@@ -23,14 +24,26 @@ from pyspark.sql import types as T
 
 from tallyloom.llm.session import lean
 from tallyloom.llm.textbytes import BASES, IS_SEPARATOR, Slice, mix, slices
-from tallyloom.runtime import materialise, scratch_path
+from tallyloom.runtime import discard, materialise, scratch_path
 
 MIN_KEY = 10
+#: Lines (one per document and key) that a batch is made for, fewest batches, and runs of a level that are merged.
+LINES_PER_BATCH = 50_000_000
+LEAST_BATCHES = 4
+FAN_IN = 2
+#: Ids that are looked at to part the documents into batches.
+CUT_IDS = 10_000
+SCAN_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 HASH = ["h1", "h2"]
 DROPS = "_line_drops"
 COUNTS = ["n_lines", "n_dropped"]
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 class LineKeys:
     """Lines of a slice; the key of a line is the line stripped of white space, A-Z lower-cased."""
 
@@ -72,64 +85,81 @@ def line_entries(docs: DataFrame, doc_id: str, text: str, min_key: int = MIN_KEY
 
 
 class LineIndex:
-    """Runs of seen lines. ``add`` takes batches in the order in which documents may claim lines."""
+    """Runs of seen lines. ``add`` takes batches in the order in which documents may claim lines; use it in ``with``."""
 
-    def __init__(self, spark: SparkSession, buckets: int | None = None, fan_in: int = 4):
+    def __init__(self, spark: SparkSession, buckets: int | None = None, fan_in: int = FAN_IN):
         self.spark, self.fan_in = spark, fan_in
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
+        self.merges = 0
+
+    def __enter__(self) -> LineIndex:
+        self._ordering = self.spark.conf.get(SCAN_ORDER)
+        self.spark.conf.set(SCAN_ORDER, "true")  # a bucket is one sorted file
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.spark.conf.set(SCAN_ORDER, self._ordering)
+        for name in list(self.paths):
+            self._drop(name)
+        self.levels = []
+
+    def run(self, name: str) -> DataFrame:
+        return self.spark.table(name)
 
     def _write(self, keys: DataFrame) -> str:
-        """A run: one file per bucket, sorted by hash."""
+        """A run of rows that are dealt out to tasks by bucket: one sorted file per bucket."""
         name = f"line_run_{uuid.uuid4().hex}"
-        ordered = keys.repartition(self.buckets, "h1").sortWithinPartitions(*HASH)
-        writer = ordered.write.bucketBy(self.buckets, "h1").sortBy(*HASH).format("parquet")
-        writer.option("path", scratch_path(self.spark, name)).saveAsTable(name)
+        self.paths[name] = scratch_path(self.spark, name)
+        writer = keys.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).format("parquet")
+        writer.option("path", self.paths[name]).saveAsTable(name)
         return name
 
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete_path(self.spark, self.paths.pop(name))
+
+    def merged(self, left: str, right: str) -> DataFrame:
+        """Both runs in one, by a full outer merge join of their buckets."""
+        other = self.run(right).withColumnRenamed("owner", "_other").hint("merge")
+        return self.run(left).join(other, HASH, "full").select(*HASH, F.coalesce("owner", "_other").alias("owner"))
+
     def _compact(self) -> None:
         for at, level in enumerate(self.levels):
-            if len(level) >= self.fan_in:
-                parts = [self.spark.table(n) for n in level]
-                merged = parts[0]
-                for p in parts[1:]:
-                    merged = merged.unionByName(p)
-                if at + 1 == len(self.levels):
-                    self.levels.append([])
-                self.levels[at + 1].append(self._write(merged))
-                for n in level:
-                    self.spark.sql(f"DROP TABLE {n}")
-                self.levels[at] = []
+            if len(level) < self.fan_in:
+                continue
+            if at + 1 == len(self.levels):
+                self.levels.append([])
+            while len(level) > 1:
+                left, right = level.pop(0), level.pop(0)
+                level.insert(0, self._write(self.merged(left, right)))
+                self._drop(left)
+                self._drop(right)
+                self.merges += 1
+            self.levels[at + 1].append(level.pop())
 
     def add(self, entries: DataFrame) -> DataFrame:
         """Owners (h1, h2, owner) of the batch's lines that are owned by another document already or are
         shared within the batch; lines that no run has are added, owned by their smallest document."""
         firsts = entries.groupBy(*HASH).agg(F.min("doc_id").alias("owner"), (F.min("doc_id") < F.max("doc_id")).alias("shared"))
         firsts = materialise(firsts, "line-firsts")
+        fresh = firsts.repartition(self.buckets, *HASH).sortWithinPartitions(*HASH)
         seen = None
-        fresh = firsts
         for name in [n for level in self.levels for n in level]:
-            run = self.spark.table(name).select(*HASH, F.col("owner").alias("first_owner"))
-            hit = fresh.join(run.hint("merge"), HASH)
+            first_owner = self.run(name).withColumnRenamed("owner", "first_owner")
+            hit = fresh.join(first_owner.hint("merge"), HASH).select(*HASH, F.col("first_owner").alias("owner"))
             seen = hit if seen is None else seen.unionByName(hit)
-            fresh = fresh.join(self.spark.table(name).hint("merge"), HASH, "left_anti")
-        fresh = materialise(fresh, "line-fresh") if seen is not None else fresh
+            fresh = fresh.join(self.run(name).select(*HASH).hint("merge"), HASH, "left_anti")
         owners = fresh.where("shared").select(*HASH, "owner")
-        if seen is not None:
-            owners = owners.unionByName(seen.select(*HASH, F.col("first_owner").alias("owner")))
-        owners = materialise(owners, "line-owners")
+        owners = materialise(owners if seen is None else owners.unionByName(seen), "line-owners")
         if not self.levels:
             self.levels.append([])
         self.levels[0].append(self._write(fresh.select(*HASH, "owner")))
+        discard(firsts)
         self._compact()
         return owners
 
-    def close(self) -> None:
-        for level in self.levels:
-            for name in level:
-                self.spark.sql(f"DROP TABLE {name}")
-        self.levels = []
-
 
 def drop_lines(docs: DataFrame, text: str, drops: str, min_key: int) -> DataFrame:
     """Take the lines out of ``text`` whose hash is in the array ``drops``; adds the two counts."""
@@ -175,31 +205,40 @@ def drop_lines(docs: DataFrame, text: str, drops: str, min_key: int) -> DataFram
     return docs.mapInArrow(lean(batches), T.StructType([*fields, *[T.StructField(c, T.LongType()) for c in COUNTS]]))
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_key: int = MIN_KEY, batches: int = 3, fan_in: int = 4) -> DataFrame:
+def _cuts(docs: DataFrame, doc_id: str, batches: int) -> list:
+    """Ids that part ``docs`` into about equal ranges, from a bounded number of ids in hash order. Any cuts are right."""
+    some = docs.select(F.col(doc_id).alias("i")).where("i IS NOT NULL").orderBy(F.xxhash64("i")).limit(CUT_IDS).toArrow()
+    ids = sorted(set(some.column(0).to_pylist()))
+    return [ids[len(ids) * (b + 1) // batches - 1] for b in range(batches - 1)] if len(ids) >= batches else []
+
+
+def dedup_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_key: int = MIN_KEY, batches: int | None = None, fan_in: int = FAN_IN
+) -> DataFrame:
     """``docs`` without the lines that a document of a smaller id holds, plus ``n_lines`` (before) and ``n_dropped``.
 
     Lines compare by their stripped, lower-cased key of ``min_key`` code points or more; the smallest id
     that holds a key keeps all its lines, every other document loses them. Documents are taken in
-    ``batches`` ranges of ascending id, each against the runs of those before. A null or empty text is
+    ranges of ascending id, each against the runs of those before: one per ``LINES_PER_BATCH`` distinct lines
+    of documents, four at least, unless ``batches`` says otherwise. A null or empty text is
     one empty line (a null text stays null). Rows of a null id keep their lines and own none. Rows that
-    share an id count as one document. Columns named like the counts are replaced; others pass through.
+    share an id count as one document. Ids are of any type that can be ordered. Columns named like the counts
+    are replaced; others pass through.
     """
     spark = docs.sparkSession
     docs = docs.drop(*COUNTS, DROPS)
-    shares = [(i + 1) / batches for i in range(batches - 1)]
-    cuts = docs.agg(F.percentile_approx(doc_id, shares).alias("cuts")).first()["cuts"] if shares else []
-    batch_of = F.lit(0)
-    for cut in cuts or []:
-        batch_of = batch_of + (F.col("doc_id") > F.lit(cut)).cast("int")
-    entries = materialise(line_entries(docs, doc_id, text, min_key).withColumn("batch", batch_of), "line-entries")
-    index = LineIndex(spark, fan_in=fan_in)
+    entries = materialise(line_entries(docs, doc_id, text, min_key), "line-entries")
+    n = batches or max(LEAST_BATCHES, -(-entries.count() // LINES_PER_BATCH))
+    cuts = [F.lit(c) for c in _cuts(docs, doc_id, n)]
+    ranges = [(a, b) for a, b in zip([None, *cuts], [*cuts, None])]
     drops = None
-    for b in range(len(cuts or []) + 1):
-        mine = entries.where(F.col("batch") == b).drop("batch")
-        owners = index.add(mine)
-        lost = mine.join(owners, HASH).where(F.col("owner") < F.col("doc_id")).select("doc_id", *HASH)
-        drops = lost if drops is None else drops.unionByName(lost)
-    index.close()
+    with LineIndex(spark, fan_in=fan_in) as index:
+        for above, upto in ranges:
+            mine = entries if above is None else entries.where(F.col("doc_id") > above)
+            mine = mine if upto is None else mine.where(F.col("doc_id") <= upto)
+            owners = index.add(mine)
+            lost = mine.join(owners, HASH).where(F.col("owner") < F.col("doc_id")).select("doc_id", *HASH)
+            drops = lost if drops is None else drops.unionByName(lost)
     by_doc = drops.groupBy(F.col("doc_id").alias("_drop_id")).agg(F.collect_set(F.struct(*HASH)).alias(DROPS))
     joined = docs.join(by_doc, docs[doc_id] == by_doc["_drop_id"], "left").drop(by_doc["_drop_id"])
     return drop_lines(joined, text, DROPS, min_key)
