@@ -14,7 +14,8 @@ out of the text. Their names in class and id are matched by whole tokens: ``site
 ``sidebar-left`` name chrome, ``no-sidebar`` and ``cookie-recipe`` do not. A name never takes out an element that holds
 an article or main, nor most of a page's text unless it stands beside an article or main with text; then, and
 for ambiguous names inside an article, the density decides. Scripts, styles, graphics and hidden elements are
-no part of the tree.
+no part of the tree. Forms, asides and elements with a role of theirs that hold most of the text are looked into, and only
+their controls are left out.
 """
 
 from __future__ import annotations
@@ -44,7 +45,9 @@ LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 #: Elements without text to read, no part of the tree.
 UNSEEN = frozenset("head svg math canvas object audio video map".split())
 #: Elements that are never part of an article, and those that are not unless they stand inside one.
-DROPPED = frozenset("nav footer aside form button select dialog".split())
+DROPPED = frozenset("nav footer button select label datalist".split())
+#: Elements, and those of the roles below, that are none either unless they hold most of a page's text.
+DROPPED_SMALL = frozenset("aside form dialog".split())
 DROPPED_OUTSIDE = frozenset({"header", "menu"})
 ARTICLE = frozenset({"article", "main"})
 #: Elements of running text.
@@ -68,10 +71,13 @@ NEUTRAL = frozenset(
     "last left link links list main media news outer panel placeholder posts primary right row secondary section slot stories text title top unit widgets wrap wrapper zone".split()
 )
 #: How an element is marked.
-PLAIN, OUT, NAMED, AMBIGUOUS = range(4)
+PLAIN, OUT, NAMED, AMBIGUOUS, SMALL = range(5)
+#: What may stand in a head; anything else that is seen ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta".split())
+FOREIGN = frozenset({"svg", "math"})
 
 TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*(?:>|\Z)|/?[a-zA-Z][^>]*\Z)", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORDS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -100,19 +106,21 @@ def _mark(tag: str, attributes: str, in_article: bool) -> tuple[int | None, str]
     mark, kind = PLAIN, ""
     if tag in DROPPED or (tag in DROPPED_OUTSIDE and not in_article):
         mark = OUT
+    elif tag in DROPPED_SMALL:
+        mark = SMALL
     for m in ATTRIBUTE.finditer(attributes) if attributes else ():
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        name, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "")
         if name == "class":
             kind = value
         if tag in ARTICLE:  # never left out; one that is named as a comment does not count as the article of a page
             if name == "class" and not HINTS_COMMENTS.isdisjoint(map(_named, value.split())):
                 mark = NAMED
             continue
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and HIDDEN.search(value)):
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and HIDDEN.search(value)):
             return None, kind
-        if name == "role" and value.lower() in DROPPED_ROLES:
-            mark = OUT
-        if name in ("class", "id") and mark != OUT:
+        if name == "role" and value.strip().lower() in DROPPED_ROLES and mark != OUT:
+            mark = SMALL
+        if name in ("class", "id") and mark not in (OUT, SMALL):
             for word in filter(None, map(_named, value.split())):
                 if in_article and word in HINTS_AMBIGUOUS:
                     mark = mark or AMBIGUOUS
@@ -149,6 +157,8 @@ class Page:
                 self._start(name, m[3] or m[6] or "")
 
     def _text(self, raw: str) -> None:
+        if self._stack[-1][0] == "head" and raw.strip():
+            self._pop_to(len(self._stack) - 1)
         node = self._stack[-1][1]
         if node >= 0 and raw:
             self.pieces.append((node, unescape(raw) if "&" in raw else raw))
@@ -162,8 +172,12 @@ class Page:
         del self._stack[depth:]
 
     def _start(self, name: str, attributes: str) -> None:
+        if name == "body" or (self._stack[-1][0] == "head" and name not in IN_HEAD):  # a head may lack its end
+            self._close({"head"}, set())
         if name in ("html", "body"):
             return
+        if name in FOREIGN and attributes.rstrip().endswith("/"):
+            return
         if name in BLOCKS:
             self._close({"p"}, {"table", "td", "th", "button", "div", "article", "section", "main", "li"})
         if name in CLOSED_BY:
@@ -256,8 +270,11 @@ class Page:
             gone[i] = gone[self.parents[i]] or mark == OUT
             if mark in (PLAIN, OUT) or gone[i] or self.tags[i] in ARTICLE:
                 continue
-            most = 2 * size[i] > size[0] and (self.in_article[i] or not holds[0])
-            unsure[i] = mark == AMBIGUOUS or holds[i] or most
+            most = 2 * size[i] > size[0]
+            if mark == SMALL:
+                unsure[i] = most and (holds[i] or not holds[0])
+            else:
+                unsure[i] = mark == AMBIGUOUS or holds[i] or (most and (self.in_article[i] or not holds[0]))
             gone[i] = not unsure[i]
         return gone, unsure
 
@@ -294,6 +311,7 @@ class Page:
         mains = [k for k, i in enumerate(up) if self.tags[i] == "main"]
         wide = set(up[: mains[-1] + 1] if mains else [] if around else up)
         beside = {self.parents[i]: i for i in up if i}
+        inside = core if self.tags[core] == "article" else 0
         chosen = [False] * n
         chosen[0] = core == 0 or (0 in wide and 2 * inline_links[0] <= inline[0])
         for i in range(1, n):
@@ -315,7 +333,11 @@ class Page:
                 chosen[i] = chosen[p]
             else:
                 like = self.tags[i] == self.tags[beside[p]] and self.kinds[i] == self.kinds[beside[p]]
-                chosen[i] = density[i] >= threshold or (p > 0 and self.tags[i] in HEADINGS)
+                title = p > 0 and self.tags[i] in HEADINGS
+                if inside:  # beside an article: other parts of it, and its title
+                    chosen[i] = title or (text and like)
+                    continue
+                chosen[i] = density[i] >= threshold or title
                 chosen[i] |= text and (like or (p in wide and (running[i] or self.tags[i] in RUNNING)))
         return chosen, gone
 
