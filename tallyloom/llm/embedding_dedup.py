@@ -141,6 +141,11 @@ def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
     return axes
 
 
+def _near_one(x: np.ndarray) -> np.ndarray:
+    """Rows scaled by a power of two, which changes no cosine, so that squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _linked(a: np.ndarray, b: np.ndarray, ta: np.ndarray, tb: np.ndarray, threshold: float, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) with cosine >= threshold where ``same``: leading blocks first, then exactly."""
     dim = ta.shape[1]
@@ -177,7 +182,7 @@ def _linked(a: np.ndarray, b: np.ndarray, ta: np.ndarray, tb: np.ndarray, thresh
     close = np.flatnonzero(np.abs(value - threshold) <= 1e-6)  # beyond that rounding cannot matter
     exact[value < threshold] = False
     if len(close):
-        x, y = a[i[close]], b[j[close]]
+        x, y = _near_one(a[i[close]]), _near_one(b[j[close]])
         cosine = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
         exact[close] = cosine >= threshold
     return i[exact], j[exact]

@@ -413,3 +413,14 @@ def water_level(size):
         filled = sum(min(3 * size[s], mid * (1 + i % 3)) for i, s in enumerate(sorted(size)))
         low, high = (mid, high) if filled < sum(size.values()) else (low, mid)
     return low
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e200, 1e-200])
+def test_links_do_not_depend_on_the_scale_of_vectors(scale):
+    from tallyloom.llm.embedding_dedup import _linked
+
+    c = 0.930000001
+    a = np.array([[1.0, 0.0]])
+    b = np.array([[c, np.sqrt(1 - c * c)], [0.9299, np.sqrt(1 - 0.9299**2)]])
+    i, j = _linked(a * scale, b * scale, a, b, 0.93, np.ones((1, 2), bool))
+    assert (i.tolist(), j.tolist()) == ([0], [0])
