@@ -6,8 +6,8 @@ by the share of links in it and on the page. The node whose children's densities
 core, widened to the article or main element around it; the lowest density on the path from it to the body
 is the threshold that the parts beside the path must reach to belong to it too. A page without links has no
 threshold, since characters per tag alone only tell long parts from short ones. Parts of the same tag and
-class as the part of the path beside them belong to it unless they are lists of links; so do, within main or
-on a page without article and main around the core, parts with paragraphs or list items.
+class as the part of the path beside them belong to it unless they are lists of links; so do, on a page without
+article and main around the core, parts with paragraphs or list items. Beside an article or main, only such parts and titles do.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments count in the densities, but are left
 out of the text. Their names in class and id are matched by whole tokens: ``site-footer`` and
@@ -311,7 +311,7 @@ class Page:
         mains = [k for k, i in enumerate(up) if self.tags[i] == "main"]
         wide = set(up[: mains[-1] + 1] if mains else [] if around else up)
         beside = {self.parents[i]: i for i in up if i}
-        inside = core if self.tags[core] == "article" else 0
+        inside = bool(around)
         chosen = [False] * n
         chosen[0] = core == 0 or (0 in wide and 2 * inline_links[0] <= inline[0])
         for i in range(1, n):
@@ -334,7 +334,7 @@ class Page:
             else:
                 like = self.tags[i] == self.tags[beside[p]] and self.kinds[i] == self.kinds[beside[p]]
                 title = p > 0 and self.tags[i] in HEADINGS
-                if inside:  # beside an article: other parts of it, and its title
+                if inside:  # beside an article or main: other parts of it, and its title
                     chosen[i] = title or (text and like)
                     continue
                 chosen[i] = density[i] >= threshold or title
