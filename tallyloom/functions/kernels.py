@@ -52,12 +52,48 @@ def kalman_memory(gains: np.ndarray, precision: float = 1e-18) -> int:
     return int(math.ceil(math.log(precision) / math.log1p(-float(gains[-1])))) + 1
 
 
-def second_difference_system(size: int, lam: float) -> np.ndarray:
-    """I + lam * D'D for second differences D of a series of ``size`` values."""
-    diff = np.zeros((max(size - 2, 0), size))
-    for offset, value in enumerate((1.0, -2.0, 1.0)):
-        diff[np.arange(size - 2), np.arange(size - 2) + offset] = value
-    return np.eye(size) + lam * diff.T @ diff
+def whittaker_factors(size: int, lam: float) -> tuple[list[float], list[float], list[float]]:
+    """(pivots, first, second) off-diagonals of L in L D L' = I + lam * D'D, row by row.
+
+    Away from the ends the rows of the system are equal and the factors settle to constants, which are then repeated."""
+    a, b, c = np.ones(size), np.zeros(size), np.zeros(size)
+    rows = max(size - 2, 0)
+    for offset, value in enumerate((1.0, 4.0, 1.0)):
+        a[offset : offset + rows] += lam * value
+    for offset in range(2):
+        b[offset : offset + rows] -= 2 * lam
+    c[:rows] += lam
+    d, e, f = [0.0] * size, [0.0] * size, [0.0] * size
+    i = 0
+    while i < size:
+        pull, turn = 0.0, 0.0
+        if i > 0:
+            pull += d[i - 1] * e[i - 1] * e[i - 1]
+            turn = d[i - 1] * e[i - 1] * f[i - 1]
+        if i > 1:
+            pull += d[i - 2] * f[i - 2] * f[i - 2]
+        d[i] = float(a[i]) - pull
+        e[i], f[i] = (float(b[i]) - turn) / d[i], float(c[i]) / d[i]
+        settled = 4 < i < size - 4 and d[i] == d[i - 1] == d[i - 2] and e[i] == e[i - 1] == e[i - 2]
+        if settled:
+            for part in (d, e, f):
+                part[i : size - 3] = [part[i]] * (size - 3 - i)
+            i = size - 3
+        else:
+            i += 1
+    return d, e, f
+
+
+def whittaker_solve(y: np.ndarray, factors: tuple[list[float], list[float], list[float]]) -> np.ndarray:
+    """The smooth series: one scan forward and one back."""
+    d, e, f = factors
+    x = y.astype(float).tolist()
+    n = len(x)
+    for i in range(1, n):
+        x[i] -= e[i - 1] * x[i - 1] + (f[i - 2] * x[i - 2] if i > 1 else 0.0)
+    for i in range(n - 1, -1, -1):
+        x[i] = x[i] / d[i] - (e[i] * x[i + 1] if i + 1 < n else 0.0) - (f[i] * x[i + 2] if i + 2 < n else 0.0)
+    return np.array(x)
 
 
 def whittaker_halo(lam: float) -> int:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.impute import train_median, train_modes
 from tallyloom.operators.skew import salted_join
+from tallyloom.runtime import materialise
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 
@@ -50,27 +55,67 @@ def tfidf(
 ) -> DataFrame:
     """Long table (row id, term, weight) with unit-length rows.
 
-    Terms per row are counted before the shuffle. A bounded vocabulary is broadcast; an open one is
-    joined with its frequent terms split.
+    Terms are counted inside the row, and the counts stored. Only document frequencies are shuffled; a bounded
+    vocabulary goes to the rows, where weights and lengths are computed. An open one is joined with its frequent
+    terms split. Repeated ids are texts of their own.
     """
-    words = df.select(row_id, F.explode(tokens(F.col(text))).alias("term"))
-    if stop:
-        words = words.where(~F.col("term").isin(stop))
-    counts = words.groupBy(row_id, "term").agg(F.count("*").alias("tf"))
+    counts = materialise(_term_counts(df.select(row_id, tokens(F.col(text)).alias("words")), row_id, stop), "terms")
     n = df.agg(F.count("*")).scalar()
-    terms = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("corpus_n"))
+    long = counts.select(row_id, F.explode(F.arrays_zip("terms", "tfs")).alias("c")).select(row_id, F.col("c.terms").alias("term"), F.col("c.tfs").alias("tf"))
+    terms = long.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("corpus_n"))
     terms = terms.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
     idf = (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf")
-    if vocab is None:
-        joined = salted_join(counts, terms.select("term", idf), ["term"], row_id)
-    else:
-        kept = terms.orderBy(F.desc("corpus_n"), "term").limit(vocab)
-        joined = counts.join(F.broadcast(kept.select("term", idf)), "term")
+    if vocab is not None:
+        kept = terms.select("term", "corpus_n", idf).orderBy(F.desc("corpus_n"), "term").limit(vocab).collect()
+        return _weighed(counts, {r["term"]: r["idf"] for r in kept}, row_id)
+    joined = salted_join(long, terms.select("term", idf), ["term"], row_id)
     raw = joined.select(row_id, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(row_id)))
     return raw.select(row_id, "term", (F.col("w") / norm).alias("weight"))
 
 
+def _term_counts(words: DataFrame, row_id: str, stop: list[str] | None) -> DataFrame:
+    """(row id, terms, tfs): the distinct words of every row that has some, and how often each occurs."""
+    left_out = pa.array(stop or [], pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            own = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths().fill_null(0)))
+            flat = lists.flatten()
+            if len(left_out):
+                used = np.asarray(pc.invert(pc.is_in(flat, left_out)))
+                own, flat = own[used], flat.filter(pa.array(used))
+            coded = flat.dictionary_encode()
+            size = max(len(coded.dictionary), 1)
+            keys, tfs = np.unique(own * size + np.asarray(coded.indices), return_counts=True)
+            rows, first = np.unique(keys // size, return_index=True)
+            offsets = pa.array(np.append(first, len(keys)).astype(np.int32))
+            terms = pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(keys % size)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), terms, pa.ListArray.from_arrays(offsets, pa.array(tfs))], [row_id, "terms", "tfs"])
+
+    kind = words.schema[row_id].dataType.simpleString()
+    return words.mapInArrow(count, f"`{row_id}` {kind}, terms array<string>, tfs array<bigint>")
+
+
+def _weighed(counts: DataFrame, idf: dict[str, float], row_id: str) -> DataFrame:
+    """Long rows (row id, term, weight) over the words of ``idf``, of length 1 per row."""
+    words, weights = pa.array(list(idf), pa.string()), np.array(list(idf.values()), float)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = pc.index_in(batch.column(1).flatten(), words)
+            own = np.repeat(np.arange(batch.num_rows), np.asarray(batch.column(1).value_lengths()))
+            known = np.asarray(place.is_valid())
+            own, place = own[known], np.asarray(place.drop_null())
+            raw = np.asarray(batch.column(2).flatten())[known] * weights[place] if len(place) else np.zeros(0)
+            norm = np.sqrt(np.bincount(own, raw * raw, batch.num_rows))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), words.take(pa.array(place)), pa.array(raw / norm[own])], [row_id, "term", "weight"])
+
+    kind = counts.schema[row_id].dataType.simpleString()
+    return counts.mapInArrow(weigh, f"`{row_id}` {kind}, term string, weight double")
+
+
 def onehot(train: DataFrame, df: DataFrame, column: str, row_id: str = "row_id") -> DataFrame:
     """Long one-hot rows (row id, value, 1.0); a value unseen in training gives no row."""
     known = train.where(F.col(column).isNotNull()).select(column).distinct()

@@ -36,6 +36,16 @@ def tfidf(spark, sf):
     return ft.tfidf(docs, "text", "doc_id").select("doc_id", "term", *r6("weight"))
 
 
+#: Frequent words of the documents' languages.
+STOP = ["the", "that", "and", "in", "die", "der", "und", "le", "la", "que", "el", "en"]
+
+
+@query("tfidf_stop_words", tfidf_sql("documents", "text", "doc_id", 10_000, 1, 1.0, f"WHERE term NOT IN ({', '.join(map(repr, STOP))})"))
+def tfidf_stop_words(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return ft.tfidf(docs, "text", "doc_id", min_df=1, max_df=1.0, stop=STOP).select("doc_id", "term", *r6("weight"))
+
+
 @query("tfidf_open_vocabulary", tfidf_sql("documents", "text", "doc_id", None, 1, 1.0))
 def tfidf_open_vocabulary(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "text")

@@ -83,12 +83,25 @@ def test_kalman_across_blocks(spark):
         assert np.allclose(smooth_values(sm.smooth_kalman(long, q, r, block_rows=1)), want, atol=1e-12)
 
 
+def second_difference_system(size, lam):
+    diff = np.diff(np.eye(size), 2, axis=0)
+    return np.eye(size) + lam * diff.T @ diff
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 9, 200])
+def test_whittaker_factors_solve_the_system(size):
+    y = np.random.default_rng(size).normal(size=size)
+    for lam in (0.5, 50.0, 1000.0):
+        want = np.linalg.solve(second_difference_system(size, lam), y)
+        assert np.allclose(kernels.whittaker_solve(y, kernels.whittaker_factors(size, lam)), want, atol=1e-10)
+
+
 def test_whittaker_across_blocks(spark):
     rng = np.random.default_rng(2)
     y = rng.uniform(0, 2, 1500)
     long = ordering.with_position(spark.createDataFrame([(i, float(v)) for i, v in enumerate(y)], "row_id long, x double"), F.col("row_id").asc())
     for lam in (10.0, 1000.0):
-        want = np.linalg.solve(kernels.second_difference_system(len(y), lam), y)
+        want = np.linalg.solve(second_difference_system(len(y), lam), y)
         assert np.allclose(smooth_values(sm.smooth_whittaker(long, lam, block_rows=300)), want, atol=1e-9)
 
 
