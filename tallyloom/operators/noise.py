@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import fixed
-from tallyloom.operators.skew import salted_join
-from tallyloom.runtime import SMALL_ROWS, materialise, small_table
+from tallyloom.operators.skew import keyed_join, salted_join
+from tallyloom.runtime import small_table
 
 NARROW_KEYS = ("description", "amount_bucket", "transaction_type")
 
@@ -44,12 +44,7 @@ class CountingScorer:
     ) -> DataFrame:
         """Rows with their key's counts (``cells``, ``key_n``) and their group's shares."""
         on = [*groups, *self.keys]
-        if spread:
-            key_table = materialise(key_table, "keys")
-            small = key_table.count() <= SMALL_ROWS
-            joined = rows.join(F.broadcast(key_table), on, "left") if small else salted_join(rows, key_table, on, spread, "left", counted=counted)
-        else:
-            joined = rows.join(key_table, on, "left")
+        joined = keyed_join(rows, key_table, on, spread, "left", counted) if spread else rows.join(key_table, on, "left")
         if groups:
             return joined.join(small_table(prior), list(groups), "left")
         one = prior.select(F.struct("prior_best", "prior_n", "total_n").alias("p")).scalar()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import fixed
 from tallyloom.functions.columns import keyword_correction, merchant_name, suspicion
-from tallyloom.operators.skew import salted_join
+from tallyloom.operators.skew import keyed_join
 
 
 def dominant_label(df: DataFrame, keys: list[str], label: str = "category") -> DataFrame:
@@ -22,7 +22,7 @@ def dominant_label(df: DataFrame, keys: list[str], label: str = "category") -> D
 def relabel_dominant(df: DataFrame, keys: list[str], min_dominance: float = 0.9, label: str = "category") -> DataFrame:
     """Give rows the dominant label of their key where it is clear; the old one stays in ``<label>_original``."""
     clear = dominant_label(df, keys, label).where(F.col("dominance") >= min_dominance).select(*keys, "dominant")
-    joined = salted_join(df, clear, keys, "row_id", "left")
+    joined = keyed_join(df, clear, keys, "row_id", "left")
     return joined.select(
         *[c for c in df.columns if c != label],
         F.coalesce("dominant", label).alias(label),
@@ -43,15 +43,14 @@ def whitelist_merchants(rules: DataFrame, names: list[str] | None = None) -> Dat
     return rules.where(F.col("merchant").isin(names or fixed.MERCHANT_WHITELIST))
 
 
-def merchant_rule_relabel(noise: DataFrame, rules: DataFrame, label: str = "category", description: str = "description", whitelisted: bool = True) -> DataFrame:
+def merchant_rule_relabel(noise: DataFrame, rules: DataFrame, label: str = "category", description: str = "description") -> DataFrame:
     """Exact merchant rule; a label changes only where it differs and the model agrees with the rule.
 
-    Rules are at most one per merchant. Whitelisted rules are bounded by the list and broadcast;
-    other rule tables take the hot-key join.
+    Rules are at most one per merchant. A table found to be small is broadcast; others take the hot-key join.
     """
     named = noise.withColumn("merchant", merchant_name(F.col(description)))
     table = rules.select("merchant", "target")
-    joined = named.join(F.broadcast(table), "merchant", "left") if whitelisted else salted_join(named, table, ["merchant"], "row_id", "left")
+    joined = keyed_join(named, table, ["merchant"], "row_id", "left")
     change = F.coalesce((F.col("target") != F.col(label)) & (F.col("cv_pred") == F.col("target")), F.lit(False))
     return joined.select(
         *noise.columns,

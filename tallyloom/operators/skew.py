@@ -7,6 +7,8 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.runtime import SMALL_ROWS, materialise
+
 #: A key is hot if it holds more than this part of an even partition, and each of its salts holds about that much.
 PART_OF_PARTITION = 0.25
 
@@ -44,3 +46,11 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str,
     copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1)
     salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted_left.drop("_salts").join(salted_right, keys + ["_salt"], how).drop("_salt")
+
+
+def keyed_join(left: DataFrame, table: DataFrame, keys: list[str], spread: str, how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
+    """Join ``left`` to a per-key ``table``, which is stored once: broadcast if it is found to be small, otherwise with hot keys split."""
+    stored = materialise(table, "keys")
+    if stored.count() <= SMALL_ROWS:
+        return left.join(F.broadcast(stored), keys, how)
+    return salted_join(left, stored, keys, spread, how, counted)

@@ -54,23 +54,19 @@ def preparation_summary(
         .agg(F.map_from_entries(F.collect_list(F.struct("column", "n_missing"))).alias("m"))
         .agg(F.map_from_entries(F.collect_list(F.struct("split", "m"))).alias("m"))
     )
+    cells = materialise(before.groupBy("split", label).agg(F.count("*").alias("n")), "cells")  # one row per split and label
+    owners = F.explode(F.array(F.lit("full"), F.col("split")))
     spread = (
-        impute.class_distribution(before, label)
-        .groupBy("split")
-        .agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("m"))
+        cells.select(owners.alias("split"), label, "n").groupBy("split", label).agg(F.sum("n").alias("n"))
+        .groupBy("split").agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("m"))
         .agg(F.map_from_entries(F.collect_list(F.struct("split", "m"))).alias("m"))
-    )
-    weights = impute.balanced_class_weights(before.where("split = 'train'"), label).agg(
-        F.map_from_entries(F.collect_list(F.struct(label, "weight"))).alias("m")
-    )
-    sizes = before.agg(
-        F.struct(
-            F.count("*").alias("rows"),
-            F.sum((F.col("split") == "train").cast("long")).alias("train"),
-            F.sum((F.col("split") == "valid").cast("long")).alias("valid"),
-            (F.count_distinct(label) > 1).alias("stratified"),
-        ).alias("s")
-    ).scalar()
+    )
+    own = cells.where("split = 'train' AND n > 0")
+    totals = own.agg(F.struct(F.sum("n").alias("n"), F.count("*").alias("k")).alias("t")).scalar()
+    weights = own.agg(F.map_from_entries(F.collect_list(F.struct(F.col(label), (totals["n"] / (totals["k"] * F.col("n"))).alias("weight")))).alias("m"))
+    in_split = lambda name: F.coalesce(F.sum(F.when(F.col("split") == name, F.col("n"))), F.lit(0)).cast("long").alias(name)
+    rows = F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows")
+    sizes = cells.agg(F.struct(rows, in_split("train"), in_split("valid"), (F.count_distinct(label) > 1).alias("stratified")).alias("s")).scalar()
     raw_rows = raw.agg(F.count("*")).scalar()
     unique_rows = rolled.agg(F.count("*")).scalar()
     text = lambda key: F.lit(fixed.SUMMARY_TEXTS[key])

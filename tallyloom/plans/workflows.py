@@ -48,10 +48,11 @@ def evaluate_runs(learner, train: DataFrame, valid: DataFrame, runs: list[tuple[
 
 
 def score_training_rows(train: DataFrame, learner, k: int = 5, seed: int = 42) -> DataFrame:
-    """Out-of-fold scores with the wrong and the suspicious flag."""
+    """Out-of-fold scores with the wrong flag and the rank score."""
     scored = learner.out_of_fold(stratified_kfold(train, k=k, seed=seed), k)
     wrong = (F.col("cv_pred") != F.col("category")).cast("int")
-    return materialise(scored.drop("fold").withColumn("wrong_flag", wrong), "scores")
+    flagged = scored.drop("fold").withColumn("wrong_flag", wrong)
+    return materialise(flagged.withColumn("rank_score", F.round(fx.rank_score(F.col("true_label_prob"), F.col("wrong_flag")), 9)), "scores")
 
 
 def run_relabel(train: DataFrame, valid: DataFrame, learner, min_dominance: float = 0.9) -> tuple[DataFrame, DataFrame]:
@@ -64,7 +65,7 @@ def run_relabel(train: DataFrame, valid: DataFrame, learner, min_dominance: floa
 
 def run_suspicious_filter(train: DataFrame, valid: DataFrame, learner, threshold: float = fixed.SUSPICIOUS_PROB, k: int = 5, seed: int = 42):
     """(metrics, noise scores, predictions) after leaving out suspicious rows."""
-    noise = score_training_rows(train, learner, k, seed)
+    noise = score_training_rows(train, learner, k, seed).drop("rank_score")
     noise = noise.withColumn("flagged_suspicious", fx.flag_suspicious(F.col("category"), F.col("cv_pred"), F.col("true_label_prob"), threshold))
     kept = noise.where(~F.col("flagged_suspicious")).select(*train.columns)
     scores, preds = evaluate(learner, kept, valid)
@@ -93,8 +94,7 @@ def run_repeated_filter(train: DataFrame, valid: DataFrame, learner, seeds: list
 def run_capped_filter(train: DataFrame, valid: DataFrame, learner, caps: list[float] | None = None):
     """(result per cap, noise scores, report of the best cap)."""
     caps = caps or fixed.CAP_FRACTIONS
-    noise = score_training_rows(train, learner).withColumn("rank_score", F.round(fx.rank_score(F.col("true_label_prob"), F.col("wrong_flag")), 9))
-    noise = materialise(noise, "scores")
+    noise = score_training_rows(train, learner)
     drops = removal.cap_removal(noise, "rank_score", caps)
     results = materialise(evaluate_runs(learner, noise, valid, [({"cap_fraction": c}, d) for c, d in zip(caps, drops)], "cap_fraction double"), "caps")
     best = metrics.leaderboard(results, ("weighted_f1",), ("cap_fraction",)).first()["cap_fraction"]
