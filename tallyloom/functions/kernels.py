@@ -121,3 +121,27 @@ def kalman_scan(z: np.ndarray, gain: np.ndarray, memory: int) -> np.ndarray:
         own = live[at[live] >= starts[live]]
         out[at[own]] = current[own]
     return out
+
+
+#: Tricube weights are polynomials of degree 9 in the distance, and a line needs two degrees more.
+DEGREE = 11
+_BINOMIAL = [[float(math.comb(p, q)) for q in range(p + 1)] for p in range(DEGREE + 1)]
+
+
+def powers_of(t: np.ndarray) -> np.ndarray:
+    """t ** 0 .. t ** DEGREE as columns."""
+    return np.cumprod(np.column_stack([np.ones(len(t)), *[t] * DEGREE]), axis=1)
+
+
+def moved_moments(moments: np.ndarray, shift: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Moments of x = shift + scale * t from those of t, row by row."""
+    scaled, shifts = moments * powers_of(scale), powers_of(shift)
+    out = np.empty_like(scaled)
+    for p in range(DEGREE + 1):
+        out[:, p] = sum(_BINOMIAL[p][q] * shifts[:, p - q] * scaled[:, q] for q in range(p + 1))
+    return out
+
+
+def tricube_sums(moments: np.ndarray, side: float) -> np.ndarray:
+    """Sums of (1 - |x|^3)^3 x^k for k = 0, 1, 2 from moments of x, all of one sign."""
+    return np.column_stack([moments[:, k] - side * 3 * moments[:, k + 3] + 3 * moments[:, k + 6] - side * moments[:, k + 9] for k in range(3)])

@@ -19,7 +19,7 @@ from tallyloom.functions import kernels
 from tallyloom.functions.columns import base_score
 from tallyloom.operators.ordering import BLOCK_ROWS, Ordered, neighbourhood, with_blocks, with_position
 from tallyloom.operators.ranks import exact_quantiles, key_bounds, locate_ranks
-from tallyloom.runtime import materialise
+from tallyloom.runtime import literal_table, materialise
 
 
 def scored_signal(noise: DataFrame, flag: str | None = "flagged_suspicious", order: str = "score", keep: tuple[str, ...] = ()) -> Ordered:
@@ -177,56 +177,159 @@ def residual_injection(sig: Ordered, factor: float = 0.2) -> DataFrame:
     return residual_features(sig).withColumn("resid_injected", F.lit(factor) * F.col("noise_resid")).drop("noise_raw", "noise_smooth", "noise_resid")
 
 
-#: Cells of the row-by-window matrices that local regression holds at a time.
-LOWESS_CELLS = 1 << 21
-
-
 def lowess_span(n: int) -> int:
     """The published share of all rows, a twentieth, as an odd number of rows."""
     return 2 * int(0.025 * n) + 1
 
 
-def smooth_lowess(sig: Ordered, span: int, rounds: int = 2, out: str = "smooth", value: str = "x", block_rows: int = 8192) -> DataFrame:
-    """Local linear fit with tricube weights over the ``span`` nearest rows, ``rounds`` robust repeats.
+#: Rows of one block of the local regression, and leaves in half a window.
+LOWESS_BLOCK = 16_384
+LEAVES = 8
+
 
-    Positions are evenly spaced, so the nearest rows are a window that is shifted inwards at the ends.
-    Between the repeats only the median absolute residual is shared.
+class LowessGrid:
+    """Where windows begin and end, and how rows are cut into leaves (moments) and blocks (tasks).
+
+    A leaf is about an eighth of half a window. Blocks are whole leaves, or leaves whole blocks. Windows longer than
+    a block are summed from leaf moments, so a block needs raw rows only around its own, its windows' first and last places.
     """
-    half = span // 2
-    width = 2 * half + 1
-    n = sig.n
-    if n < width:
-        raise ValueError(f"signal of {n} rows is shorter than the window of {width}")
 
+    def __init__(self, n: int, span: int, block_rows: int):
+        self.n, self.half = n, span // 2
+        self.width = 2 * self.half + 1
+        size = max(1, self.half // LEAVES)
+        if size >= block_rows:
+            self.block, self.leaf = block_rows, block_rows * (size // block_rows)
+        else:
+            self.block, self.leaf = size * max(1, block_rows // size), size
+        self.far = self.half > self.block
+
+    def windows(self, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first place, place after the last, bandwidth) of the rows with a positive tricube weight."""
+        low = np.clip(pos - self.half, 0, self.n - self.width)
+        h = np.maximum(pos - low, low + self.width - 1 - pos)
+        reach = np.ceil(0.999 * h).astype(np.int64) - 1
+        return np.maximum(low, pos - reach), np.minimum(low + self.width, pos + reach + 1), h.astype(float)
+
+    def needed(self, block: int) -> set[int]:
+        """Blocks whose raw rows the rows of ``block`` need."""
+        ends = np.array([block * self.block, min((block + 1) * self.block, self.n) - 1])
+        low, high, _ = self.windows(ends)
+        last = (self.n - 1) // self.block
+        at = lambda p: min(max(int(p) // self.block, 0), last)
+        if not self.far:
+            return set(range(at(low[0]), at(high[1]) + 1))
+        return {block, *range(at(low[0]), at(low[1]) + 1), *range(at(high[0]), at(high[1]) + 1)}
+
+    def centred(self, pos: np.ndarray) -> np.ndarray:
+        """Places within their leaf, from -1 to 1."""
+        return (pos % self.leaf - (self.leaf - 1) / 2) / (self.leaf / 2)
+
+    def fit(self, pos: np.ndarray, raw: np.ndarray, w: np.ndarray, v: np.ndarray, starts: dict[int, np.ndarray], leaves: np.ndarray | None) -> np.ndarray:
+        """Value of the local line at each of ``pos``.
+
+        ``raw`` are the sorted places of the raw rows, in whole blocks, with weights and values; ``starts`` the moments of
+        a leaf before each block inside it, ``leaves`` the moments of whole leaves, of weights and of weighted values.
+        """
+        t = kernels.powers_of(self.centred(raw))
+        both = np.concatenate([t * w[:, None], t * (w * v)[:, None]], axis=1)
+        ends = np.flatnonzero(np.append(raw[1:] // self.leaf != raw[:-1] // self.leaf, True))
+        inner = np.cumsum(np.concatenate([np.zeros((1, both.shape[1])), both]), axis=0)
+        # a prefix begins anew at every leaf and at every block that does not follow the one before
+        begins = np.flatnonzero(np.concatenate([[True], (raw[1:] // self.leaf != raw[:-1] // self.leaf) | (raw[1:] != raw[:-1] + 1)]))
+        piece = np.searchsorted(begins, np.arange(len(raw)), side="right") - 1
+        base = np.stack([starts.get(int(raw[b]) // self.block, np.zeros(both.shape[1])) if raw[b] % self.leaf else np.zeros(both.shape[1]) for b in begins])
+        if leaves is None:
+            firsts = np.concatenate([[0], ends[:-1] + 1])
+            leaf0 = int(raw[0]) // self.leaf
+            leaves, offset = np.add.reduceat(both, firsts, axis=0), leaf0
+        else:
+            offset = 0
+
+        def before(x: np.ndarray) -> np.ndarray:
+            """Moments of the rows of x's leaf that come before place x."""
+            at = np.searchsorted(raw, x)
+            out = np.zeros((len(x), both.shape[1]))
+            some = (x % self.leaf > 0) & (x < self.n)
+            k = np.minimum(at, len(raw) - 1)
+            there = some & (raw[k] == x)
+            out[there] = inner[at[there]] - inner[begins[piece[k[there]]]] + base[piece[k[there]]]
+            return out
+
+        low, high, h = self.windows(pos)
+        sums = np.zeros((len(pos), 2, 3))
+
+        def add(moments: np.ndarray, leaf: np.ndarray, rows: np.ndarray, side: float, sign: float) -> None:
+            shift = (leaf * self.leaf + (self.leaf - 1) / 2 - pos[rows]) / h[rows]
+            scale = self.leaf / 2 / h[rows]
+            for part in range(2):
+                own = moments[:, part * (kernels.DEGREE + 1) : (part + 1) * (kernels.DEGREE + 1)]
+                sums[rows, part] += sign * kernels.tricube_sums(kernels.moved_moments(own, shift, scale), side)
+
+        everything = np.arange(len(pos))
+        for side, first, last in ((-1.0, low, pos), (1.0, pos, high)):  # the row itself is at distance 0, on the right
+            a, b = first // self.leaf, np.minimum(last, self.n - 1) // self.leaf
+            b = np.where((last == self.n), -(-self.n // self.leaf), b)
+            for step in range(int((b - a).max(initial=0))):
+                rows = np.flatnonzero(a + step < b)
+                add(leaves[a[rows] + step - offset], a[rows] + step, rows, side, 1.0)
+            add(before(first), a, everything, side, -1.0)
+            add(before(last), np.minimum(last, self.n - 1) // self.leaf, everything, side, 1.0)
+        (s0, s1, s2), (v0, v1) = sums[:, 0].T, sums[:, 1, :2].T
+        det = s0 * s2 - s1 * s1
+        with np.errstate(divide="ignore", invalid="ignore"):
+            fit = np.where(det <= 1e-12 * s0 * s2, v0 / s0, (s2 * v0 - s1 * v1) / det)
+        own = v[np.searchsorted(raw, pos)]
+        return np.where(s0 <= 1e-10, own, fit)
+
+
+def _leaf_moments(df: DataFrame, grid: LowessGrid, value: str) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """(moments of every leaf, moments of the leaf before every block inside it), from one aggregate by block and leaf."""
+    t = (F.col("pos") % grid.leaf - F.lit((grid.leaf - 1) / 2)) / F.lit(grid.leaf / 2)
+    size = kernels.DEGREE + 1
+    terms = [F.sum(F.col("_w") * f * F.pow(t, F.lit(float(p)))) for f in (F.lit(1.0), F.col(value)) for p in range(size)]
+    keys = [F.floor(F.col("pos") / grid.block).cast("long").alias("b"), F.floor(F.col("pos") / grid.leaf).cast("long").alias("l")]
+    rows = df.groupBy(*keys).agg(F.array(*terms).alias("m")).collect()  # 24 numbers per leaf or block, 16,384 rows or an eighth of more
+    leaves, starts = np.zeros((-(-grid.n // grid.leaf), 2 * size)), {}
+    for r in sorted(rows, key=lambda r: (r["l"], r["b"])):
+        starts[r["b"]] = leaves[r["l"]].copy()
+        leaves[r["l"]] += np.array(r["m"])
+    return leaves, starts if grid.leaf > grid.block else {}
+
+
+def _line_fitter(grid: LowessGrid, starts: dict[int, np.ndarray], leaves: np.ndarray | None, value: str, out: str):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("pos")
-        first = int(block["pos"].iloc[0])
-        core = block[block["core"]]
-        pos = core["pos"].to_numpy()
-        own, weights, values = core[value].to_numpy(), block["_w"].to_numpy(), block[value].to_numpy()
-        fit = np.empty(len(pos))
-        step = max(1, LOWESS_CELLS // width)
-        for lo in range(0, len(pos), step):
-            some = slice(lo, lo + step)
-            low = np.clip(pos[some] - half, 0, n - width)
-            at = (low - first)[:, None] + np.arange(width)
-            d = (low[:, None] + np.arange(width) - pos[some][:, None]).astype(float)
-            u = np.abs(d) / np.maximum(pos[some] - low, low + width - 1 - pos[some])[:, None]
-            near = np.where(u >= 0.999, 0.0, np.where(u <= 0.001, 1.0, (1 - u**3) ** 3))
-            w, v = near * weights[at], values[at]
-            total, first_m, second_m = w.sum(1), (w * d).sum(1), (w * d * d).sum(1)
-            level, slope = (w * v).sum(1), (w * d * v).sum(1)
-            det = total * second_m - first_m**2
-            with np.errstate(divide="ignore", invalid="ignore"):
-                line = (second_m * level - first_m * slope) / det
-                flat = level / total
-            fit[some] = np.where(total <= 0, own[some], np.where(det <= 1e-12 * total * second_m, flat, line))
-        return core.assign(**{out: fit}).drop(columns=["block", "core"])
+        raw, w, v = (block[c].to_numpy() for c in ("pos", "_w", value))
+        core = block[block["_from"] == block["block"]]
+        fit = grid.fit(core["pos"].to_numpy(), raw, w, v.astype(float), starts, leaves)
+        return core.assign(**{out: fit}).drop(columns=["block", "_from"])
+
+    return run
 
+
+def smooth_lowess(sig: Ordered, span: int, rounds: int = 2, out: str = "smooth", value: str = "x", block_rows: int = LOWESS_BLOCK) -> DataFrame:
+    """Local linear fit with tricube weights over the ``span`` nearest rows, ``rounds`` robust repeats.
+
+    Positions are evenly spaced, so the nearest rows are a window that is shifted inwards at the ends. A tricube
+    weight is a polynomial in the distance, so a window's sums follow from the moments of some 18 leaves and of the
+    beginnings of three, whatever its length. Between the repeats the leaves' moments and the median absolute residual are shared.
+    """
+    n, width = sig.n, 2 * (span // 2) + 1
+    if n < width:
+        raise ValueError(f"signal of {n} rows is shorter than the window of {width}")
+    if span < 3:
+        return sig.df.withColumn(out, F.col(value).cast("double"))
+    grid = LowessGrid(n, span, block_rows)
+    spark = sig.df.sparkSession
+    users = [{"_from": b, "block": c} for c in range(-(-n // grid.block)) for b in sorted(grid.needed(c))]
+    dealt = literal_table(spark, users, "_from long, block long")  # a handful per block
     current = sig.df.withColumn("_w", F.lit(1.0))
     for step in range(rounds + 1):
-        weighted = Ordered(current, n)
-        current = _per_block(with_blocks(weighted, width, width, max(block_rows, width)), run, weighted, out)
+        leaves, starts = _leaf_moments(current, grid, value) if grid.far else (None, {})
+
+        blocks = current.withColumn("_from", F.floor(F.col("pos") / grid.block).cast("long")).join(dealt, "_from")
+        current = _per_block(blocks, _line_fitter(grid, starts, leaves, value, out), Ordered(current, n), out)
         if step == rounds:
             break
         current = materialise(current, "lowess")

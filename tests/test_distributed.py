@@ -128,8 +128,10 @@ def test_wavelet_without_threshold_rebuilds_the_series(spark, sig, signal):
     assert np.allclose([r["x"] for r in average.orderBy("pos").collect()], signal, atol=1e-8)
 
 
-def test_lowess_against_a_row_loop(sig, signal):
-    n, width = len(signal), 21
+@pytest.mark.parametrize("width,block_rows", [(21, 64), (5, 64), (121, 16), (201, 7)])
+def test_lowess_against_a_row_loop(sig, signal, width, block_rows):
+    n = len(signal)
+    assert sm.LowessGrid(n, width, block_rows).far == (block_rows < 64)
     weight = np.ones(n)
     for step in range(3):
         fit = np.empty(n)
@@ -142,7 +144,29 @@ def test_lowess_against_a_row_loop(sig, signal):
         if step < 2:
             r = np.abs(signal - fit) / (6 * np.median(np.abs(signal - fit)))
             weight = np.where(r >= 0.999, 0, np.where(r <= 0.001, 1, (1 - r**2) ** 2))
-    assert np.allclose(smooth_values(sm.smooth_lowess(sig, width, block_rows=64)), fit, atol=1e-7)
+    assert np.allclose(smooth_values(sm.smooth_lowess(sig, width, block_rows=block_rows)), fit, atol=1e-8)
+
+
+@pytest.mark.parametrize("n,span,block_rows", [(700, 35, 64), (1500, 401, 32), (3000, 1201, 32), (2777, 1001, 1000), (101, 101, 8)])
+def test_lowess_windows_are_sums_of_leaves(n, span, block_rows):
+    """Long and short windows, leaves inside blocks and blocks inside leaves, with robust weights of 0."""
+    rng = np.random.default_rng(n)
+    y, w = np.cumsum(rng.normal(size=n)), np.where(rng.random(n) < 0.2, 0, rng.random(n))
+    grid, pos = sm.LowessGrid(n, span, block_rows), np.arange(n)
+    t = kernels.powers_of(grid.centred(pos))
+    both = np.concatenate([t * w[:, None], t * (w * y)[:, None]], axis=1)
+    leaves = np.add.reduceat(both, np.arange(0, n, grid.leaf), axis=0) if grid.far else None
+    blocks = range(-(-n // grid.block))
+    starts = {b: both[b * grid.block // grid.leaf * grid.leaf : b * grid.block].sum(axis=0) for b in blocks} if grid.leaf > grid.block else {}
+    for c in blocks:
+        raw = np.concatenate([np.arange(b * grid.block, min(n, (b + 1) * grid.block)) for b in sorted(grid.needed(c))])
+        assert not grid.far or len(raw) <= 5 * grid.block
+        for i, found in zip(range(c * grid.block, n), grid.fit(np.arange(c * grid.block, min(n, (c + 1) * grid.block)), raw, w[raw], y[raw], starts, leaves)):
+            low = min(max(i - span // 2, 0), n - span)
+            j = np.arange(low, low + span)
+            u = np.abs(j - i) / max(i - low, low + span - 1 - i)
+            k = np.where(u >= 0.999, 0, np.where(u <= 0.001, 1, (1 - u**3) ** 3)) * w[j]
+            assert found == pytest.approx(np.polynomial.polynomial.polyfit(j - i, y[j], 1, w=np.sqrt(k))[0], abs=1e-7)
 
 
 def test_quantiles_with_a_hot_value(spark, monkeypatch):
