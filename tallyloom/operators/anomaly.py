@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators import linear
 from tallyloom.operators.ranks import locate_ranks
 from tallyloom.operators.split import class_counts
 from tallyloom.runtime import literal_table, materialise
@@ -158,66 +159,109 @@ def _forward(x: np.ndarray, layers: list) -> list[np.ndarray]:
     return acts
 
 
+#: Rows of one task in an epoch, at least.
+EPOCH_ROWS = 16_384
+
+
+class _Network:
+    """Weights and running moments as one vector; ``learn`` takes Adam steps on mini-batches."""
+
+    def __init__(self, shape: tuple[int, ...], rate: float, decay: float):
+        self.shape, self.rate, self.decay = shape, rate, decay
+        self.places, at = [], 0
+        for a, b in zip(shape[:-1], shape[1:]):
+            self.places.append((slice(at, at + a * b), slice(at + a * b, at + a * b + b), (a, b)))
+            at += a * b + b
+        self.size = at
+
+    def start(self, seed: int) -> np.ndarray:
+        rng = np.random.default_rng(seed)
+        flat = np.empty(self.size)
+        for w, b, (rows, columns) in self.places:
+            bound = math.sqrt(6.0 / (rows + columns))
+            flat[w], flat[b] = rng.uniform(-bound, bound, rows * columns), rng.uniform(-bound, bound, columns)
+        return flat
+
+    def layers(self, flat: np.ndarray) -> list:
+        return [(flat[w].reshape(shape), flat[b]) for w, b, shape in self.places]
+
+    def gradient(self, flat: np.ndarray, x: np.ndarray) -> tuple[float, np.ndarray]:
+        """(mean squared error, gradient of half the squared error per row) of a mini-batch."""
+        layers, out = self.layers(flat), np.empty(self.size)
+        acts = _forward(x, layers)
+        delta = acts[-1] - x
+        loss = float((delta * delta).mean())
+        for i in range(len(layers) - 1, -1, -1):
+            w, b, _ = self.places[i]
+            out[w] = ((acts[i].T @ delta + self.decay * layers[i][0]) / len(x)).ravel()
+            out[b] = delta.mean(axis=0)
+            if i:
+                delta = (delta @ layers[i][0].T) * (acts[i] > 0)
+        return loss, out
+
+    def learn(self, state: np.ndarray, step: int, x: np.ndarray) -> tuple[float, np.ndarray]:
+        """(error before the step, state after it); a state is weights, first and second moments."""
+        flat, first, second = state
+        loss, g = self.gradient(flat, x)
+        first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
+        lr = self.rate * math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        return loss, np.stack([flat - lr * first / (np.sqrt(second) + 1e-8), first, second])
+
+
+def _epoch(net: _Network, begun: np.ndarray, steps: int, batch: int, seed: list[int]):
+    """What a task does in an epoch: its rows, error and number of steps, and its state times its rows."""
+
+    def learn(batches):
+        now, at, seen, losses = begun, steps, 0, 0.0
+        for part in batches:
+            x = part.column(part.schema.get_field_index("embedding")).flatten().to_numpy().reshape(part.num_rows, net.shape[0])
+            drawn = np.random.default_rng([*seed, seen]).permutation(len(x))
+            for lo in range(0, len(x), batch):
+                some = drawn[lo : lo + batch]
+                at += 1
+                loss, now = net.learn(now, at, x[some])
+                losses += loss * len(some)
+            seen += len(x)
+        if seen:
+            yield linear.chunked(np.concatenate([[seen, losses, (at - steps) * seen], now.ravel() * seen]))
+
+    return learn
+
+
 def autoencoder_recon_error(
-    train: DataFrame, *others: DataFrame, hidden: tuple[int, ...] = (64, 24, 64), steps: int = 120, rate: float = 1e-3, decay: float = 1e-4, seed: int = 42
-) -> list[DataFrame]:
+    train: DataFrame, *others: DataFrame, hidden: tuple[int, ...] = (64, 24, 64), epochs: int = 120, rate: float = 1e-3, decay: float = 1e-4, seed: int = 42,
+    batch: int = 200, tol: float = 1e-4, patience: int = 10,
+) -> list[DataFrame]:
     """Mean squared reconstruction error of a small ReLU network trained on the embedding itself.
 
-    Every step is one pass: tasks add up the gradient of their rows, the driver applies one Adam
-    update to some ten thousand weights. The rows stay where they are.
+    An epoch is one pass: every task takes an Adam step per mini-batch of its rows, in an order drawn from the
+    epoch, and the tasks' weights and moments are averaged by their rows. A task has ``EPOCH_ROWS`` rows or more, so a
+    small table is learnt as on one machine. Training ends after ``epochs``, or once ``patience`` of them have not
+    brought the mean error down by ``tol``. The driver holds some ten thousand weights.
     """
-    stored = materialise(train.select("row_id", "embedding"), "embedded").persist()
+    stored = materialise(train.select("row_id", "embedding"), "embedded")
     n = stored.count()
+    if not n:
+        raise ValueError("no rows to train on")
+    rows = stored.coalesce(max(1, -(-n // EPOCH_ROWS))).persist()
     size = len(stored.first()["embedding"])
-    rng = np.random.default_rng(seed)
-    shape = (size, *hidden, size)
-    layers = []
-    for a, b in zip(shape[:-1], shape[1:]):
-        bound = math.sqrt(6.0 / (a + b))
-        layers.append((rng.uniform(-bound, bound, (a, b)), rng.uniform(-bound, bound, b)))
-    moment = [(np.zeros_like(w), np.zeros_like(b), np.zeros_like(w), np.zeros_like(b)) for w, b in layers]
-
-    for step in range(1, steps + 1):
-        weights = layers
-
-        def gradient(batches):
-            sums = None
-            for batch in batches:
-                x = np.stack(batch["embedding"].to_numpy())
-                acts = _forward(x, weights)
-                delta = (acts[-1] - x) / size
-                grads = []
-                for i in range(len(weights) - 1, -1, -1):
-                    grads.append(np.concatenate([(acts[i].T @ delta).ravel(), delta.sum(0)]))
-                    if i:
-                        delta = (delta @ weights[i][0].T) * (acts[i] > 0)
-                flat = np.concatenate(grads[::-1])
-                sums = flat if sums is None else sums + flat
-            if sums is not None:
-                yield pd.DataFrame({"at": np.arange(len(sums)), "g": sums})
-
-        parts = stored.select("embedding").mapInPandas(gradient, "at int, g double").groupBy("at").agg(F.sum("g").alias("g"))
-        table = parts.toPandas()
-        flat = np.zeros(len(table))
-        flat[table["at"]] = table["g"] / n
-        updated, start = [], 0
-        for i, (w, b) in enumerate(layers):
-            gw = flat[start : start + w.size].reshape(w.shape) + decay * w / n
-            gb = flat[start + w.size : start + w.size + b.size]
-            start += w.size + b.size
-            mw, mb, vw, vb = moment[i]
-            mw, mb = 0.9 * mw + 0.1 * gw, 0.9 * mb + 0.1 * gb
-            vw, vb = 0.999 * vw + 0.001 * gw**2, 0.999 * vb + 0.001 * gb**2
-            moment[i] = (mw, mb, vw, vb)
-            lr = rate * math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-            updated.append((w - lr * mw / (np.sqrt(vw) + 1e-8), b - lr * mb / (np.sqrt(vb) + 1e-8)))
-        layers = updated
-    stored.unpersist()
-    final = layers
+    net = _Network((size, *hidden, size), rate, decay)
+    state, steps, best, waited = np.stack([net.start(seed), np.zeros(net.size), np.zeros(net.size)]), 0, math.inf, 0
+    for epoch in range(epochs):
+        learn = _epoch(net, state, steps, batch, [seed, epoch])
+        found = linear.total(rows.mapInArrow(learn, linear.CHUNKED), rows.rdd.getNumPartitions(), 3 + 3 * net.size)
+        state, steps = found[3:].reshape(3, -1) / found[0], steps + int(round(found[2] / found[0]))
+        loss = found[1] / found[0] / 2
+        waited = 0 if loss < best - tol else waited + 1
+        best = min(best, loss)
+        if waited >= patience:
+            break
+    rows.unpersist()
+    final = net.layers(state[0])
 
     def run(batches):
-        for batch in batches:
-            x = np.stack(batch["embedding"].to_numpy())
-            yield pd.DataFrame({"row_id": batch["row_id"], "recon_error": ((x - _forward(x, final)[-1]) ** 2).mean(1)})
+        for part in batches:
+            x = np.stack(part["embedding"].to_numpy())
+            yield pd.DataFrame({"row_id": part["row_id"], "recon_error": ((x - _forward(x, final)[-1]) ** 2).mean(1)})
 
     return [df.select("row_id", "embedding").mapInPandas(run, "row_id long, recon_error double") for df in (train, *others)]

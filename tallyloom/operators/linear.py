@@ -114,6 +114,31 @@ def _slope(run: Run, f: np.ndarray, y: np.ndarray, w: np.ndarray, cw: np.ndarray
     return float((v * short * short).sum()), -2 * v * sign * short
 
 
+def chunked(flat: np.ndarray) -> pa.RecordBatch:
+    """A long vector as rows (chunk, sums)."""
+    parts = [flat[i : i + CHUNK].tobytes() for i in range(0, len(flat), CHUNK)]
+    return pa.RecordBatch.from_pydict({"chunk": pa.array(range(len(parts)), pa.int32()), "sums": pa.array(parts, pa.binary())})
+
+
+CHUNKED = "chunk int, sums binary"
+
+
+def total(partial: DataFrame, tasks: int, length: int) -> np.ndarray:
+    """Sum of the vectors that the tasks of ``partial`` gave as chunks; added up on the cluster first where they are large."""
+
+    def add(group: pa.Table) -> pa.Table:
+        whole = sum(np.frombuffer(b.as_py()) for b in group["sums"])
+        return pa.table({"chunk": group["chunk"].slice(0, 1), "sums": pa.array([whole.tobytes()], pa.binary())})
+
+    if tasks * length * 8 > DIRECT_BYTES:
+        partial = partial.groupBy("chunk").applyInArrow(add, CHUNKED)
+    flat = np.zeros(length)
+    for r in partial.collect():
+        part = np.frombuffer(r["sums"])
+        flat[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(part)] += part
+    return flat
+
+
 def _scan(data: DataFrame, runs: list[Run], points: list[np.ndarray], size: int, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
     """(loss per run, gradients as (term, run, class)) of the data part of the objectives, in one pass."""
     together = np.concatenate(points, axis=1)
@@ -134,22 +159,9 @@ def _scan(data: DataFrame, runs: list[Run], points: list[np.ndarray], size: int,
             terms, back = rows.back(slopes)
             sums[terms] += back
         if seen:
-            flat = np.concatenate([losses, sums.ravel()])
-            parts = [flat[i : i + CHUNK].tobytes() for i in range(0, len(flat), CHUNK)]
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(range(len(parts)), pa.int32()), "sums": pa.array(parts, pa.binary())})
+            yield chunked(np.concatenate([losses, sums.ravel()]))
 
-    def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b.as_py()) for b in group["sums"])
-        return pa.table({"chunk": group["chunk"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "chunk int, sums binary"
-    partial = data.mapInArrow(evaluate, schema)
-    if data.rdd.getNumPartitions() * together.nbytes > DIRECT_BYTES:
-        partial = partial.groupBy("chunk").applyInArrow(add, schema)
-    flat = np.zeros(len(runs) + (size + 1) * width)
-    for r in partial.collect():
-        part = np.frombuffer(r["sums"])
-        flat[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(part)] += part
+    flat = total(data.mapInArrow(evaluate, CHUNKED), data.rdd.getNumPartitions(), len(runs) + (size + 1) * width)
     return flat[: len(runs)], flat[len(runs) :].reshape(size + 1, len(runs), n_classes)
 
 

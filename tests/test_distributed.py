@@ -265,5 +265,41 @@ def test_linear_error_matches_numpy_and_forest_finds_outliers(spark):
     assert np.allclose([found[i] for i in range(300)], want)
     gone = {r["row_id"] for r in anomaly.isolation_forest_by_class(df, 0.02, trees=50).collect()}
     assert gone == set(range(6))
-    errors = [r["recon_error"] for r in anomaly.autoencoder_recon_error(df, steps=3, hidden=(8, 2, 8))[0].collect()]
+    errors = [r["recon_error"] for r in anomaly.autoencoder_recon_error(df, epochs=3, hidden=(8, 2, 8))[0].collect()]
     assert len(errors) == 300 and all(e > 0 for e in errors)
+
+
+def test_network_learns_from_mini_batches(spark, monkeypatch):
+    """As good as the same steps in plain numpy, better than as many steps on all rows, and close when tasks are averaged."""
+    rng = np.random.default_rng(8)
+    x = np.tanh(rng.normal(size=(1000, 2)) @ rng.normal(size=(2, 6)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "row_id long, embedding array<double>").repartition(4)
+    options = {"hidden": (16, 3, 16), "epochs": 30, "rate": 3e-3, "tol": 0.0}
+
+    def mean_error(**more):
+        return np.mean([r["recon_error"] for r in anomaly.autoencoder_recon_error(df, **{**options, **more})[0].collect()])
+
+    net = anomaly._Network((6, 16, 3, 16, 6), 3e-3, 1e-4)
+    state, step = np.stack([net.start(42), np.zeros(net.size), np.zeros(net.size)]), 0
+    for _ in range(30):
+        for part in np.array_split(rng.permutation(1000), 5):
+            step += 1
+            state = net.learn(state, step, x[part])[1]
+    want = ((x - anomaly._forward(x, net.layers(state[0]))[-1]) ** 2).mean()
+    one = mean_error(batch=200)
+    assert abs(one - want) < 0.25 * want and one < mean_error(batch=1000)
+    monkeypatch.setattr(anomaly, "EPOCH_ROWS", 250)
+    assert mean_error(batch=50) < mean_error(batch=1000)
+    few = mean_error(epochs=120, tol=10.0, patience=2)
+    assert few > one  # two epochs without progress end it
+
+
+def test_network_gradient(spark):
+    net, x = anomaly._Network((4, 5, 2, 4), 1e-3, 0.0), np.random.default_rng(9).normal(size=(7, 4))
+    flat = net.start(1)
+    _, g = net.gradient(flat, x)
+    half = lambda v: ((anomaly._forward(x, net.layers(v))[-1] - x) ** 2).sum() / 2 / len(x)
+    for i in range(0, net.size, 7):
+        step = np.zeros(net.size)
+        step[i] = 1e-6
+        assert (half(flat + step) - half(flat - step)) / 2e-6 == pytest.approx(g[i], abs=1e-6)
