@@ -9,11 +9,37 @@ from pyspark.sql import functions as F
 
 from tallyloom import fixed
 from tallyloom.operators.skew import keyed_join, salted_join
-from tallyloom.runtime import small_table
+from tallyloom.runtime import literal_table, small_table
 
 NARROW_KEYS = ("description", "amount_bucket", "transaction_type")
 
 
+def nested_marks(drops: list[Column], chains: list[list[int]]) -> Column:
+    """Per chain that drops the row, (chain, place) of the first condition to do so.
+
+    A chain lists conditions in growing order: each holds wherever the one before it holds.
+    """
+    marks = []
+    for c, chain in enumerate(chains):
+        first = F.lit(None).cast("struct<chain:int,place:int>")
+        for place, i in reversed(list(enumerate(chain))):
+            first = F.when(drops[i], F.struct(F.lit(c).alias("chain"), F.lit(place).alias("place"))).otherwise(first)
+        marks.append(first)
+    return F.array_compact(F.array(*marks))
+
+
+def _one_row_per_mark() -> Column:
+    """The marks of a row, and one that stands for the row itself."""
+    return F.explode(F.array_append("marks", F.struct(F.lit(-1).alias("chain"), F.lit(-1).alias("place")))).alias("m")
+
+
+def dropped_per_run(marked: DataFrame, chains: list[list[int]]) -> tuple[int, dict[int, int]]:
+    """(number of rows, rows dropped by each run) of rows with ``marks``, from one aggregate with a row per cut."""
+    here = marked.select(_one_row_per_mark()).groupBy("m.chain", "m.place").agg(F.count("*").alias("n")).collect()
+    first = {(r["chain"], r["place"]): r["n"] for r in here}
+    return first.get((-1, -1), 0), {i: sum(first.get((c, p), 0) for p in range(at + 1)) for c, chain in enumerate(chains) for at, i in enumerate(chain)}
+
+
 @dataclass(frozen=True)
 class CountingScorer:
     """P(label | keys) from label counts, pulled towards the label shares by one pseudo-row.
@@ -64,13 +90,17 @@ class CountingScorer:
         """The count of label ``y`` under the row's key."""
         return F.coalesce(F.try_element_at(F.filter("cells", lambda c: c["y"] == y), F.lit(1))["n"], F.lit(0))
 
+    def _best(self) -> Column:
+        """The likeliest label of the row's key, or of its group."""
+        ranked = F.array_min(F.transform("cells", lambda c: F.struct((-self._prob(c["n"], c["y"])).alias("p"), c["y"].alias("y"))))
+        return F.coalesce(ranked["y"], F.col("prior_best"))
+
     def _score(self, rows: DataFrame, key_table: DataFrame, prior: DataFrame, groups: tuple[str, ...], spread: str | None) -> DataFrame:
         joined = self._attach(rows, key_table, prior, groups, spread)
-        ranked = F.array_min(F.transform("cells", lambda c: F.struct((-self._prob(c["n"], c["y"])).alias("p"), c["y"].alias("y"))))
         columns = [c for c in rows.columns if c not in ("cv_pred", "true_label_prob")]
         return joined.select(
             *columns,
-            F.coalesce(ranked["y"], F.col("prior_best")).alias("cv_pred"),
+            self._best().alias("cv_pred"),
             self._prob(self._cell(F.col(self.label)), F.col(self.label)).alias("true_label_prob"),
         )
 
@@ -137,19 +167,37 @@ class CountingScorer:
         counts = train.groupBy(*self.by, *self.keys, self.label).agg(amount.alias("n"))
         return self._score(rows, self._key_table(counts, self.by), self._prior(counts, self.by), self.by, spread)
 
-    def count_runs(self, train: DataFrame, rows: DataFrame, drops: list[Column], run: str = "run") -> DataFrame:
-        """(run, actual, predicted, n) of one fit per condition of rows to leave out.
+    def count_runs(self, marked: DataFrame, rows: DataFrame, chains: list[list[int]], run: str = "run") -> DataFrame:
+        """(run, actual, predicted, n) of one fit per run, on training rows with the ``marks`` of ``nested_marks``.
 
-        Training and scored rows are aggregated to (key, label) cells once, with one counter per run;
-        everything after that works on cells.
+        A cell (key, label) holds its row count and, per cut, the rows that the cut is the first to drop, so untouched cells
+        cost nothing per run. Keys meet the scored cells once; what differs between runs is worked out inside the row
+        and added up before the last shuffle.
         """
-        kept = F.array(*[F.count_if(~F.coalesce(d, F.lit(False))) for d in drops])
-        cells = train.groupBy(*self.keys, self.label).agg(kept.alias("kept"))
-        counts = cells.select(*self.keys, self.label, F.posexplode("kept").alias(run, "n"))
-        asked = rows.groupBy(*self.keys, self.label).agg(F.count("*").alias("asked_n"))
-        asked = asked.withColumn(run, F.explode(F.sequence(F.lit(0), F.lit(len(drops) - 1))))
-        scored = self._score(asked, self._key_table(counts, (run,)), self._prior(counts, (run,)), (run,), None)
-        return scored.groupBy(run, F.col(self.label).alias("actual"), F.col("cv_pred").alias("predicted")).agg(F.sum("asked_n").alias("n"))
+        each = marked.select(*self.keys, self.label, _one_row_per_mark()).select(*self.keys, self.label, "m.chain", "m.place")
+        whole, size = F.col("chain") < 0, F.col("n")
+        cells = each.groupBy(*self.keys, self.label, "chain", "place").agg(F.count("*").alias("n"))
+        dropped = F.collect_list(F.when(~whole, F.struct("chain", "place", "n"))).alias("dropped")
+        per_label = cells.repartition(*self.keys).groupBy(*self.keys, self.label).agg(F.sum(F.when(whole, size)).alias("n"), dropped)
+        key_table = per_label.groupBy(*self.keys).agg(F.collect_list(F.struct(F.col(self.label).alias("y"), "n", "dropped")).alias("all_cells"))
+
+        steps = [{"run": i, "chain": c, "place": p, "sign": -1} for c, chain in enumerate(chains) for at, i in enumerate(chain) for p in range(at + 1)]
+        steps += [{"run": i, "chain": -1, "place": -1, "sign": 1} for chain in chains for i in chain]
+        step_table = literal_table(rows.sparkSession, steps, "run int, chain int, place int, sign int")
+        by_label = each.groupBy(self.label, "chain", "place").agg(F.count("*").alias("n"))
+        totals = by_label.join(step_table, ["chain", "place"]).groupBy("run", self.label).agg(F.sum(F.col("n") * F.col("sign")).alias("n"))
+
+        asked = rows.groupBy(*self.keys, self.label).agg(F.count("*").alias("asked_n")).join(key_table, list(self.keys), "left")
+        cuts = [F.struct(F.lit(i).alias("run"), F.lit(c).alias("chain"), F.lit(at).alias("place")) for c, chain in enumerate(chains) for at, i in enumerate(chain)]
+        per_run = asked.select("*", F.explode(F.array(*cuts)).alias("c")).select("*", "c.*")
+        gone = lambda d: (d["chain"] == F.col("chain")) & (d["place"] <= F.col("place"))
+        add = lambda total, d: total + d["n"]
+        none = F.lit(0).cast("long")
+        left = F.transform("all_cells", lambda c: F.struct((c["n"] - F.aggregate(F.filter(c["dropped"], gone), none, add)).alias("n"), c["y"].alias("y")))
+        kept = per_run.select("run", self.label, "asked_n", F.filter(left, lambda c: c["n"] > 0).alias("cells"))
+        joined = kept.withColumn("key_n", F.aggregate("cells", none, add)).join(small_table(self._prior(totals, ("run",))), "run", "left")
+        guess = joined.select(F.col("run").alias(run), F.col(self.label).alias("actual"), self._best().alias("predicted"), "asked_n")
+        return guess.groupBy(run, "actual", "predicted").agg(F.sum("asked_n").alias("n"))
 
     def out_of_fold_rates(
         self, folded: DataFrame, labels: list[str], out: str, k: int = 5, fold: str = "fold", spread: str = "row_id", onto: DataFrame | None = None

@@ -15,7 +15,7 @@ from tallyloom import fixed
 from tallyloom.functions import columns as fx
 from tallyloom.operators import metrics, relabel, removal, scaling, smoothing as sm
 from tallyloom.operators.models import LinearLearner
-from tallyloom.operators.noise import NARROW_KEYS, CountingScorer, align_noise, combined_runs, repeated_scores
+from tallyloom.operators.noise import NARROW_KEYS, CountingScorer, align_noise, combined_runs, dropped_per_run, nested_marks, repeated_scores
 from tallyloom.operators.split import class_counts, folds_by_seed, stratified_kfold
 from tallyloom.runtime import discard, literal_table, materialise
 
@@ -29,22 +29,29 @@ def evaluate(learner, train: DataFrame, valid: DataFrame, weight: str | None = N
     return metrics.classification_metrics(preds), preds
 
 
-def evaluate_runs(learner, train: DataFrame, valid: DataFrame, runs: list[tuple[dict, Column]], schema: str) -> DataFrame:
-    """Metrics of one fit per (parameters, rows to leave out); rows are left out by a condition on ``train``."""
-    table = literal_table(train.sparkSession, [{**params, "run": i} for i, (params, _) in enumerate(runs)], f"run int, {schema}")
-    if isinstance(learner, (CountingScorer, LinearLearner)):
-        scores = metrics.scores_from_counts(learner.count_runs(train, valid, [d for _, d in runs]), ("run",))
+def evaluate_runs(learner, train: DataFrame, valid: DataFrame, runs: list[tuple[dict, Column]], schema: str, chains: list[list[int]] | None = None) -> DataFrame:
+    """Metrics of one fit per (parameters, rows to leave out); rows are left out by a condition on ``train``.
+
+    ``chains`` groups runs whose conditions are nested, smallest first; without it every run stands alone.
+    """
+    drops, chains = [d for _, d in runs], chains or [[i] for i in range(len(runs))]
+    marks = nested_marks(drops, chains).alias("marks")
+    counting = isinstance(learner, CountingScorer)
+    marked = materialise(train.select(*learner.keys, learner.label, marks), "marks") if counting else train.select(marks)
+    n, removed = dropped_per_run(marked, chains)
+    lines = [{**params, "run": i, "rows_removed": removed[i], "rows_kept": n - removed[i]} for i, (params, _) in enumerate(runs)]
+    table = literal_table(train.sparkSession, lines, f"run int, rows_removed long, rows_kept long, {schema}")
+    if counting:
+        scores = metrics.scores_from_counts(learner.count_runs(marked, valid, chains), ("run",))
+    elif isinstance(learner, LinearLearner):
+        scores = metrics.scores_from_counts(learner.count_runs(train, valid, drops), ("run",))
     else:
         scores = None
-        for i, (_, drop) in enumerate(runs):
+        for i, drop in enumerate(drops):
             row = evaluate(learner, train.where(~drop), valid)[0].select(F.lit(i).alias("run"), *METRICS)
             row = materialise(row, "run")
             scores = row if scores is None else scores.unionByName(row)
-    n = F.count("*")
-    removed = [F.count_if(drop) for _, drop in runs]
-    pairs = F.array(*[F.struct(F.lit(i).alias("run"), r.alias("rows_removed"), (n - r).alias("rows_kept")) for i, r in enumerate(removed)])
-    sizes = train.agg(pairs.alias("a")).select(F.explode("a").alias("s")).select("s.*")
-    return scores.join(F.broadcast(sizes), "run").join(table, "run").drop("run")
+    return scores.join(table, "run").drop("run")
 
 
 def score_training_rows(train: DataFrame, learner, k: int = 5, seed: int = 42) -> DataFrame:
@@ -96,7 +103,7 @@ def run_capped_filter(train: DataFrame, valid: DataFrame, learner, caps: list[fl
     caps = caps or fixed.CAP_FRACTIONS
     noise = score_training_rows(train, learner)
     drops = removal.cap_removal(noise, "rank_score", caps)
-    results = materialise(evaluate_runs(learner, noise, valid, [({"cap_fraction": c}, d) for c, d in zip(caps, drops)], "cap_fraction double"), "caps")
+    results = materialise(evaluate_runs(learner, noise, valid, [({"cap_fraction": c}, d) for c, d in zip(caps, drops)], "cap_fraction double", [_growing(0, caps)]), "caps")
     best = metrics.leaderboard(results, ("weighted_f1",), ("cap_fraction",)).first()["cap_fraction"]
     kept = noise.where(~drops[caps.index(best)]).select(*train.columns)
     labels = sorted(class_counts(valid, "category"))
@@ -239,17 +246,31 @@ def advanced_signals(noise: DataFrame, optional: bool = False, lowess_span: int
     return [(name, make().select("row_id", "smooth")) for name, make in ways]
 
 
+def _growing(start: int, sizes) -> list[int]:
+    """Runs from ``start`` on, one per size, ordered so that each leaves out what the one before it leaves out."""
+    return [start + i for i in sorted(range(len(sizes)), key=lambda i: sizes[i])]
+
+
+def _by_floor(start: int, wanted: list[tuple[float, int]]) -> list[list[int]]:
+    """As ``_growing``, one chain per class floor: only cuts over the same floor are nested."""
+    return [sorted((start + i for i, (_, k) in enumerate(wanted) if k == keep), key=lambda i: wanted[i - start][0]) for keep in sorted({k for _, k in wanted})]
+
+
 def sweep_filters(train: DataFrame, valid: DataFrame, noise: DataFrame, learner, caps: list[float] | None = None):
     """(all results, best per method): every signal with every cap."""
     caps = caps or fixed.CAP_FRACTIONS
-    runs, rows, signals = [], train, []
+    rows, signals, names = train, [], []
     for i, (method, params, scores) in enumerate(filter_signals(noise)):
         stored = materialise(scores.withColumnRenamed("score", f"s{i}"), "signal")
         signals.append(stored)
         rows = _attach(rows, stored)
-        runs += [({"method": method, "params": params, "cap_fraction": c}, d) for c, d in zip(caps, removal.cap_removal(stored, f"s{i}", caps))]
+        names.append((method, params))
     rows = materialise(rows, "sweep")
-    results = materialise(evaluate_runs(learner, rows, valid, runs, "method string, params string, cap_fraction double"), "results")
+    runs, chains = [], []
+    for (method, params), drops in zip(names, removal.cap_removals(rows, [f"s{i}" for i in range(len(names))], caps)):
+        chains.append(_growing(len(runs), caps))
+        runs += [({"method": method, "params": params, "cap_fraction": c}, d) for c, d in zip(caps, drops)]
+    results = materialise(evaluate_runs(learner, rows, valid, runs, "method string, params string, cap_fraction double", chains), "results")
     discard(rows, *signals)
     return metrics.leaderboard(results, ties=("method", "params", "cap_fraction")), metrics.best_per_method(results, ties=("params", "cap_fraction"))
 
@@ -264,7 +285,7 @@ def sweep_hybrid(
     keeps: tuple[int, ...] = (20, 40, 60),
 ) -> DataFrame:
     """Every smoother x blend x share, plain and with class floors."""
-    runs, rows = [], align_noise(train, noise)
+    runs, chains, rows = [], [], align_noise(train, noise)
     counts, in_pool = class_counts(train, "category"), F.col("flagged_suspicious") & (F.col("true_label_prob") < fixed.CANDIDATE_PROB)
     names = []
     for method, signal in hybrid_signals(noise):
@@ -276,14 +297,16 @@ def sweep_hybrid(
     rows = materialise(rows, "sweep")
     pool = materialise(rows.where(in_pool), "pool")
     wanted = [(share, keep) for share in shares for keep in keeps]
-    for method, a, score in names:
+    scores = [score for *_, score in names]
+    plains, floored = removal.candidate_removals(pool, scores, list(shares)), removal.class_aware_removals(counts, pool, scores, wanted)
+    for (method, a, _), plain, floors in zip(names, plains, floored):
         base = {"method": method, "alpha": a}
-        plain = removal.candidate_removal(pool, score, list(shares))
+        chains.append(_growing(len(runs), shares))
         runs += [({**base, "family": "hybrid", "frac_candidates_removed": f, "min_keep_per_class": None}, in_pool & d) for f, d in zip(shares, plain)]
-        floors = removal.class_aware_removal(counts, pool, score, wanted)
+        chains += _by_floor(len(runs), wanted)
         runs += [({**base, "family": "classaware", "frac_candidates_removed": f, "min_keep_per_class": k}, in_pool & d) for (f, k), d in zip(wanted, floors)]
     schema = "family string, method string, alpha double, frac_candidates_removed double, min_keep_per_class int"
-    return metrics.leaderboard(materialise(evaluate_runs(learner, rows, valid, runs, schema), "results"), ties=("family", "method", "alpha"))
+    return metrics.leaderboard(materialise(evaluate_runs(learner, rows, valid, runs, schema, chains), "results"), ties=("family", "method", "alpha"))
 
 
 def sweep_advanced(
@@ -298,7 +321,7 @@ def sweep_advanced(
     lowess_span: int | None = None,
 ) -> DataFrame:
     """Every signal with quantile cuts and with class floors."""
-    runs, rows = [], align_noise(train, noise)
+    runs, chains, rows = [], [], align_noise(train, noise)
     counts, in_pool = class_counts(train, "category"), F.col("flagged_suspicious") & (F.col("true_label_prob") < fixed.CANDIDATE_PROB)
     names = []
     for name, signal in advanced_signals(noise, optional, lowess_span):
@@ -308,10 +331,11 @@ def sweep_advanced(
     rows = materialise(rows, "sweep")
     pool = materialise(rows.where(in_pool), "pool")
     wanted = [(share, keep) for share in shares for keep in keeps]
-    for name in names:
+    for name, floors in zip(names, removal.class_aware_removals(counts, pool, names, wanted)):
         cuts = removal.quantile_removals(pool, name, quantiles)
+        chains.append(_growing(len(runs), [-q for q in quantiles]))
         runs += [({"method": name, "strategy": f"threshold_q{q}"}, in_pool & d) for q, d in zip(quantiles, cuts)]
-        floors = removal.class_aware_removal(counts, pool, name, wanted)
+        chains += _by_floor(len(runs), wanted)
         runs += [({"method": name, "strategy": f"classaware_f{f}_k{k}"}, in_pool & d) for (f, k), d in zip(wanted, floors)]
-    results = materialise(evaluate_runs(learner, rows, valid, runs, "method string, strategy string"), "results")
+    results = materialise(evaluate_runs(learner, rows, valid, runs, "method string, strategy string", chains), "results")
     return metrics.leaderboard(results, ties=("method", "strategy"))

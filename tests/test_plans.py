@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from tallyloom import fixed
-from tallyloom.operators import features as ft, linear, models as md, split
+from tallyloom.operators import features as ft, linear, models as md, removal, split
 from tallyloom.operators.noise import CountingScorer
 from tallyloom.plans import compare, workflows as wf
 from tallyloom.registry.base import noise, train_valid
@@ -145,6 +145,37 @@ def test_many_runs_in_one_job_equal_single_fits(spark):
         assert np.allclose(found[i], (one["accuracy"], one["macro_f1"], train.where(d).count()))
 
 
+def test_nested_runs_equal_single_fits(spark):
+    """Two chains of nested cuts and a run of its own, listed out of order; labels vanish and one run drops every row."""
+    train, valid = train_valid(spark, SF_DIR)
+    drops = [F.col("row_id") % 10 < 6, F.col("row_id") % 10 < 1, F.lit(True), F.col("category") == "Housing", (F.col("category") == "Housing") | (F.col("amount") > 20)]
+    runs = [({"part": i}, F.coalesce(d, F.lit(False))) for i, d in enumerate(drops)]
+    found = {r["part"]: r for r in wf.evaluate_runs(CountingScorer(), train, valid, runs, "part int", [[1, 0, 2], [3, 4]]).collect()}
+    assert len(found) == 5 and found[2]["rows_kept"] == 0
+    for i in (0, 1, 3, 4):
+        kept = train.where(~runs[i][1])
+        one = wf.evaluate(CountingScorer(), kept, valid)[0].first()
+        assert np.allclose([found[i][m] for m in wf.METRICS], [one[m] for m in wf.METRICS])
+        assert found[i]["rows_kept"] == kept.count()
+
+
+def test_class_cuts_of_many_scores_equal_those_of_each(spark):
+    rows = [(i, f"it's {i % 3}", float(i * 7 % 11), float(i * 5 % 13)) for i in range(60)]
+    pool = spark.createDataFrame(rows, "row_id long, category string, a double, b double")
+    counts, wanted = {f"it's {c}": 20 for c in range(3)}, [(0.3, 5), (0.9, 5), (1.0, 18), (0.5, 30)]
+    both = removal.class_aware_removals(counts, pool, ["a", "b"], wanted)
+    for score, drops in zip("ab", both):
+        for (share, keep), drop in zip(wanted, drops):
+            order = sorted(rows, key=lambda r: (-r[2 if score == "a" else 3], -r[0]))
+            taken, allowed = {}, []
+            for r in order:
+                if taken.setdefault(r[1], 0) < max(0, 20 - keep):
+                    taken[r[1]] += 1
+                    allowed.append(r[0])
+            want = set(allowed[: max(1, int(60 * share))])
+            assert {r["row_id"] for r in pool.where(drop).collect()} == want
+
+
 def test_learners_can_stand_in_for_the_counting_scorer(spark):
     train, valid = train_valid(spark, SF_DIR)
     scores, scored, _ = wf.run_suspicious_filter(train, valid, md.LogisticLearner(max_iter=5), k=3)
