@@ -23,13 +23,14 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators.decompose import project, right_vectors
 from tallyloom.operators.impute import train_median, train_modes
+from tallyloom.operators.linear import sparse
 from tallyloom.operators.skew import salted_join
 from tallyloom.runtime import materialise
 
@@ -226,29 +227,34 @@ def vector_size(model: PipelineModel, out: str = "features") -> int:
     return sum(sizes.get(c, 1) for c in model.stages[-1].getInputCols())
 
 
+def text_vectors(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and the text block of fitted features as lists of places and weights."""
+    return model.transform(df).select(*keep, *sparse("text_vec"))
+
+
+def text_terms(model: PipelineModel) -> list[str]:
+    """Terms of the text block of fitted features, by place."""
+    return next(stage.vocabulary for stage in model.stages if isinstance(stage, CountVectorizerModel))
+
+
 def svd_embedding(train: DataFrame, valid: DataFrame, rank: int = 40, spec: FeatureSpec = WIDE, vocab: int = 4000) -> tuple[DataFrame, DataFrame]:
     """(train, valid) as (row_id, embedding): text TF-IDF on its leading right singular vectors (not
-    centred), then one-hot and scaled number columns. Signs of the text part are arbitrary."""
+    centred), then one-hot and scaled number columns."""
     spec = replace(spec, vocab=vocab)
     model = fit_features(train, spec)
     others = [f"{c}_hot" for c in spec.categories] + [f"{c}_in" for c in spec.numbers]
-    rest = VectorAssembler(inputCols=others, outputCol="rest_vec")
-
-    def indexed(df: DataFrame) -> tuple[IndexedRowMatrix, DataFrame]:
-        vectors = rest.transform(model.transform(df)).select("row_id", "text_vec", "rest_vec")
-        rows = MLUtils.convertVectorColumnsFromML(vectors.select(F.col("row_id").alias("index"), F.col("text_vec").alias("vector")), "vector")
-        return IndexedRowMatrix(rows), vectors.select("row_id", "rest_vec")
-
-    from pyspark.ml.functions import vector_to_array
-
-    text_train, rest_train = indexed(train)
-    size = text_train.numCols()
-    basis = text_train.computeSVD(min(rank, size), computeU=False).V
-
-    def embed(matrix: IndexedRowMatrix, rest_df: DataFrame) -> DataFrame:
-        projected = matrix.multiply(basis).rows.map(lambda r: (r.index, r.vector.toArray().tolist()))
-        text = train.sparkSession.createDataFrame(projected, "row_id long, text_part array<double>")
-        joined = text.join(rest_df, "row_id")
-        return joined.select("row_id", F.concat("text_part", vector_to_array("rest_vec")).alias("embedding"))
-
-    return embed(text_train, rest_train), embed(*indexed(valid))
+    both = PipelineModel([model, VectorAssembler(inputCols=others, outputCol="rest_vec")])
+    own, asked = [text_vectors(both, df, "row_id", vector_to_array("rest_vec").alias("rest")) for df in (train, valid)]
+    own = materialise(own, "vectors")
+    vectors, _ = right_vectors(own, len(text_terms(model)), rank)
+    return project(own, vectors, rest="rest"), project(asked, vectors, rest="rest")
+
+
+def text_basis(df: DataFrame, text: str, rank: int = 40, vocab: int = 4000) -> tuple[DataFrame, DataFrame]:
+    """((term, weights of the term in each component), (component, singular value)) of the TF-IDF of a text column."""
+    spec = FeatureSpec(text=text, categories=(), vocab=vocab, stop=False)
+    model = fit_features(df, spec)
+    vectors, values = right_vectors(materialise(text_vectors(model, df), "vectors"), len(text_terms(model)), rank)
+    spark = df.sparkSession
+    terms = spark.createDataFrame(pa.table({"term": text_terms(model), "weights": vectors.tolist()}), "term string, weights array<double>")
+    return terms, spark.createDataFrame(pa.table({"component": list(range(len(values))), "value": values}), "component long, value double")

@@ -102,6 +102,18 @@ def svd_embedding(spark, sf):
     return rows.select("row_id", F.size("embedding").alias("size"), F.round(square, 6).alias("square_norm"))
 
 
+BASIS_RANK = 20
+
+
+@query("svd_text_basis", f"SELECT a.i, b.i AS j, CASE WHEN a.i = b.i THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS dot FROM range({BASIS_RANK}) a(i) CROSS JOIN range({BASIS_RANK}) b(i)")
+def svd_text_basis(spark, sf):
+    """Products of the leading singular vectors of all documents' terms with each other, which must be orthonormal."""
+    terms, _ = ft.text_basis(read_table(spark, sf, "documents").select("text"), "text", BASIS_RANK)
+    one, two = terms.select("term", F.posexplode("weights").alias("i", "x"), "weights"), F.posexplode("weights").alias("j", "y")
+    pairs = one.select("i", "x", two).groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    return pairs.select(F.col("i").cast("long"), F.col("j").cast("long"), (F.round("dot", 6) + 0.0).alias("dot"))
+
+
 @query("fit_logreg")
 def fit_logreg(spark, sf):
     return md.LogisticLearner().fit_score(*train_valid(spark, sf)).select("row_id", "category", "cv_pred", *r6("true_label_prob"))

@@ -128,7 +128,34 @@ def smooth_wavelet(spark, sf):
     return smooth_only(sm.smooth_wavelet(signal(spark, sf)))
 
 
-@query("smooth_lowess")
+def lowess_sql(rounds: int = 2) -> tuple[str, dict[str, str]]:
+    """Every window row by row: local lines under tricube weights, then repeats under the weights of the residuals."""
+    parts = {
+        "span": "SELECT count(*) AS n, CAST(floor(0.025::DOUBLE * count(*)) AS BIGINT) AS half FROM sig",
+        "win": "SELECT *, greatest(pos - low, low + 2 * half - pos)::DOUBLE AS h FROM ("
+        "SELECT row_id, pos, x, half, greatest(0, least(pos - half, n - 2 * half - 1)) AS low FROM sig CROSS JOIN span)",
+        "line0": "SELECT row_id, pos, x, 1.0::DOUBLE AS w FROM sig",
+    }
+    for step in range(rounds + 1):
+        parts[f"sums{step}"] = f"""
+            SELECT pos, any_value(x) AS x, sum(t) AS s0, sum(t * u) AS s1, sum(t * u * u) AS s2, sum(t * v) AS v0, sum(t * u * v) AS v1 FROM (
+              SELECT a.pos, a.x, b.x AS v, (b.pos - a.pos) / a.h AS u, b.w * power(1 - power(abs(b.pos - a.pos) / a.h, 3), 3) AS t
+              FROM win a JOIN line{step} b ON b.pos BETWEEN a.low AND a.low + 2 * a.half WHERE abs(b.pos - a.pos) < 0.999::DOUBLE * a.h) GROUP BY pos"""
+        parts[f"fit{step}"] = f"""
+            SELECT pos, CASE WHEN s0 <= 1e-10 THEN x WHEN s0 * s2 - s1 * s1 <= 1e-12 * s0 * s2 THEN v0 / s0
+                             ELSE (s2 * v0 - s1 * v1) / (s0 * s2 - s1 * s1) END AS smooth FROM sums{step}"""
+        if step < rounds:
+            parts[f"scale{step}"] = f"SELECT 6 * median(abs(l.x - f.smooth)) AS s FROM line{step} l JOIN fit{step} f USING (pos)"
+            parts[f"line{step + 1}"] = f"""
+                SELECT row_id, pos, x, CASE WHEN s = 0 THEN w WHEN r >= 0.999::DOUBLE * s THEN 0 WHEN r <= 0.001::DOUBLE * s THEN 1 ELSE power(1 - (r / s) * (r / s), 2) END AS w
+                FROM (SELECT l.*, abs(l.x - f.smooth) AS r, s FROM line{step} l JOIN fit{step} f USING (pos) CROSS JOIN scale{step})"""
+    return f"SELECT row_id, round(smooth, 6) AS smooth FROM sig JOIN fit{rounds} USING (pos)", parts
+
+
+_lowess, _lowess_parts = lowess_sql()
+
+
+@query("smooth_lowess", build(_lowess, "sig", **_lowess_parts))
 def smooth_lowess(spark, sf):
     sig = signal(spark, sf)
     return smooth_only(sm.smooth_lowess(sig, sm.lowess_span(sig.n)))
