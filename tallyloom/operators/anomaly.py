@@ -15,6 +15,7 @@ from tallyloom.operators.split import class_counts
 from tallyloom.runtime import literal_table, materialise
 
 SAMPLE = 256
+PART_ROWS = 16_384
 
 
 def _path_norm(n: float) -> float:
@@ -55,13 +56,14 @@ def isolation_forest_by_class(
 ) -> DataFrame:
     """Row ids of the share of each class that is isolated fastest; classes under ``min_rows`` lose none.
 
-    Each tree grows on 256 rows drawn by hash from the whole class, or all of a smaller one. The trees of a class are a bounded table, so
-    the rows are scored where they are, and the cut per class is found by counting.
+    Each tree grows on 256 rows drawn by hash from the whole class, or all of a smaller one. Rows are dealt to parts of about
+    16,384 rows of one class, by hash, and each part meets a copy of its class's trees in the shuffle: no trees come to the
+    driver, and a task holds one part and one class's trees. The cut per class is found by counting.
     """
     counts = {c: n for c, n in class_counts(embedded, label).items() if n >= min_rows}
     if not counts:
         return embedded.select("row_id").limit(0)
-    sizes = literal_table(embedded.sparkSession, [{label: c, "_n": n} for c, n in counts.items()], f"{label} string, _n long")
+    sizes = literal_table(embedded.sparkSession, [{label: c, "_n": n, "_parts": -(-n // PART_ROWS)} for c, n in counts.items()], f"{label} string, _n long, _parts long")
     dice = lambda *of: F.pmod(F.xxhash64(*of), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = embedded.select("row_id", label, "embedding").join(sizes, label)
     ticket = lambda tree: dice(F.col("row_id"), tree, F.lit(seed))
@@ -80,25 +82,22 @@ def isolation_forest_by_class(
         return pd.DataFrame([{label: sample[label].iloc[0], "tree": tree, "rows": len(x), "dim": dim, "cut": cut, "kid_a": left, "kid_b": right, "length": length}])
 
     schema = f"{label} string, tree int, rows int, dim array<int>, cut array<double>, kid_a array<int>, kid_b array<int>, length array<double>"
-    forest = grown.select(label, "tree", "_rk", "embedding").groupBy(label, "tree").applyInPandas(plant, schema).toPandas()
-    by_class = {}
-    for c, part in forest.groupby(label):
-        stack = [tuple(np.asarray(r[k]) for k in ("dim", "cut", "kid_a", "kid_b", "length")) for _, r in part.iterrows()]
-        by_class[c] = (stack, _path_norm(float(part["rows"].max())))
-    shared = embedded.sparkSession.sparkContext.broadcast(by_class)
-
-    def score(batches):
-        for batch in batches:
-            value = np.zeros(len(batch))
-            for c, at in batch.groupby(label).indices.items():
-                if c in shared.value:
-                    stack, norm = shared.value[c]
-                    x = np.stack(batch["embedding"].to_numpy()[at])
-                    value[at] = 2.0 ** (-np.mean([_walk(t, x) for t in stack], axis=0) / max(norm, 1e-12))
-            yield pd.DataFrame({"row_id": batch["row_id"], label: batch[label], "isolation": value})
-
-    scored = embedded.select("row_id", label, "embedding").mapInPandas(score, f"row_id long, {label} string, isolation double")
-    scored = materialise(scored.join(sizes.select(label), label, "left_semi"), "isolation")
+    forest = grown.select(label, "tree", "_rk", "embedding").groupBy(label, "tree").applyInPandas(plant, schema)
+    copies = forest.join(sizes, label).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_n", "_parts")
+    dealt = embedded.select("row_id", label, "embedding").join(sizes, label).withColumn("_part", F.pmod(F.xxhash64("row_id"), F.col("_parts"))).drop("_n", "_parts")
+
+    def score(rows: pd.DataFrame, planted: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty:
+            return pd.DataFrame({"row_id": [], label: [], "isolation": []})
+        x = np.stack(rows["embedding"].to_numpy())
+        planted = planted.sort_values("tree")
+        stack = zip(*(planted[k] for k in ("dim", "cut", "kid_a", "kid_b", "length")))
+        length = np.mean([_walk(tuple(np.asarray(part) for part in tree), x) for tree in stack], axis=0)
+        norm = _path_norm(float(planted["rows"].max()))
+        return pd.DataFrame({"row_id": rows["row_id"], label: rows[label], "isolation": 2.0 ** (-length / max(norm, 1e-12))})
+
+    scored = dealt.groupBy(label, "_part").cogroup(copies.groupBy(label, "_part")).applyInPandas(score, f"row_id long, {label} string, isolation double")
+    scored = materialise(scored, "isolation")
     groups = sorted(counts)
     # the cut is the interpolated (1 - contamination) quantile of the class's scores
     places = {c: (counts[c] - 1) * (1.0 - contamination) for c in groups}

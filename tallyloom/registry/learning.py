@@ -160,6 +160,23 @@ def isolation_forest_by_class(spark, sf):
     return anomaly.isolation_forest_by_class(embedding(spark, sf), 0.05).select("row_id", "category", *r6("isolation"))
 
 
+@query(
+    "isolation_share_by_class",
+    build(
+        "SELECT category, n AS class_rows, n - 1 - CAST(floor((n - 1) * (1 - 0.05::DOUBLE)) AS BIGINT) AS most, true AS within FROM (SELECT category, count(*) AS n FROM train GROUP BY category) WHERE n >= 30",
+        "train",
+    ),
+)
+def isolation_share_by_class(spark, sf):
+    """Per class, how many rows lie above its interpolated quantile at most, and whether no more, and some, are isolated."""
+    rows = embedding(spark, sf)
+    gone = anomaly.isolation_forest_by_class(rows, 0.05).groupBy("category").agg(F.count("*").alias("gone"))
+    n = F.col("class_rows")
+    sizes = rows.groupBy("category").agg(F.count("*").alias("class_rows")).where(n >= 30)
+    most = n - 1 - F.floor((n - 1) * (F.lit(1.0) - F.lit(0.05))).cast("long")
+    return sizes.join(gone, "category", "left").select("category", "class_rows", most.alias("most"), F.coalesce(F.col("gone").between(1, most), F.lit(False)).alias("within"))
+
+
 @query("autoencoder_recon_error")
 def autoencoder_recon_error(spark, sf):
     rows = embedding(spark, sf)
