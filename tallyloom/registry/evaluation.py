@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import fixed
 from tallyloom.operators import metrics, reports, split
+from tallyloom.operators.models import timed
 from tallyloom.operators.noise import CountingScorer
 from tallyloom.operators.schema import label_list
 from tallyloom.plans import workflows as wf
@@ -66,12 +67,14 @@ SEED_PARTS = dict(seeded=SEEDED, rfold=sql.fold_sql("seeded", "CAST(seed AS VARC
 
 
 def key_runs(spark, sf):
-    """Out-of-fold predictions of every scorer and seed."""
+    """Out-of-fold predictions of every scorer and seed, with the seed's share of the measured time."""
 
     def make():
         folded, out = seeded_folds(spark, sf), None
         for name, keys in SCORERS.items():
             part = CountingScorer(keys=keys, by=("seed",)).out_of_fold(folded).select(F.lit(name).alias("scorer"), "seed", "fold", "category", "cv_pred")
+            part, seconds = timed(lambda part=part: materialise(part, "key-run"))
+            part = part.withColumn("training_time_seconds", F.lit(seconds / len(fixed.REPEAT_SEEDS)))
             out = part if out is None else out.unionByName(part)
         return out
 
@@ -216,7 +219,7 @@ def training_noise(spark, sf):
 
 
 def cell_preds(spark, sf):
-    """Validation predictions of every scorer, fitted on all and on unflagged training rows."""
+    """Validation predictions of every scorer, fitted on all and on unflagged training rows, with the measured time."""
 
     def make():
         noise, valid = training_noise(spark, sf), train_valid(spark, sf)[1]
@@ -225,6 +228,8 @@ def cell_preds(spark, sf):
             for name, keys in SCORERS.items():
                 part = CountingScorer(keys=keys).fit_score(rows, valid)
                 part = part.select(F.lit(name).alias("model"), F.lit(cell).alias("cell"), "row_id", "category", F.col("cv_pred").alias("prediction"))
+                part, seconds = timed(lambda part=part: materialise(part, "cell"))
+                part = part.withColumn("training_time_seconds", F.lit(seconds))
                 out = part if out is None else out.unionByName(part)
         return out
 
@@ -239,23 +244,21 @@ CELL_PREDS = " UNION ALL ".join(
 CELL_PARTS = dict(unflagged="SELECT * FROM tnoise WHERE NOT flagged_suspicious", cellpreds=CELL_PREDS)
 COMPARISON = dict(
     CELL_PARTS,
-    comp=f"SELECT *, CASE cell WHEN 'all_rows' THEN (SELECT count(*) FROM tnoise) ELSE (SELECT count(*) FROM unflagged) END / 1000 AS training_time_seconds, 1 AS seeds_run "
-    f"FROM ({sql.metrics_sql('cellpreds', 'model, cell')})",
+    comp=f"SELECT *, 1 AS seeds_run FROM ({sql.metrics_sql('cellpreds', 'model, cell')})",
 )
 
 
 def comparison(spark, sf):
-    """Scores per (model, cell); thousands of training rows take the place of the fit time."""
-    scores = metrics.classification_metrics(cell_preds(spark, sf), by=("model", "cell"))
-    noise = training_noise(spark, sf)
-    sizes = noise.agg(F.struct(F.count("*").alias("a"), F.count_if(~F.col("flagged_suspicious")).alias("b")).alias("s")).scalar()
-    rows = F.when(F.col("cell") == "all_rows", sizes["a"]).otherwise(sizes["b"]) / 1000
-    return scores.withColumn("training_time_seconds", rows).withColumn("seeds_run", F.lit(1))
+    """Scores and measured fit time per (model, cell)."""
+    scored = cell_preds(spark, sf)
+    spent = scored.groupBy("model", "cell").agg(F.max("training_time_seconds").alias("training_time_seconds"))
+    scores = metrics.classification_metrics(scored, by=("model", "cell"))
+    return scores.join(F.broadcast(spent), ["model", "cell"]).withColumn("seeds_run", F.lit(1))
 
 
-@query("comparison_summary", build(f"SELECT model, cell, {R6}, round(training_time_seconds, 6) AS training_time_seconds, seeds_run FROM comp", "tnoise", "valid", **COMPARISON))
+@query("comparison_summary", build(f"SELECT model, cell, {R6}, true AS timed, seeds_run FROM comp", "tnoise", "valid", **COMPARISON))
 def comparison_summary(spark, sf):
-    return reports.comparison_summary(comparison(spark, sf)).select("model", "cell", *r6(*SCORES, "training_time_seconds"), "seeds_run")
+    return reports.comparison_summary(comparison(spark, sf)).select("model", "cell", *r6(*SCORES), (F.col("training_time_seconds") > 0).alias("timed"), "seeds_run")
 
 
 @query(
@@ -315,7 +318,8 @@ def per_class_f1_delta(spark, sf):
 
 
 def nested_cells(spark, sf):
-    runs = seed_scores(spark, sf).withColumn("training_time_seconds", F.col("seed") / 10)
+    spent = key_runs(spark, sf).groupBy("scorer").agg(F.max("training_time_seconds").alias("training_time_seconds"))
+    runs = seed_scores(spark, sf).join(F.broadcast(spent), "scorer")
     return metrics.seed_aggregate(runs, [*SCORES, "training_time_seconds"], ("scorer",)).withColumnRenamed("scorer", "run_name")
 
 
@@ -323,14 +327,14 @@ def nested_cells(spark, sf):
     "ablation_summary",
     build(
         "SELECT scorer AS run, round(avg(weighted_f1), 6) AS weighted_f1_mean, round(stddev_pop(weighted_f1), 6) AS weighted_f1_std, round(avg(macro_f1), 6) AS macro_f1_mean, "
-        "round(avg(accuracy), 6) AS accuracy_mean, round(avg(seed / 10), 6) AS training_time_mean FROM ss GROUP BY scorer",
+        "round(avg(accuracy), 6) AS accuracy_mean, true AS timed FROM ss GROUP BY scorer",
         "lab",
         **SEED_SCORES,
     ),
 )
 def ablation_summary(spark, sf):
     line = reports.ablation_summary(nested_cells(spark, sf))
-    return line.select("run", *r6("weighted_f1_mean", "weighted_f1_std", "macro_f1_mean", "accuracy_mean", "training_time_mean"))
+    return line.select("run", *r6("weighted_f1_mean", "weighted_f1_std", "macro_f1_mean", "accuracy_mean"), (F.col("training_time_mean") > 0).alias("timed"))
 
 
 @query(
