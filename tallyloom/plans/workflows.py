@@ -17,7 +17,7 @@ from tallyloom.operators import metrics, relabel, removal, scaling, smoothing as
 from tallyloom.operators.models import LinearLearner
 from tallyloom.operators.noise import NARROW_KEYS, CountingScorer, align_noise, combined_runs, dropped_per_run, nested_marks, repeated_scores
 from tallyloom.operators.split import class_counts, folds_by_seed, stratified_kfold
-from tallyloom.runtime import discard, literal_table, materialise
+from tallyloom.runtime import discard, literal_table, materialise, tidy
 
 METRICS = ("accuracy", "weighted_f1", "macro_f1")
 KEYS = list(NARROW_KEYS)
@@ -258,11 +258,15 @@ def _by_floor(start: int, wanted: list[tuple[float, int]]) -> list[list[int]]:
 
 def sweep_filters(train: DataFrame, valid: DataFrame, noise: DataFrame, learner, caps: list[float] | None = None):
     """(all results, best per method): every signal with every cap."""
-    caps = caps or fixed.CAP_FRACTIONS
-    rows, signals, names = train, [], []
+    results = _filter_results(train, valid, noise, learner, caps or fixed.CAP_FRACTIONS)
+    return metrics.leaderboard(results, ties=("method", "params", "cap_fraction")), metrics.best_per_method(results, ties=("params", "cap_fraction"))
+
+
+@tidy
+def _filter_results(train: DataFrame, valid: DataFrame, noise: DataFrame, learner, caps: list[float]) -> DataFrame:
+    rows, names = train, []
     for i, (method, params, scores) in enumerate(filter_signals(noise)):
         stored = materialise(scores.withColumnRenamed("score", f"s{i}"), "signal")
-        signals.append(stored)
         rows = _attach(rows, stored)
         names.append((method, params))
     rows = materialise(rows, "sweep")
@@ -270,9 +274,7 @@ def sweep_filters(train: DataFrame, valid: DataFrame, noise: DataFrame, learner,
     for (method, params), drops in zip(names, removal.cap_removals(rows, [f"s{i}" for i in range(len(names))], caps)):
         chains.append(_growing(len(runs), caps))
         runs += [({"method": method, "params": params, "cap_fraction": c}, d) for c, d in zip(caps, drops)]
-    results = materialise(evaluate_runs(learner, rows, valid, runs, "method string, params string, cap_fraction double", chains), "results")
-    discard(rows, *signals)
-    return metrics.leaderboard(results, ties=("method", "params", "cap_fraction")), metrics.best_per_method(results, ties=("params", "cap_fraction"))
+    return evaluate_runs(learner, rows, valid, runs, "method string, params string, cap_fraction double", chains)
 
 
 def sweep_hybrid(
@@ -285,6 +287,11 @@ def sweep_hybrid(
     keeps: tuple[int, ...] = (20, 40, 60),
 ) -> DataFrame:
     """Every smoother x blend x share, plain and with class floors."""
+    return metrics.leaderboard(_hybrid_results(train, valid, noise, learner, alphas, shares, keeps), ties=("family", "method", "alpha"))
+
+
+@tidy
+def _hybrid_results(train: DataFrame, valid: DataFrame, noise: DataFrame, learner, alphas: tuple[float, ...], shares: tuple[float, ...], keeps: tuple[int, ...]) -> DataFrame:
     runs, chains, rows = [], [], align_noise(train, noise)
     counts, in_pool = class_counts(train, "category"), F.col("flagged_suspicious") & (F.col("true_label_prob") < fixed.CANDIDATE_PROB)
     names = []
@@ -306,7 +313,7 @@ def sweep_hybrid(
         chains += _by_floor(len(runs), wanted)
         runs += [({**base, "family": "classaware", "frac_candidates_removed": f, "min_keep_per_class": k}, in_pool & d) for (f, k), d in zip(wanted, floors)]
     schema = "family string, method string, alpha double, frac_candidates_removed double, min_keep_per_class int"
-    return metrics.leaderboard(materialise(evaluate_runs(learner, rows, valid, runs, schema, chains), "results"), ties=("family", "method", "alpha"))
+    return evaluate_runs(learner, rows, valid, runs, schema, chains)
 
 
 def sweep_advanced(
@@ -321,6 +328,14 @@ def sweep_advanced(
     lowess_span: int | None = None,
 ) -> DataFrame:
     """Every signal with quantile cuts and with class floors."""
+    results = _advanced_results(train, valid, noise, learner, quantiles, [(share, keep) for share in shares for keep in keeps], optional, lowess_span)
+    return metrics.leaderboard(results, ties=("method", "strategy"))
+
+
+@tidy
+def _advanced_results(
+    train: DataFrame, valid: DataFrame, noise: DataFrame, learner, quantiles: tuple[float, ...], wanted: list[tuple[float, int]], optional: bool, lowess_span: int | None
+) -> DataFrame:
     runs, chains, rows = [], [], align_noise(train, noise)
     counts, in_pool = class_counts(train, "category"), F.col("flagged_suspicious") & (F.col("true_label_prob") < fixed.CANDIDATE_PROB)
     names = []
@@ -330,12 +345,10 @@ def sweep_advanced(
         names.append(name)
     rows = materialise(rows, "sweep")
     pool = materialise(rows.where(in_pool), "pool")
-    wanted = [(share, keep) for share in shares for keep in keeps]
     for name, floors in zip(names, removal.class_aware_removals(counts, pool, names, wanted)):
         cuts = removal.quantile_removals(pool, name, quantiles)
         chains.append(_growing(len(runs), [-q for q in quantiles]))
         runs += [({"method": name, "strategy": f"threshold_q{q}"}, in_pool & d) for q, d in zip(quantiles, cuts)]
         chains += _by_floor(len(runs), wanted)
         runs += [({"method": name, "strategy": f"classaware_f{f}_k{k}"}, in_pool & d) for (f, k), d in zip(wanted, floors)]
-    results = materialise(evaluate_runs(learner, rows, valid, runs, "method string, strategy string", chains), "results")
-    return metrics.leaderboard(results, ties=("method", "strategy"))
+    return evaluate_runs(learner, rows, valid, runs, "method string, strategy string", chains)

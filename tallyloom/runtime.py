@@ -5,6 +5,9 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 from pathlib import Path
 
 import pyarrow as pa
@@ -13,6 +16,8 @@ from pyspark.sql import functions as F
 
 SMALL_ROWS = 50_000
 
+_written: ContextVar[list[DataFrame] | None] = ContextVar("written", default=None)
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
@@ -40,9 +45,34 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._stored_at = path
+    if (inside := _written.get()) is not None:
+        inside.append(table)
     return table
 
 
+def tidy(job: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A job whose result is stored and whose other stored tables are deleted, also after an error.
+
+    Tables stored by threads that the job starts are not seen.
+    """
+
+    @wraps(job)
+    def run(*args, **options) -> DataFrame:
+        own: list[DataFrame] = []
+        token = _written.set(own)
+        try:
+            result = job(*args, **options)
+            _written.reset(token)
+            token = None
+            return materialise(result, job.__name__.strip("_"))
+        finally:
+            if token is not None:
+                _written.reset(token)
+            discard(*own)
+
+    return run
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``materialise`` has written, once nothing reads them any more."""
     for table in tables:
