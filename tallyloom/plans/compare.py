@@ -16,7 +16,7 @@ from tallyloom.operators.ranks import exact_quantiles
 from tallyloom.operators.schema import label_list
 from tallyloom.operators.split import class_counts, ordered_folds, stratified_kfold
 from tallyloom.plans.workflows import evaluate
-from tallyloom.runtime import literal_table, materialise
+from tallyloom.runtime import join_rows, literal_table, materialise
 
 
 class Results:
@@ -60,7 +60,7 @@ def with_numbers(learner, train: DataFrame, valid: DataFrame, columns: tuple[str
 
 def with_signals(train: DataFrame, valid: DataFrame, signal: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """Training rows with their signal columns; validation rows get the training medians."""
-    joined = materialise(train.join(signal.select("row_id", *columns), "row_id"), "signal")
+    joined = materialise(join_rows(train, signal.select("row_id", *columns), "row_id"), "signal")
     return joined, sm.with_constants(valid, sm.signal_medians(joined, columns))
 
 
@@ -88,7 +88,7 @@ def compare_noise_methods(
 def embed(train: DataFrame, valid: DataFrame, vocab: int, rank: int = 40) -> tuple[DataFrame, DataFrame]:
     """Embeddings with the label of the training rows, stored."""
     a, b = ft.svd_embedding(train, valid, rank, vocab=vocab)
-    return materialise(a.join(train.select("row_id", "category"), "row_id"), "embedding"), materialise(b, "embedding")
+    return materialise(join_rows(a, train.select("row_id", "category"), "row_id"), "embedding"), materialise(b, "embedding")
 
 
 def recon_errors(train: DataFrame, valid: DataFrame, kind: str = "network", **options) -> tuple[DataFrame, DataFrame]:
@@ -106,8 +106,8 @@ def compare_delta_ae_focal(train: DataFrame, valid: DataFrame, noise: DataFrame,
     with_delta, valid_delta = with_signals(train, valid, sm.delta_sigma(sm.scored_signal(noise)), delta)
     out.add("delta_sigma_features", with_delta, valid=valid_delta, extra=tuple(delta))
     errors, valid_errors = recon_errors(train, valid, autoencoder, **options)
-    with_err = materialise(train.join(errors, "row_id"), "errors")
-    out.add("autoencoder_recon_error_feature", with_err, valid=valid.join(valid_errors, "row_id"), extra=("recon_error",))
+    with_err = materialise(join_rows(train, errors, "row_id"), "errors")
+    out.add("autoencoder_recon_error_feature", with_err, valid=join_rows(valid, valid_errors, "row_id"), extra=("recon_error",))
     kept = materialise(removal.recon_error_threshold(with_err, "recon_error", 0.95), "kept")
     out.add("autoencoder_threshold_95", kept.drop("recon_error"), removed=with_err.count() - kept.count())
     scored = learner.out_of_fold(stratified_kfold(train)).withColumn("weight", fx.focal_weight(F.col("true_label_prob")))
@@ -133,7 +133,7 @@ def second_stage(
     all_rows, valid_rows = with_signals(train, valid, injected, ["resid_injected"])
     out.add("residual_injection_low_weight", removal.remove_rows(all_rows, gone), n_gone, valid_rows, extra=("resid_injected",))
     errors, _ = recon_errors(train, valid, autoencoder, **options)
-    marked = materialise(gone.join(errors, "row_id"), "marked")
+    marked = materialise(join_rows(gone, errors, "row_id"), "marked")
     for q in gates:
         gated = materialise(removal.error_gating(marked, "recon_error", q).select("row_id"), "gated")
         out.add(f"error_gating_ae_q{q}", removal.remove_rows(train, gated), gated.count())

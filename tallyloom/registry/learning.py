@@ -13,7 +13,7 @@ from tallyloom.registry import base
 from tallyloom.registry.base import query, r6, train_valid
 from tallyloom.registry.evaluation import training_noise
 from tallyloom.registry.sql import build
-from tallyloom.runtime import materialise
+from tallyloom.runtime import join_rows, materialise
 from tallyloom.sources.adapters import labelled, read_table
 
 
@@ -182,7 +182,7 @@ def autoencoder_recon_error(spark, sf):
     rows = embedding(spark, sf)
     linear = anomaly.linear_recon_error(rows, rank=24)[0].withColumnRenamed("recon_error", "linear_error")
     deep = anomaly.autoencoder_recon_error(rows)[0]
-    return deep.join(linear, "row_id").select("row_id", *r6("recon_error", "linear_error"))
+    return join_rows(deep, linear, "row_id").select("row_id", *r6("recon_error", "linear_error"))
 
 
 @query("compare_noise_methods")
