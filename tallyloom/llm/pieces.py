@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding with a shared-prefix Viterbi pass.
 
 Text is marked (a blank becomes the mark, one mark goes in front) and cut before each run of marks: no
-piece of a fitting vocabulary crosses such a place. The distinct words of a slice are sorted, which walks
-their trie depth-first, and the forward value of every prefix is computed once for all words that share it.
+piece of a fitting vocabulary crosses such a place. It is also cut between characters that stand side by side in
+no piece, as a letter and a comma mostly do. The distinct words of a slice are sorted, which walks their trie
+depth-first, and the forward value of every prefix is computed once for all words that share it.
 
 For a unigram model the forward value is the best total score and the last piece of that segmentation.
 A BPE model has no such sum: its segmentation is the one in which every two neighbours, encoded
@@ -28,11 +29,11 @@ from pyspark.sql import types as T
 
 from tallyloom.llm.session import lean
 from tallyloom.llm.spans import SpanIds, span_bytes
-from tallyloom.llm.textbytes import Slice, slices
+from tallyloom.llm.textbytes import IS_START, Slice, slices
 
 MARK = "▁"
 SLICE_BYTES = 1 << 20
-MAX_NEIGHBOURS = 1 << 17
+MAX_NEIGHBOURS = 1 << 18
 IDS = "ids"
 
 
@@ -83,15 +84,17 @@ class Vocabulary:
         self.ids = {names[i]: i for i in range(n) if not special[i] and not is_byte[i]}
         self.scores = {p: processor.get_score(i) for p, i in self.ids.items()}
         self.byte_ids = {int(names[i][1:-1], 16): i for i in range(n) if is_byte[i]}
-        self.longest = max(map(len, self.ids), default=1)
+        self.begins = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece of this vocabulary crosses a word boundary")
         #: Bytes that each id stands for.
         self.content = [b"" if special[i] else bytes([int(names[i][1:-1], 16)]) if is_byte[i] else names[i].replace(MARK, " ").encode() for i in range(n)]
         self.content[self.unknown] = b" \xe2\x81\x87 "
-        #: Single bytes that are no piece never take part in a longer one: words are cut around them.
-        inside = set("".join(self.ids))
-        self.loners = np.array([c < 128 and chr(c) not in inside and c != 0x20 for c in range(256)])
+        #: Bytes that follow each other in some piece: no piece crosses the place between two others.
+        self.meet = np.zeros((256, 256), bool)
+        for piece in self.ids:
+            inside = np.frombuffer(piece.replace(MARK, " ").encode(), np.uint8)
+            self.meet[inside[:-1], inside[1:]] = True
 
     def fallback(self, char: str) -> list[int]:
         if self.byte_ids:
@@ -105,6 +108,7 @@ class PieceCoder:
     def __init__(self, model: bytes):
         self.vocabulary = Vocabulary(model)
         self.neighbours: dict[tuple[str, str], bool] = {}
+        self.moves: dict[str, tuple[str, list[str]]] = {}
         self.spans = SpanIds(self._encode)
         lengths = np.array([len(c) for c in self.vocabulary.content], np.int64)
         self.lengths, self.bytes = lengths, np.frombuffer(b"".join(self.vocabulary.content), np.uint8)
@@ -125,31 +129,39 @@ class PieceCoder:
         return parts
 
     def _stay(self, left: str, right: str) -> bool:
-        key = (left, right)
-        known = self.neighbours.get(key)
-        if known is None:
-            if len(self.neighbours) >= MAX_NEIGHBOURS:
-                self.neighbours.clear()
-            known = self.neighbours[key] = self.merged(left + right) == ([left, right] if left else [right])
+        if len(self.neighbours) >= MAX_NEIGHBOURS:
+            self.neighbours.clear()
+        known = self.neighbours[left, right] = self.merged(left + right) == ([left, right] if left else [right])
         return known
 
-    def _forward_bpe(self, word: str, end: int, last: list[str]) -> str:
-        ids = self.vocabulary.ids
-        for begin in range(max(0, end - self.vocabulary.longest), end):
-            piece = word[begin:end]
-            if (piece in ids or begin == end - 1) and self._stay(last[begin], piece):
+    def _move(self, state: str, char: str) -> tuple[str, list[str]]:
+        """(longest end of ``state`` and ``char`` that begins a piece, the pieces that end there, longest first)."""
+        if len(self.moves) >= MAX_NEIGHBOURS:
+            self.moves.clear()
+        ids, begins = self.vocabulary.ids, self.vocabulary.begins
+        to = state + char
+        while len(to) > 1 and to not in begins:
+            to = to[1:]
+        ending = [to[i:] for i in range(len(to)) if to[i:] in ids or i == len(to) - 1]
+        known = self.moves[state + char] = (to if to in begins else "", ending)
+        return known
+
+    def _forward_bpe(self, ending: list[str], end: int, last: list[str]) -> str:
+        stays = self.neighbours.get
+        for piece in ending:
+            left = last[end - len(piece)]
+            known = stays((left, piece))
+            if known or known is None and self._stay(left, piece):
                 return piece
         raise AssertionError("no segmentation")
 
-    def _forward_unigram(self, word: str, end: int, best: list[float]) -> tuple[float, str]:
+    def _forward_unigram(self, ending: list[str], end: int, best: list[float]) -> tuple[float, str]:
         scores = self.vocabulary.scores
-        found, piece = -np.inf, word[end - 1]
-        for begin in range(max(0, end - self.vocabulary.longest), end):
-            score = scores.get(word[begin:end])
-            if score is None and begin == end - 1:
-                score = self.floor
-            if score is not None and best[begin] + score > found:
-                found, piece = best[begin] + score, word[begin:end]
+        found, piece = -np.inf, ending[-1]
+        for one in ending:
+            score = best[end - len(one)] + scores.get(one, self.floor)
+            if score > found:
+                found, piece = score, one
         return found, piece
 
     def words(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
@@ -157,20 +169,24 @@ class PieceCoder:
         unigram = self.vocabulary.unigram
         if unigram:
             self.floor = min(self.vocabulary.scores.values(), default=0.0) - 10.0
-        last, best, before = [""], [0.0], ""
+        last, best, states, before = [""], [0.0], [""], ""
+        moves, forward = self.moves.get, self._forward_bpe
         for word in sorted(words):
             shared = 0
             for a, b in zip(before, word):
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1 :], best[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
+            del last[shared + 1 :], best[shared + 1 :], states[shared + 1 :]
+            state = states[shared]
+            for end, char in enumerate(word[shared:], shared + 1):
+                state, ending = moves(state + char) or self._move(state, char)
+                states.append(state)
                 if unigram:
-                    score, piece = self._forward_unigram(word, end, best)
+                    score, piece = self._forward_unigram(ending, end, best)
                     best.append(score)
                 else:
-                    piece = self._forward_bpe(word, end, last)
+                    piece = forward(ending, end, last)
                 last.append(piece)
             pieces, end = [], len(word)
             while end:
@@ -182,11 +198,11 @@ class PieceCoder:
     def _encode(self, part: Slice, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         marked = [s.decode().replace(" ", MARK) for s in span_bytes(part, starts, ends)]
         found: dict[str, list[int]] = {}
+        own = self.vocabulary.ids.get
         for word, pieces in self.words(marked):
-            ids: list[int] = []
-            for piece in pieces:
-                i = self.vocabulary.ids.get(piece)
-                ids += [i] if i is not None else self.vocabulary.fallback(piece)
+            ids = [own(piece) for piece in pieces]
+            if None in ids:
+                ids = [i for piece in pieces for i in ([own(piece)] if own(piece) is not None else self.vocabulary.fallback(piece))]
             found[word] = ids
         runs = [found[m] for m in marked]
         return np.array([i for r in runs for i in r], np.int32), np.array([len(r) for r in runs], np.int64)
@@ -195,10 +211,8 @@ class PieceCoder:
         """Ids of the texts of a slice, which begin with the blank of the mark, and their number by text."""
         data = part.data
         blank = data == 0x20
-        alone = self.vocabulary.loners[data]
         cut = np.zeros(len(data) + 1, bool)
-        cut[:-1] = alone
-        cut[1:] |= alone
+        cut[1:-1] = IS_START[data[1:]] & ~self.vocabulary.meet[data[:-1], data[1:]] & ~blank[1:]
         cut[1:-1] |= blank[1:] & ~blank[:-1]
         filled = np.flatnonzero(np.diff(part.begins))
         cut[part.begins[:-1][filled]] = True
