@@ -169,7 +169,6 @@ def _break_places(part: Slice) -> np.ndarray:
     a letter and an ASCII mark."""
     data = np.concatenate([part.data, np.zeros(2, np.uint8)])
     n = len(part.data)
-    at = np.arange(n)
     lead = data[:n]
     two = np.zeros(n, bool)  # last byte of a two-byte character from U+00C0 on
     two[1:] = _SOLID[lead[:-1]] & (lead[:-1] >= 0x80)
@@ -179,7 +178,7 @@ def _break_places(part: Slice) -> np.ndarray:
     letter_end = _LETTER[lead] | latin
     gap = np.flatnonzero((lead[1:] == 0x20) | (lead[1:] == 0x0A)) + 1
     gap = gap[solid_end[gap - 1] & _SOLID[data[gap + 1]]]
-    marks = at[1:][_MARKS[lead[1:]] & letter_end[:-1]]
+    marks = np.flatnonzero(_MARKS[lead[1:]] & letter_end[:-1]) + 1
     edge = np.zeros(n + 2, bool)
     edge[part.begins] = True
     gap = gap[~edge[gap] & ~edge[gap + 1]]
@@ -244,7 +243,7 @@ class ByteBpe:
         for lo in range(0, len(cuts) - 1, 64):
             hi = min(lo + 64, len(cuts) - 1)
             texts = [raw[bounds[i] : bounds[i + 1]].decode() for i in range(lo, hi)]
-            for e in self.tokenizer.encode_batch(texts, add_special_tokens=False):
+            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
                 found.append(np.array(e.ids, np.int32))
         ids = np.concatenate(found) if found else np.zeros(0, np.int32)
         tokens = np.searchsorted(np.cumsum(self.id_bytes[ids]), upto, side="left") + 1
