@@ -39,22 +39,37 @@ def _grow(x: np.ndarray, depth: int, limit: int, rng: np.random.Generator, nodes
     return at
 
 
-def _walk(tree: tuple, x: np.ndarray) -> np.ndarray:
+def _limit(rows: int) -> int:
+    """Levels below the root that a tree of so many rows may have."""
+    return math.ceil(math.log2(max(rows, 2)))
+
+
+def _walk(tree: tuple, x: np.ndarray, levels: int) -> np.ndarray:
+    """Path length of every row in a tree of at most ``levels`` levels below its root; a row that has met a leaf stays there."""
     dim, cut, left, right, length = tree
+    here = np.arange(len(dim))
+    end = dim < 0
+    dim, kids = np.where(end, 0, dim), np.stack([np.where(end, here, right), np.where(end, here, left)], axis=1).ravel()
+    flat, begins = x.ravel(), np.arange(len(x)) * x.shape[1]
     at = np.zeros(len(x), dtype=int)
-    rows = np.arange(len(x))
-    while True:
-        inner = dim[at] >= 0
-        if not inner.any():
-            return length[at]
-        go = x[rows, np.maximum(dim[at], 0)] <= cut[at]
-        at = np.where(inner, np.where(go, left[at], right[at]), at)
+    for _ in range(levels):
+        at = kids[2 * at + (flat[begins + dim[at]] <= cut[at])]
+    return length[at]
 
 
 def isolation_forest_by_class(
     embedded: DataFrame, contamination: float, label: str = "category", trees: int = 200, min_rows: int = 30, seed: int = 42
 ) -> DataFrame:
-    """Row ids of the share of each class that is isolated fastest; classes under ``min_rows`` lose none.
+    """Row ids of the share of each class that is isolated fastest; see ``isolation_forests_by_class``."""
+    return isolation_forests_by_class(embedded, (contamination,), label, trees, min_rows, seed)[0]
+
+
+def isolation_forests_by_class(
+    embedded: DataFrame, contaminations: tuple[float, ...], label: str = "category", trees: int = 200, min_rows: int = 30, seed: int = 42
+) -> list[DataFrame]:
+    """Per contamination, row ids of that share of each class that is isolated fastest; classes under ``min_rows`` lose none.
+
+    The forest and the rows' scores do not depend on the share, so all shares are cut from the same scores.
 
     Each tree grows on 256 rows drawn by hash from the whole class, or all of a smaller one. Rows are dealt to parts of about
     16,384 rows of one class, by hash, and each part meets a copy of its class's trees in the shuffle: no trees come to the
@@ -62,14 +77,14 @@ def isolation_forest_by_class(
     """
     counts = {c: n for c, n in class_counts(embedded, label).items() if n >= min_rows}
     if not counts:
-        return embedded.select("row_id").limit(0)
+        return [embedded.select("row_id").limit(0) for _ in contaminations]
     sizes = literal_table(embedded.sparkSession, [{label: c, "_n": n, "_parts": -(-n // PART_ROWS)} for c, n in counts.items()], f"{label} string, _n long, _parts long")
     dice = lambda *of: F.pmod(F.xxhash64(*of), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = embedded.select("row_id", label, "embedding").join(sizes, label)
     ticket = lambda tree: dice(F.col("row_id"), tree, F.lit(seed))
     share = F.lit(1.6 * SAMPLE) / F.col("_n")  # more than enough rows of the whole class; the lowest tickets stay
-    hits = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: ticket(tree) < share)
-    grown = drawn.withColumn("tree", F.explode(hits)).withColumn("_t", ticket(F.col("tree")))
+    each = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))  # a row meets every tree in compiled code, and few stay
+    grown = drawn.withColumn("tree", each).withColumn("_t", ticket(F.col("tree"))).where(F.col("_t") < share)
     rank = F.row_number().over(Window.partitionBy(label, "tree").orderBy("_t", "row_id"))
     grown = grown.withColumn("_rk", rank).where(F.col("_rk") <= SAMPLE)
 
@@ -77,7 +92,7 @@ def isolation_forest_by_class(
         x = np.stack(sample.sort_values("_rk")["embedding"].to_numpy())
         tree = int(sample["tree"].iloc[0])
         nodes: list = []
-        _grow(x, 0, math.ceil(math.log2(max(len(x), 2))), np.random.default_rng([seed, tree]), nodes)
+        _grow(x, 0, _limit(len(x)), np.random.default_rng([seed, tree]), nodes)
         dim, cut, left, right, length = (list(v) for v in zip(*nodes))
         return pd.DataFrame([{label: sample[label].iloc[0], "tree": tree, "rows": len(x), "dim": dim, "cut": cut, "kid_a": left, "kid_b": right, "length": length}])
 
@@ -92,23 +107,27 @@ def isolation_forest_by_class(
         x = np.stack(rows["embedding"].to_numpy())
         planted = planted.sort_values("tree")
         stack = zip(*(planted[k] for k in ("dim", "cut", "kid_a", "kid_b", "length")))
-        length = np.mean([_walk(tuple(np.asarray(part) for part in tree), x) for tree in stack], axis=0)
-        norm = _path_norm(float(planted["rows"].max()))
+        most = int(planted["rows"].max())
+        length = np.mean([_walk(tuple(np.asarray(part) for part in tree), x, _limit(most)) for tree in stack], axis=0)
+        norm = _path_norm(float(most))
         return pd.DataFrame({"row_id": rows["row_id"], label: rows[label], "isolation": 2.0 ** (-length / max(norm, 1e-12))})
 
     scored = dealt.groupBy(label, "_part").cogroup(copies.groupBy(label, "_part")).applyInPandas(score, f"row_id long, {label} string, isolation double")
     scored = materialise(scored, "isolation")
     groups = sorted(counts)
     # the cut is the interpolated (1 - contamination) quantile of the class's scores
-    places = {c: (counts[c] - 1) * (1.0 - contamination) for c in groups}
-    targets = [(c, r) for c in groups for r in (int(places[c]), min(int(places[c]) + 1, counts[c] - 1))]
+    places = [{c: (counts[c] - 1) * (1.0 - contamination) for c in groups} for contamination in contaminations]
+    targets = [(c, r) for own in places for c in groups for r in (int(own[c]), min(int(own[c]) + 1, counts[c] - 1))]
     found = iter(locate_ranks(scored, F.col("isolation"), targets, F.col(label)))
-    cuts = []
-    for c in groups:
-        low, high = next(found).value, next(found).value
-        cuts.append({label: c, "_cut": low + (high - low) * (places[c] - int(places[c]))})
-    table = literal_table(embedded.sparkSession, cuts, f"{label} string, _cut double")
-    return scored.join(table, label).where(F.col("isolation") > F.col("_cut")).select("row_id", label, "isolation")
+    isolated = []
+    for own in places:
+        cuts = []
+        for c in groups:
+            low, high = next(found).value, next(found).value
+            cuts.append({label: c, "_cut": low + (high - low) * (own[c] - int(own[c]))})
+        table = literal_table(embedded.sparkSession, cuts, f"{label} string, _cut double")
+        isolated.append(scored.join(table, label).where(F.col("isolation") > F.col("_cut")).select("row_id", label, "isolation"))
+    return isolated
 
 
 def _moments(embedded: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
