@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -340,10 +339,10 @@ def texts_of(docs: DataFrame, wanted: DataFrame, n_gram: int) -> DataFrame:
     A Bloom filter keeps most other texts out of the shuffle; the join decides."""
     bitmap = docs.sparkSession.sparkContext.broadcast(_bloom(wanted.select(F.col("rep").alias("doc_id"))))
 
-    @F.pandas_udf(T.BooleanType())
-    def maybe(x: pd.Series, y: pd.Series) -> pd.Series:
-        hit = [(bitmap.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 for at in (x.to_numpy(), y.to_numpy())]
-        return pd.Series(hit[0] & hit[1] == 1)
+    @F.arrow_udf(T.BooleanType())
+    def maybe(x: pa.Array, y: pa.Array) -> pa.Array:
+        hit = [(bitmap.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 for at in (np.asarray(x), np.asarray(y))]
+        return pa.array(hit[0] & hit[1] == 1)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:

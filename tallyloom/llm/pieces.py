@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.session import lean
+from tallyloom.llm.session import kept, lean
 from tallyloom.llm.spans import SpanIds, span_bytes
 from tallyloom.llm.textbytes import IS_START, Slice, slices
 
@@ -35,6 +35,7 @@ MARK = "▁"
 SLICE_BYTES = 1 << 20
 MAX_NEIGHBOURS = 1 << 18
 IDS = "ids"
+CODER = "piece coder"
 
 
 def _model_type(proto: bytes) -> int:
@@ -102,6 +103,23 @@ class Vocabulary:
         return [self.unknown]
 
 
+class PieceBytes:
+    """The bytes that each id of a vocabulary stands for, all that decoding needs."""
+
+    def __init__(self, content: list[bytes]):
+        self.lengths, self.bytes = np.array([len(c) for c in content], np.int64), np.frombuffer(b"".join(content), np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """Bytes of the texts with ``counts`` ids each, without the mark in front."""
+        n = self.lengths[ids]
+        shift = self.offsets[ids] - np.concatenate([[0], np.cumsum(n)])[:-1]
+        joined = self.bytes[np.repeat(shift, n) + np.arange(n.sum())].tobytes()
+        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(counts)]
+        starts = np.concatenate([[0], ends])[:-1]
+        return [joined[a + (joined[a : a + 1] == b" " and b > a) : b] for a, b in zip(starts.tolist(), ends.tolist())]
+
+
 class PieceCoder:
     """Encodes words in sorted order, keeping the forward values of the current path in the trie."""
 
@@ -110,9 +128,7 @@ class PieceCoder:
         self.neighbours: dict[tuple[str, str], bool] = {}
         self.moves: dict[str, tuple[str, list[str]]] = {}
         self.spans = SpanIds(self._encode)
-        lengths = np.array([len(c) for c in self.vocabulary.content], np.int64)
-        self.lengths, self.bytes = lengths, np.frombuffer(b"".join(self.vocabulary.content), np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+        self.decode = PieceBytes(self.vocabulary.content).decode
 
     def merged(self, text: str) -> list[str]:
         """Plain BPE: merge the neighbours whose union has the best score, the leftmost first."""
@@ -221,26 +237,10 @@ class PieceCoder:
         ids, counts = self.spans.lookup(part, starts, ends)
         return ids, np.bincount(part.owner(starts), weights=counts, minlength=part.rows).astype(np.int64)
 
-    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
-        """Bytes of the texts with ``counts`` ids each, without the mark in front."""
-        n = self.lengths[ids]
-        shift = self.offsets[ids] - np.concatenate([[0], np.cumsum(n)])[:-1]
-        joined = self.bytes[np.repeat(shift, n) + np.arange(n.sum())].tobytes()
-        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(counts)]
-        starts = np.concatenate([[0], ends])[:-1]
-        return [joined[a + (joined[a : a + 1] == b" " and b > a) : b] for a, b in zip(starts.tolist(), ends.tolist())]
-
-
-_coders: dict[bytes, PieceCoder] = {}
-
 
 def piece_coder(model: bytes) -> PieceCoder:
-    """The coder of a model, kept by this worker for its next tasks."""
-    key = sha256(model).digest()
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = PieceCoder(model)
-    return _coders[key]
+    """The coder of a model, kept by this worker until it gets a task that codes no pieces."""
+    return kept(CODER, sha256(model).digest(), lambda: PieceCoder(model))
 
 
 def marked_texts(column: pa.Array) -> pa.Array:
@@ -271,17 +271,17 @@ def encode_pieces(docs: DataFrame, model: bytes, text: str = "text") -> DataFram
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*rows.columns, lists], [*batch.schema.names, IDS])
 
-    return docs.mapInArrow(lean(batches), T.StructType([*docs.schema.fields, T.StructField(IDS, T.ArrayType(T.IntegerType()))]))
+    return docs.mapInArrow(lean(batches, CODER), T.StructType([*docs.schema.fields, T.StructField(IDS, T.ArrayType(T.IntegerType()))]))
 
 
 def decode_pieces(encoded: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     """``encoded`` with ``text`` read from ``ids``; null or empty ids give an empty text, bytes that are no
     UTF-8 the replacement character."""
     encoded = encoded.drop(text)
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    shared = encoded.sparkSession.sparkContext.broadcast(PieceBytes(Vocabulary(model).content))
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = piece_coder(shared.value)
+        coder = shared.value
         for batch in source:
             for lo in range(0, batch.num_rows, 1024):
                 rows = batch.slice(lo, 1024)
@@ -290,7 +290,7 @@ def decode_pieces(encoded: DataFrame, model: bytes, text: str = "text") -> DataF
                 texts = [t.decode(errors="replace") for t in coder.decode(np.asarray(lists.flatten()), counts)]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*batch.schema.names, text])
 
-    return encoded.mapInArrow(lean(batches), T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
+    return encoded.mapInArrow(lean(batches, CODER), T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())]))
 
 
 def piece_digests(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -309,4 +309,4 @@ def piece_digests(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: s
                 yield pa.RecordBatch.from_arrays([rows, pa.array(counts), pa.array(crcs, pa.int64()), pa.array(hashes, pa.string())], names)
 
     kinds = [docs.schema[doc_id].dataType, T.LongType(), T.LongType(), T.StringType()]
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(lean(batches), T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
+    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(lean(batches, CODER), T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))

@@ -30,7 +30,7 @@ _rng = np.random.default_rng(20240607)
 BYTE_VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 FOLDED_VALUES = BYTE_VALUES[FOLD]
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_powers: dict[int, np.ndarray] = {}
+STEP = 1 << 10
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -42,18 +42,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept for later calls up to a few slices."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
-        have = np.empty(size, np.uint64)
-        have[0] = 1
-        have[1:] = np.uint64(base)
-        np.multiply.accumulate(have, out=have)
-        if size <= 4 * SLICE_BYTES:
-            _powers[base] = have
-    return have[:n]
+class Powers:
+    """base ** i modulo 2 ** 64 for i below ``n``, as products from two short tables, so a worker need not keep long ones."""
+
+    def __init__(self, base: int, n: int):
+        self.n = n
+        self.low = self._first(base, STEP)
+        self.high = self._first(pow(base, STEP, 2**64), max(1, -(-n // STEP)))
+
+    @staticmethod
+    def _first(base: int, n: int) -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out, out=out)
+
+    def all(self) -> np.ndarray:
+        return (self.high[:, None] * self.low).ravel()[: self.n]
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        return self.high[places // STEP] * self.low[places % STEP]
 
 
 def inverse(base: int) -> int:
@@ -67,11 +74,13 @@ class Rolling:
         n = len(values)
         self.base = base
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * powers(base, n), out=self.sums[1:])
-        self.back = powers(inverse(base), n + 1)
+        terms = Powers(base, n).all()
+        terms *= values
+        np.cumsum(terms, out=self.sums[1:])
+        self.back = Powers(inverse(base), n + 1)
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        raw = (self.sums[ends] - self.sums[starts]) * self.back[starts]
+        raw = (self.sums[ends] - self.sums[starts]) * self.back.at(starts)
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(BASES[1]))
 
 
